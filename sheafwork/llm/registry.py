@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sheafwork.llm import packing, sharding, simhash
+from sheafwork.llm import html_extract, langid, packing, sharding, simhash, toxicity
 from sheafwork.llm.common import documents
 
 
@@ -28,5 +28,19 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op2_simhash_near_dedup, op3_sharding)}
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(documents(spark, sf_dir), vocabulary("piece_bpe_32k.model"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f for f in (op1_best_fit_packing, op2_simhash_near_dedup, op3_sharding, op5_html_extraction, op6_toxicity, op10_language_id)
+}
 ORACLE_SQL: dict[str, str] = {}
