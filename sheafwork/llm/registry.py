@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sheafwork.llm import html_extract, langid, packing, sharding, simhash, toxicity
+from sheafwork.llm import html_extract, langid, packing, sharding, simhash, topk, toxicity, webp
 from sheafwork.llm.common import documents
 
 
@@ -36,11 +36,19 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op7_lossless_webp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return webp.media(documents(spark, sf_dir))
+
+
+def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), k=20, every=20)
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents(spark, sf_dir), vocabulary("piece_bpe_32k.model"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_best_fit_packing, op2_simhash_near_dedup, op3_sharding, op5_html_extraction, op6_toxicity, op10_language_id)
+    f.__name__: f for f in (op1_best_fit_packing, op2_simhash_near_dedup, op3_sharding, op5_html_extraction, op6_toxicity, op7_lossless_webp, op8_exact_top_k, op10_language_id)
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op8_exact_top_k": topk.ORACLE}
