@@ -9,6 +9,7 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Rows of one Arrow batch. Texts are long, so batches are kept far below Spark's default of 10,000 rows.
 BATCH_ROWS = 2000
@@ -40,7 +41,7 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
+def map_arrow(df: DataFrame, function, schema: str | StructType) -> DataFrame:
     """mapInArrow with bounded batches; function gets one RecordBatch and returns one or None."""
     bounded_batches(df.sparkSession)
 

@@ -2,7 +2,7 @@
 
 A text's words (runs of letters and digits, lower-case) are read in overlapping windows of ``WINDOW`` words every
 ``STRIDE``, from the first to the last word. A word's input is its own embedding, if it is in the vocabulary, plus
-the mean embedding of its hashed character trigrams. Two gated recurrent layers read a window in either direction,
+the mean embedding of its hashed character n-grams. Two gated recurrent layers read a window in either direction,
 attention pools their states, and a logistic unit scores it; a text's score is that of its most toxic window,
 calibrated on the training documents.
 
@@ -29,8 +29,10 @@ from pyspark.sql import functions as F
 from sheafwork.llm.common import held_out, map_arrow
 
 WINDOW, STRIDE = 24, 16
-SAMPLE, LONGEST_LEARNT = 700, 20_000
-VOCABULARY, TRIGRAMS, WIDTH, HIDDEN = 3000, 1024, 8, 8
+SAMPLE, LONGEST_LEARNT = 1000, 20_000
+VOCABULARY, WIDTH, HIDDEN = 3000, 8, 8
+#: Sizes of the character n-grams, in bytes with a mark at either end of a word, and the buckets they are hashed to.
+GRAM_SIZES, GRAMS = (3, 5, 7), 8192
 #: Words whose inputs a worker remembers; beyond that, it starts afresh.
 REMEMBERED = 300_000
 WORD = re.compile(r"[^\W_]+")
@@ -45,16 +47,26 @@ def windows(n: int, window: int = WINDOW, stride: int = STRIDE) -> range:
     return range(0, max(1, n - (window - stride)), stride)
 
 
-def trigrams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed trigrams of the bytes of <word>, word after word, and where each word's begin (and the end)."""
-    data = np.frombuffer(("<" + "><".join(words) + ">").encode() if words else b"", dtype=np.uint8).astype(np.int64)
+def grams_of(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed character n-grams of the bytes of <word>, word after word, and where each word's begin (and the end)."""
+    data = np.frombuffer("".join(f"<{w}>" for w in words).encode(), dtype=np.uint8).astype(np.int64)
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(1, np.int64)
-    every = (data[:-2] * 31 + data[1:-1] * 1009 + data[2:] * 9176) % TRIGRAMS
-    begins = np.flatnonzero(data == ord("<"))
-    own = np.ones(len(every), bool)
-    own[begins[1:] - 1] = own[begins[1:] - 2] = False
-    return every[own], np.concatenate([begins - 2 * np.arange(len(begins)), [own.sum()]])
+    word = np.cumsum(data == ord("<")) - 1
+    found, owners = [], []
+    for n in GRAM_SIZES:
+        if len(data) < n:
+            continue
+        end = len(data) - n + 1
+        inside = np.flatnonzero(word[:end] == word[n - 1 :])
+        mixed = np.full(len(inside), n, dtype=np.int64)
+        for k in range(n):
+            mixed = (mixed * 1_000_003 + data[inside + k]) & 0x7FFFFFFF
+        found.append((mixed ^ mixed >> 13) % GRAMS)
+        owners.append(word[inside])
+    owner = np.concatenate(owners)
+    order = np.argsort(owner, kind="stable")
+    return np.concatenate(found)[order], np.searchsorted(owner[order], np.arange(len(words) + 1))
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -111,7 +123,7 @@ class Network:
     def fresh(vocabulary: list[str], seed: int = 7) -> Network:
         g = np.random.default_rng(seed)
         part = lambda *s, by=0.3: (g.standard_normal(s) * by).astype(np.float32)
-        p = {"words": part(len(vocabulary) + 1, WIDTH, by=0.1), "trigrams": part(TRIGRAMS, WIDTH, by=0.1), "attend": part(2 * HIDDEN), "out": part(2 * HIDDEN), "bias": np.zeros(1, np.float32)}
+        p = {"words": part(len(vocabulary) + 1, WIDTH, by=0.1), "grams": part(GRAMS, WIDTH, by=0.1), "attend": part(2 * HIDDEN), "out": part(2 * HIDDEN), "bias": np.zeros(1, np.float32)}
         for way in ("ahead", "back"):
             p |= {f"w_{way}": part(WIDTH, 3 * HIDDEN), f"b_{way}": np.zeros(3 * HIDDEN, np.float32), f"u_{way}": part(HIDDEN, 3 * HIDDEN)}
         p["words"][-1] = 0
@@ -120,8 +132,8 @@ class Network:
     def inputs(self, words: list[str]) -> np.ndarray:
         """The input vector of each word."""
         own = np.fromiter((self.vocabulary.get(w, len(self.vocabulary)) for w in words), dtype=np.int64, count=len(words))
-        grams, starts = trigrams(words)
-        return self.p["words"][own] + np.add.reduceat(self.p["trigrams"][grams], starts[:-1], axis=0) / np.diff(starts)[:, None].astype(np.float32)
+        grams, starts = grams_of(words)
+        return self.p["words"][own] + np.add.reduceat(self.p["grams"][grams], starts[:-1], axis=0) / np.diff(starts)[:, None].astype(np.float32)
 
     def gates(self, x: np.ndarray) -> np.ndarray:
         """Both directions' input gates of each word, ahead then back."""
@@ -190,12 +202,21 @@ def train(texts: list[str | None], labels: list[int], seed: int = 7) -> Network:
     n1, n0 = y.sum(), len(y) - y.sum()
     odds = np.array([np.log((seen[w][1] + 0.5) / (n1 + 1)) - np.log((seen[w][0] + 0.5) / (n0 + 1)) for w in every])
     odds[[seen[w].sum() < 3 for w in every]] = 0
+    grams, starts = grams_of(every)
+    # The odds of a word are at least those of any of its n-grams, so that telling parts of words count too.
+    present = np.zeros((2, GRAMS))
+    for words, label in zip(spelt, labels, strict=True):
+        if words:
+            own = {number[w] for w in words}
+            present[label, np.unique(np.concatenate([grams[starts[k] : starts[k + 1]] for k in own]))] += 1
+    by_gram = np.log((present[1] + 0.5) / (n1 + 1)) - np.log((present[0] + 0.5) / (n0 + 1))
+    by_gram[present.sum(axis=0) < 3] = 0
+    odds = np.maximum(odds, np.maximum.reduceat(by_gram[grams], starts[:-1])) if every else odds
     cuts = [cut(_ids(number, words)) for words in spelt]
     flat, owner = np.vstack(cuts), np.repeat(np.arange(len(cuts)), [len(c) for c in cuts])
     rank = np.where(flat >= 0, odds[flat], 0).sum(axis=1)
     net = Network.fresh(vocabulary, seed)
     in_words = np.array([net.vocabulary.get(w, len(vocabulary)) for w in every])
-    grams, starts = trigrams(every)
     sizes = np.diff(starts)
     moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
     step = 0
@@ -224,16 +245,16 @@ def train(texts: list[str | None], labels: list[int], seed: int = 7) -> Network:
                     used, local = used[1:], local - 1
                 spans = [np.arange(starts[w], starts[w + 1]) for w in used]
                 grams_used, cuts_used = grams[np.concatenate(spans)] if spans else grams[:0], np.cumsum([0, *map(len, spans)])
-                x = net.p["words"][in_words[used]] + (np.add.reduceat(net.p["trigrams"][grams_used], cuts_used[:-1], axis=0) / sizes[used][:, None].astype(np.float32) if spans else 0)
+                x = net.p["words"][in_words[used]] + (np.add.reduceat(net.p["grams"][grams_used], cuts_used[:-1], axis=0) / sizes[used][:, None].astype(np.float32) if spans else 0)
                 _, grad, d_gates = net.gradients(net.gates(x.astype(np.float32)), local, y[owner[rows]])
                 d_x = np.zeros_like(x)
                 for way, part in (("ahead", d_gates[:, : 3 * HIDDEN]), ("back", d_gates[:, 3 * HIDDEN :])):
                     grad[f"w_{way}"], grad[f"b_{way}"] = x.T @ part, part.sum(axis=0)
                     d_x += part @ net.p[f"w_{way}"].T
-                grad["words"], grad["trigrams"] = np.zeros_like(net.p["words"]), np.zeros_like(net.p["trigrams"])
+                grad["words"], grad["grams"] = np.zeros_like(net.p["words"]), np.zeros_like(net.p["grams"])
                 np.add.at(grad["words"], in_words[used], d_x)
                 grad["words"][-1] = 0
-                np.add.at(grad["trigrams"], grams_used, np.repeat(d_x / sizes[used][:, None], sizes[used], axis=0))
+                np.add.at(grad["grams"], grams_used, np.repeat(d_x / sizes[used][:, None], sizes[used], axis=0))
                 step += 1
                 for name, value in net.p.items():  # Adam
                     first, second = moment[name]
@@ -299,18 +320,34 @@ def sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> tuple[list
     return [found[r["doc_id"]] for r in kept], [r["toxic"] for r in kept]
 
 
+class Judge:
+    """Scores batches of texts in a worker that keeps its scorer from task to task."""
+
+    def __init__(self, docs: DataFrame, labels: DataFrame, size: int = SAMPLE):
+        self.shared = docs.sparkSession.sparkContext.broadcast(train(*sample(docs, labels, size)))  # some ten thousand numbers
+
+    def __call__(self, texts: pa.Array) -> np.ndarray:
+        net = self.shared.value
+        if id(net) not in _SCORERS:  # the scorer holds its network, so the id stays its own
+            _SCORERS.clear()
+            _SCORERS[id(net)] = Scorer(net)
+        parts = [_SCORERS[id(net)].score(texts[k : k + 300].to_pylist()) for k in range(0, len(texts), 300)]
+        return np.concatenate(parts) if parts else np.zeros(0)
+
+
 def score(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFrame:
     """doc_id, held_out, score, predicted of every document."""
-    net = train(*sample(docs, labels, size))
-    shared = docs.sparkSession.sparkContext.broadcast(net)  # some ten thousand numbers
+    judge = Judge(docs, labels, size)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        key = id(shared.value)
-        if key not in _SCORERS:
-            _SCORERS.clear()
-            _SCORERS[key] = Scorer(shared.value)
-        found = np.concatenate([_SCORERS[key].score(batch.column(2)[k : k + 300].to_pylist()) for k in range(0, batch.num_rows, 300)]) if batch.num_rows else np.zeros(0)
+        found = judge(batch.column(2))
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found), pa.array((found >= 0.5).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
 
     own = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), held_out("doc_id", 5, 0).alias("held_out"), F.col("text").cast("string").alias("text"))
     return map_arrow(own, run, "doc_id bigint, held_out boolean, score double, predicted int")
+
+
+def accepted(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, size: int = SAMPLE) -> DataFrame:
+    """The rows of documents that score below the threshold, all columns as they are; no join, one pass."""
+    judge, place = Judge(docs, labels, size), docs.columns.index("text")
+    return map_arrow(docs, lambda batch: batch.filter(pa.array(judge(batch.column(place)) < threshold)), docs.schema)
