@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sheafwork.llm import html_extract, langid, packing, sharding, simhash, topk, toxicity, webp
+from sheafwork.llm import html_extract, langid, licenses, mixing, packing, sharding, simhash, topk, toxicity, webp
 from sheafwork.llm.common import documents
 
 
@@ -28,6 +28,10 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(documents(spark, sf_dir))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir))
+
+
 def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
@@ -44,11 +48,15 @@ def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), k=20, every=20)
 
 
+def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents(spark, sf_dir), vocabulary("piece_bpe_32k.model"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_best_fit_packing, op2_simhash_near_dedup, op3_sharding, op5_html_extraction, op6_toxicity, op7_lossless_webp, op8_exact_top_k, op10_language_id)
+    f.__name__: f for f in (op1_best_fit_packing, op2_simhash_near_dedup, op3_sharding, op4_license_scan, op5_html_extraction, op6_toxicity, op7_lossless_webp, op8_exact_top_k, op9_source_mixing, op10_language_id)
 }
-ORACLE_SQL: dict[str, str] = {"op8_exact_top_k": topk.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op4_license_scan": licenses.oracle(), "op8_exact_top_k": topk.ORACLE}
