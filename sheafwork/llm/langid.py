@@ -210,25 +210,39 @@ class Scorer:
         return out
 
 
-_SCORERS: dict[tuple, Scorer] = {}
+_SCORERS: dict[int, tuple] = {}
+
+
+class Judge:
+    """Predicts batches of texts in a worker that keeps its scorer from task to task."""
+
+    def __init__(self, docs: DataFrame, path: str, per_language: int = PER_LANGUAGE):
+        counts = word_counts(docs, per_language)
+        fitted = fit(Pieces(path), counts) if counts else ([], np.zeros((0, 0)))
+        self.path, self.shared = path, docs.sparkSession.sparkContext.broadcast(fitted)  # pieces x languages: bounded by the vocabulary
+
+    def __call__(self, texts: pa.Array) -> list[tuple[str, float]]:
+        fitted = self.shared.value
+        if id(fitted) not in _SCORERS:  # what is fitted is held with its scorer, so the id stays its own
+            _SCORERS.clear()
+            _SCORERS[id(fitted)] = (fitted, Scorer(self.path, *fitted))
+        scorer = _SCORERS[id(fitted)][1]
+        return [x for k in range(0, len(texts), 500) for x in scorer.score(texts[k : k + 500].to_pylist())]
 
 
 def identify(docs: DataFrame, path: str, per_language: int = PER_LANGUAGE) -> DataFrame:
     """doc_id, held_out, lang_pred, score: the chance of the predicted language, evened by the root of the words."""
-    languages, chances = fit(Pieces(path), counts) if (counts := word_counts(docs, per_language)) else ([], np.zeros((0, 0)))
-    shared = docs.sparkSession.sparkContext.broadcast(chances)  # pieces x languages: bounded by the vocabulary
+    judge = Judge(docs, path, per_language)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        key = (path, tuple(languages), shared.value[:50].tobytes())
-        if key not in _SCORERS:
-            _SCORERS.clear()
-            _SCORERS[key] = Scorer(path, languages, shared.value)
-        names, scores = [], []
-        for k in range(0, batch.num_rows, 500):
-            for name, score in _SCORERS[key].score(batch.column(2)[k : k + 500].to_pylist()):
-                names.append(name)
-                scores.append(score)
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])
+        found = judge(batch.column(2))
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([n for n, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])
 
     own = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), held_out("doc_id", 4, 2).alias("held_out"), F.col("text").cast("string").alias("text"))
     return map_arrow(own, run, "doc_id bigint, held_out boolean, lang_pred string, score double")
+
+
+def accepted(docs: DataFrame, path: str, threshold: float = 0.3, per_language: int = PER_LANGUAGE) -> DataFrame:
+    """The rows whose language can be told (not ``und``, and a score of the threshold or more), all columns as they are."""
+    judge, place = Judge(docs, path, per_language), docs.columns.index("text")
+    return map_arrow(docs, lambda batch: batch.filter(pa.array([n != "und" and s >= threshold for n, s in judge(batch.column(place))], pa.bool_())), docs.schema)

@@ -56,7 +56,13 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents(spark, sf_dir), vocabulary("piece_bpe_32k.model"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_best_fit_packing, op2_simhash_near_dedup, op3_sharding, op4_license_scan, op5_html_extraction, op6_toxicity, op7_lossless_webp, op8_exact_top_k, op9_source_mixing, op10_language_id)
+    f.__name__: f for f in (op1_best_fit_packing, op2_simhash_near_dedup, op3_sharding, op4_license_scan, op5_html_extraction, op6_toxicity, op7_lossless_webp, op8_exact_top_k, op9_source_mixing, op10_language_id, pipeline)
 }
 ORACLE_SQL: dict[str, str] = {"op4_license_scan": licenses.oracle(), "op8_exact_top_k": topk.ORACLE}

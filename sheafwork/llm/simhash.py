@@ -24,7 +24,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sheafwork.llm.common import bounded_batches, durable, map_arrow
@@ -59,14 +59,17 @@ def fingerprint(text: str, size: int = SHINGLE) -> int:
     return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """doc_id, fp: the fingerprint's 64 bits as a signed bigint."""
+def fingerprints(docs: DataFrame, size: int = SHINGLE, key: Column | None = None) -> DataFrame:
+    """doc_id, fp (the fingerprint's 64 bits as a signed bigint), and a bigint key of the row, if one is given."""
+
+    names = ["doc_id", "fp", *["key"] * (key is not None)]
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = np.fromiter((fingerprint(t.as_py() or "", size) for t in batch.column(1)), dtype=np.uint64, count=batch.num_rows)
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64)), *batch.columns[2:]], names)
 
-    return map_arrow(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")), run, "doc_id bigint, fp bigint")
+    columns = [F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), *([] if key is None else [key.alias("key")])]
+    return map_arrow(docs.select(*columns), run, "doc_id bigint, fp bigint" + ", key bigint" * (key is not None))
 
 
 class Links:
@@ -215,12 +218,32 @@ def link(classes: DataFrame) -> DataFrame:
     return keyed.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a bigint, b bigint")
 
 
+def _components(prints: DataFrame) -> DataFrame:
+    """fp, component of every class of equal fingerprints."""
+    classes = durable(prints.groupBy("fp").agg(F.min(F.coalesce("doc_id", F.lit(ABOVE) + F.expr(f"fp & {ABOVE - 1}"))).alias("node")))
+    found = components(link(classes))
+    return classes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component"))
+
+
 def near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id: the least doc_id reachable over links of at most 4 bits."""
     prints = durable(fingerprints(docs, size))
-    classes = durable(prints.groupBy("fp").agg(F.min(F.coalesce("doc_id", F.lit(ABOVE) + F.expr(f"fp & {ABOVE - 1}"))).alias("node")))
-    found = components(link(classes))
-    of_class = classes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component"))
-    return prints.join(of_class, "fp").select(
+    return prints.join(_components(prints), "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.when(F.col("component") < ABOVE, F.col("component")).alias("component_id")
     )
+
+
+def representatives(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """One row of each component, all columns as they are: of the least doc_id (nulls last), then the least text hash.
+
+    Of rows that repeat both, any one stays. Fingerprints and links are made on narrow rows; the texts are joined once,
+    with one key for each row to keep.
+    """
+    key = F.xxhash64(F.col("text").cast("string"))
+    prints = durable(fingerprints(docs, size, key))
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")
+    keep = prints.join(_components(prints), "fp").groupBy("component").agg(F.min(place).alias("p")).select(F.coalesce("p.doc_id", F.lit(-1)).alias("_keep_id"), F.col("p.key").alias("_keep_key"))
+    once = Window.partitionBy("_keep_id", "_keep_key").orderBy(F.lit(1))
+    own = docs.withColumn("_row_id", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-1))).withColumn("_row_key", key)
+    joined = own.join(keep, (F.col("_row_id") == F.col("_keep_id")) & (F.col("_row_key") == F.col("_keep_key")))
+    return joined.withColumn("_row", F.row_number().over(once)).where("_row = 1").select(*docs.columns)
