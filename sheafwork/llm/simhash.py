@@ -1,15 +1,21 @@
 """SimHash near-duplicates by vantage-point trees over fingerprints.
 
-Documents link where their 64-bit fingerprints differ in at most ``RADIUS`` (4) bits. Equal fingerprints are
-one class first, so copies never multiply. The classes then go to the shards of four trees, one per 16-bit
-block: a pair within 4 bits is within 1 bit in the first block or equal in one of the others (1+1+1+1+1 > 4).
-A block's tree takes 0 and the single bits as its vantage points; the Hamming distances to them name the leaf,
-which is the block's value. By the triangle bound, a query of radius 0 meets its own leaf alone, and a query of
-radius 1 meets the leaves one bit away: the first tree's fingerprints visit those boundary-overlapping shards.
-
-Inside a shard, a vantage-point join on the whole 64 bits finds the pairs: a fingerprint is the vantage point,
-the median distance splits the others, and only the strips within 4 of the boundary meet across it. What lies
-within 4 of the vantage point links to it and is not compared with itself again, so a dense group of near copies
+A scheme says how wide fingerprints are, how close linked ones lie, and how they are indexed. Equal fingerprints are
+one class first, so copies never multiply. The classes then go to the shards of several trees, one per block of
+bits. A block's tree takes 0 and the single bits as its vantage points; the Hamming distances to them name the
+leaf, which is the block's value. By the triangle bound, a query of radius 0 meets its own leaf alone, and a query
+of radius 1 meets the leaves one bit away: such a tree's fingerprints visit those boundary-overlapping shards.
+
+``EXACT`` (64 bits, 4 bits apart, shingles of four words) has four trees of 16 bits with the radii 1, 0, 0, 0. A pair
+within 4 bits is within 1 bit in the first block or equal in one of the others (1+1+1+1+1 > 4), so no link is lost.
+
+``WIDE`` (384 bits, shingles of five words) is for copies that share 0.8 of their shingles, which lie about 58 bits
+apart: links reach 66 bits, and 32 trees of 12 bits with radius 0 hold such a pair together in at least one shard with
+a chance above 0.99. Its links are those of the estimated similarity, not of exact shingle sets.
+
+Inside a shard, a vantage-point join on all bits finds the pairs: a fingerprint is the vantage point, the median
+distance splits the others, and only the strips within the radius of the boundary meet across it. What lies within
+the radius of the vantage point links to it and is not compared with itself again, so a dense group of near copies
 costs about one pass. Shards over ``CROWD`` rows are cut into chunks that meet pairwise in tasks of their own.
 Every shard returns a spanning star of its links; distributed components finish the job.
 
@@ -20,6 +26,7 @@ repeated rows share a class; an empty table gives no rows; other columns are ign
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import partial
 
 import numpy as np
@@ -30,46 +37,81 @@ from pyspark.sql import functions as F
 from sheafwork.llm.common import bounded_batches, durable, map_arrow
 from sheafwork.llm.components import components
 
-RADIUS = 4
-SHINGLE = 4
+
+@dataclass(frozen=True)
+class Scheme:
+    """Words of 64 bits, bits within which fingerprints link, words of a shingle, bits of a block, radius of each block's tree."""
+
+    words: int
+    radius: int
+    shingle: int
+    block: int
+    radii: tuple[int, ...]
+
+
+EXACT = Scheme(1, 4, 4, 16, (1, 0, 0, 0))
+WIDE = Scheme(6, 66, 5, 12, (0,) * 32)
 #: Rows of a shard beyond which it is cut into chunks that meet pairwise.
 CROWD = 20_000
 #: Pairs that are compared at once; below that, a split does not pay.
 BRUTE = 1 << 14
 #: Stand-ins for null ids, above every id.
 ABOVE = 1 << 62
-#: Bits a block, and the radius of each block's tree, from the lowest block on.
-BLOCK, RADII = 16, (1, 0, 0, 0)
+#: Odd factors that spread a shingle's hash to the words of a wide fingerprint after the first.
+_FACTOR = 0x9E3779B97F4A7C15
 
 
-def fingerprint(text: str, size: int = SHINGLE) -> int:
-    """Bytes split and lower-case exactly as the definition says: ASCII white space and A-Z alone."""
+def _ones(hashes: np.ndarray) -> np.ndarray:
+    """How many hashes have each bit set, the lowest bit first."""
+    bits = np.unpackbits(hashes.astype("<u8").view(np.uint8), bitorder="little").reshape(-1, 64)
+    whole = len(bits) // 255 * 255  # bytes can't overflow in a sum of 255 bits
+    out = bits[whole:].sum(axis=0, dtype=np.int64)
+    return out + np.add.reduce(bits[:whole].reshape(-1, 255, 64), axis=1, dtype=np.uint8).sum(axis=0, dtype=np.int64) if whole else out
+
+
+def fingerprint(text: str, scheme: Scheme = EXACT) -> bytes:
+    """The fingerprint, highest byte of each word first.
+
+    Bytes are split and lower-cased exactly as the definition says: ASCII white space and A-Z alone.
+    """
     from xxhash import xxh64_intdigest
 
-    words = text.encode().lower().split()
+    words, size = text.encode().lower().split(), scheme.shingle
     if not words:
-        return 0
+        return bytes(8 * scheme.words)
     hashed = partial(xxh64_intdigest, seed=42)
     shingles = map(b" ".join, zip(*(words[k:] for k in range(size)), strict=False)) if len(words) >= size else [b" ".join(words)]
-    hashes = np.fromiter(map(hashed, shingles), dtype="<u8")
-    counts = np.zeros(64, dtype=np.int64)
-    for k in range(0, len(hashes), 1 << 16):
-        bits = np.unpackbits(hashes[k : k + (1 << 16)].view(np.uint8), bitorder="little").reshape(-1, 64)
-        counts += bits.sum(axis=0, dtype=np.int64)
-    return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view("<u8")[0])
-
-
-def fingerprints(docs: DataFrame, size: int = SHINGLE, key: Column | None = None) -> DataFrame:
-    """doc_id, fp (the fingerprint's 64 bits as a signed bigint), and a bigint key of the row, if one is given."""
-
+    hashes = np.fromiter(map(hashed, shingles), dtype=np.uint64)
+    out = np.zeros(scheme.words, dtype=np.uint64)
+    for k in range(scheme.words):
+        counts = np.zeros(64, dtype=np.int64)
+        for at in range(0, len(hashes), 1 << 16):
+            part = hashes[at : at + (1 << 16)]
+            if k:
+                part = part * np.uint64((_FACTOR * (2 * k + 1) | 1) & (1 << 64) - 1)
+                part ^= part >> np.uint64(32)
+                part = part * np.uint64(_FACTOR)
+                part ^= part >> np.uint64(29)
+            counts += _ones(part)
+        out[k] = np.packbits(counts * 2 > len(hashes), bitorder="little").view("<u8")[0]
+    return out.astype(">u8").tobytes()
+
+
+def fingerprints(docs: DataFrame, scheme: Scheme = EXACT, key: Column | None = None) -> DataFrame:
+    """doc_id, fp (binary), and a bigint key of the row, if one is given."""
     names = ["doc_id", "fp", *["key"] * (key is not None)]
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = np.fromiter((fingerprint(t.as_py() or "", size) for t in batch.column(1)), dtype=np.uint64, count=batch.num_rows)
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64)), *batch.columns[2:]], names)
+        found = pa.array([fingerprint(t.as_py() or "", scheme) for t in batch.column(1)], pa.binary())
+        return pa.RecordBatch.from_arrays([batch.column(0), found, *batch.columns[2:]], names)
 
     columns = [F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), *([] if key is None else [key.alias("key")])]
-    return map_arrow(docs.select(*columns), run, "doc_id bigint, fp bigint" + ", key bigint" * (key is not None))
+    return map_arrow(docs.select(*columns), run, "doc_id bigint, fp binary" + ", key bigint" * (key is not None))
+
+
+def apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Differing bits of fingerprints, whose words are the last axis."""
+    return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int16)
 
 
 class Links:
@@ -94,7 +136,7 @@ def _star(links: Links, centre: int, others: np.ndarray) -> None:
     links.add(np.full(len(others), centre), others)
 
 
-def join_self(fp: np.ndarray, own: np.ndarray, links: Links, radius: int = RADIUS) -> None:
+def join_self(fp: np.ndarray, own: np.ndarray, links: Links, radius: int = EXACT.radius) -> None:
     """Links all pairs within ``radius`` among the fingerprints numbered ``own``."""
     todo = [own]
     while todo:
@@ -103,10 +145,10 @@ def join_self(fp: np.ndarray, own: np.ndarray, links: Links, radius: int = RADIU
             continue
         if len(x) ** 2 <= BRUTE:
             values = fp[x]
-            i, j = np.nonzero(np.bitwise_count(values[:, None] ^ values[None, :]) <= radius)
+            i, j = np.nonzero(apart(values[:, None], values[None, :]) <= radius)
             links.add(x[i[i < j]], x[j[i < j]])
             continue
-        d = np.bitwise_count(fp[x] ^ fp[x[0]]).astype(np.int16)
+        d = apart(fp[x], fp[x[0]])
         inside = d <= radius
         _star(links, int(x[0]), x[inside])
         middle = int(np.median(d))
@@ -119,7 +161,7 @@ def join_self(fp: np.ndarray, own: np.ndarray, links: Links, radius: int = RADIU
             join_cross(fp, x[low & (d > middle - radius)], x[~low & (d <= middle + radius)], links, radius)
 
 
-def join_cross(fp: np.ndarray, left: np.ndarray, right: np.ndarray, links: Links, radius: int = RADIUS) -> None:
+def join_cross(fp: np.ndarray, left: np.ndarray, right: np.ndarray, links: Links, radius: int = EXACT.radius) -> None:
     """Links all pairs within ``radius`` between the two sets."""
     todo = [(left, right)]
     while todo:
@@ -131,10 +173,10 @@ def join_cross(fp: np.ndarray, left: np.ndarray, right: np.ndarray, links: Links
         if len(a) * len(b) <= BRUTE or len(a) < 8:
             for k in range(0, len(b), BRUTE):
                 c = b[k : k + BRUTE]
-                i, j = np.nonzero(np.bitwise_count(fp[a][:, None] ^ fp[c][None, :]) <= radius)
+                i, j = np.nonzero(apart(fp[a][:, None], fp[c][None, :]) <= radius)
                 links.add(a[i], c[j])
             continue
-        da, db = (np.bitwise_count(fp[x] ^ fp[a[0]]).astype(np.int16) for x in (a, b))
+        da, db = (apart(fp[x], fp[a[0]]) for x in (a, b))
         near_a, near_b = da <= radius, db <= radius
         _star(links, int(a[0]), a[near_a])
         _star(links, int(a[0]), b[near_b])
@@ -155,7 +197,7 @@ def join_cross(fp: np.ndarray, left: np.ndarray, right: np.ndarray, links: Links
             ]
 
 
-def shard_links(fp: np.ndarray, node: np.ndarray, side: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
+def shard_links(fp: np.ndarray, node: np.ndarray, side: np.ndarray, radius: int = EXACT.radius) -> tuple[np.ndarray, np.ndarray]:
     """Links of one shard or pair of chunks. side: 0 and 1, at home in the first or second chunk; 2 and 3, visitors of them."""
     links = Links(len(fp))
     home, second, visitor, visitor2 = (np.flatnonzero(side == k) for k in range(4))
@@ -170,15 +212,41 @@ def shard_links(fp: np.ndarray, node: np.ndarray, side: np.ndarray, radius: int
     return node[moved], node[roots[moved]]
 
 
-def link(classes: DataFrame) -> DataFrame:
-    """(fp, node) classes -> (a, b) links that connect all that is within RADIUS bits."""
-    block = F.expr(f"fp & {(1 << BLOCK) - 1}")
-    homes = [F.struct(F.lit(t).cast("bigint").alias("tree"), F.expr(f"shiftrightunsigned(fp, {BLOCK * t}) & {(1 << BLOCK) - 1}").alias("leaf"), F.lit(False).alias("visits")) for t in range(len(RADII))]
-    # Of two leaves one bit apart, the one with the bit set visits the other, so that a pair meets once.
-    bits = F.filter(F.sequence(F.lit(0), F.lit(BLOCK - 1)), lambda j: F.getbit(block, j) == 1)
-    visits = F.transform(bits, lambda j: F.struct(F.lit(0).cast("bigint").alias("tree"), (block - F.pow(F.lit(2), j).cast("bigint")).alias("leaf"), F.lit(True).alias("visits")))
-    rows = classes.select("fp", "node", F.explode(F.concat(F.array(*homes), visits)).alias("s")).select("fp", "node", (F.col("s.tree") * (1 << BLOCK) + F.col("s.leaf")).alias("shard"), "s.visits")
-    # At most one row a leaf, 4 x 65,536 in all, so this table may be broadcast.
+def leaves(fp: np.ndarray, scheme: Scheme) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, shard, visits): every fingerprint at home in one leaf a tree, and its visits to leaves one bit away.
+
+    Of two leaves one bit apart, the one with the bit set visits the other, so that a pair meets once.
+    """
+    rows, shards, visits = [], [], []
+    every = np.arange(len(fp))
+    bits = np.unpackbits(fp.astype("<u8").view(np.uint8).reshape(len(fp), -1), axis=1, bitorder="little")
+    for tree, radius in enumerate(scheme.radii):
+        own = bits[:, tree * scheme.block : (tree + 1) * scheme.block].astype(np.int64)
+        value = (own << np.arange(scheme.block)).sum(axis=1)
+        rows.append(every)
+        shards.append(value + (tree << scheme.block))
+        visits.append(np.zeros(len(fp), bool))
+        if radius:
+            row, bit = np.nonzero(own)
+            rows.append(row)
+            shards.append(value[row] - (1 << bit) + (tree << scheme.block))
+            visits.append(np.ones(len(row), bool))
+    return np.concatenate(rows), np.concatenate(shards), np.concatenate(visits)
+
+
+def _words(column: pa.Array, words: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=">u8").astype(np.uint64).reshape(-1, words)
+
+
+def link(classes: DataFrame, scheme: Scheme = EXACT) -> DataFrame:
+    """(fp, node) classes -> (a, b) links that connect all that is within the scheme's radius and meets in a shard."""
+
+    def spread(batch: pa.RecordBatch) -> pa.RecordBatch:
+        row, shard, visits = leaves(_words(batch.column(0), scheme.words), scheme)
+        return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), batch.column(1).take(pa.array(row)), pa.array(shard), pa.array(visits)], ["fp", "node", "shard", "visits"])
+
+    rows = map_arrow(classes.select("fp", "node"), spread, "fp binary, node bigint, shard bigint, visits boolean")
+    # At most one row a leaf (trees times 2^block, some hundred thousand), so this table may be broadcast.
     crowds = rows.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CROWD).select("shard", F.least(F.lit(4096), F.ceil(F.col("n") / CROWD)).cast("int").alias("chunks"))
     rows = rows.join(F.broadcast(crowds), "shard", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
     chunk = F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int")
@@ -193,7 +261,7 @@ def link(classes: DataFrame) -> DataFrame:
             key, fp, node, side = (np.concatenate(c) for c in zip(*parts, strict=True))
             cuts = np.flatnonzero(np.diff(key)) + 1
             starts, ends = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(key)]])
-            found = [shard_links(fp[s:e], node[s:e], side[s:e]) for s, e in zip(starts.tolist(), ends.tolist(), strict=True) if e - s > 1]
+            found = [shard_links(fp[s:e], node[s:e], side[s:e], scheme.radius) for s, e in zip(starts.tolist(), ends.tolist(), strict=True) if e - s > 1]
             found = [x for x in found if len(x[0])]
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], ["a", "b"])
@@ -202,8 +270,7 @@ def link(classes: DataFrame) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            part = [batch.column(i).to_numpy() for i in range(4)]
-            part[1] = part[1].view(np.uint64)
+            part = [batch.column(0).to_numpy(), _words(batch.column(1), scheme.words), batch.column(2).to_numpy(), batch.column(3).to_numpy()]
             last = int(np.searchsorted(part[0], part[0][-1]))  # where the last key begins
             if last or (held and held[-1][0][-1] != part[0][0]):
                 if last:
@@ -218,31 +285,30 @@ def link(classes: DataFrame) -> DataFrame:
     return keyed.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a bigint, b bigint")
 
 
-def _components(prints: DataFrame) -> DataFrame:
+def _components(prints: DataFrame, scheme: Scheme) -> DataFrame:
     """fp, component of every class of equal fingerprints."""
-    classes = durable(prints.groupBy("fp").agg(F.min(F.coalesce("doc_id", F.lit(ABOVE) + F.expr(f"fp & {ABOVE - 1}"))).alias("node")))
-    found = components(link(classes))
+    stand_in = F.lit(ABOVE) + F.xxhash64("fp").bitwiseAND(F.lit(ABOVE - 1))
+    classes = durable(prints.groupBy("fp").agg(F.min("doc_id").alias("node")).withColumn("node", F.coalesce("node", stand_in)))
+    found = components(link(classes, scheme))
     return classes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component"))
 
 
-def near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id: the least doc_id reachable over links of at most 4 bits."""
-    prints = durable(fingerprints(docs, size))
-    return prints.join(_components(prints), "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.when(F.col("component") < ABOVE, F.col("component")).alias("component_id")
-    )
+def near_duplicates(docs: DataFrame, scheme: Scheme = EXACT) -> DataFrame:
+    """doc_id, fingerprint (hex digits), component_id: the least doc_id reachable over links."""
+    prints = durable(fingerprints(docs, scheme))
+    return prints.join(_components(prints, scheme), "fp").select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), F.when(F.col("component") < ABOVE, F.col("component")).alias("component_id"))
 
 
-def representatives(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
+def representatives(docs: DataFrame, scheme: Scheme = WIDE) -> DataFrame:
     """One row of each component, all columns as they are: of the least doc_id (nulls last), then the least text hash.
 
     Of rows that repeat both, any one stays. Fingerprints and links are made on narrow rows; the texts are joined once,
     with one key for each row to keep.
     """
     key = F.xxhash64(F.col("text").cast("string"))
-    prints = durable(fingerprints(docs, size, key))
+    prints = durable(fingerprints(docs, scheme, key))
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")
-    keep = prints.join(_components(prints), "fp").groupBy("component").agg(F.min(place).alias("p")).select(F.coalesce("p.doc_id", F.lit(-1)).alias("_keep_id"), F.col("p.key").alias("_keep_key"))
+    keep = prints.join(_components(prints, scheme), "fp").groupBy("component").agg(F.min(place).alias("p")).select(F.coalesce("p.doc_id", F.lit(-1)).alias("_keep_id"), F.col("p.key").alias("_keep_key"))
     once = Window.partitionBy("_keep_id", "_keep_key").orderBy(F.lit(1))
     own = docs.withColumn("_row_id", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-1))).withColumn("_row_key", key)
     joined = own.join(keep, (F.col("_row_id") == F.col("_keep_id")) & (F.col("_row_key") == F.col("_keep_key")))
