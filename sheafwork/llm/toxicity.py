@@ -12,7 +12,7 @@ The windows to learn from are, for either label, those with the highest summed l
 those that the network itself scores highest, and some drawn at random. Scoring covers all windows of all texts.
 
 Defined cases: null texts and texts without words have one empty window and score as the calibrated bias does;
-equal texts score equally; without both labels to learn from, every score is the labels' mean (0 without labels);
+equal texts score equally but for the last digits of floating-point sums; without both labels to learn from, every score is the labels' mean (0 without labels);
 repeated label rows count once, by their highest label; an empty table gives no rows; other columns are ignored.
 """
 

@@ -1,0 +1,540 @@
+"""Odd rows, empty tables and brute force for every operator of the subpackage."""
+
+import random
+import zlib
+from itertools import product
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+from sheafwork.llm import html_extract, langid, licenses, mixing, packing, sharding, simhash, topk, toxicity, webp
+
+BYTES, PIECES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+#: Names that the operators use inside, as columns of the input.
+CLASHING = "fp key node part rank size shard slot digest start tokens topic weight draw score component length bytes n chunk"
+FIELDS = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in CLASHING.split())
+
+
+def rows(seed=3):
+    g = random.Random(seed)
+    words = ["alpha", "beta", "gamma", "delta", "the", "of", "naïve", "x", "Ünder", "<|endoftext|>"]
+    texts = [" ".join(g.choice(words) for _ in range(g.randrange(1, 60))) for _ in range(30)]
+    texts += [None, "", "   ", "\n\t", "a  b \x00 c", texts[0], texts[0], texts[1].upper(), "Released under the MIT License.", " ".join(g.choice(words) for _ in range(9000)), "é" * 5000]
+    out = [(k, t, g.choice(["en", "de", None]), g.choice(["s", None]), 1) for k, t in enumerate(texts)]
+    out += [(None, texts[2], "en", "s", 1), (None, None, None, None, None), out[3], out[3]]
+    return [(*r, *["z"] * len(CLASHING.split())) for r in out]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(rows(), FIELDS).repartition(3).cache()
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], FIELDS)
+
+
+@pytest.fixture(scope="module")
+def labels(spark):
+    return spark.createDataFrame([(k, 1, k % 2) for k in range(25)] + [(3, 1, 1), (None, 0, 1), (4, None, None)], "doc_id long, quality int, toxic int")
+
+
+def test_packing(spark, docs, empty):
+    from tokenizers import Tokenizer
+
+    coder = Tokenizer.from_file(BYTES)
+    coder.encode_special_tokens = True
+    found = packing.pack(docs, BYTES, capacity=256, keep_ids=True).collect()
+    want = sorted(np.array([*coder.encode(r[1] or "", add_special_tokens=False).ids, 0], "<u4").tobytes() for r in rows())
+    whole: dict = {}
+    for r in sorted(found, key=lambda r: r.piece):
+        assert r.length == len(r.ids) <= 256 and r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes())
+        assert r.piece == 0 or r.length == 256
+    for r in found:
+        if r.doc_id not in (None, 3):
+            whole.setdefault(r.doc_id, []).append(r)
+    for own in whole.values():
+        own.sort(key=lambda r: r.piece)
+        assert [r.start for r in own] == np.cumsum([0, *(r.length for r in own[:-1])]).tolist()
+        assert np.array([i for r in own for i in r.ids], "<u4").tobytes() in want
+    bins: dict = {}
+    for r in found:
+        bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for own in bins.values():
+        at = 0
+        for offset, length in sorted(own):
+            assert offset == at
+            at += length
+        assert at <= 256
+    assert sum(r.length for r in found) == sum(len(w) // 4 for w in want)
+    assert packing.pack(empty, BYTES).count() == 0
+
+
+def test_packing_plan_is_exact_on_small_cases():
+    g = random.Random(1)
+    for _ in range(60):
+        items = [g.randrange(1, 21) for _ in range(g.randrange(1, 9))]
+        histogram = {k: items.count(k) for k in set(items)}
+        seed = max(items)
+        best = max(sum(c) for c in product(*[(0, x) for x in sorted(items)[:-1]]) if sum(c) <= 20 - seed) if len(items) > 1 else 0
+        chosen = packing.fullest(dict(histogram), seed, 20)
+        assert sum(k * n for k, n in chosen.items()) == best + seed and all(histogram[k] >= n for k, n in chosen.items())
+        segments, n = packing.plan(histogram, 20)
+        assert n >= -(-sum(items) // 20)
+
+
+def brute_components(prints: dict, radius: int) -> dict:
+    parent = {k: k for k in prints}
+
+    def root(k):
+        while parent[k] != k:
+            k = parent[k]
+        return k
+
+    for a in prints:
+        for b in prints:
+            if a < b and bin(prints[a] ^ prints[b]).count("1") <= radius:
+                x, y = root(a), root(b)
+                parent[max(x, y)] = min(x, y)
+    return {k: root(k) for k in prints}
+
+
+def plain_fingerprint(text: str) -> int:
+    import re
+
+    import xxhash
+
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+    words = re.findall(r"[^\x20\x09-\x0D]+", low)
+    shingles = [" ".join(words[k : k + 4]) for k in range(len(words) - 3)] if len(words) >= 4 else [" ".join(words)] if words else []
+    hashes = [xxhash.xxh64(s.encode(), seed=42).intdigest() for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_near_duplicates(spark, docs, empty):
+    found = [r for r in simhash.near_duplicates(docs).collect()]
+    prints = {r[0]: plain_fingerprint(r[1] or "") for r in rows() if r[0] is not None}
+    want = brute_components(prints, 4)
+    assert len(found) == len(rows())
+    for r in found:
+        if r.doc_id is not None:
+            assert int(r.fingerprint, 16) == prints[r.doc_id] and r.component_id == want[r.doc_id]
+    assert simhash.near_duplicates(empty).count() == 0
+    kept = simhash.representatives(docs).collect()
+    assert kept[0].asDict().keys() == {*docs.columns} and len({r.doc_id for r in kept}) == len(kept)
+    assert simhash.representatives(empty).count() == 0
+
+
+@pytest.mark.parametrize("crowd", [4, 20_000])
+def test_shards_lose_no_link(spark, crowd, monkeypatch):
+    g = np.random.default_rng(5)
+    centres = g.integers(0, 2**63, 40, dtype=np.uint64)
+    values = set(centres.tolist())
+    for c in centres.tolist():
+        for _ in range(20):
+            v = c
+            for b in g.integers(0, 64, g.integers(1, 6)):
+                v ^= 1 << int(b)
+            values.add(v)
+    values = sorted(values)
+    monkeypatch.setattr(simhash, "CROWD", crowd)
+    monkeypatch.setattr(simhash, "BRUTE", 16)
+    classes = spark.createDataFrame([(bytearray(v.to_bytes(8, "big")), k) for k, v in enumerate(values)], "fp binary, node long")
+    links = {(r.a, r.b) for r in simhash.link(classes).collect()}
+    from sheafwork.llm.components import components
+
+    got = {k: k for k in range(len(values))} | {r.node: r.component for r in components(spark.createDataFrame(list(links), "a long, b long")).collect()}
+    assert got == brute_components(dict(enumerate(values)), 4)
+
+
+def test_dense_groups_inside_a_shard():
+    g = np.random.default_rng(2)
+    base = g.integers(0, 2**63, dtype=np.uint64)
+    fp = np.array([[base ^ np.uint64(1 << int(b)) ^ np.uint64(1 << int(c))] for b in range(60) for c in range(60)], dtype=np.uint64)
+    a, b = simhash.shard_links(fp, np.arange(len(fp)), np.zeros(len(fp), np.int8))
+    assert len(a) == len(fp) - 1 and set(b.tolist()) == {0}
+
+
+def test_wide_fingerprints_catch_near_copies(spark):
+    g = random.Random(7)
+    words = [f"w{k}" for k in range(4000)]
+    base = [[g.choice(words) for _ in range(400)] for _ in range(12)]
+    near = [[w if k != 100 and k != 300 else "changed" for k, w in enumerate(b)] for b in base]
+    frame = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(base + near)], "doc_id long, text string")
+    assert sorted(r.doc_id for r in simhash.representatives(frame).collect()) == list(range(12))
+
+
+def test_components_of_a_long_chain(spark):
+    from sheafwork.llm.components import components
+
+    links = [(k, k + 1) for k in range(40)] + [(100, 101), (7, 7)]
+    got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {**dict.fromkeys(range(41), 0), 100: 100, 101: 100}
+
+
+def test_sharding(spark, docs, empty):
+    found = sharding.shard_by_bytes(docs, shards=4).collect()
+    texts = {r[0]: r[1] or "" for r in rows()}
+    assert len(found) == len(rows())
+    for r in found:
+        if r.doc_id is not None:
+            assert r.size == len(texts[r.doc_id].encode()) + 1 and r.text_crc32 == zlib.crc32(texts[r.doc_id].encode())
+    for s in range(4):
+        assert sorted(r.slot for r in found if r.shard == s) == list(range(sum(r.shard == s for r in found)))
+    many = spark.range(5000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "the same text").otherwise(F.concat(F.lit("text "), F.col("id").cast("string"))).alias("text"))
+    sizes = [r["b"] for r in sharding.shard_by_bytes(many).groupBy("shard").agg(F.sum("size").alias("b")).collect()]
+    assert len(sizes) == 16 and max(sizes) - min(sizes) <= 0.03 * max(sizes)
+    assert sharding.shard_by_bytes(empty).count() == 0
+
+
+def brute_licenses(texts: dict) -> dict:
+    out = {}
+    for t in licenses.prepared():
+        for doc_id, text in texts.items():
+            words = licenses.words_of(text or "")
+            for q in range(0, len(words), t["step"]):
+                window = words[q : q + t["window"]]
+                has = {" ".join(window[k : k + t["size"]]) for k in range(len(window) - t["size"] + 1)}
+                part = len(has & set(t["shingles"])) / len(t["shingles"])
+                if part >= 0.8:
+                    out[doc_id, t["template"]] = max(part, out.get((doc_id, t["template"]), 0))
+    return out
+
+
+def test_license_scan(spark, docs, empty):
+    g = random.Random(4)
+    filler = lambda n: " ".join(g.choice(["general", "software", "licensed", "foo", "bar", "version"]) for _ in range(n))
+    texts = {}
+    for k, (_, template) in enumerate(licenses.TEMPLATES):
+        texts[10 * k] = f"{filler(37 + k)} {template.upper()} {filler(50)}"
+        words = template.split()
+        words[len(words) // 2] = "altered"
+        texts[10 * k + 1] = f"{filler(11)} {' '.join(words)}"
+    texts |= {900: None, 901: "", 902: filler(3000)}
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {(r.doc_id, r.template): r.containment for r in licenses.scan(frame).collect()}
+    assert got == brute_licenses(texts)
+    assert {r.license for r in licenses.scan(docs).collect()} == {"MIT"}
+    assert licenses.scan(empty).count() == 0
+
+
+def test_bands_keep_the_chance_of_a_miss_small():
+    for t in licenses.prepared():
+        shared = -(-8 * len(t["shingles"]) // 10)
+        similarity = shared / (t["window"] - t["size"] + 1 + len(t["shingles"]) - shared)
+        assert (1 - similarity) ** t["bands"] <= licenses.MISS * 1.001
+
+
+PAGE = '<html><head><title>no</title><style>p{}</style></head><body><header>Site</header><nav><a href="/">Home</a> <a>News</a></nav><div class="cookie-banner">We use cookies.</div><article><h1>A &amp; B</h1><p>First <b>para</b>graph&nbsp;of\n the text, long enough to be the main one of all.<p>Short.<br>Next<script>var x = "</p>";</script></article><aside>Read more here</aside><div id="comments"><p>Nice text, I liked it very much indeed, thank you all.</div><form>Name</form><footer>&copy; me</footer>'
+
+
+def test_html(spark):
+    fields = "page_id long, url string, html string, text string, n_chars string"
+    pages = spark.createDataFrame([(1, "u", PAGE, "z", "z"), (2, None, None, "z", "z"), (None, "u", "", "z", "z"), (4, "u", "<p>unclosed <b>and < stray &am; &#x41; text here", "z", "z"), (1, "u", PAGE, "z", "z")], fields)
+    got = html_extract.extract(pages).collect()
+    assert [r.text for r in got][:4] == ["A & B First paragraph of the text, long enough to be the main one of all. Short. Next", "", "", "unclosed and < stray &am; A text here"]
+    assert all(r.n_chars == len(r.text) for r in got) and got[0] == got[4]
+    assert html_extract.extract(spark.createDataFrame([], fields)).count() == 0
+
+
+def test_html_on_the_tables(spark, sf_dir):
+    import html as unescape
+    import re
+
+    for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect():
+        article = r.html[r.html.index("<article>") : r.html.index("</article>")]
+        assert html_extract.main_text(r.html) == " ".join(unescape.unescape(re.sub(r"<[^>]*>", " ", article)).split())
+
+
+def test_toxicity(spark, docs, labels, empty, monkeypatch):
+    found = toxicity.score(docs, labels).collect()
+    assert len(found) == len(rows()) and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in found)
+    by_text: dict = {}
+    texts = {r[0]: r[1] for r in rows()}
+    for r in found:
+        if r.doc_id is not None:
+            by_text.setdefault(texts[r.doc_id], set()).add(r.score)
+            assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
+    assert all(max(v) - min(v) < 1e-5 for v in by_text.values())
+    assert {r.score for r in toxicity.score(docs, labels.where("false")).collect()} == {0.0}
+    assert toxicity.score(empty, labels).count() == 0
+    assert toxicity.accepted(docs, labels).columns == docs.columns
+
+
+def test_toxicity_gradients():
+    net = toxicity.Network.fresh(["a", "b", "c"])
+    net.p = {k: v.astype(np.float64) * (5 if k in ("words", "grams") else 1) for k, v in net.p.items()}
+    gates = net.gates(net.inputs(["a", "b", "c", "dd"]))
+    ids, y = np.array([[0, 1, 2, 3, 0, 1], [1, 2, -1, -1, -1, -1], [-1] * 6]), np.array([1, 0, 1.0])
+    _, grad, d_gates = net.gradients(gates, ids, y)
+
+    def slope(array, at):
+        before, step = array[at], 1e-5
+        array[at] = before + step
+        up = net.gradients(gates, ids, y)[0]
+        array[at] = before - step
+        down = net.gradients(gates, ids, y)[0]
+        array[at] = before
+        return (up - down) / 2 / step
+
+    for name in ("attend", "out", "u_ahead", "u_back"):
+        at = (0,) * net.p[name].ndim
+        assert abs(slope(net.p[name], at) - grad[name][at]) < 1e-6
+    for at in ((0, 1), (1, 9), (2, 20), (3, 40)):
+        assert abs(slope(gates, at) - d_gates[at]) < 1e-6
+
+
+def test_toxicity_held_out(spark):
+    own = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").join(spark.read.parquet("/root/testdata/sf0.1/labels.parquet"), "doc_id")
+    got = toxicity.score(own, own.select("doc_id", "toxic")).where("held_out").join(own.select("doc_id", "toxic"), "doc_id").toPandas()
+    assert len(got) > 500 and (got.predicted == got.toxic).mean() > 0.94
+    s, y = got.score.to_numpy(), got.toxic.to_numpy()
+    assert np.mean(s[y == 1][:, None] > s[y == 0][None, :]) > 0.93
+
+
+def test_windows_reach_every_word():
+    for n in (0, 1, 23, 24, 25, 40, 41, 999):
+        cut = toxicity.cut(np.arange(n))
+        assert set(cut[cut >= 0].tolist()) == set(range(n))
+
+
+def test_top_k(spark, monkeypatch):
+    g = np.random.default_rng(1)
+    rows_ = [(k, [float(x) for x in g.integers(-3, 4, 4) / 8 * (1 + k % 3)], "z") for k in range(160)]
+    rows_ += [(160, [1.0, None, 0.0, 0.0], "z"), (180, [float("nan")] * 4, "z"), (200, None, "z"), (None, [1.0] * 4, "z"), (220, [float("inf")] * 4, "z"), (240, [0.1, 0.2], "z"), (241, [-0.3, 0.2], "z"), (260, [0.0] * 4, "z"), rows_[7], (280, [], "z")]
+    monkeypatch.setattr(topk, "CHUNK", 30)
+    monkeypatch.setattr(topk, "BLOCK", 3)
+    monkeypatch.setattr(topk, "STEEP", 0.4)
+    frame = spark.createDataFrame(rows_, "vec_id long, embedding array<double>, score string")
+    got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in topk.top_k(frame, k=5).collect()}
+    sound = [(i, np.floor(64 * np.array(v, float)).astype(int)) for i, v, _ in rows_ if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    want = {}
+    for i, v in sound:
+        if i % 20 == 0:
+            scores = sorted((-int(v @ w), j) for j, w in sound if j != i and len(w) == len(v))[:5]
+            want |= {(i, n): (j, -s) for n, (s, j) in enumerate(scores, 1)}
+    assert got == want
+    assert topk.top_k(frame.where("false")).count() == 0
+
+
+def test_exact_products_of_large_numbers():
+    q = np.array([[2.0**40, 1.0]])
+    assert int(topk.products(q, np.array([[2.0**20 + 1, 3.0]]))[0, 0]) == 2**40 * (2**20 + 1) + 3
+
+
+def test_mixing(spark, docs, empty):
+    frame = spark.createDataFrame([(k, "w " * (1 + k % 5), ("en", "de", None)[k % 3], ("s", None)[k % 2]) for k in range(600)], "doc_id long, text string, lang string, source string")
+    targets = {"source": {"s": 0.7, None: 0.3}, "lang": {"en": 0.5, "de": 0.2, None: 0.3}}
+    found = mixing.mix(frame, targets).toPandas()
+    weighted = found.tokens * found.weight
+    assert abs(weighted[found.source == "s"].sum() / weighted.sum() - 0.7) < 1e-6
+    assert abs(weighted[found.lang == "de"].sum() / weighted.sum() - 0.2) < 1e-6
+    found = mixing.mix(docs).toPandas()
+    assert len(found) == len(rows()) and ((found.draw < found.probability) == found.kept).all()
+    assert abs((found.tokens * found.probability).sum() / found.tokens.sum() - mixing.SHARE) < 1e-6
+    kept = mixing.sampled(docs)
+    assert kept.columns == docs.columns and kept.count() == found.kept.sum()
+    assert mixing.mix(empty).count() == 0 and mixing.sampled(empty).count() == 0
+
+
+def test_mixing_beyond_the_drivers_cells(spark, docs, monkeypatch):
+    one = {(r.doc_id, r.tokens): r.probability for r in mixing.mix(docs).collect()}
+    monkeypatch.setattr(mixing, "CELLS", 1)
+    two = {(r.doc_id, r.tokens): r.probability for r in mixing.mix(docs).collect()}
+    assert one.keys() == two.keys() and all(abs(one[k] - two[k]) < 1e-3 for k in one)
+
+
+def test_raking_meets_all_targets():
+    g = np.random.default_rng(0)
+    mass, sides = g.integers(1, 100, 60).astype(float), [np.repeat(np.arange(5), 12), np.tile(np.repeat(np.arange(4), 3), 5), np.tile(np.arange(3), 20)]
+    targets = [np.array(t) / sum(t) for t in ([1, 2, 3, 4, 5], [4, 1, 1, 1], [1, 1, 3])]
+    weight = mixing.rake(mass, sides, targets)
+    for side, target in zip(sides, targets, strict=True):
+        assert np.allclose(np.bincount(side, mass * weight) / mass.sum(), target, atol=1e-7)
+
+
+def test_language_id(spark, docs, empty):
+    found = langid.identify(docs, PIECES).collect()
+    texts = {r[0]: r[1] for r in rows()}
+    assert len(found) == len(rows())
+    for r in found:
+        assert 0 <= r.score <= 1 and r.lang_pred in ("en", "de", "und")
+        if r.doc_id is not None:
+            assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
+            assert (r.lang_pred == "und") == (not any(c.isalpha() for c in texts[r.doc_id] or ""))
+    assert {r.lang_pred for r in langid.identify(docs.withColumn("lang", F.lit(None).cast("string")), PIECES).collect()} == {"und"}
+    assert langid.identify(empty, PIECES).count() == 0
+
+
+def test_language_held_out(spark):
+    own = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = langid.identify(own, PIECES).where("held_out").join(own.select("doc_id", "lang"), "doc_id")
+    assert got.where("lang = lang_pred").count() / got.count() > 0.98
+
+
+def test_forward_sums_all_segmentations():
+    pieces = langid.Pieces(PIECES)
+    g = np.random.default_rng(0)
+    chances = np.vstack([g.random((len(pieces.pieces), 2)), np.full((1, 2), langid.UNKNOWN)])
+    index = {p: k for k, p in enumerate(pieces.pieces)}
+
+    def total(word, language):
+        if not word:
+            return 1.0
+        out = 0.0
+        for k in range(1, min(len(word), langid.LONGEST_PIECE) + 1):
+            p = index.get(word[:k])
+            if p is not None or k == 1:
+                out += chances[p if p is not None else -1, language] * total(word[k:], language)
+        return out
+
+    words = [langid.MARK + w for w in ("hello", "a", "übung", "ɤx", "straße")]
+    got = langid.log_chances(pieces, words, chances)
+    for w, row in zip(words, got, strict=True):
+        assert np.allclose(np.exp(row), [total(w, 0), total(w, 1)])
+
+
+def test_media_round_trip(spark, docs, empty):
+    found = webp.media(docs, keep_media=True, keep_pixels=True).collect()
+    texts = {r[0]: r[1] for r in rows()}
+    for r in found:
+        if r.doc_id is not None:
+            data = (texts[r.doc_id] or "").encode()
+            padded = data + b" " * (-len(data) % 192 or (0 if data else 192))
+            assert (r.n_bytes, r.payload_bytes, r.tail_crc32) == (len(data), len(padded), zlib.crc32(padded[-16:]))
+            assert bytes(r.pixels)[: len(padded)] == padded and r.media_bytes == len(r.media)
+    assert webp.media(empty).count() == 0
+
+
+def image(transforms, pixels, codes=None, cache_bits=0):
+    """A stream by hand: put(out) for each transform, then the pixels' writer."""
+    out = webp.Writer()
+    height, width = pixels.shape[:2]
+    out.put((0x2F, 8), (width - 1, 14), (height - 1, 14), (1, 1), (0, 3))
+    return out
+
+
+def file_of(out):
+    data = out.bytes()
+    chunk = b"VP8L" + len(data).to_bytes(4, "little") + data + b"\0" * (len(data) % 2)
+    return b"RIFF" + (4 + len(chunk)).to_bytes(4, "little") + b"WEBP" + chunk
+
+
+def gralpha(argb):
+    p = webp._planes(argb.ravel())
+    return p[:, [2, 1, 3, 0]]
+
+
+def test_webp_transforms():
+    g = np.random.default_rng(3)
+    height, width = 11, 13
+    want = g.integers(0, 2**32, (height, width), dtype=np.uint64).astype(np.int64)
+    flat = want.ravel()
+    planes = webp._planes(flat)
+    # Subtract green.
+    out = image([], want)
+    out.put((1, 1), (webp.SUBTRACT_GREEN, 2), (0, 1))
+    less = planes.copy()
+    less[:, 1] -= planes[:, 2]
+    less[:, 3] -= planes[:, 2]
+    webp.put_pixels(out, gralpha(webp._numbers(less)), True)
+    assert (webp.decode(file_of(out)) == planes[:, [1, 2, 3, 0]].reshape(height, width, 4)).all()
+    # Predictor, every mode.
+    for mode in range(14):
+        out = image([], want)
+        out.put((1, 1), (webp.PREDICTOR, 2), (0, 3))
+        across, down = -(-width // 4), -(-height // 4)
+        webp.put_pixels(out, gralpha(np.full(across * down, 255 << 24 | mode << 8)), False)
+        out.put((0, 1))
+        rest = []
+        for k in range(width * height):
+            y, x = divmod(k, width)
+            p = planes.tolist()
+            left, top, corner, right = ((p[k - d] if k >= d else None) for d in (1, width, width + 1, width - 1))
+            guess = [255, 0, 0, 0] if k == 0 else left if y == 0 else top if x == 0 else expected(mode, left, top, corner, right)
+            rest.append([a - b for a, b in zip(p[k], guess, strict=True)])
+        webp.put_pixels(out, gralpha(webp._numbers(np.array(rest))), True)
+        assert (webp.decode(file_of(out)) == planes[:, [1, 2, 3, 0]].reshape(height, width, 4)).all(), mode
+    # Cross colour.
+    out = image([], want)
+    factors = g.integers(0, 2**24, (-(-width // 4)) * (-(-height // 4))) | 255 << 24
+    out.put((1, 1), (webp.CROSS_COLOUR, 2), (0, 3))
+    webp.put_pixels(out, gralpha(factors), False)
+    out.put((0, 1))
+    signed = lambda v: v - 256 if v > 127 else v
+    changed = []
+    for k, (a, r, gr, b) in enumerate(planes.tolist()):
+        f = int(factors[(k // width // 4) * -(-width // 4) + k % width // 4])
+        gr_r, gr_b, r_b = signed(f & 255), signed(f >> 8 & 255), signed(f >> 16 & 255)
+        changed.append([a, r - (gr_r * signed(gr) >> 5), gr, b - (gr_b * signed(gr) >> 5) - (r_b * signed(r) >> 5)])
+    webp.put_pixels(out, gralpha(webp._numbers(np.array(changed))), True)
+    assert (webp.decode(file_of(out)) == planes[:, [1, 2, 3, 0]].reshape(height, width, 4)).all()
+
+
+def expected(mode, left, top, corner, right):
+    """Predictors written anew, channel by channel."""
+    mean = lambda a, b: (a + b) // 2
+    if mode == 11:
+        guess = [x + t - c for x, t, c in zip(left, top, corner, strict=True)]
+        to_left, to_top = (sum(abs(p - q) for p, q in zip(guess, side, strict=True)) for side in (left, top))
+        return left if to_left < to_top else top
+    out = []
+    for x, t, c, r in zip(left, top, corner, right, strict=True):
+        half = mean(x, t)
+        out.append({0: 0, 1: x, 2: t, 3: r, 4: c, 5: mean(mean(x, r), t), 6: mean(x, c), 7: half, 8: mean(c, t), 9: mean(t, r), 10: mean(mean(x, c), mean(t, r)), 12: min(255, max(0, x + t - c)), 13: min(255, max(0, half + int((half - c) / 2)))}[mode])
+    return [255, 0, 0, 0] if mode == 0 else out
+
+
+@pytest.mark.parametrize("colours", [1, 2, 3, 4, 9, 16, 17, 256])
+def test_webp_palettes(colours):
+    g = np.random.default_rng(colours)
+    table = g.integers(0, 256, (colours, 3), dtype=np.uint8)
+    pixels = table[g.integers(0, colours, (29, 31))]
+    assert (webp.decode(webp.encode(pixels))[:, :, :3] == pixels).all()
+
+
+def test_webp_references_and_cache():
+    """Two literals, a reference to the row above, runs, cached colours, by codes of fixed length."""
+    width, height, cache_bits = 8, 4, 3
+    out = webp.Writer()
+    out.put((0x2F, 8), (width - 1, 14), (height - 1, 14), (0, 1), (0, 3), (0, 1))
+    out.put((1, 1), (cache_bits, 4), (0, 1))
+    size = 256 + 24 + (1 << cache_bits)
+    lengths = np.zeros(size, np.int64)
+    colours = [0xFF0A0B0C, 0xFF102030]
+    slot = [(webp.CACHE_FACTOR * c & 0xFFFFFFFF) >> (32 - cache_bits) for c in colours]
+    used = sorted({0x0B, 0x20, 256 + 3, 256 + 5, 280 + slot[0], 280 + slot[1]})
+    spare = [k for k in range(100, 110) if k not in used][: 8 - len(used)]
+    lengths[[*used, *spare]] = 3
+    green = webp.canonical(lengths)
+    for pair in webp.code_bits(lengths), [(1, 1), (1, 1), (1, 1), (0x0A, 8), (0x10, 8)], [(1, 1), (1, 1), (1, 1), (0x0C, 8), (0x30, 8)], [(1, 1), (0, 1), (1, 1), (255, 8)]:
+        out.put(*pair)
+    out.put((1, 1), (1, 1), (1, 1), (0, 8), (1, 8))  # distance prefixes 0 and 1: the pixel above, the pixel before
+    literal = lambda k: out.put((int(green[(0x0B, 0x20)[k]]), 3), (k, 1), (k, 1))
+    literal(0)
+    literal(1)
+    want = [colours[0], colours[1]]
+    out.put((int(green[256 + 5]), 3), (1, 1), (1, 1))  # length prefix 5 with one extra bit: 8 pixels, from the pixel before
+    want += [colours[1]] * 8
+    out.put((int(green[280 + slot[0]]), 3))
+    want.append(colours[0])
+    while len(want) < width * height - 4:
+        out.put((int(green[256 + 3]), 3), (0, 1))  # 4 pixels from the row above
+        for _ in range(4):
+            want.append(want[-width])
+    while len(want) < width * height:
+        out.put((int(green[280 + slot[len(want) % 2]]), 3))
+        want.append(colours[len(want) % 2])
+    got = webp.decode(file_of(out))
+    assert (webp._numbers(got.reshape(-1, 4)[:, [3, 0, 1, 2]]) == np.array(want)).all()
+    assert webp.plane_distances()[:4] == [(0, 1), (1, 0), (1, 1), (-1, 1)] and len(webp.plane_distances()) == 120
+
+
+def test_webp_rejects_broken_streams():
+    data = webp.encode(np.arange(64 * 30 * 3, dtype=np.uint8).reshape(30, 64, 3))
+    for broken in (b"", b"RIFF", data[: len(data) // 2]):
+        with pytest.raises((ValueError, IndexError)):
+            webp.decode(broken)
