@@ -54,6 +54,14 @@ def map_arrow(df: DataFrame, function, schema: str | StructType) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def free_prefix(df: DataFrame) -> str:
+    """A prefix for columns of our own that no column of the table begins with."""
+    prefix = "own_"
+    while any(c.lower().startswith(prefix) for c in df.columns):
+        prefix = f"{prefix}x_"
+    return prefix
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

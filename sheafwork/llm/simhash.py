@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sheafwork.llm.common import bounded_batches, durable, map_arrow
+from sheafwork.llm.common import bounded_batches, durable, free_prefix, map_arrow
 from sheafwork.llm.components import components
 
 
@@ -154,7 +154,7 @@ def join_self(fp: np.ndarray, own: np.ndarray, links: Links, radius: int = EXACT
         middle = int(np.median(d))
         low = d <= middle
         if inside.mean() > 1 / 8 or low.all():
-            join_cross(fp, x[inside], x[~inside & (d <= 2 * radius)], links, radius)
+            join_cross(fp, x[inside][1:], x[~inside & (d <= 2 * radius)], links, radius)  # all links of the vantage point are known
             todo.append(x[~inside])
         else:
             todo += [x[low], x[~low]]
@@ -184,7 +184,7 @@ def join_cross(fp: np.ndarray, left: np.ndarray, right: np.ndarray, links: Links
         low_a, low_b = da <= middle, db <= middle
         if near_a.mean() > 1 / 8 or near_b.mean() > 1 / 8 or low_b.all() or not low_b.any():
             todo += [
-                (a[near_a], b[~near_b & (db <= 2 * radius)]),
+                (a[near_a][1:], b[~near_b & (db <= 2 * radius)]),  # all links of the vantage point, a's first, are known
                 (a[~near_a & (da <= 2 * radius)], b[near_b]),
                 (a[~near_a], b[~near_b]),
             ]
@@ -307,9 +307,10 @@ def representatives(docs: DataFrame, scheme: Scheme = WIDE) -> DataFrame:
     """
     key = F.xxhash64(F.col("text").cast("string"))
     prints = durable(fingerprints(docs, scheme, key))
+    o = free_prefix(docs)
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")
-    keep = prints.join(_components(prints, scheme), "fp").groupBy("component").agg(F.min(place).alias("p")).select(F.coalesce("p.doc_id", F.lit(-1)).alias("_keep_id"), F.col("p.key").alias("_keep_key"))
-    once = Window.partitionBy("_keep_id", "_keep_key").orderBy(F.lit(1))
-    own = docs.withColumn("_row_id", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-1))).withColumn("_row_key", key)
-    joined = own.join(keep, (F.col("_row_id") == F.col("_keep_id")) & (F.col("_row_key") == F.col("_keep_key")))
-    return joined.withColumn("_row", F.row_number().over(once)).where("_row = 1").select(*docs.columns)
+    keep = prints.join(_components(prints, scheme), "fp").groupBy("component").agg(F.min(place).alias("p")).select(F.coalesce("p.doc_id", F.lit(-1)).alias(f"{o}keep_id"), F.col("p.key").alias(f"{o}keep_key"))
+    once = Window.partitionBy(f"{o}keep_id", f"{o}keep_key").orderBy(F.lit(1))
+    own = docs.withColumn(f"{o}row_id", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-1))).withColumn(f"{o}row_key", key)
+    joined = own.join(keep, (F.col(f"{o}row_id") == F.col(f"{o}keep_id")) & (F.col(f"{o}row_key") == F.col(f"{o}keep_key")))
+    return joined.withColumn(f"{o}row", F.row_number().over(once)).where(F.col(f"{o}row") == 1).select(*docs.columns)

@@ -13,7 +13,7 @@ from sheafwork.llm import html_extract, langid, licenses, mixing, packing, shard
 
 BYTES, PIECES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 #: Names that the operators use inside, as columns of the input.
-CLASHING = "fp key node part rank size shard slot digest start tokens topic weight draw score component length bytes n chunk"
+CLASHING = "fp key node part rank size shard slot digest start tokens topic weight draw score component length bytes n chunk own_tokens own_keep_id"
 FIELDS = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in CLASHING.split())
 
 
@@ -158,6 +158,33 @@ def test_dense_groups_inside_a_shard():
     assert len(a) == len(fp) - 1 and set(b.tolist()) == {0}
 
 
+@pytest.mark.parametrize("gap", [3, 5, 6, 8, 9, 12])
+def test_neighbouring_dense_groups(gap):
+    """Two groups whose members lie beyond the radius of each other's vantage point, but within twice of it."""
+    g = np.random.default_rng(gap)
+    first = [1 << int(b) for b in range(40, 60)] + [0]
+    second = [((1 << gap) - 1) | x for x in first]
+    values = np.array([[v] for v in dict.fromkeys(first + second)], dtype=np.uint64)
+    values = values[g.permutation(len(values))]
+    want = brute_components({k: int(v) for k, v in enumerate(values[:, 0])}, 4)
+    for brute in (1, 16, 1 << 14):
+        simhash_brute, simhash.BRUTE = simhash.BRUTE, brute
+        try:
+            a, b = simhash.shard_links(values, np.arange(len(values)), np.zeros(len(values), np.int8))
+            half = len(values) // 2
+            side = (np.arange(len(values)) >= half).astype(np.int8)
+            across = simhash.Links(len(values))
+            simhash.join_cross(values, np.flatnonzero(side == 0), np.flatnonzero(side == 1), across)
+        finally:
+            simhash.BRUTE = simhash_brute
+        got = {k: k for k in want} | dict(zip(a.tolist(), b.tolist(), strict=True))
+        assert got == want
+        for x in range(half):
+            for y in range(half, len(values)):
+                if bin(int(values[x, 0] ^ values[y, 0])).count("1") <= 4:
+                    assert across.root(x) == across.root(y)
+
+
 def test_wide_fingerprints_catch_near_copies(spark):
     g = random.Random(7)
     words = [f"w{k}" for k in range(4000)]
@@ -341,6 +368,7 @@ def test_mixing(spark, docs, empty):
 
 
 def test_mixing_beyond_the_drivers_cells(spark, docs, monkeypatch):
+    monkeypatch.setattr(mixing, "ROUNDS", 2)
     one = {(r.doc_id, r.tokens): r.probability for r in mixing.mix(docs).collect()}
     monkeypatch.setattr(mixing, "CELLS", 1)
     two = {(r.doc_id, r.tokens): r.probability for r in mixing.mix(docs).collect()}
