@@ -44,7 +44,9 @@ def clock(seconds: Column) -> Column:
 def published_at(epoch: Column) -> Column:
     """ISO text of seconds or, above 1e11, milliseconds; fractions only if there are any."""
     millis = F.when(epoch > 1e11, epoch).otherwise(epoch * 1000).cast("bigint")
-    whole = F.date_format(F.timestamp_seconds(F.floor(millis / 1000)), "yyyy-MM-dd'T'HH:mm:ss")
+    zero = F.lit(0)
+    since = F.make_dt_interval(zero, zero, zero, F.floor(millis / 1000).cast("decimal(18,6)"))
+    whole = F.date_format(F.make_timestamp_ntz(F.lit(1970), F.lit(1), F.lit(1), zero, zero, zero) + since, "yyyy-MM-dd'T'HH:mm:ss")  # whatever the session's time zone
     part = F.when(F.pmod(millis, F.lit(1000)) > 0, F.format_string(".%03d000", F.pmod(millis, F.lit(1000)))).otherwise("")
     return F.concat(whole, part, F.lit("+00:00"))
 

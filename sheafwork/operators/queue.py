@@ -47,3 +47,56 @@ def retry_decisions(attempts: DataFrame) -> DataFrame:
     rows = attempts.withColumn("action", action).withColumn("budget", budget)
     delay = F.when(F.col("action") == "WAIT_AND_RETRY", retry_after(F.col("retry_after"))).when(F.col("action").startswith("RETRY"), backoff(n)).otherwise(0.0)
     return rows.withColumn("delay", delay).withColumn("worker", F.when(auth | limited, "PAUSE_SCOPE").when(conflict & (code == "TOOL_ERROR"), "HEALTHY").otherwise(F.when(volatile, "HEALTHY").otherwise(worker[known])))
+
+# Words in an error's text by the code they tell, the first match decides.
+CODES_BY_WORDS = (
+    ("INVALID_INPUT", ("invalid_input", "malformed", "illegal domain", "id mismatch", "schema error")),
+    ("UNSUPPORTED_CONTENT", ("unsupported", "live stream", "vip content")),
+    ("AUTH_CHALLENGE", ("auth_challenge", "captcha", "slider", "验证码", "风控验证", "security check")),
+    ("AUTH_REQUIRED", ("auth_required", "need login", "session expired", "unauthenticated", "未登录")),
+    ("CREDENTIAL_BRIDGE_FAILED", ("credential bridge", "credential_bridge", "scope mismatch", "sidecar disconnect")),
+    ("RATE_LIMITED", ("429", "rate limit", "too many requests", "frequency limit")),
+    ("UNAVAILABLE_DELETED", ("deleted", "taken down", "unavailable_deleted", "作品已被删除", "作品已被封禁")),
+    ("NOT_FOUND", ("404", "not found", "empty detail")),
+    ("PERMISSION_DENIED", ("403", "permission denied", "forbidden", "private_status")),
+    ("SERVER_ERROR", ("500", "502", "503", "504", "server error", "gateway timeout")),
+    ("TIMEOUT", ("timeout", "timed out", "connect timeout")),
+    ("NETWORK", ("connection", "network", "socket", "dns", "ssl", "econnreset")),
+    ("VALIDATION_FAILED", ("validation", "corrupt", "ffprobe", "decode failed", "hash mismatch")),
+    ("MEDIA_INCOMPLETE", ("incomplete", "missing member", "zero files", "no media files")),
+    ("TOOL_ERROR", ("tool error", "executable broken", "winerror")),
+)
+
+
+def code_from_text(message, subreason):
+    """The error code that a raw message tells."""
+    text, out = F.lower(F.concat_ws(" ", message, subreason)), None
+    for code, words in CODES_BY_WORDS:
+        found = F.lit(False)
+        for w in words:
+            found = found | text.contains(w)
+        out = F.when(found, code) if out is None else out.when(found, code)
+    return out.otherwise("UNKNOWN")
+
+
+def outcome(decisions: DataFrame) -> DataFrame:
+    """The job's next state from action and worker; a waiting scope is paused too."""
+    state = F.when(F.col("action") == "BLOCKED_AUTH", "BLOCKED_AUTH").when(F.col("worker") == "WORKER_UNHEALTHY", "WORKER_UNHEALTHY").when(F.col("action").isin("RETRY", "WAIT_AND_RETRY", "RETRY_AFTER_RERESOLVE", "RETRY_AFTER_CREDENTIAL_REFRESH"), "RETRY_WAIT").otherwise("TERMINAL_FAILED")
+    return decisions.withColumn("state", state).withColumn("pauses_scope", (F.col("state") == "RETRY_WAIT") & ((F.col("action") == "WAIT_AND_RETRY") | (F.col("worker") == "PAUSE_SCOPE")))
+
+
+def accepted_tasks(jobs: DataFrame, tasks: DataFrame, identity: tuple[str, ...]) -> DataFrame:
+    """task_id and status of arriving tasks: accepted, refreshed if the same task is known, conflict if its identity differs."""
+    known = jobs.select(F.col("task_id").alias("k_id"), *[F.col(c).alias(f"k_{c}") for c in identity])
+    same = F.lit(True)
+    for c in identity:
+        same = same & F.col(c).eqNullSafe(F.col(f"k_{c}"))
+    return tasks.join(known, F.col("task_id") == F.col("k_id"), "left").select("task_id", F.when(F.col("k_id").isNull(), "accepted").when(same, "refreshed").otherwise("conflict").alias("status"))
+
+
+def recovered(jobs: DataFrame, live_owners: DataFrame) -> DataFrame:
+    """RUNNING jobs whose owner no longer lives go back to READY. live_owners: claimed_by."""
+    live = live_owners.select("claimed_by").distinct().withColumn("lives", F.lit(True))
+    lost = (F.col("state") == "RUNNING") & F.col("lives").isNull()
+    changed = {"state": F.when(lost, "READY").otherwise(F.col("state")), "claimed_by": F.when(~lost, F.col("claimed_by"))}
+    return jobs.join(live, "claimed_by", "left").withColumns(changed).select(*jobs.columns)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sheafwork.functions import scalars
-from sheafwork.operators import assets, evaluation, evidence, knowledge, queue, retrieval, store, sync
+from sheafwork.operators import assets, collection, evaluation, evidence, knowledge, queue, retrieval, store, sync
 from sheafwork.plans.views import JOBS, OBSERVATIONS, SEGMENTS, UNITS, jobs, observations, segments, table, units
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -614,10 +614,48 @@ def hashtags(spark, sf_dir):
 def published_at(spark, sf_dir):
     n = F.col("event_id")
     epoch = F.when(n % 2 == 0, (1600000000 + n * 977) * 1000 + n % 1000).otherwise(1600000000 + n * 977)
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return table(spark, sf_dir, "events").select(n, scalars.published_at(epoch).alias("published"))
 
 
+_SAYS = "CASE l_partkey % 6 WHEN 0 THEN 'HTTP 404 at host' WHEN 1 THEN 'Connect Timeout' WHEN 2 THEN 'slider shown' WHEN 3 THEN 'rate limit, 503' WHEN 4 THEN 'odd' ELSE 'decode failed' END"
+
+
+@query(f"""
+SELECT l_orderkey, l_linenumber, CASE WHEN m LIKE '%slider%' THEN 'AUTH_CHALLENGE' WHEN m LIKE '%rate limit%' THEN 'RATE_LIMITED' WHEN m LIKE '%404%' THEN 'NOT_FOUND' WHEN m LIKE '%timeout%' THEN 'TIMEOUT' WHEN m LIKE '%decode failed%' THEN 'VALIDATION_FAILED' ELSE 'UNKNOWN' END AS code
+FROM (SELECT l_orderkey, l_linenumber, lower({_SAYS}) AS m FROM lineitem) x
+""")
+def error_codes(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").withColumn("m", F.expr(_SAYS))
+    return rows.select("l_orderkey", "l_linenumber", queue.code_from_text(F.col("m"), F.lit("")).alias("code"))
+
+
+@query("""
+WITH p AS (SELECT p_partkey, CAST(p_size % 3 AS INTEGER) AS k, CASE WHEN p_size % 10 = 0 THEN 0 ELSE p_retailprice END AS d, CASE WHEN p_size % 2 = 0 THEN p_brand END AS b FROM part)
+SELECT p_partkey, CASE WHEN NOT d > 0 THEN 'invalid' WHEN k = 0 THEN 'audio_video' WHEN k = 1 THEN 'video_only' ELSE 'audio_only' END AS media_type, CASE WHEN b IN ('Brand#1', 'Brand#2') THEN b ELSE 'other' END AS platform FROM p
+""")
+def media_types(spark, sf_dir):
+    k = F.col("p_size") % 3
+    duration = F.when(F.col("p_size") % 10 == 0, 0.0).otherwise(F.col("p_retailprice"))
+    brand = F.when(F.col("p_size") % 2 == 0, F.col("p_brand"))
+    return table(spark, sf_dir, "part").select("p_partkey", collection.media_type(duration, k <= 1, k != 1).alias("media_type"), collection.platform(brand, ("Brand#1", "Brand#2")).alias("platform"))
+
+
+@query("""
+SELECT CAST(event_id AS VARCHAR) AS content_id, CASE WHEN event_type = 'click' THEN 'image_album' ELSE 'video' END AS content_type, 'see #' || event_type || ' #x' AS description, event_type || ',x' AS tags, 'u' || user_id AS author, round(CAST(floor(value * 100) AS BIGINT) / 1000, 3) AS seconds FROM events
+""")
+def canonical_items(spark, sf_dir):
+    """Raw items are written as JSON from events, parsed again and brought into canonical form."""
+    e = table(spark, sf_dir, "events")
+    raw = F.to_json(
+        F.struct(
+            F.col("event_id").cast("string").alias("aweme_id"), F.concat(F.lit("see #"), "event_type", F.lit(" #x")).alias("desc"), F.when(F.col("event_type") == "click", 68).otherwise(0).alias("aweme_type"),
+            F.struct(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("uid")).alias("author"), F.struct(F.floor(F.col("value") * 100).cast("bigint").alias("duration")).alias("video"),
+        )
+    )
+    items = collection.canonical_items(collection.parsed(e.select(raw.alias("raw"))))
+    return items.select("content_id", "content_type", "description", F.array_join("tags", ",").alias("tags"), F.col("author.platform_author_id").alias("author"), F.col("media.duration_seconds").alias("seconds"))
+
+
 @query()
 def surface_forms(spark, sf_dir):
     """Units by the folded surface of their statement, as Python folds it."""

@@ -115,3 +115,37 @@ def test_store_is_idempotent(spark):
     assert store.ingest(a, a.where("canonical_id = 'x'")).count() == 2
     assert store.revision(prints.where("false")).first().revision == "4f53cda18c2baa0c0354bb5f9a3ecbe5ed12ab4d8e11ba873c2f11161202b945"
     assert re.fullmatch("[0-9a-f]{64}", store.revision(prints).first().revision)
+
+
+def test_canonical_items(spark):
+    import json
+
+    from sheafwork.operators import collection
+
+    item = {"aweme_id": "7", "desc": "see #a #b", "create_time": 1700000000, "images": [{"uri": "i", "url_list": ["u1"], "width": 0}], "text_extra": [{"hashtag_name": "#x"}, {"hashtag_name": "x"}, {}], "author": {"nickname": "", "sec_uid": "s"}, "video": {"duration": 1234, "bit_rate": [{"play_addr": {"url_list": []}}]}}
+    frame = spark.createDataFrame([(json.dumps(item),), ("{broken",), (None,)], "raw string")
+    row = collection.canonical_items(collection.parsed(frame), "https://example.org/").collect()
+    assert len(row) == 1
+    row = row[0]
+    assert (row.content_type, row.tags, row.title, row.published_at) == ("image_album", ["x"], "see #a #b", "2023-11-14T22:13:20+00:00")
+    assert (row.author.display_name, row.author.profile_url, row.media.duration_seconds, row.media.images[0].url, row.media.images[0].width) == ("Unknown Author", "https://example.org/s", 1.234, "u1", None)
+    assert row.media.bitrate_variants == [] and row.chapters is None
+
+
+def test_recognised_lines(spark):
+    from sheafwork.operators import collection
+
+    frame = spark.createDataFrame([(["a ", " ", "b"], [0.9, 0.9, 0.5])], "t array<string>, s array<double>")
+    row = frame.select(collection.kept_lines(F.col("t"), F.col("s")).alias("l")).select("l", collection.line_confidence(F.col("l")).alias("c")).first()
+    assert [x.text for x in row.l] == ["a"] and row.c == 0.9
+
+
+def test_job_outcomes_and_recovery(spark):
+    rows = [("RETRY", "HEALTHY"), ("WAIT_AND_RETRY", "PAUSE_SCOPE"), ("BLOCKED_AUTH", "PAUSE_SCOPE"), ("TERMINAL", "WORKER_UNHEALTHY"), ("TERMINAL", "HEALTHY")]
+    got = [(r.state, r.pauses_scope) for r in queue.outcome(spark.createDataFrame(rows, "action string, worker string")).collect()]
+    assert got == [("RETRY_WAIT", False), ("RETRY_WAIT", True), ("BLOCKED_AUTH", False), ("WORKER_UNHEALTHY", False), ("TERMINAL_FAILED", False)]
+    jobs = spark.createDataFrame([(1, "RUNNING", "a"), (2, "RUNNING", "b"), (3, "READY", None)], "task_id long, state string, claimed_by string")
+    live = spark.createDataFrame([("a",)], "claimed_by string")
+    assert {(r.task_id, r.state, r.claimed_by) for r in queue.recovered(jobs, live).collect()} == {(1, "RUNNING", "a"), (2, "READY", None), (3, "READY", None)}
+    tasks = spark.createDataFrame([(1, "RUNNING"), (2, "x"), (9, "y")], "task_id long, state string")
+    assert {(r.task_id, r.status) for r in queue.accepted_tasks(jobs, tasks, ("state",)).collect()} == {(1, "refreshed"), (2, "conflict"), (9, "accepted")}
