@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sheafwork.functions import scalars
-from sheafwork.operators import assets, collection, evaluation, evidence, knowledge, queue, retrieval, store, sync
+from sheafwork.operators import assets, collection, evaluation, evidence, knowledge, quality, queue, retrieval, store, sync
 from sheafwork.plans.views import JOBS, OBSERVATIONS, SEGMENTS, UNITS, jobs, observations, segments, table, units
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -662,3 +662,33 @@ def surface_forms(spark, sf_dir):
     from sheafwork.functions.pytext import surface
 
     return units(spark, sf_dir).groupBy(surface(F.col("statement")).alias("surface")).agg(F.count(F.lit(1)).alias("n"))
+
+
+# Quality -----------------------------------------------------------------------------------------------------------
+
+
+@query(f"""WITH {UNITS} SELECT unit_rowid, 'missing' AS fault FROM units WHERE unit_rowid % 31 = 0 AND unit_rowid % 37 <> 0 UNION ALL SELECT unit_rowid, 'orphan' AS fault FROM units WHERE unit_rowid % 37 = 0 AND unit_rowid % 31 <> 0""")
+def projection_faults(spark, sf_dir):
+    u = units(spark, sf_dir)
+    return quality.projection_faults(u.where("unit_rowid % 37 <> 0"), store.text_projection(u.where("unit_rowid % 31 <> 0")), "unit_rowid")
+
+
+@query(f"""
+WITH {SEGMENTS}, c AS (SELECT conv_id, turn // 3 AS chunk, list(segment_id) AS ids FROM (SELECT conv_id, turn, segment_id FROM segments UNION ALL SELECT conv_id, turn + 1, segment_id FROM segments WHERE turn % 3 = 2) x GROUP BY conv_id, turn // 3)
+SELECT conv_id, count(*) AS chunks, CAST(sum(len(ids)) AS BIGINT) AS refs, (SELECT count(DISTINCT segment_id) FROM segments s WHERE s.conv_id = c.conv_id) AS unique_refs FROM c GROUP BY conv_id
+""")
+def chunk_summary(spark, sf_dir):
+    s = segments(spark, sf_dir).select("conv_id", "turn", "segment_id")
+    both = s.unionByName(s.where("turn % 3 = 2").withColumn("turn", F.col("turn") + 1))
+    chunks = both.groupBy("conv_id", F.floor(F.col("turn") / 3).alias("chunk")).agg(F.collect_list("segment_id").alias("ids"))
+    return quality.chunk_summary(chunks, "conv_id")
+
+
+@query("""
+SELECT event_id, CASE WHEN event_id % 50 = 0 THEN 'malformed' WHEN event_id % 49 = 0 THEN 'secret' WHEN event_id % 47 = 0 THEN 'identity:event_id' END AS fault FROM events WHERE event_id % 50 = 0 OR event_id % 49 = 0 OR event_id % 47 = 0
+""")
+def outbox_payload_faults(spark, sf_dir):
+    n, e = F.col("event_id"), table(spark, sf_dir, "events")
+    good = F.format_string('{"id": %d, "props": %s%s}', F.when(n % 47 == 0, n + 1).otherwise(n), "props", F.when(n % 49 == 0, ', "x": {"Access_Token": 1}').otherwise(""))
+    rows = e.select("event_id", F.when(n % 50 == 0, "{").otherwise(good).alias("payload"))
+    return quality.payload_faults(rows, {"event_id": "$.id"}).select("event_id", "fault")

@@ -149,3 +149,14 @@ def test_job_outcomes_and_recovery(spark):
     assert {(r.task_id, r.state, r.claimed_by) for r in queue.recovered(jobs, live).collect()} == {(1, "RUNNING", "a"), (2, "READY", None), (3, "READY", None)}
     tasks = spark.createDataFrame([(1, "RUNNING"), (2, "x"), (9, "y")], "task_id long, state string")
     assert {(r.task_id, r.status) for r in queue.accepted_tasks(jobs, tasks, ("state",)).collect()} == {(1, "refreshed"), (2, "conflict"), (9, "accepted")}
+
+
+def test_expectations_and_coverage(spark):
+    from sheafwork.operators import quality
+
+    golden = spark.createDataFrame([("a", [1], [9], False, "p"), ("b", [2], [], False, "p"), ("c", [], [3], False, "q"), ("d", [], [], True, "p")], "query_id string, required array<long>, forbidden array<long>, zero_expected boolean, path string")
+    hits = spark.createDataFrame([("a", 1, "p", 1.0), ("c", 3, "p", 0.5)], "query_id string, unit_rowid long, path string, term_coverage double")
+    got = {r.query_id: r.reasons for r in quality.expectations(golden, hits).collect()}
+    assert got == {"a": [], "b": ["required_missing", "no_hits"], "c": ["forbidden_found", "coverage", "path"], "d": []}
+    items, chunks = spark.createDataFrame([("x",), ("y",)], "id string"), spark.createDataFrame([(["x", "z"],)], "ids array<string>")
+    assert {(r.id, r.fault) for r in quality.uncovered(items, chunks, "id").collect()} == {("y", "missing"), ("z", "orphan")}
