@@ -201,7 +201,7 @@ class Scorer:
             self.learn(sorted(new))
         out = []
         for words in spelt:
-            if not words or not self.languages:
+            if not any(c.isalpha() for w in words for c in w) or not self.languages:  # the first word decides but for odd numerals
                 out.append(("und", 0.0))
                 continue
             total = self.rows[np.fromiter(map(self.known.__getitem__, words), dtype=np.int64, count=len(words))].sum(axis=0)

@@ -397,6 +397,11 @@ def test_language_id(spark, docs, empty):
     assert langid.identify(empty, PIECES).count() == 0
 
 
+def test_numerals_are_no_letters():
+    scorer = langid.Scorer(PIECES, ["a", "b"], np.full((len(langid.Pieces(PIECES).pieces) + 1, 2), 1e-5))
+    assert [n for n, _ in scorer.score(["²½", "12 _", "x²", None, ""])] == ["und", "und", "a", "und", "und"]
+
+
 def test_language_held_out(spark):
     own = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = langid.identify(own, PIECES).where("held_out").join(own.select("doc_id", "lang"), "doc_id")
