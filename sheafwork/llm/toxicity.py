@@ -33,6 +33,8 @@ SAMPLE, LONGEST_LEARNT = 1000, 20_000
 VOCABULARY, WIDTH, HIDDEN = 3000, 8, 8
 #: Sizes of the character n-grams, in bytes with a mark at either end of a word, and the buckets they are hashed to.
 GRAM_SIZES, GRAMS = (3, 5, 7), 8192
+#: Words whose n-grams are looked up at once.
+PORTION = 20_000
 #: Words whose inputs a worker remembers; beyond that, it starts afresh.
 REMEMBERED = 300_000
 WORD = re.compile(r"[^\W_]+")
@@ -130,7 +132,9 @@ class Network:
         return Network({w: k for k, w in enumerate(vocabulary)}, p)
 
     def inputs(self, words: list[str]) -> np.ndarray:
-        """The input vector of each word."""
+        """The input vector of each word, some thousand words at a time, as their n-grams take far more room."""
+        if len(words) > PORTION:
+            return np.vstack([self.inputs(words[k : k + PORTION]) for k in range(0, len(words), PORTION)])
         own = np.fromiter((self.vocabulary.get(w, len(self.vocabulary)) for w in words), dtype=np.int64, count=len(words))
         grams, starts = grams_of(words)
         return self.p["words"][own] + np.add.reduceat(self.p["grams"][grams], starts[:-1], axis=0) / np.diff(starts)[:, None].astype(np.float32)
