@@ -9,9 +9,8 @@ of radius 1 meets the leaves one bit away: such a tree's fingerprints visit thos
 ``EXACT`` (64 bits, 4 bits apart, shingles of four words) has four trees of 16 bits with the radii 1, 0, 0, 0. A pair
 within 4 bits is within 1 bit in the first block or equal in one of the others (1+1+1+1+1 > 4), so no link is lost.
 
-``WIDE`` (384 bits, shingles of five words) is for copies that share 0.8 of their shingles, which lie about 58 bits
-apart: links reach 66 bits, and 32 trees of 12 bits with radius 0 hold such a pair together in at least one shard with
-a chance above 0.99. Its links are those of the estimated similarity, not of exact shingle sets.
+``WIDE`` (384 bits, shingles of five words) is for copies that share 0.8 of their shingles. A fingerprint only estimates
+that similarity, so its links are those of ``sheafwork.llm.jaccard``: exact shingle sets of candidate groups.
 
 Inside a shard, a vantage-point join on all bits finds the pairs: a fingerprint is the vantage point, the median
 distance splits the others, and only the strips within the radius of the boundary meet across it. What lies within
@@ -36,21 +35,26 @@ from pyspark.sql import functions as F
 
 from sheafwork.llm.common import bounded_batches, durable, free_prefix, map_arrow
 from sheafwork.llm.components import components
+from sheafwork.llm.jaccard import grouped
 
 
 @dataclass(frozen=True)
 class Scheme:
-    """Words of 64 bits, bits within which fingerprints link, words of a shingle, bits of a block, radius of each block's tree."""
+    """Words of 64 bits, bits within which fingerprints link, words of a shingle, bits of a block, radius of each block's tree.
+
+    similarity: the least Jaccard similarity of linked shingle sets, a fraction; links are by it alone if it is given.
+    """
 
     words: int
     radius: int
     shingle: int
     block: int
     radii: tuple[int, ...]
+    similarity: tuple[int, int] | None = None
 
 
 EXACT = Scheme(1, 4, 4, 16, (1, 0, 0, 0))
-WIDE = Scheme(6, 66, 5, 12, (0,) * 32)
+WIDE = Scheme(6, 0, 5, 0, (), (4, 5))
 #: Rows of a shard beyond which it is cut into chunks that meet pairwise.
 CROWD = 20_000
 #: Pairs that are compared at once; below that, a split does not pay.
@@ -295,10 +299,29 @@ def _components(prints: DataFrame, scheme: Scheme) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, scheme: Scheme = EXACT) -> DataFrame:
     """doc_id, fingerprint (hex digits), component_id: the least doc_id reachable over links."""
+    if scheme.similarity:
+        return _similar_duplicates(docs, scheme)
     prints = durable(fingerprints(docs, scheme))
     return prints.join(_components(prints, scheme), "fp").select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), F.when(F.col("component") < ABOVE, F.col("component")).alias("component_id"))
 
 
+def _similar_duplicates(docs: DataFrame, scheme: Scheme) -> DataFrame:
+    rows, classes = grouped(docs, scheme.shingle, scheme.similarity)
+    least = classes.groupBy("component").agg(F.min("place.doc_id").alias("component_id"))
+    own = rows.join(classes, "node").join(least, "component").select(F.col("doc_id").alias("id"), F.col("key").alias("text_key"), "component_id").distinct()
+    prints = fingerprints(docs, scheme, F.xxhash64(F.col("text").cast("string")))
+    return prints.join(own, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("key") == F.col("text_key"))).select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
+
+
+def _kept(docs: DataFrame, scheme: Scheme) -> DataFrame:
+    """p (no_id, doc_id, key): the first row of each component."""
+    if scheme.similarity:
+        return grouped(docs, scheme.shingle, scheme.similarity)[1].groupBy("component").agg(F.min("place").alias("p"))
+    prints = durable(fingerprints(docs, scheme, F.xxhash64(F.col("text").cast("string"))))
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")
+    return prints.join(_components(prints, scheme), "fp").groupBy("component").agg(F.min(place).alias("p"))
+
+
 def representatives(docs: DataFrame, scheme: Scheme = WIDE) -> DataFrame:
     """One row of each component, all columns as they are: of the least doc_id (nulls last), then the least text hash.
 
@@ -306,10 +329,8 @@ def representatives(docs: DataFrame, scheme: Scheme = WIDE) -> DataFrame:
     with one key for each row to keep.
     """
     key = F.xxhash64(F.col("text").cast("string"))
-    prints = durable(fingerprints(docs, scheme, key))
     o = free_prefix(docs)
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")
-    keep = prints.join(_components(prints, scheme), "fp").groupBy("component").agg(F.min(place).alias("p")).select(F.coalesce("p.doc_id", F.lit(-1)).alias(f"{o}keep_id"), F.col("p.key").alias(f"{o}keep_key"))
+    keep = _kept(docs, scheme).select(F.coalesce("p.doc_id", F.lit(-1)).alias(f"{o}keep_id"), F.col("p.key").alias(f"{o}keep_key"))
     once = Window.partitionBy(f"{o}keep_id", f"{o}keep_key").orderBy(F.lit(1))
     own = docs.withColumn(f"{o}row_id", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-1))).withColumn(f"{o}row_key", key)
     joined = own.join(keep, (F.col(f"{o}row_id") == F.col(f"{o}keep_id")) & (F.col(f"{o}row_key") == F.col(f"{o}keep_key")))

@@ -1,7 +1,12 @@
 """The corpus pipeline: stages keep the columns of documents, and their decisions are the operators'."""
 
+import random
+
+import numpy as np
+import pytest
+
 import corpus_pipeline
-from sheafwork.llm import simhash
+from sheafwork.llm import jaccard, simhash
 
 
 def test_stages(spark, tmp_path):
@@ -24,3 +29,59 @@ def test_registered(spark):
     from sheafwork.llm.registry import QUERIES
 
     assert len([q for q in QUERIES if q.startswith("op")]) == 10 and "pipeline" in QUERIES
+
+
+def brute_groups(texts: dict) -> dict:
+    """The least id of each text's component over links of an exact five-word-shingle similarity of 0.8 or more."""
+    sets = {k: {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for k, t in texts.items() if (w := t.lower().split()) or True}
+    least = {k: k for k in texts}
+    changed = True
+    while changed:
+        changed = False
+        for a in texts:
+            for b in texts:
+                if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]) and least[a] != least[b]:
+                    least[a] = least[b] = min(least[a], least[b])
+                    changed = True
+    return least
+
+
+@pytest.mark.parametrize("chunk", [2, 100])
+def test_links_are_those_of_exact_shingle_sets(spark, chunk, monkeypatch):
+    """Pairs between 0.7 and 0.85, at 0.8 itself, of ten words (5 of 6 shingles shared is 5/7), and chains."""
+    monkeypatch.setattr(jaccard, "CHUNK", chunk)
+    g = random.Random(5)
+    texts, similarities = {}, []
+    for length in (9, 10, 22, 49, 94, 400):
+        for _ in range(20):
+            base = [f"w{g.randrange(10**6)}" for _ in range(length)]
+            shingles = length - 4
+            similarity = g.choice([0.7, 0.75, 0.78, 0.8, 0.8, 0.82, 0.85])
+            cut = round(shingles * (1 - similarity) / (1 + similarity))  # shingles that differ, at the end
+            other = base[: length - cut] + [f"v{g.randrange(10**6)}" for _ in range(cut)]
+            third = other[min(cut, 3) :]
+            similarities.append((shingles - cut) / (shingles + cut))
+            for words in (base, other, third):
+                texts[len(texts)] = " ".join(words)
+    for k in range(12):  # 36 of 45 shingles: 0.8 exactly
+        base = [f"x{k}_{i}" for i in range(49)]
+        texts[len(texts)], texts[len(texts) + 1] = " ".join(base), " ".join(base[:40])
+    assert any(s < 0.8 for s in similarities) and any(0.8 <= s < 0.85 for s in similarities)
+    want = brute_groups(texts)
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(frame, simhash.WIDE).collect()}
+    assert got == want
+    assert sorted(r.doc_id for r in corpus_pipeline.unique(spark, frame, "").collect()) == sorted(set(want.values()))
+
+
+def test_similar_sets_by_brute_force():
+    g = np.random.default_rng(3)
+    base = g.integers(0, 1000, (6, 40)).astype(np.uint64)
+    sets = [np.unique(np.where(g.random(40) < g.choice([0.02, 0.1, 0.15]), g.integers(0, 1000, 40).astype(np.uint64), base[k % 6])) for k in range(90)] + [np.zeros(0, np.uint64)]
+    root = list(range(len(sets)))
+    for a in range(len(sets)):
+        for b in range(a):
+            if len(sets[a]) and 5 * len(np.intersect1d(sets[a], sets[b])) >= 4 * len(np.union1d(sets[a], sets[b])):
+                x, y = root[a], root[b]
+                root = [min(x, y) if r in (x, y) else r for r in root]
+    assert jaccard.similar(sets, (4, 5)).tolist() == root
