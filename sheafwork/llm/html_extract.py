@@ -3,10 +3,12 @@
 A page is cut into flat blocks of text at block-level tags. A block's features are its words and link density,
 those of the blocks before and after it, whether it is a heading, and what encloses it (a container that holds
 an article, or one that holds navigation, notices, adverts, forms or comments). A decision tree grown on the
-small labelled table below says which blocks are main text; these are joined in page order.
+small labelled table below says which blocks are main text; these are joined in page order. A form, or a container that
+only layout words mark, tells nothing if it wraps all articles of the page or half of its unlinked words; main, and
+articles of pages that have none elsewhere, count as such wherever they are.
 
 Defined cases: null or empty html gives empty text and 0 characters; a page without main text gives empty text;
-unclosed and stray tags, broken references and cut pages are read as far as they go; repeated rows give repeated
+unclosed and stray tags (only script and style then go on to the end of the page), broken references and cut pages are read as far as they go; repeated rows give repeated
 results; other columns of the table are ignored.
 """
 
@@ -14,6 +16,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 from functools import cache
 
 import numpy as np
@@ -38,32 +41,109 @@ HINTS_AROUND = frozenset(
     "share sharing social menu nav navbar navigation breadcrumb breadcrumbs footer header masthead toolbar pagination pager comment comments respond replies reply discussion disqus login signup signin search contentinfo complementary".split()
 )
 HINTS_ARTICLE = frozenset("article articlebody post entry story content main".split())
+#: Those of them that wrappers of whole pages have in their names, too.
+HINTS_LAYOUT = frozenset("banner notification alert modal overlay sidebar widget social menu nav navbar navigation breadcrumb breadcrumbs footer header masthead toolbar search".split())
+#: Skipped elements that hold no elements, and those that go on to the end of the page if they are never closed.
+RAW = frozenset("script style noscript iframe textarea title".split())
+ENDLESS = frozenset("script style".split())
 
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<skip>" + "|".join(SKIPPED) + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=skip)\s*>|\Z)|<[!?][^>]*>|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|(?P<text>[^<]+|<)",
-    re.DOTALL | re.IGNORECASE,
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|(?P<text>[^<]+|<)",
+    re.DOTALL,
 )
 ATTRIBUTE = re.compile(r"\b(class|id|role|style|hidden|aria-hidden)\b\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.IGNORECASE)
 
 
 def _part(name: str, rest: str) -> int:
-    """What a container holds: 2 the article, 1 what stands around it, 3 what isn't shown, 0 unknown."""
+    """What a container holds: 2 the article, 1 what stands around it, 3 what isn't shown, 0 unknown; -1 as 1, unless it wraps the article."""
     found = {k.lower(): v.strip("\"'").lower() for k, v in ATTRIBUTE.findall(rest)} if rest.strip() else {}
     if "hidden" in found or found.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", found.get("style", "")):
         return 3
+    if name in ("html", "body"):
+        return 0
     if name in AROUND:
-        return 1
+        return -1 if name == "form" else 1
     if name in ARTICLE:
         hints = set(re.split(r"[^a-z0-9]+", f"{found.get('class', '')} {found.get('id', '')}"))
         return 1 if hints & {"comment", "comments", "reply"} else 2
     hints = set(re.split(r"[^a-z0-9]+", f"{found.get('class', '')} {found.get('id', '')} {found.get('role', '')}"))
-    return 1 if hints & HINTS_AROUND else 2 if hints & HINTS_ARTICLE else 0
+    if around := hints & HINTS_AROUND:
+        return -1 if around <= HINTS_LAYOUT else 1
+    return 2 if hints & HINTS_ARTICLE else 0
+
+
+def _self_closed(rest: str) -> bool:
+    rest = rest.rstrip()
+    return rest.endswith("/") and not re.search(r"=\s*[^\s\"'=]+/$", rest)
+
+
+def _ends(page: str, name: str) -> dict[int, int]:
+    """Where each skipped element of this name ends, by the end of its start tag. Those never closed are left out."""
+    out, opened = {}, []
+    for m in re.finditer(rf"<(/?){name}(?=[\s/>])((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", page, re.IGNORECASE):
+        if m[1]:
+            if name in RAW:
+                out.update(dict.fromkeys(opened, m.end()))
+                opened.clear()
+            elif opened:
+                out[opened.pop()] = m.end()
+        elif not _self_closed(m[2]):
+            opened.append(m.end())
+    if name in ENDLESS:
+        out.update(dict.fromkeys(opened, len(page)))
+    return out
+
+
+def _tokens(page: str):
+    """Tags and texts outside of skipped elements. A self-closed element has no content, one never closed skips nothing."""
+    at, ends = 0, {}
+    while at is not None:
+        start, at = at, None
+        for m in TOKEN.finditer(page, start):
+            if m["name"] and not m["end"] and (name := m["name"].lower()) in SKIPPED:
+                if name not in ends:
+                    ends[name] = _ends(page, name)
+                if not _self_closed(m["rest"]) and m.end() in ends[name]:
+                    at = ends[name][m.end()]
+                    break
+                continue
+            yield m
+
+
+def _resolve(containers: list[tuple[str, int, int, int]], places: list[int], unlinked: list[int]) -> list[int]:
+    """The part that holds in each container. containers: (name, own part, outer one, end: the first container after it)."""
+    words, total = [0] * len(containers), sum(unlinked)
+    for place, n in zip(places, unlinked, strict=True):
+        if place >= 0:
+            words[place] += n
+    for k in range(len(containers) - 1, -1, -1):
+        if containers[k][2] >= 0:
+            words[containers[k][2]] += words[k]
+    articles = [k for k, (name, own, _, _) in enumerate(containers) if name in ARTICLE and own == 2]
+
+    def around(reset: bool) -> list[int]:
+        parts: list[int] = []
+        for k, (name, own, outer, end) in enumerate(containers):
+            above = parts[outer] if outer >= 0 else 0
+            if own == -1:  # a wrapper of the page's only articles, or of most of its words, tells nothing
+                within = bisect_left(articles, end) - bisect_left(articles, k)
+                own = 0 if within and within == len(articles) or 2 * words[k] >= total > 0 and not (articles and not within) else 1
+            if name == "header" and above == 2:  # an article's own header has its title
+                own = 0
+            undone = above == 1 and own == 2 and (name == "main" or reset and name == "article")
+            parts.append(above if not undone and (above in (1, 3) or not own) else own)
+        return parts
+
+    parts = around(False)
+    return around(True) if articles and all(parts[k] != 2 for k in articles) else parts
 
 
 def blocks(page: str) -> list[tuple[str, tuple[int, float, int, int]]]:
     """Text and (words, link density, enclosing part, heading) of each flat block. Part: 2 article, 1 around it, 0 unknown."""
-    out: list = []
-    stack: list[tuple[str, int]] = []  # open containers and the part that holds in them
+    found: list = []  # text, words, linked words, heading
+    places: list[int] = []  # the innermost container of each
+    containers: list[list] = []
+    stack: list[int] = []
     text: list[str] = []
     linked: list[str] = []
     in_link, heading = False, 0
@@ -73,13 +153,12 @@ def blocks(page: str) -> list[tuple[str, tuple[int, float, int, int]]]:
             words = html.unescape("".join(text)).split()
             if words:
                 own = len(html.unescape("".join(linked)).split()) if linked else 0
-                part = stack[-1][1] if stack else 0
-                if part != 3:
-                    out.append((" ".join(words), (len(words), min(1.0, own / len(words)), part, heading)))
+                found.append((" ".join(words), len(words), own, heading))
+                places.append(stack[-1] if stack else -1)
             text.clear()
             linked.clear()
 
-    for m in TOKEN.finditer(page):
+    for m in _tokens(page):
         piece = m["text"]
         if piece is not None:
             text.append(piece)
@@ -103,16 +182,18 @@ def blocks(page: str) -> list[tuple[str, tuple[int, float, int, int]]]:
                 heading = 0
             elif m["end"]:
                 for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == name:
+                    if containers[stack[k]][0] == name:
+                        for x in stack[k:]:
+                            containers[x][3] = len(containers)
                         del stack[k:]
                         break
             elif not m["rest"].rstrip().endswith("/"):
-                outer, own = (stack[-1][1] if stack else 0), _part(name, m["rest"])
-                if name == "header" and outer == 2:  # an article's own header has its title
-                    own = 0
-                stack.append((name, outer if outer in (1, 3) or not own else own))
+                containers.append([name, _part(name, m["rest"]), stack[-1] if stack else -1, 1 << 60])
+                stack.append(len(containers) - 1)
     close()
-    return out
+    parts = _resolve(containers, places, [max(0, n - own) for _, n, own, _ in found])
+    held = [parts[k] if k >= 0 else 0 for k in places]
+    return [(t, (n, min(1.0, own / n), part, head)) for (t, n, own, head), part in zip(found, held, strict=True) if part != 3]
 
 
 def features(own: list[tuple[int, float, int, int]]) -> np.ndarray:

@@ -267,6 +267,30 @@ def test_html(spark):
     assert html_extract.extract(spark.createDataFrame([], fields)).count() == 0
 
 
+ARTICLE = "<h1>A dry summer</h1><p>The river fell to its lowest level since the gauge by the mill was set up a hundred years ago.<p>Boats lie on the sand, and the ferry has stopped, the council said on Monday evening."
+MAIN = "A dry summer The river fell to its lowest level since the gauge by the mill was set up a hundred years ago. Boats lie on the sand, and the ferry has stopped, the council said on Monday evening."
+NAV = "<nav><a>Home</a> <a>World</a></nav>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<body><form id=aspnetForm>{NAV}<article>{ARTICLE}</article><footer>All rights reserved by us</footer></form></body>",
+        f"<body><form id=aspnetForm>{NAV}<div>{ARTICLE}</div><footer>All rights reserved by us</footer></form></body>",
+        f"<body class='has-sidebar'>{NAV}<article>{ARTICLE}</article><aside>Read more here</aside></body>",
+        f"<body>{NAV}<div class='content-sidebar-wrap'><main>{ARTICLE}</main><div class='sidebar'><p>Our cook has written nine books about soups and stews.</div></div></body>",
+        f"<body><div class='page-header-wrap'>{NAV}<div class='content'>{ARTICLE}</div></div></body>",
+        f"<body><div class='related-topics'>{NAV}<main>{ARTICLE}</main></div></body>",
+        f"<body>{NAV}<article>{ARTICLE}</article><div class='related'><article><p>Library gets new shelves and a reading room for all the children of the town.</article></div></body>",
+        *[f"<body>{NAV}<article>{tag}{ARTICLE}</article></body>" for tag in ("<svg/>", "<iframe src='x' />", "<object data='x'/>", "<video-player>", "<button>", "<script src='x'/>")],
+        f"<body>{NAV}<button><article>{ARTICLE}</article><button>Send</button></body>",
+        f"<body>{NAV}<article>{ARTICLE}</article><script>unclosed = 1; <p>no text of the page, but a part of a script that never ends",
+    ],
+)
+def test_html_loses_no_article(page):
+    assert html_extract.main_text(page) == MAIN
+
+
 def test_html_on_the_tables(spark, sf_dir):
     import html as unescape
     import re
