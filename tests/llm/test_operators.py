@@ -399,6 +399,18 @@ def test_mixing_beyond_the_drivers_cells(spark, docs, monkeypatch):
     assert one.keys() == two.keys() and all(abs(one[k] - two[k]) < 1e-3 for k in one)
 
 
+def test_mixing_is_the_same_beyond_the_drivers_cells(spark, monkeypatch):
+    """A table that takes more than 30 rounds, and a source without a target, by the default rounds on both paths."""
+    made = [("a", "en", 300), ("a", "de", 2), ("b", "en", 2), ("b", "de", 300), ("c", "en", 40)]
+    frame = spark.createDataFrame([(k, "w " * n, lang, source) for k, (source, lang, n) in enumerate(made)], "doc_id long, text string, lang string, source string")
+    targets = {"source": {"a": 0.6, "b": 0.4}, "lang": {"en": 0.48, "de": 0.52}}
+    one = {r.doc_id: r for r in mixing.mix(frame, targets, F.lit("t")).collect()}
+    monkeypatch.setattr(mixing, "CELLS", 1)
+    two = {r.doc_id: r for r in mixing.mix(frame, targets, F.lit("t")).collect()}
+    assert one.keys() == two.keys() == set(range(5)) and one[4].probability == two[4].probability == 0
+    assert all(abs(one[k].weight - two[k].weight) < 1e-6 * max(1, one[k].weight) and abs(one[k].probability - two[k].probability) < 1e-6 for k in one)
+
+
 def test_raking_meets_all_targets():
     g = np.random.default_rng(0)
     mass, sides = g.integers(1, 100, 60).astype(float), [np.repeat(np.arange(5), 12), np.tile(np.repeat(np.arange(4), 3), 5), np.tile(np.arange(3), 20)]
