@@ -13,6 +13,7 @@ each on its own; an empty table gives no rows; other columns of the input are ig
 
 from __future__ import annotations
 
+import re
 import zlib
 from array import array
 from dataclasses import dataclass
@@ -25,29 +26,40 @@ from pyspark.sql import functions as F
 from sheafwork.llm.common import durable, map_arrow
 
 CAPACITY = 2048
-_CODERS: dict[str, Coder] = {}
+_CODERS: dict[tuple[str, bool], Coder] = {}
 
 
 class Coder:
     """Byte-level BPE by a vocabulary file of `tokenizers`: the same ids, from a faster encoder of the same ranks.
 
-    Strings of special tokens in a text are ordinary text.
+    added: strings of the file's added tokens in a text are these tokens, as `tokenizers` has it; such texts go through it.
+    Else they are ordinary text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         import json
 
         import public_tokenizers
         import tiktoken
 
         with open(path, encoding="utf-8") as f:
-            vocabulary = json.load(f)["model"]["vocab"]
+            held = json.load(f)
+        vocabulary = held["model"]["vocab"]
+        strings = [t["content"] for t in held.get("added_tokens") or []]
         back = {c: b for b, c in enumerate(_byte_letters())}
-        ranks = {bytes(back[c] for c in piece): i for piece, i in vocabulary.items() if piece != "<|endoftext|>"}
+        ranks = {bytes(back[c] for c in piece): i for piece, i in vocabulary.items() if piece not in strings}
         self.coding = tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.added = re.compile("|".join(map(re.escape, strings))) if added and strings else None
+        self.path, self.whole = path, None
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian 32-bit bytes."""
+        if self.added and self.added.search(text):
+            if self.whole is None:
+                from tokenizers import Tokenizer
+
+                self.whole = Tokenizer.from_file(self.path)
+            return array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
         return array("I", self.coding.encode_ordinary(text)).tobytes()
 
 
@@ -58,13 +70,13 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in visible else chr(next(spare)) for b in range(256)]
 
 
-def coder(path: str) -> Coder:
-    if path not in _CODERS:
-        _CODERS[path] = Coder(path)
-    return _CODERS[path]
+def coder(path: str, added: bool = False) -> Coder:
+    if (path, added) not in _CODERS:
+        _CODERS[path, added] = Coder(path, added)
+    return _CODERS[path, added]
 
 
-def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:
+def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, keep_ids: bool = False, added: bool = False) -> DataFrame:
     """Tokenizes whole texts and cuts them into pieces of at most ``capacity`` ids; only a first piece may be shorter.
 
     ``part`` and ``rank`` number the pieces of each length within a task.
@@ -74,7 +86,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, keep_ids: bool
     def run(batches):
         from pyspark import TaskContext
 
-        part, seen, code = TaskContext.get().partitionId(), np.zeros(capacity + 1, dtype=np.int64), coder(path)
+        part, seen, code = TaskContext.get().partitionId(), np.zeros(capacity + 1, dtype=np.int64), coder(path, added)
         for batch in batches:
             out: list[tuple] = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -150,9 +162,9 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> tuple[dict[int,
     return segments, sequences
 
 
-def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:
+def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, keep_ids: bool = False, added: bool = False) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset (and ids, if kept)."""
-    cut = durable(pieces(docs, path, capacity, keep_ids))
+    cut = durable(pieces(docs, path, capacity, keep_ids, added))
     cells = cut.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     cells = durable(cells.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))))

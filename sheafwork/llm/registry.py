@@ -17,7 +17,7 @@ def vocabulary(name: str) -> str:
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
+    return packing.pack(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"), added=True)
 
 
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

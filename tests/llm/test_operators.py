@@ -73,6 +73,29 @@ def test_packing(spark, docs, empty):
     assert packing.pack(empty, BYTES).count() == 0
 
 
+def test_packing_has_the_ids_of_tokenizers_by_default_settings(spark, tmp_path):
+    """Through the registered query and the pipeline's stage, which read added tokens in texts as `tokenizers` does."""
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+
+    from sheafwork.llm.registry import QUERIES
+
+    coder = Tokenizer.from_file(BYTES)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n y", "<|endoftext| >", "plain text", "", "é" * 3000 + " <|endoftext|>"]
+    assert 50256 in coder.encode(texts[0]).ids
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    frame.write.parquet(str(tmp_path / "documents.parquet"))
+    want = {}
+    for k, text in enumerate(texts):
+        ids, cut = [*coder.encode(text, add_special_tokens=False).ids, 0], []
+        while ids:
+            cut.insert(0, ids[-2048:])
+            ids = ids[:-2048]
+        want |= {(k, n): (sum(map(len, cut[:n])), len(own), zlib.crc32(np.array(own, "<u4").tobytes())) for n, own in enumerate(cut)}
+    for found in (QUERIES["op1_best_fit_packing"](spark, str(tmp_path)), corpus_pipeline.packed(spark, frame, "")):
+        assert {(r.doc_id, r.piece): (r.start, r.length, r.ids_crc32) for r in found.collect()} == want
+
+
 def test_packing_plan_is_exact_on_small_cases():
     g = random.Random(1)
     for _ in range(60):
