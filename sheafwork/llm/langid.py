@@ -7,13 +7,14 @@ text likeliest is its prediction.
 
 The probabilities are fitted by expectation-maximisation, whose expected counts also sum over all
 segmentations, on word counts of a bounded sample: about ``PER_LANGUAGE`` documents of each language, drawn by a
-hash of the id at a rate from that language's count, and their ``WORDS`` most frequent words. Words, not
-documents, come to the driver. Scoring covers every document and every letter of it. A worker scores a word once
-and remembers it; the forward pass runs in numpy over all new words of a batch at once.
+hash of the id at a rate from that language's count, and the most frequent words of each language, an equal share
+of ``WORDS`` for every one. Words, not documents, come to the driver. Scoring covers every document and every letter
+of it, with all pieces of the vocabulary that consist of lower-case letters, of whatever length. A worker scores a
+word once and remembers it; the forward pass runs in numpy over all new words of a batch at once, and in logarithms
+over a word of more than ``LONGEST`` letters, which is summed over whole, too.
 
 Defined cases: null texts and texts without a letter give ``und`` and score 0; so does every text if no document
-can be learnt from; equal rows get equal results; words over ``LONGEST`` letters are cut there; an empty table
-gives no rows; other columns are never read.
+can be learnt from; equal rows get equal results; an empty table gives no rows; other columns are never read.
 """
 
 from __future__ import annotations
@@ -22,13 +23,14 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sheafwork.llm.common import held_out, map_arrow
 
 PER_LANGUAGE, WORDS = 400, 150_000
-LONGEST, LONGEST_PIECE = 30, 10
+#: Letters of a word, with its mark, up to which probabilities can't underflow; beyond, logarithms are summed.
+LONGEST = 30
 #: Probability of a letter that the vocabulary lacks, in every language.
 UNKNOWN = 1e-7
 #: Expected counts that every piece has beforehand.
@@ -50,10 +52,11 @@ class Pieces:
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         every = (model.id_to_piece(k) for k in range(model.get_piece_size()))
-        self.pieces = [p for p in every if len(p) <= LONGEST_PIECE and p == p.lower() and LETTERS.fullmatch(p.removeprefix(MARK) or "a")]
-        self.powers = np.cumprod(np.full(LONGEST + 3, _BASE, dtype=np.uint64))
+        self.pieces = [p for p in every if p == p.lower() and LETTERS.fullmatch(p.removeprefix(MARK) or "a")]
+        self.longest = max(map(len, self.pieces), default=1)
+        self.powers = np.cumprod(np.full(max(LONGEST, self.longest) + 3, _BASE, dtype=np.uint64))
         hashes = np.zeros(len(self.pieces), dtype=np.uint64)
-        for length in range(1, LONGEST_PIECE + 1):
+        for length in range(1, self.longest + 1):
             own = [k for k, p in enumerate(self.pieces) if len(p) == length]
             if own:
                 hashes[own] = self.prefixes([self.pieces[k] for k in own], length)[length]
@@ -90,7 +93,19 @@ class Pieces:
     def spans(self, words: list[str], length: int) -> list[list[tuple[int, np.ndarray]]]:
         """For each end, the (start, piece of each word) that end there."""
         prefix = self.prefixes(words, length)
-        return [[(i, self.find(prefix[j] - prefix[i] * self.powers[j - i - 1])) for i in range(max(0, j - LONGEST_PIECE), j)] for j in range(1, length + 1)]
+        return [[(i, self.find(prefix[j] - prefix[i] * self.powers[j - i - 1])) for i in range(max(0, j - self.longest), j)] for j in range(1, length + 1)]
+
+    def ends(self, word: str) -> list[list[tuple[int, int]]]:
+        """For each end in a long word, the (start, piece) that end there; -1 for a letter that is no piece."""
+        letters = np.frombuffer(word.encode("utf-32-le"), dtype="<u4").astype(np.uint64) + np.uint64(1)
+        n, out = len(letters), [[] for _ in letters]
+        power, inverse = (np.cumprod(np.full(n, x, dtype=np.uint64)) for x in (_BASE, np.uint64(pow(int(_BASE), -1, 1 << 64))))
+        summed = np.concatenate([np.zeros(1, np.uint64), np.cumsum(letters * inverse)])
+        for size in range(1, min(self.longest, n) + 1):
+            piece = self.find((summed[size:] - summed[:-size]) * power[size - 1 :])
+            for i in (np.arange(n) if size == 1 else np.flatnonzero(piece >= 0)).tolist():
+                out[i + size - 1].append((i, int(piece[i])))
+        return out
 
 
 def _by_length(words: list[str]) -> dict[int, list[int]]:
@@ -116,14 +131,39 @@ def forward(spans: list[list[tuple[int, np.ndarray]]], chances: np.ndarray) -> l
     return alpha
 
 
+def long_forward(ends: list[list[tuple[int, int]]], chances: np.ndarray) -> np.ndarray:
+    """Logarithm of the summed probability of the first 0, 1, ... letters of a long word, by language."""
+    logs = np.log(chances)
+    alpha = np.zeros((len(ends) + 1, chances.shape[1]))
+    for j, found in enumerate(ends, 1):
+        each = [alpha[i] + logs[piece] for i, piece in found]
+        alpha[j] = each[0] if len(each) == 1 else np.logaddexp.reduce(each)
+    return alpha
+
+
 def log_chances(pieces: Pieces, words: list[str], chances: np.ndarray) -> np.ndarray:
     """Log probability of every word in every language."""
     out = np.zeros((len(words), chances.shape[1]))
     for length, own in _by_length(words).items():
-        out[own] = np.log(forward(pieces.spans([words[k] for k in own], length), chances)[-1])
+        if length <= LONGEST:
+            out[own] = np.log(forward(pieces.spans([words[k] for k in own], length), chances)[-1])
+        else:
+            out[own] = [long_forward(pieces.ends(words[k]), chances)[-1] for k in own]
     return out
 
 
+def _long_counts(ends: list[list[tuple[int, int]]], chances: np.ndarray, weight: np.ndarray, expected: np.ndarray) -> None:
+    """Adds a long word's expected pieces, as often as it stands in each language."""
+    logs, alpha = np.log(chances), long_forward(ends, chances)
+    beta = np.full_like(alpha, -np.inf)
+    beta[-1] = 0
+    for j in range(len(ends), 0, -1):
+        for i, piece in ends[j - 1]:
+            through = logs[piece] + beta[j]
+            beta[i] = np.logaddexp(beta[i], through)
+            expected[piece] += weight * np.exp(alpha[i] + through - alpha[-1])
+
+
 def fit(pieces: Pieces, counts: dict[str, dict[str, float]], rounds: int = ROUNDS) -> tuple[list[str], np.ndarray]:
     """Languages and, by piece and language, probabilities, from word counts by language."""
     languages = sorted(counts)
@@ -131,7 +171,8 @@ def fit(pieces: Pieces, counts: dict[str, dict[str, float]], rounds: int = ROUND
     weight = np.array([[counts[x].get(w, 0.0) for x in languages] for w in words]).reshape(len(words), len(languages))
     n = len(pieces.pieces)
     chances = np.vstack([np.full((n, len(languages)), 1 / n), np.full((1, len(languages)), UNKNOWN)])
-    groups = [(np.array(own), pieces.spans([words[k] for k in own], length)) for length, own in _by_length(words).items()]
+    groups = [(np.array(own), pieces.spans([words[k] for k in own], length)) for length, own in _by_length(words).items() if length <= LONGEST]
+    long = [(k, pieces.ends(w)) for k, w in enumerate(words) if len(w) > LONGEST]
     for _ in range(rounds):
         expected = np.full((n + 1, len(languages)), PRIOR)
         for own, spans in groups:
@@ -146,6 +187,8 @@ def fit(pieces: Pieces, counts: dict[str, dict[str, float]], rounds: int = ROUND
                     through *= alpha[i][found]
                     for k in range(len(languages)):
                         expected[:, k] += np.bincount(piece[found] % (n + 1), through[:, k], n + 1)
+        for k, ends in long:
+            _long_counts(ends, chances, weight[k], expected)
         chances[:n] = expected[:n] / expected[:n].sum(axis=0)
     return languages, chances
 
@@ -160,19 +203,14 @@ def word_counts(docs: DataFrame, per_language: int = PER_LANGUAGE, words: int =
     chosen = learn.where((F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("languages")) / float(1 << 64) + 0.5) < rate[F.col("lang")])
     spelt = F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), F.lit(1)))
     counted = chosen.select("lang", spelt.alias("word")).groupBy("lang", "word").count()
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("count"), "word"))  # words of the sample, which is bounded
+    most = counted.withColumn("place", place).where(F.col("place") <= max(1, words // len(sizes)))
     out: dict[str, dict[str, float]] = {k: {} for k in sizes}
-    for r in counted.orderBy(F.desc("count"), "lang", "word").limit(words).collect():
-        for part in cut(r["word"]):
-            out[r["lang"]][part] = out[r["lang"]].get(part, 0.0) + r["count"]
+    for r in most.collect():  # at most ``words`` rows, or one a language
+        out[r["lang"]][MARK + r["word"]] = float(r["count"])
     return {k: v for k, v in out.items() if v}
 
 
-def cut(word: str) -> list[str]:
-    """The marked word, in parts of at most LONGEST letters."""
-    marked = MARK + word
-    return [marked[k : k + LONGEST] for k in range(0, len(marked), LONGEST)]
-
-
 class Scorer:
     """Scores whole texts; remembers words. Lives in one worker."""
 
@@ -182,10 +220,7 @@ class Scorer:
         self.rows = np.zeros((1024, len(languages)))
 
     def learn(self, words: list[str]) -> None:
-        parts = [cut(w) for w in words]
-        flat = [p for x in parts for p in x]
-        scores = log_chances(self.pieces, flat, self.chances)
-        scores = np.add.reduceat(scores, np.cumsum([0, *(len(x) for x in parts[:-1])]), axis=0)
+        scores = log_chances(self.pieces, [MARK + w for w in words], self.chances)
         n = len(self.known)
         if n + len(words) > len(self.rows):
             self.rows = np.vstack([self.rows, np.zeros((n + 2 * len(words), len(self.languages)))])
@@ -242,7 +277,7 @@ def identify(docs: DataFrame, path: str, per_language: int = PER_LANGUAGE) -> Da
     return map_arrow(own, run, "doc_id bigint, held_out boolean, lang_pred string, score double")
 
 
-def accepted(docs: DataFrame, path: str, threshold: float = 0.3, per_language: int = PER_LANGUAGE) -> DataFrame:
-    """The rows whose language can be told (not ``und``, and a score of the threshold or more), all columns as they are."""
+def accepted(docs: DataFrame, path: str, per_language: int = PER_LANGUAGE) -> DataFrame:
+    """The rows whose language can be told (not ``und``), all columns as they are."""
     judge, place = Judge(docs, path, per_language), docs.columns.index("text")
-    return map_arrow(docs, lambda batch: batch.filter(pa.array([n != "und" and s >= threshold for n, s in judge(batch.column(place))], pa.bool_())), docs.schema)
+    return map_arrow(docs, lambda batch: batch.filter(pa.array([n != "und" for n, _ in judge(batch.column(place))], pa.bool_())), docs.schema)

@@ -477,7 +477,7 @@ def test_forward_sums_all_segmentations():
         if not word:
             return 1.0
         out = 0.0
-        for k in range(1, min(len(word), langid.LONGEST_PIECE) + 1):
+        for k in range(1, len(word) + 1):
             p = index.get(word[:k])
             if p is not None or k == 1:
                 out += chances[p if p is not None else -1, language] * total(word[k:], language)
@@ -489,6 +489,43 @@ def test_forward_sums_all_segmentations():
         assert np.allclose(np.exp(row), [total(w, 0), total(w, 1)])
 
 
+def test_pieces_and_words_of_any_length():
+    """No piece of lower-case letters is left out; a long word's sum is the product over parts that no piece crosses."""
+    pieces = langid.Pieces(PIECES)
+    assert {"translation", "▁information", "▁government"} <= set(pieces.pieces) and pieces.longest > 10
+    g = np.random.default_rng(1)
+    chances = np.vstack([g.random((len(pieces.pieces), 3)), np.full((1, 3), langid.UNKNOWN)])
+    part = "informationtranslation" + "ɤ" * 3  # the last letter is no piece, so nothing crosses it
+    one = langid.log_chances(pieces, [part], chances)[0]
+    many = langid.log_chances(pieces, [part * 40], chances)[0]
+    assert np.isfinite(many).all() and np.allclose(many, 40 * one)
+    short = langid.MARK + "governmental"
+    assert np.allclose(langid.long_forward(pieces.ends(short), chances)[-1], langid.log_chances(pieces, [short], chances)[0])
+
+
+def test_fit_of_long_words_is_that_of_short_ones(monkeypatch):
+    pieces = langid.Pieces(PIECES)
+    counts = {"a": {langid.MARK + "translation": 3.0, langid.MARK + "straße": 1.0}, "b": {langid.MARK + "übung": 2.0}}
+    _, one = langid.fit(pieces, counts)
+    monkeypatch.setattr(langid, "LONGEST", 2)
+    _, two = langid.fit(pieces, counts)
+    assert np.allclose(one, two, rtol=1e-9)
+
+
+def test_every_language_keeps_its_share_of_the_words(spark):
+    """A language of few rows beside one of many words, under a bound that the latter alone would fill."""
+    big = [(k, " ".join(chr(97 + k % 26) + chr(97 + j) for j in range(26)), "en") for k in range(200)]
+    frame = spark.createDataFrame(big + [(k, "ilmasto sää", "fi") for k in range(1000, 1004)], "doc_id long, text string, lang string")
+    counts = langid.word_counts(frame, words=40)
+    assert len(counts["en"]) == 20 and set(counts["fi"]) == {langid.MARK + "ilmasto", langid.MARK + "sää"}
+
+
+def test_accepted_rejects_texts_without_letters_alone(spark, docs):
+    texts = {r[0]: r[1] for r in rows()}
+    kept = [r.doc_id for r in langid.accepted(docs, PIECES).collect() if r.doc_id is not None]
+    assert set(kept) == {k for k, t in texts.items() if k is not None and any(c.isalpha() for c in t or "")}
+
+
 def test_media_round_trip(spark, docs, empty):
     found = webp.media(docs, keep_media=True, keep_pixels=True).collect()
     texts = {r[0]: r[1] for r in rows()}
