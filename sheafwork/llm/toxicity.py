@@ -2,18 +2,20 @@
 
 A text's words (runs of letters and digits, lower-case) are read in overlapping windows of ``WINDOW`` words every
 ``STRIDE``, from the first to the last word. A word's input is its own embedding, if it is in the vocabulary, plus
-the mean embedding of its hashed character n-grams. Two gated recurrent layers read a window in either direction,
+its character input: the mean embedding of its hashed character n-grams (``GRAM_SIZES``). Two gated recurrent layers read a window in either direction,
 attention pools their states, and a logistic unit scores it; a text's score is that of its most toxic window,
 calibrated on the training documents.
 
-Training sees the texts and labels of a bounded sample: up to ``SAMPLE`` documents of either label, chosen by a hash
-of the id among the labelled ones outside the held-out fold, texts of over ``LONGEST_LEARNT`` characters aside.
+Training sees whole texts and labels of a bounded sample: up to ``SAMPLE`` documents of either label, in the order of a
+hash of the id among the labelled ones outside the held-out fold, and as many of them as hold ``CHARACTERS`` in all;
+a text of more than a twentieth of that is passed over. Long texts are learnt from and calibrated on as short ones are.
 The windows to learn from are, for either label, those with the highest summed log-odds of their words, later
 those that the network itself scores highest, and some drawn at random. Scoring covers all windows of all texts.
 
 Defined cases: null texts and texts without words have one empty window and score as the calibrated bias does;
-equal texts score equally but for the last digits of floating-point sums; without both labels to learn from, every score is the labels' mean (0 without labels);
-repeated label rows count once, by their highest label; an empty table gives no rows; other columns are ignored.
+equal texts score equally, as scores are rounded to six places; without both labels to learn from, every score is the labels' mean (0 without labels);
+repeated label rows count once, by their highest label; of rows that repeat a doc_id with different texts, the one of
+the least text hash is learnt from; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,13 +25,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sheafwork.llm.common import held_out, map_arrow
 
 WINDOW, STRIDE = 24, 16
-SAMPLE, LONGEST_LEARNT = 1000, 20_000
+#: Documents of either label to learn from at most, and the characters of their texts.
+SAMPLE, CHARACTERS = 1000, 6_000_000
 VOCABULARY, WIDTH, HIDDEN = 3000, 8, 8
 #: Sizes of the character n-grams, in bytes with a mark at either end of a word, and the buckets they are hashed to.
 GRAM_SIZES, GRAMS = (3, 5, 7), 8192
@@ -195,7 +198,8 @@ def train(texts: list[str | None], labels: list[int], seed: int = 7) -> Network:
     y = np.array(labels, dtype=np.float32)
     if len(y) == 0 or y.min() == y.max():
         return Network({}, {}, constant=float(y.mean()) if len(y) else 0.0)
-    g, spelt = np.random.default_rng(seed), [words_of(t) for t in texts]
+    g, pool = np.random.default_rng(seed), {}
+    spelt = [[pool.setdefault(w, w) for w in words_of(t)] for t in texts]  # each word is held once
     seen: dict[str, np.ndarray] = {}
     for words, label in zip(spelt, labels, strict=True):
         for w in set(words):
@@ -304,7 +308,7 @@ class Scorer:
         flat = np.vstack(cuts)
         logits = np.concatenate([self.net.logits(self.rows, flat[k : k + 2048]) for k in range(0, len(flat), 2048)])
         top = np.maximum.reduceat(logits, np.cumsum([0, *(len(c) for c in cuts[:-1])]))
-        return sigmoid(self.net.scale * top.astype(np.float64) + self.net.shift)
+        return np.round(sigmoid(self.net.scale * top.astype(np.float64) + self.net.shift), 6)
 
 
 _SCORERS: dict[int, Scorer] = {}
@@ -314,14 +318,14 @@ def sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> tuple[list
     """Texts and labels of at most ``size`` documents of either label outside the held-out fold."""
     own = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("toxic in (0, 1)").where(~held_out("doc_id", 5, 0))
     own = own.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).withColumn("draw", F.xxhash64("doc_id", F.lit("toxicity")))
-    ids = [r for label in (0, 1) for r in own.where(F.col("toxic") == label).orderBy("draw", "doc_id").limit(2 * size).collect()]
-    by_id = {r["doc_id"]: r for r in ids}
-    if not by_id:
-        return [], []
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.col("doc_id").isin(list(by_id)) & (F.coalesce(F.length("text"), F.lit(0)) <= LONGEST_LEARNT))
-    found = {r["doc_id"]: r["text"] for r in texts.collect()}
-    kept = [r for label in (0, 1) for r in [r for r in ids if r["toxic"] == label and r["doc_id"] in found][:size]]
-    return [found[r["doc_id"]] for r in kept], [r["toxic"] for r in kept]
+    some = [own.where(F.col("toxic") == label).orderBy("draw", "doc_id").limit(2 * size) for label in (0, 1)]
+    drawn = F.broadcast(some[0].unionByName(some[1]))  # at most four times ``size`` rows of numbers
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("length", F.coalesce(F.length("text"), F.lit(0)))
+    once = texts.join(drawn, "doc_id").groupBy("doc_id", "toxic", "draw").agg(F.min(F.struct(F.xxhash64("text").alias("key"), "length", "text")).alias("t"))
+    order = Window.partitionBy("toxic").orderBy("draw", "doc_id")
+    fitting = once.where(F.col("t.length") <= CHARACTERS // 20).select("toxic", F.col("t.text").alias("text"), F.row_number().over(order).alias("n"), F.sum("t.length").over(order).alias("sum"))
+    kept = fitting.where((F.col("n") <= size) & (F.col("sum") <= CHARACTERS)).orderBy("toxic", "n").collect()
+    return [r["text"] for r in kept], [r["toxic"] for r in kept]
 
 
 class Judge:

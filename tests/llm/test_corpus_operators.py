@@ -338,6 +338,18 @@ def test_toxicity(spark, docs, labels, empty, monkeypatch):
     assert toxicity.accepted(docs, labels).columns == docs.columns
 
 
+def test_toxicity_learns_one_text_of_a_repeated_id_whatever_the_order(spark):
+    held = [k for k in range(400) if zlib.crc32(str(k).encode()) % 5 == 0]
+    made = [(k, f"text {k} of many", k % 2) for k in range(60)] + [(k, f"another text {k}", k % 2) for k in range(60)] + [(7, "x" * (toxicity.CHARACTERS // 20 + 1), 1), (8, None, 0)]
+    found = []
+    for order in (made, made[::-1]):
+        frame = spark.createDataFrame(order, "doc_id long, text string, toxic int").repartition(1 + len(found))
+        found.append(toxicity.sample(frame, frame.select("doc_id", "toxic")))
+    assert found[0] == found[1] and len(found[0][0]) == 60 - sum(k < 60 for k in held)
+    few = spark.createDataFrame(made, "doc_id long, text string, toxic int")
+    assert sorted(toxicity.sample(few, few.select("doc_id", "toxic"), size=3)[1]) == [0, 0, 0, 1, 1, 1]
+
+
 def test_toxicity_gradients():
     net = toxicity.Network.fresh(["a", "b", "c"])
     net.p = {k: v.astype(np.float64) * (5 if k in ("words", "grams") else 1) for k, v in net.p.items()}
