@@ -1,15 +1,23 @@
-"""Main text of web pages: flat text blocks, shallow features of a block and its neighbours, a decision tree.
+"""Main text of web pages: flat text blocks, word counts and link densities of neighbours, a decision tree.
 
-A page is cut into flat blocks of text at block-level tags. A block's features are its words and link density,
-those of the blocks before and after it, whether it is a heading, and what encloses it (a container that holds
-an article, or one that holds navigation, notices, adverts, forms or comments). A decision tree grown on the
-small labelled table below says which blocks are main text; these are joined in page order. A form, or a container that
-only layout words mark, tells nothing if it wraps all articles of the page or half of its unlinked words; main, and
-articles of pages that have none elsewhere, count as such wherever they are.
+A page is cut into flat blocks of text at block-level tags by a scanner that reads every character a bounded number of
+times. What the markup itself says is no article is left out as scripts are: hidden elements, and elements whose name or
+whose class, id or role says menu, header, footer, sidebar, notice, advert, form or comments (``HINTS_AROUND``), as far
+as they don't wrap the article. A decision tree grown on the small labelled table below judges all other blocks by
+their words and link density, those of the blocks before and after, whether they are headings, and, as one feature
+among these, their place: inside an article element, outside of it, or on a page without one. The chosen blocks are
+joined in page order. The table's pages are told several times with more or fewer words (``MARKED``, ``PLAIN``), so that
+an article's length decides nothing.
+
+A form, or a container that only layout words mark, tells nothing if it wraps all articles of the page or half of its
+unlinked words; main, and articles of pages that have none elsewhere, count as such wherever they are. A heading that
+says comments, by its class or its words, makes the rest of its container comments.
 
 Defined cases: null or empty html gives empty text and 0 characters; a page without main text gives empty text;
-unclosed and stray tags (only script and style then go on to the end of the page), broken references and cut pages are read as far as they go; repeated rows give repeated
-results; other columns of the table are ignored.
+unclosed and stray tags are read as far as they go (of those whose content is skipped only script and style go on to the
+end of the page); a quote that is never closed ends with its tag, and a tag that is never closed ends where the next
+one begins; pages of any length take time in proportion to it; broken references stay as they are; repeated rows give
+repeated results; other columns of the table are ignored.
 """
 
 from __future__ import annotations
@@ -17,6 +25,7 @@ from __future__ import annotations
 import html
 import re
 from bisect import bisect_left
+from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
@@ -27,7 +36,7 @@ from pyspark.sql import functions as F
 from sheafwork.llm.common import map_arrow
 
 # HTML's names by their part in a page.
-SKIPPED = ("script", "style", "noscript", "template", "iframe", "svg", "math", "object", "canvas", "audio", "video", "select", "textarea", "button", "title")
+SKIPPED = frozenset("script style noscript template iframe svg math object canvas audio video select textarea button title".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre search section summary table tbody td tfoot th thead tr ul".split()
 )
@@ -35,7 +44,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 ARTICLE = frozenset("article main".split())
 AROUND = frozenset("nav header footer aside form menu dialog search".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-#: Words in a container's class, id or role that tell its part.
+#: Words in an element's class, id or role that tell its part.
 HINTS_AROUND = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notification alert newsletter subscribe popup modal overlay sidebar widget related recommended "
     "share sharing social menu nav navbar navigation breadcrumb breadcrumbs footer header masthead toolbar pagination pager comment comments respond replies reply discussion disqus login signup signin search contentinfo complementary".split()
@@ -43,74 +52,138 @@ HINTS_AROUND = frozenset(
 HINTS_ARTICLE = frozenset("article articlebody post entry story content main".split())
 #: Those of them that wrappers of whole pages have in their names, too.
 HINTS_LAYOUT = frozenset("banner notification alert modal overlay sidebar widget social menu nav navbar navigation breadcrumb breadcrumbs footer header masthead toolbar search".split())
+HINTS_COMMENTS = frozenset("comment comments respond replies reply discussion disqus".split())
+#: A heading of these words and numbers alone begins the comments.
+COMMENTS = re.compile(r"[\d\s()]*(?:(?:reader|user|leave a|post a)\s+)?(?:comments?|replies|responses|discussion|kommentare?|commentaires?|comentarios?)[\d\s():]*", re.IGNORECASE)
 #: Skipped elements that hold no elements, and those that go on to the end of the page if they are never closed.
 RAW = frozenset("script style noscript iframe textarea title".split())
 ENDLESS = frozenset("script style".split())
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|(?P<text>[^<]+|<)",
-    re.DOTALL,
-)
-ATTRIBUTE = re.compile(r"\b(class|id|role|style|hidden|aria-hidden)\b\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.IGNORECASE)
-
-
-def _part(name: str, rest: str) -> int:
+NAME = re.compile(r"/?[a-zA-Z][^\s/><]*")
+SPACE = re.compile(r"[\s/]*")
+KEY = re.compile(r"[^\s=/><]+|=")
+EQUALS = re.compile(r"\s*=\s*")
+BARE = re.compile(r"[^\s><]*")
+TELLING = ("class", "id", "role", "style", "hidden", "aria-hidden")
+
+
+class Scanner:
+    """Tags and texts of a page, from left to right. A tag: (name, ends, attributes that tell, self-closed)."""
+
+    def __init__(self, page: str):
+        self.page, self.at = page, 0
+        self.last = {q: page.rfind(q) for q in "\"'"}
+        self.skips: dict[str, dict[int, int]] = {}
+        self.unclosed: set[str] = set()
+
+    def tag(self, start: int) -> tuple[str, bool, dict[str, str], bool, int] | None:
+        """The tag that begins at ``start`` (after its <), and where it ends."""
+        page = self.page
+        m = NAME.match(page, start)
+        if not m:
+            return None
+        name, ends, found, closed, at = m[0].lstrip("/").lower(), m[0][0] == "/", {}, False, m.end()
+        while True:
+            space = SPACE.match(page, at)
+            closed, at = "/" in space[0], space.end()
+            if at >= len(page) or page[at] == "<":  # cut off, or the next tag begins in it
+                return name, ends, found, closed, at
+            if page[at] == ">":
+                return name, ends, found, closed, at + 1
+            key, value = KEY.match(page, at), ""
+            at = key.end()
+            if equals := EQUALS.match(page, at) if key[0] != "=" else None:
+                at = equals.end()
+                quote = page[at : at + 1]
+                if quote and quote in self.last:
+                    if self.last[quote] > at:
+                        end = page.index(quote, at + 1)
+                        value, at = page[at + 1 : end], end + 1
+                    else:  # never closed
+                        end = page.find(">", at)
+                        value, at = page[at + 1 : at + 200], len(page) if end < 0 else end
+                else:
+                    bare = BARE.match(page, at)
+                    value, at = bare[0], bare.end()
+            if key[0].lower() in TELLING:
+                found.setdefault(key[0].lower(), value.lower())
+
+    def skip(self, name: str, after: int) -> int | None:
+        """Where the skipped element whose start tag ends at ``after`` ends; None if it is never closed."""
+        if name in RAW:
+            end = None if name in self.unclosed else re.compile(rf"</{name}(?=[\s/>])", re.IGNORECASE).search(self.page, after)
+            if end is None:
+                self.unclosed.add(name)
+                return len(self.page) if name in ENDLESS else None
+            return self.tag(end.start() + 1)[4]
+        if name not in self.skips:  # pairs of start and end tags, found once
+            pairs, opened = {}, []
+            for m in re.finditer(rf"</?{name}(?=[\s/>])", self.page, re.IGNORECASE):
+                _, ends, _, closed, end = self.tag(m.start() + 1)
+                if ends and opened:
+                    pairs[opened.pop()] = end
+                elif not ends and not closed:
+                    opened.append(end)
+            self.skips[name] = pairs
+        return self.skips[name].get(after)
+
+    def __iter__(self) -> Iterator[str | tuple[str, bool, dict[str, str], bool]]:
+        page, n = self.page, len(self.page)
+        while self.at < n:
+            start = page.find("<", self.at)
+            if start < 0:
+                yield page[self.at :]
+                return
+            if start > self.at:
+                yield page[self.at : start]
+            if page.startswith("<!--", start):
+                end = page.find("-->", start + 4)
+                self.at = n if end < 0 else end + 3
+            elif page[start + 1 : start + 2] in ("!", "?"):
+                end = page.find(">", start)
+                self.at = n if end < 0 else end + 1
+            elif tag := self.tag(start + 1):
+                name, ends, found, closed, self.at = tag
+                if name in SKIPPED:
+                    if not ends and not closed and (end := self.skip(name, self.at)) is not None:
+                        self.at = end
+                else:
+                    yield name, ends, found, closed
+            else:
+                yield "<"
+                self.at = start + 1
+
+
+def _hints(found: dict[str, str]) -> set[str]:
+    return set(re.split(r"[^a-z0-9]+", f"{found.get('class', '')} {found.get('id', '')} {found.get('role', '')}")) if found else set()
+
+
+def _hidden(found: dict[str, str]) -> bool:
+    return bool(found) and ("hidden" in found or found.get("aria-hidden") == "true" or bool(re.search(r"display\s*:\s*none", found.get("style", ""))))
+
+
+def _part(name: str, found: dict[str, str]) -> int:
     """What a container holds: 2 the article, 1 what stands around it, 3 what isn't shown, 0 unknown; -1 as 1, unless it wraps the article."""
-    found = {k.lower(): v.strip("\"'").lower() for k, v in ATTRIBUTE.findall(rest)} if rest.strip() else {}
-    if "hidden" in found or found.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", found.get("style", "")):
+    if _hidden(found):
         return 3
     if name in ("html", "body"):
         return 0
+    hints = _hints(found)
     if name in AROUND:
         return -1 if name == "form" else 1
     if name in ARTICLE:
-        hints = set(re.split(r"[^a-z0-9]+", f"{found.get('class', '')} {found.get('id', '')}"))
-        return 1 if hints & {"comment", "comments", "reply"} else 2
-    hints = set(re.split(r"[^a-z0-9]+", f"{found.get('class', '')} {found.get('id', '')} {found.get('role', '')}"))
+        return 1 if hints & HINTS_COMMENTS else 2
     if around := hints & HINTS_AROUND:
         return -1 if around <= HINTS_LAYOUT else 1
     return 2 if hints & HINTS_ARTICLE else 0
 
 
-def _self_closed(rest: str) -> bool:
-    rest = rest.rstrip()
-    return rest.endswith("/") and not re.search(r"=\s*[^\s\"'=]+/$", rest)
-
-
-def _ends(page: str, name: str) -> dict[int, int]:
-    """Where each skipped element of this name ends, by the end of its start tag. Those never closed are left out."""
-    out, opened = {}, []
-    for m in re.finditer(rf"<(/?){name}(?=[\s/>])((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", page, re.IGNORECASE):
-        if m[1]:
-            if name in RAW:
-                out.update(dict.fromkeys(opened, m.end()))
-                opened.clear()
-            elif opened:
-                out[opened.pop()] = m.end()
-        elif not _self_closed(m[2]):
-            opened.append(m.end())
-    if name in ENDLESS:
-        out.update(dict.fromkeys(opened, len(page)))
-    return out
-
-
-def _tokens(page: str):
-    """Tags and texts outside of skipped elements. A self-closed element has no content, one never closed skips nothing."""
-    at, ends = 0, {}
-    while at is not None:
-        start, at = at, None
-        for m in TOKEN.finditer(page, start):
-            if m["name"] and not m["end"] and (name := m["name"].lower()) in SKIPPED:
-                if name not in ends:
-                    ends[name] = _ends(page, name)
-                if not _self_closed(m["rest"]) and m.end() in ends[name]:
-                    at = ends[name][m.end()]
-                    break
-                continue
-            yield m
+def _dropped(found: dict[str, str]) -> bool:
+    """Whether an element within the text, or a paragraph, is hidden or says that it is none of it."""
+    return bool(found) and (_hidden(found) or bool(_hints(found) & (HINTS_AROUND - HINTS_LAYOUT)))
 
 
-def _resolve(containers: list[tuple[str, int, int, int]], places: list[int], unlinked: list[int]) -> list[int]:
+def _resolve(containers: list[list], places: list[int], unlinked: list[int]) -> list[int]:
     """The part that holds in each container. containers: (name, own part, outer one, end: the first container after it)."""
     words, total = [0] * len(containers), sum(unlinked)
     for place, n in zip(places, unlinked, strict=True):
@@ -139,89 +212,126 @@ def _resolve(containers: list[tuple[str, int, int, int]], places: list[int], unl
 
 
 def blocks(page: str) -> list[tuple[str, tuple[int, float, int, int]]]:
-    """Text and (words, link density, enclosing part, heading) of each flat block. Part: 2 article, 1 around it, 0 unknown."""
-    found: list = []  # text, words, linked words, heading
+    """Text and (words, link density, part, heading) of each flat block. Part: 2 article, 1 around it, 0 unknown."""
+    found: list = []  # text, words, linked words, heading, whether it is left out
     places: list[int] = []  # the innermost container of each
     containers: list[list] = []
     stack: list[int] = []
+    comments: list[int] = []  # depths of containers whose rest is comments
     text: list[str] = []
     linked: list[str] = []
-    in_link, heading = False, 0
+    inline: list[str] = []  # open elements within the text that are left out
+    in_link, heading, says, left_out = False, 0, False, False
 
     def close() -> None:
+        inline.clear()
         if text:
             words = html.unescape("".join(text)).split()
             if words:
-                own = len(html.unescape("".join(linked)).split()) if linked else 0
-                found.append((" ".join(words), len(words), own, heading))
+                own, joined = len(html.unescape("".join(linked)).split()) if linked else 0, " ".join(words)
+                if heading and (says or len(joined) < 60 and COMMENTS.fullmatch(joined)):
+                    comments.append(len(stack))
+                found.append((joined, len(words), own, heading, left_out or bool(comments)))
                 places.append(stack[-1] if stack else -1)
             text.clear()
             linked.clear()
 
-    for m in _tokens(page):
-        piece = m["text"]
-        if piece is not None:
-            text.append(piece)
-            if in_link:
-                linked.append(piece)
-            continue
-        name = (m["name"] or "").lower()
-        if not name:
+    for token in Scanner(page):
+        if isinstance(token, str):
+            if not inline:
+                text.append(token)
+                if in_link:
+                    linked.append(token)
             continue
+        name, ends, told, closed = token
         if name == "br":
             text.append(" ")
             if in_link:
                 linked.append(" ")
-        elif name == "a":
-            in_link = not m["end"]
-        elif name in BLOCKS:
-            close()
-            if name in HEADINGS:
-                heading = 0 if m["end"] else 1
-            elif name == "p" or name == "hr":
-                heading = 0
-            elif m["end"]:
-                for k in range(len(stack) - 1, -1, -1):
-                    if containers[stack[k]][0] == name:
-                        for x in stack[k:]:
-                            containers[x][3] = len(containers)
-                        del stack[k:]
-                        break
-            elif not m["rest"].rstrip().endswith("/"):
-                containers.append([name, _part(name, m["rest"]), stack[-1] if stack else -1, 1 << 60])
-                stack.append(len(containers) - 1)
+            continue
+        if name not in BLOCKS:
+            if name == "a":
+                in_link = not ends
+            if inline and ends and name == inline[-1]:
+                inline.pop()
+            elif not ends and not closed and name not in VOID and (inline and name == inline[-1] or _dropped(told)):
+                inline.append(name)
+            continue
+        close()
+        left_out = False
+        if name in HEADINGS:
+            heading, says = 0 if ends else 1, not ends and bool(_hints(told) & HINTS_COMMENTS)
+            left_out = not ends and not says and _dropped(told)
+        elif name == "p" or name == "hr":
+            heading, left_out = 0, not ends and _dropped(told)
+        elif ends:
+            for k in range(len(stack) - 1, -1, -1):
+                if containers[stack[k]][0] == name:
+                    for x in stack[k:]:
+                        containers[x][3] = len(containers)
+                    del stack[k:]
+                    while comments and comments[-1] > len(stack):
+                        comments.pop()
+                    break
+        elif not closed:
+            if name in ("li", "dt", "dd", "tr", "td", "th", "option") and stack and containers[stack[-1]][0] == name:  # ends the one before it
+                containers[stack.pop()][3] = len(containers)
+            containers.append([name, _part(name, told), stack[-1] if stack else -1, 1 << 60])
+            stack.append(len(containers) - 1)
     close()
-    parts = _resolve(containers, places, [max(0, n - own) for _, n, own, _ in found])
-    held = [parts[k] if k >= 0 else 0 for k in places]
-    return [(t, (n, min(1.0, own / n), part, head)) for (t, n, own, head), part in zip(found, held, strict=True) if part != 3]
+    parts = _resolve(containers, places, [max(0, n - own) for _, n, own, _, _ in found])
+    held = [1 if out else parts[k] if k >= 0 else 0 for k, (_, _, _, _, out) in zip(places, found, strict=True)]
+    return [(t, (n, min(1.0, own / n), part, head)) for (t, n, own, head, _), part in zip(found, held, strict=True) if part != 3]
 
 
 def features(own: list[tuple[int, float, int, int]]) -> np.ndarray:
-    """Words, link density, part and heading of each block; words, link density and part of the one before and after."""
+    """Of each block: words, link density, heading; words and link density of the one before and the one after; its place:
+    1 inside an article, -1 outside on a page that has one, 0 on a page without."""
     a = np.array(own, dtype=np.float64).reshape(-1, 4)
-    edge = np.array([[0, 0, 0]])
-    around = a[:, :3]
-    return np.hstack([a, np.vstack([edge, around[:-1]]), np.vstack([around[1:], edge])]) if len(a) else np.zeros((0, 10))
+    if not len(a):
+        return np.zeros((0, 8))
+    edge, around = np.zeros((1, 2)), a[:, :2]
+    inside = a[:, 2] == 2
+    place = np.where(inside, 1.0, -1.0 if inside.any() else 0.0)
+    return np.hstack([around, a[:, 3:], np.vstack([edge, around[:-1]]), np.vstack([around[1:], edge]), place[:, None]])
 
 
-# A small labelled table. Each block of these pages begins with its label, + main text or - not.
+FEATURES = ("words", "link density", "heading", "words before", "link density before", "words after", "link density after", "place")
+# A small labelled table. Each block of these pages begins with its label, + main text or - not. On most of
+# them containers tell nothing, so that words and links have to.
 LABELLED = (
     '<body><header><h1>- The Daily</h1><p>- News you can use every day of the week</p></header><nav><ul><li><a>- Home</a><li><a>- World</a><li><a>- Sport</a></ul></nav><article><h1>+ A bridge reopens</h1><p>+ After two years of work the old bridge over the river carries traffic again, the council said.<p>+ Yes.<p>+ Drivers had waited for it since the spring flood, which took away one of its piers and part of the road.</article><footer>- Copyright by the publisher, all rights reserved, no part may be copied in any form</footer></body>',
-    '<body><div class="menu"><a>- Start</a></div><div class="cookie-notice"><p>- We use cookies to give you the best experience on this site, read more in our policy.</div><div class="content"><h2>+ Soup for cold days</h2><p>+ Cut the onions, the carrots and the leek in small pieces and let them sweat in butter for ten minutes.<ul><li>+ two onions<li>+ three carrots</ul><p>+ Serve hot.</div><div class="sidebar"><p>- Our cook has written nine books about soups and stews, which you can order here.<p><a>- Order now</a></div></body>',
-    '<body><nav><a>- One</a> <a>- Two</a></nav><main><p>+ It rained.<p>+ The match was called off after an hour, when the pitch stood under water and the light had gone.<p><a>+ The club says in a statement</a> that tickets stay valid for the next date, which will be named on Monday.</p><aside><p>- Read also: ten matches that ended in the rain and how the players saw them</aside><p>+ Both teams agreed.</main><div class="ad">- Buy shoes for every weather at half the price this week only</div><section id="comments"><h3>- Comments</h3><p>- I was there and the rain was not that bad, they could have played on.<p>- Agreed.</section></body>',
-    '<body><h1>+ Notes on walls</h1><p>+ A dry stone wall is built without mortar from stones that are chosen for their fit.<p>+ Rest.<p>+ It stands because of its weight and because of the friction between the stones, and it can last for centuries.<ul><li><a>- Next page</a><li><a>- Last page</a></ul><form><p>- Your name and your message to the author of these notes</form></body>',
+    '<body><main><p>+ It rained.<p>+ The match was called off after an hour, when the pitch stood under water and the light had gone.<p><a>+ The club says in a statement</a> that tickets stay valid for the next date, which will be named on Monday.</p><p><a>- Ten matches that ended in the rain</a><p>+ Both teams agreed.<ul><li><a>- Table of the league</a><li><a>- All results</a></ul></main><div>- Buy shoes for every weather at half the price this week only</div></body>',
+    '<body><article><p>+ Be.<p>+ Er.</article><div>- Site name. Some words that follow it here.</div></body>',
+    '<body><article><header><h1>+ On keeping bees</h1></header><p>+ Bees need flowers, water and a dry place, and they need to be left alone for most of the year.<blockquote>+ A hive is not a pet.</blockquote><table><tr><td>+ May<td>+ swarms</table><p>+ In the autumn the keeper takes the honey and gives them sugar for the winter months.<p><a>- More on bees</a></article><div>- Contact us <a>- Imprint</a></div></body>',
+    '<body><h1>+ Notes on walls</h1><p>+ A dry stone wall is built without mortar from stones that are chosen for their fit.<p>+ Rest.<p>+ It stands because of its weight and because of the friction between the stones, and it can last for centuries.<ul><li><a>- Next page</a><li><a>- Last page</a></ul></body>',
     '<body><div><a>- Home</a> | <a>- Shop</a> | <a>- About</a></div><div><p>+ We walked along the coast for three days, slept in the open and met hardly anyone on the way.</div><div><p>+ On the last evening the wind turned and we saw the islands far out in the sun.<p>+ We stayed.</div><div><a>- Older posts</a></div><div>- Powered by software</div></body>',
-    '<body><article><header><h1>+ On keeping bees</h1></header><p>+ Bees need flowers, water and a dry place, and they need to be left alone for most of the year.<blockquote>+ A hive is not a pet.</blockquote><table><tr><td>+ May<td>+ swarms</table><p>+ In the autumn the keeper takes the honey and gives them sugar for the winter months.</article><footer><p>- Contact us <a>- Imprint</a></footer></body>',
-    '<body><div id="banner">- Advertisement: save on your insurance today with just one call to our friendly team</div><div class="breadcrumb"><a>- News</a></div><div class="post"><p>+ The library will close for a week in June, so that the new shelves can be put up.<p>+ Loans are extended.</div><div class="related"><h4>- More on this</h4><a>- Library gets new shelves and a reading room for children</a></div><div class="newsletter">- Subscribe to our letter and never miss a story again, you can leave any time</div></body>',
     '<body><p>+ Short page with one paragraph that tells all there is to tell about its matter.</body>',
     '<body><ul><li><a>- A</a><li><a>- B</a><li><a>- C</a><li><a>- D and more</a></ul><p>- Login</p></body>',
-    '<body><div class="promo">- Two for one, today and tomorrow.</div><article><p>+ The tower was built as a landmark for ships in the days when there were no lights along this part of the coast.<p>+ It fell in a storm.</article><div class="share">- Share this story.</div><div class="comments"><p>- My father painted it many times, and I have three of his pictures on the wall of my room.</div></body>',
-    '<body><nav>- Skip to the text.</nav><p>+ All the same, the farmers kept the old kinds of wheat, because they stand better in wind and rain.<p>+ Not all.</p><aside>- Wheat is grass.</aside><p>+ In dry years these kinds bear more than the new ones, which were bred for rich and well watered soil.</body>',
-    '<body><div class="ad">- Sold out.</div><article><p>+ Be.<p>+ Er.</article><footer>- Site name. Some words that follow it here.</footer></body>',
+    '<body><div><a>- News</a> <a>- Weather</a> <a>- Traffic</a></div><div>- Search</div><div><a>- Sign in</a></div><div><h2>+ Harbour closed by fog</h2></div><div>+ No ship has left the harbour since Sunday, and none is expected before the end of the week, the master said.</div><div>+ Fishermen stay at home.</div><div>+ Fog of this kind comes up the estuary when warm air lies over cold water for some days without wind.</div><div><a>- Fog in the north</a></div><div><a>- Ships and their names</a></div><div>- About us</div><div><a>- Terms</a> <a>- Privacy</a></div></body>',
+    '<body><table><tr><td><a>- Index</a><td><a>- Back</a></table><p>- Page 3 of 7</p><p><a>- Next</a></p><p>+ The road to the pass was opened in the summer of that year, and the first coach went over it in the autumn.<p>+ It took two days.<p>+ Travellers spent the night in a hut below the top, which the keeper heated with peat that had to be carried up.<p><a>- Next</a><p>- Page 3 of 7<p><a>- Index</a></body>',
+    '<body><div><a>- All recipes</a></div><div>- Serves four</div><div><a>- Print</a></div><h2>+ Soup for cold days</h2><div>+ Cut the onions, the carrots and the leek in small pieces and let them sweat in butter for ten minutes.</div><div>+ Two onions</div><div>+ Three carrots</div><div>+ Pour on the broth, let the soup boil for half an hour and rub it through a sieve before the cream goes in.</div><div>+ Serve hot.</div><div><a>- Stews</a> <a>- Breads</a> <a>- Cakes</a></div><div>- Our cook writes</div><div><a>- Order the book</a></div></body>',
+    '<body><div>- Monday edition</div><div><a>- Politics</a> <a>- Money</a> <a>- Culture</a></div><h1>+ Library gets new shelves</h1><p>+ The library will close for a week in June, so that the new shelves can be put up and the floor can be mended.<p>+ Loans are extended.<p>+ The reading room for children, which the town had planned for years, will open at the same time in the old hall.<p><a>- Towns that read</a><p>- Share<p><a>- Save</a> <a>- Send</a></body>',
+    '<body><p><a>- Start</a> / <a>- Garden</a> / <a>- Trees</a><p>+ Plant a pear tree in late autumn, when its leaves have fallen and the soil is still warm from the summer.<p>+ Dig deep.<p>+ Water it well in the first two years and keep the grass away from its foot, as it takes what the roots need.<p><a>- Apples</a><p><a>- Plums</a><p>- Last changed in May<p><a>- Contact</a></body>',
+    '<body><div><a>- Forum</a></div><div><a>- Rules</a></div><div>- Welcome</div><div><a>- Register</a></div><div><a>- Log in</a></div><div>- Advertisement</div><div><a>- Rent a boat</a></div></body>',
+    '<body><p>+ All the same, the farmers kept the old kinds of wheat, because they stand better in wind and rain.<p>+ Not all.<p>+ In dry years these kinds bear more than the new ones, which were bred for rich and well watered soil.<p>+ Some mills pay more for them.</body>',
+    '<body><ul><li><a>- Trains</a><li><a>- Buses</a></ul><h3>+ Timetables</h3><p>+ From the tenth of December on the early train leaves at six and stops at all stations up to the border.<p>+ The <a>+ list of stations</a> hangs in the hall, and the guard knows which doors open on short platforms.<p><a>- Fares</a> <a>- Lost things</a><p>- Have a good trip</body>',
+    '<body><div><a>- Up</a></div><p>+ Snow.<p>+ In the mountains the snow lay so deep that the post came on skis, and the school was shut until the thaw.<p><a>- Down</a><p>- Visitors so far<p><a>- Count</a></body>',
+    '<body><p><a>- Home</a><h2>+ Moths</h2><p>+ A lamp behind a white sheet brings them in, some from far away, and by midnight the sheet is full of them.<p>+ They fly at night.<p>+ Most kinds that come to the light in spring are brown or grey, and it takes a good book to tell them apart.<p><a>- Moths by name</a><p>- Made with care<p><a>- Mail</a></body>',
+    '<body><p>- Menu<p><a>- Prices</a><p>+ The inn has stood at the ford since the days of the salt carts, and its cellar is older than the house above it.<p>- Top<p><a>- Rooms</a><p>- Menu<p><a>- Wines</a></body>',
+    '<body><div>- Thursday</div><div>- Local</div><div><a>- Sport</a></div><div>+ The town band played in the square until the rain came, and then it played on under the roof of the market hall.</div><div>+ Bravo.</div><div>+ Next year it will be a hundred years old, and the mayor has promised a new set of drums for the feast.</div><div><a>- Bands</a></div><div>- Local</div></body>',
+    '<body><div>- Travel now and pay in the autumn: ten nights by the sea for the price of seven, with all meals and the ferry</div><article><h1>+ A dry well</h1><p>+ The well behind the church had never failed before, and the oldest people could not remember a summer like it.<p>+ It rained at last.<p>+ In October the water came back as clear as it had always been, and nobody has found out where it had gone.</article><div>- All that stands here was looked up with care, but nobody can be held to it, and we do not answer for other sites</div></body>',
+    '<body><div>- Ask our experts</div><div>- They know the answer to all that you ever wanted to know about your house, your car and your taxes</div><main><h2>+ Owls</h2><p>+ An owl hears a mouse under the snow.<p>+ Its face gathers the sound as a dish does, and one of its ears stands higher than the other one.</main><div>- Our shop has lamps, clocks and cups with owls on them that you will find nowhere else in the whole country</div></body>',
 )
 
 
-def grow(x: np.ndarray, y: np.ndarray, depth: int = 6) -> tuple | float:
+#: Least rows on either side of a split.
+LEAF = 6
+#: Factors by which the words of a labelled page are told again: any for pages with an article, near ones for others.
+MARKED, PLAIN = (0.1, 0.3, 1, 3, 10), (0.7, 1, 1.5)
+
+
+def grow(x: np.ndarray, y: np.ndarray, depth: int = 7) -> tuple | float:
     """A decision tree by Gini impurity: (feature, threshold, low, high) or the part of label 1."""
     if depth == 0 or y.min() == y.max():
         return float(y.mean())
@@ -230,6 +340,8 @@ def grow(x: np.ndarray, y: np.ndarray, depth: int = 6) -> tuple | float:
         values = np.unique(x[:, f])
         for cut in (values[1:] + values[:-1]) / 2:
             low = x[:, f] <= cut
+            if min(low.sum(), (~low).sum()) < LEAF:
+                continue
             gini = sum(part.size * part.mean() * (1 - part.mean()) for part in (y[low], y[~low]))
             if best is None or gini < best[0] - 1e-12:
                 best = (gini, f, float(cut))
@@ -244,8 +356,13 @@ def tree() -> tuple | float:
     rows, labels = [], []
     for page in LABELLED:
         found = blocks(page)
-        rows.append(features([f for _, f in found]))
-        labels += [t.startswith("+") for t, _ in found]
+        judged = [part != 1 for _, (_, _, part, _) in found]  # the tree sees what the markup doesn't tell
+        own = features([f for _, f in found])
+        for factor in MARKED if own[0, -1] else PLAIN:
+            told = own.copy()
+            told[:, [0, 3, 5]] = np.ceil(told[:, [0, 3, 5]] * factor)
+            rows.append(told[judged])
+            labels += [t.startswith("+") for (t, _), own_part in zip(found, judged, strict=True) if own_part]
     return grow(np.vstack(rows), np.array(labels, dtype=np.float64))
 
 
@@ -258,7 +375,7 @@ def decide(node: tuple | float, row: np.ndarray) -> bool:
 def main_text(page: str | None) -> str:
     found = blocks(page or "")
     rows, grown = features([f for _, f in found]), tree()
-    return " ".join(t for (t, _), row in zip(found, rows, strict=True) if decide(grown, row))
+    return " ".join(t for (t, (_, _, part, _)), row in zip(found, rows, strict=True) if part != 1 and decide(grown, row))
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -314,6 +314,102 @@ def test_html_loses_no_article(page):
     assert html_extract.main_text(page) == MAIN
 
 
+AD = "Buy our shoes now, for every weather and at half the price, this week only in all our shops"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<body>{NAV}<article>{ARTICLE}<p class='advert'>{AD}</p></article></body>",
+        f"<body>{NAV}<article><p hidden>{AD}</p>{ARTICLE}</article></body>",
+        f"<body>{NAV}<article>{ARTICLE}<span hidden>{AD}</span></article></body>",
+        f"<body>{NAV}<article>{ARTICLE}<span class=ad>Ad: <span>{AD}</span>!</span></article></body>",
+        f"<body>{NAV}<article>{ARTICLE}<p aria-hidden=true>{AD}</p><p style='display: none'>{AD}</article></body>",
+        f"<body>{NAV}<div class='entry'>{ARTICLE}<h3 class='comments'>Reader comments</h3><p>Nice read, I liked it very much, thank you all for that.</div></body>",
+        f"<body>{NAV}<div>{ARTICLE}<h3>12 Comments</h3><p>Nice read, I liked it very much, thank you all for that.</div></body>",
+        f"<body>{NAV}<div>{AD}</div><article>{ARTICLE}</article></body>",
+        f"<body>{NAV}<article>{ARTICLE}</article><p title='never closed>{AD}</body>",
+        f"<body>{NAV}<article class=\"x>{ARTICLE}</article></body>",
+        f"<body><p><a>Home</a> <a>News</a></p><div>{ARTICLE}</div><p><a>Next</a><p>Visitors: 12<p><a>Mail</a></body>",
+    ],
+)
+def test_html_leaves_out_what_is_no_article(page):
+    assert html_extract.main_text(page) == MAIN
+
+
+@pytest.mark.parametrize("page", ["<a " * 350_000, '<a x="' * 170_000, "<iframe>" * 130_000, "<svg>" * 200_000, "<p <p " * 170_000, "<span hidden>" * 80_000, '<p class="a' * 100_000, "&am;" * 250_000, "<" * 1_000_000])
+def test_html_takes_time_in_proportion(page):
+    import time
+
+    begun = time.process_time()
+    html_extract.main_text(page)
+    assert time.process_time() - begun < 10  # some 0.5 s on a machine at rest; the quadratic reader took hours
+
+
+def test_html_tree_judges_by_words_and_links_of_neighbours():
+    used = set()
+
+    def walk(node):
+        if isinstance(node, tuple):
+            used.add(html_extract.FEATURES[node[0]])
+            walk(node[2])
+            walk(node[3])
+
+    walk(html_extract.tree())
+    assert html_extract.FEATURES[html_extract.tree()[0]] == "link density"
+    assert used >= {"words", "link density", "words before", "link density before", "words after", "link density after"}
+
+
+def plain_blocks(page: str) -> list[str]:
+    """Blocks by the standard library's parser."""
+    from html.parser import HTMLParser
+
+    out: list[list[str]] = [[]]
+
+    class Reader(HTMLParser):
+        skipping = 0
+
+        def handle_starttag(self, tag, attrs):
+            self.skipping += tag in ("script", "style")
+            if tag in html_extract.BLOCKS:
+                out.append([])
+            elif tag == "br":
+                out[-1].append(" ")
+
+        def handle_endtag(self, tag):
+            self.skipping -= tag in ("script", "style")
+            if tag in html_extract.BLOCKS:
+                out.append([])
+
+        def handle_data(self, data):
+            if not self.skipping:
+                out[-1].append(data)
+
+    reader = Reader()
+    reader.feed(page)
+    reader.close()
+    return [" ".join(t.split()) for t in map("".join, out) if t.split()]
+
+
+def test_html_blocks_by_another_parser():
+    g = random.Random(11)
+    texts = ["one two", "a &amp; b", "&#65;&eacute;", " ", "x&nbsp;y", "1 < 2 ", "\n\t", "z"]
+
+    def make(depth):
+        out = ""
+        for _ in range(g.randrange(1, 5)):
+            kind = g.choice(["text", "div", "p", "b", "ul", "br", "comment", "script", "quoted"])
+            inner = make(depth - 1) if depth else g.choice(texts)
+            out += {"text": g.choice(texts), "div": f"<div data-x=1>{inner}</div>", "p": f"<p>{g.choice(texts)}</p>", "b": f"<b>{g.choice(texts)}</b>", "ul": f"<ul><li>{g.choice(texts)}</li><li>{inner}</li></ul>", "br": "<br/>"}.get(
+                kind, {"comment": "<!-- <p>no</p> -->", "script": "<script>var a = '<p>';</script>", "quoted": "<i title='a > b' lang=\"<p>\">q</i>"}.get(kind, "")
+            )
+        return out
+
+    for _ in range(300):
+        page = f"<body>{make(3)}</body>"
+        assert [t for t, _ in html_extract.blocks(page)] == plain_blocks(page), page
+
+
 def test_html_on_the_tables(spark, sf_dir):
     import html as unescape
     import re
