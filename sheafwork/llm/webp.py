@@ -3,14 +3,19 @@
 The reader decodes every part of a lossless stream: simple and normal prefix codes, several code groups, literals,
 back-references with the plane-distance codes, the colour cache, and the four transforms (predictor, cross-colour,
 subtract-green, palette with pixel bundling). Streams of literals under one group of codes, as the writer makes
-them, take a path without a loop over pixels: the symbol and length that would begin at every bit are looked up at
-once, and the chain of pixel starts is followed by doubling jumps. All others take the plain path.
+them for most texts, take a path without a loop over pixels: the symbol and length that would begin at every bit of a
+portion are looked up at once, and the chain of pixel starts is followed by doubling jumps. All others take the plain
+path.
 
 The writer lays bytes out as opaque RGB pixels, ``UNIT`` bytes (64 pixels) to a row or a multiple of that, with
-prefix codes made from the bytes' counts; images with few colours go through the palette transform.
+prefix codes made from the bytes' counts. Images with few colours go through the palette transform. Others have green
+subtracted, or are predicted by the pixel to the left or above, if that takes fewer bits by their entropy; and where at
+least ``REPEATED`` of the pixels repeat earlier ones, these become back-references. The colour cache and cross-colour
+are read but never written, as reading a cache back is sequential and cross-colour saves nothing on text.
 
 Defined cases of the query: null text counts as empty, and an empty text is stored as one row of spaces; equal
-texts give equal values; texts of any length are stored whole (rows are widened so that no side exceeds 16,384);
+texts give equal values; texts of any length are stored whole (rows are widened so that no side exceeds 16,384), in some 40 bytes of memory a
+byte of text;
 an empty table gives no rows; other columns are ignored.
 """
 
@@ -31,6 +36,12 @@ from sheafwork.llm.common import map_arrow
 UNIT, SIDE = 192, 16384
 #: Longest prefix code that the writer makes.
 LIMIT = 11
+#: Bytes of a stream, or codes, that are looked up or joined at once.
+PORTION = 1 << 15
+#: Pixels of the shortest back-reference, of the longest, and the part that they must cover.
+SHORTEST, FARTHEST, REPEATED = 8, 4096, 0.5
+#: Pixels that a back-reference reaches back at most.
+WITHIN = (1 << 20) - 120
 # Fixed values of the format.
 LENGTH_ORDER = (17, 18, 0, 1, 2, 3, 4, 5, 16, 6, 7, 8, 9, 10, 11, 12, 13, 14, 15)
 LITERALS, LENGTHS, DISTANCES = 256, 24, 40
@@ -50,7 +61,7 @@ class Bits:
 
     def __init__(self, data: bytes):
         self.at, self.end = 0, 8 * len(data)
-        self.data = data + bytes(8)
+        self.data = data + bytes(24)
 
     def peek(self, n: int) -> int:
         byte = self.at >> 3
@@ -188,40 +199,43 @@ def _literals(bits: Bits, codes: list[Code], n: int) -> np.ndarray | None:
     if codes[0].last >= LITERALS:
         return None
     if not any(c.depth for c in codes[:4]):
-        return np.tile(np.array([c.symbols[0] for c in codes[:4]]), (n, 1))
-    first = bits.at >> 3
-    data = np.frombuffer(bits.data, np.uint8)[first:].astype(np.uint32)
-    reach = min(len(data) - 3, (n * sum(c.depth for c in codes[:4]) + 7) // 8 + 8)
-    three = data[:reach] | data[1 : reach + 1] << 8 | data[2 : reach + 2] << 16
+        return np.tile(np.array([c.symbols[0] for c in codes[:4]], dtype=np.uint8), (n, 1))
     deepest = max(c.depth for c in codes[:4])
-    window = (three[:, None] >> np.arange(8, dtype=np.uint32)).ravel() & np.uint32((1 << deepest) - 1)
-    size = len(window)
-    stay = np.arange(size + 64, dtype=np.int32)  # beyond the end a chain stands still
-    lengths: dict[int, np.ndarray] = {}
-    afters, jump = [], stay
-    for code in codes[:4]:
-        if code.depth:
-            if id(code) not in lengths:
-                lengths[id(code)] = stay.copy()
-                lengths[id(code)][:size] += code.lengths[window if code.depth == deepest else window & np.uint32((1 << code.depth) - 1)]
-            jump = lengths[id(code)] if jump is stay else lengths[id(code)][jump]
-        afters.append(jump)
-    starts = np.empty(n, dtype=np.int32)
-    starts[0], done, leap = bits.at & 7, 1, jump
+    longest = sum(c.depth for c in codes[:4])  # bits of a pixel at most
+    out, done = np.empty((n, 4), dtype=np.uint8), 0
+    data = np.frombuffer(bits.data, np.uint8)
     while done < n:
-        more = min(done, n - done)
-        starts[done : done + more] = leap[starts[:more]]
-        done += more
-        if done < n:
+        if bits.at > bits.end:
+            raise ValueError("the stream ends too early")
+        first = bits.at >> 3
+        part = data[first : first + min(PORTION, ((n - done) * longest + 7) // 8 + 12) + 3].astype(np.uint32)
+        three = part[:-2] | part[1:-1] << 8 | part[2:] << 16
+        window = (three[:, None] >> np.arange(8, dtype=np.uint32)).ravel() & np.uint32((1 << deepest) - 1)
+        size = len(window)
+        stay = np.arange(size + 64, dtype=np.int32)  # beyond the end a chain stands still
+        lengths: dict[int, np.ndarray] = {}
+        afters, jump = [], stay
+        for code in codes[:4]:
+            if code.depth:
+                if id(code) not in lengths:
+                    lengths[id(code)] = stay.copy()
+                    lengths[id(code)][:size] += code.lengths[window if code.depth == deepest else window & np.uint32((1 << code.depth) - 1)]
+                jump = lengths[id(code)] if jump is stay else lengths[id(code)][jump]
+            afters.append(jump)
+        starts, leap, limit = np.array([bits.at & 7], dtype=np.int32), jump, size - longest
+        while len(starts) < n - done and starts[-1] <= limit:
+            starts = np.concatenate([starts, leap[starts]])
             leap = leap[leap]
-    end = (first << 3) + int(jump[starts[-1]])
-    if starts[-1] >= size or end > bits.end:
+        starts = starts[: min(n - done, int(np.searchsorted(starts, limit, "right")))]
+        if not len(starts):
+            raise ValueError("the stream ends too early")
+        at = starts
+        for k, code in enumerate(codes[:4]):
+            out[done : done + len(starts), k] = code.symbols[window[at] & np.uint32((1 << code.depth) - 1)] if code.depth else code.symbols[0]
+            at = afters[k][starts]
+        done, bits.at = done + len(starts), (first << 3) + int(jump[starts[-1]])
+    if bits.at > bits.end:
         raise ValueError("the stream ends too early")
-    out, at = np.empty((n, 4), dtype=np.int64), starts
-    for k, code in enumerate(codes[:4]):
-        out[:, k] = code.symbols[window[at] & np.uint32((1 << code.depth) - 1)] if code.depth else code.symbols[0]
-        at = afters[k][starts]
-    bits.at = end
     return out
 
 
@@ -240,7 +254,7 @@ def read_pixels(bits: Bits, width: int, height: int, main: bool) -> np.ndarray:
     if groups == 1:
         fast = _literals(bits, codes[0], n)
         if fast is not None:
-            return fast[:, 3] << 24 | fast[:, 1] << 16 | fast[:, 0] << 8 | fast[:, 2]
+            return np.ascontiguousarray(fast[:, [2, 0, 1, 3]]).view("<u4")[:, 0].astype(np.int64)
     out, stored, noted, k = [0] * n, [0] * (1 << cache_bits), 0, 0
     while k < n:
         group = codes[int(groups_of[(k // width >> group_bits) * across + (k % width >> group_bits)])] if groups_of is not None else codes[0]
@@ -258,9 +272,10 @@ def read_pixels(bits: Bits, width: int, height: int, main: bool) -> np.ndarray:
                 back = max(1, left + up * width)
             if back > k or k + length > n:
                 raise ValueError("a back-reference out of the image")
-            for _ in range(length):
-                out[k] = out[k - back]
-                k += 1
+            while length:
+                some = min(length, back)
+                out[k : k + some] = out[k - back : k - back + some]
+                k, length = k + some, length - some
         else:
             for p in out[noted:k]:
                 stored[(CACHE_FACTOR * p & 0xFFFFFFFF) >> (32 - cache_bits)] = p
@@ -316,6 +331,14 @@ def _predict(mode: int, left, top, corner, right) -> list[int]:
 
 
 def undo_predictor(argb: np.ndarray, width: int, height: int, modes: np.ndarray, size_bits: int) -> np.ndarray:
+    kinds = np.unique(modes >> 8 & 15)
+    if len(kinds) == 1 and kinds[0] in (1, 2):  # by the left or upper pixel alone: running sums
+        planes = _planes(argb).astype(np.uint8).reshape(height, width, 4)
+        planes[0, 0, :1] += 255
+        lead, other = (0, 1) if kinds[0] == 1 else (1, 0)  # the edge that is summed first
+        edge = planes[:, 0] if lead == 0 else planes[0]
+        edge[:] = np.cumsum(edge, axis=0, dtype=np.uint8)
+        return _numbers(np.cumsum(planes, axis=other, dtype=np.uint8).reshape(-1, 4))
     rest, across = _planes(argb).tolist(), -(-width >> size_bits)
     for k in range(width * height):
         y, x = divmod(k, width)
@@ -397,7 +420,7 @@ def decode(data: bytes) -> np.ndarray:
     argb = read_pixels(bits, width, height, True)
     for function, *rest in reversed(undo):
         argb = function(argb, *rest)
-    return _planes(argb).astype(np.uint8)[:, [1, 2, 3, 0]].reshape(height, full, 4)
+    return np.stack([(argb >> k).astype(np.uint8) for k in (16, 8, 0, 24)], axis=-1).reshape(height, full, 4)
 
 
 class Writer:
@@ -408,13 +431,36 @@ class Writer:
 
     def put(self, *pairs: tuple[int, int]) -> None:
         values, lengths = zip(*pairs, strict=True)
-        self.parts.append((np.array(values, dtype=np.int64), np.array(lengths, dtype=np.int64)))
+        self.parts.append((np.array(values, dtype=np.int32), np.array(lengths, dtype=np.int8)))
 
     def bytes(self) -> bytes:
-        values, lengths = (np.concatenate(c) for c in zip(*self.parts, strict=True))
-        begins = np.cumsum(lengths) - lengths
-        bits = (np.repeat(values, lengths) >> (np.arange(lengths.sum()) - np.repeat(begins, lengths))) & 1
-        return np.packbits(bits.astype(np.uint8), bitorder="little").tobytes()
+        """Values, below 2**24 each, are added up in words of 32 bits, some thousand at a time."""
+        total, at = sum(int(n.sum(dtype=np.int64)) for _, n in self.parts), 0
+        words = np.zeros(total // 32 + 3, dtype=np.uint64)
+        for values, lengths in self._portions():
+            ends = at + np.cumsum(lengths, dtype=np.int64)
+            begins = ends - lengths
+            word = begins >> 5
+            shifted = values.astype(np.uint64) << (begins & 31).astype(np.uint64)
+            first = np.flatnonzero(np.diff(word, prepend=-1))
+            words[word[first]] += np.add.reduceat(shifted & np.uint64(0xFFFFFFFF), first)
+            words[word[first] + 1] += np.add.reduceat(shifted >> np.uint64(32), first)
+            at = int(ends[-1])
+        return words.astype("<u4").tobytes()[: (total + 7) // 8]
+
+    def _portions(self):
+        small: list = []
+        for part in self.parts:
+            if len(part[0]) < PORTION:
+                small.append(part)
+                continue
+            if small:
+                yield tuple(np.concatenate(c) for c in zip(*small, strict=True))
+                small = []
+            for k in range(0, len(part[0]), PORTION):
+                yield part[0][k : k + PORTION], part[1][k : k + PORTION]
+        if small:
+            yield tuple(np.concatenate(c) for c in zip(*small, strict=True))
 
 
 def code_lengths(counts: np.ndarray, limit: int = LIMIT) -> np.ndarray:
@@ -484,32 +530,120 @@ def code_bits(lengths: np.ndarray) -> list[tuple[int, int]]:
 def put_pixels(out: Writer, planes: np.ndarray, main: bool) -> None:
     """Literals under one group of codes. planes: pixels x (green, red, blue, alpha)."""
     out.put((0, 1), *[(0, 1)] * main)  # no colour cache, one group of codes
+    varied = [k for k in range(4) if not (planes[:, k] == planes[0, k]).all()]
     shared = None
-    values, sizes = np.zeros(planes.shape, np.int64), np.zeros(planes.shape, np.int64)
-    plain = [k for k in range(4) if (planes[:, k] == planes[0, k]).all()]
-    counts = sum(np.bincount(planes[:, k], minlength=256) for k in range(4) if k not in plain) if len(plain) < 4 else None
+    if varied:
+        lengths = code_lengths(sum(np.bincount(planes[:, k], minlength=256) for k in varied))
+        shared = (canonical(lengths).astype(np.int32), lengths.astype(np.int8), code_bits(lengths))
     for k in range(4):
-        if k in plain:
-            out.put((1, 1), (0, 1), (1, 1), (int(planes[0, k]), 8))
-            continue
-        if shared is None:
-            lengths = code_lengths(counts)
-            shared = (lengths, canonical(lengths), code_bits(lengths))
-        out.put(*shared[2])
-        values[:, k], sizes[:, k] = shared[1][planes[:, k]], shared[0][planes[:, k]]
+        out.put(*(shared[2] if k in varied else [(1, 1), (0, 1), (1, 1), (int(planes[0, k]), 8)]))
     out.put((1, 1), (0, 1), (0, 1), (0, 1))  # no distances
+    if varied:
+        told = planes[:, varied].ravel()
+        out.parts.append((shared[0][told], shared[1][told]))
+
+
+def repeats(pixels: np.ndarray) -> list[tuple[int, int, int]]:
+    """(start, length, distance) of runs of pixels that repeat earlier ones, in order; the last like window is the source."""
+    n = len(pixels)
+    if n < 2 * SHORTEST:
+        return []
+    factor = np.uint64(CACHE_FACTOR * 2 + 1)
+    powers, inverse = (np.cumprod(np.full(n, f, dtype=np.uint64)) for f in (factor, np.uint64(pow(int(factor), -1, 1 << 64))))
+    summed = np.concatenate([np.zeros(1, np.uint64), np.cumsum((pixels.astype(np.uint64) + np.uint64(1)) * powers)])
+    windows = (summed[SHORTEST:] - summed[:-SHORTEST]) * inverse[: n - SHORTEST + 1]
+    order = np.argsort(windows, kind="stable")
+    same = windows[order[1:]] == windows[order[:-1]]
+    source = np.full(len(windows), -1, dtype=np.int64)
+    source[order[1:][same]] = order[:-1][same]
+    source[np.arange(len(source)) - source > WITHIN] = -1
+    starts = np.flatnonzero(source >= 0)
+    if len(starts) + SHORTEST < REPEATED * n:
+        return []
+    found, at = [], 0
+    while (k := int(np.searchsorted(starts, at))) < len(starts):
+        start = int(starts[k])
+        back = start - int(source[start])
+        most = min(FARTHEST, n - start)
+        differ = pixels[start : start + most] != pixels[start - back : start - back + most]
+        length = int(differ.argmax()) if differ.any() else most
+        if length >= SHORTEST:  # windows of like sums that differ are left alone
+            found.append((start, length, back))
+        at = start + max(length, 1)
+    return found if sum(x[1] for x in found) >= REPEATED * n else []
+
+
+def _prefix(value: int) -> tuple[int, int, int]:
+    """A length or distance from 1 on as (prefix symbol, extra bits, their number)."""
+    x = value - 1
+    if x < 4:
+        return x, 0, 0
+    high = x.bit_length() - 1
+    return 2 * high + (x >> (high - 1) & 1), x & ((1 << (high - 1)) - 1), high - 1
+
+
+def put_references(out: Writer, planes: np.ndarray, found: list[tuple[int, int, int]]) -> None:
+    """Literals and back-references under one group of codes, a code for each channel."""
+    literal = np.ones(len(planes), bool)
+    for start, length, _ in found:
+        literal[start : start + length] = False
+    kept = np.flatnonzero(literal)
+    runs = [(_prefix(length), _prefix(back + 120)) for _, length, back in found]  # distances of 120 and less name near pixels
+    counts = [np.bincount(planes[kept, k], minlength=256) for k in range(4)]
+    counts[0] = np.concatenate([counts[0], np.bincount([r[0][0] for r in runs], minlength=LENGTHS)])
+    counts.append(np.bincount([r[1][0] for r in runs], minlength=DISTANCES))
+    out.put((0, 1), (0, 1))
+    codes = []
+    for own in counts:
+        lengths = code_lengths(own)
+        out.put(*code_bits(lengths))
+        alone = np.count_nonzero(lengths) < 2  # one symbol takes no bits
+        codes.append((canonical(lengths) * (not alone), lengths * (not alone)))
+    # Four fields a literal, four a reference: length, its extra bits, distance, its extra bits.
+    values, sizes = (np.zeros((len(kept) + len(found), 4), dtype=kind) for kind in (np.int32, np.int8))
+    starts = np.array([x[0] for x in found], dtype=np.int64)
+    place = np.searchsorted(kept, starts) + np.arange(len(found))
+    is_literal = np.ones(len(values), bool)
+    is_literal[place] = False
+    for k in range(4):
+        told = planes[kept, k].astype(np.int64)
+        values[is_literal, k], sizes[is_literal, k] = codes[k][0][told], codes[k][1][told]
+    for row, (length, back) in zip(place.tolist(), runs, strict=True):
+        green, distance = LITERALS + length[0], back[0]
+        values[row] = codes[0][0][green], length[1], codes[4][0][distance], back[1]
+        sizes[row] = codes[0][1][green], length[2], codes[4][1][distance], back[2]
     out.parts.append((values.ravel(), sizes.ravel()))
 
 
+def _bits(samples: np.ndarray) -> float:
+    """Bits of the samples under one code, by their entropy."""
+    counts = np.bincount(samples.ravel(), minlength=256)
+    counts = counts[counts > 0]
+    return float((counts * np.log2(counts.sum() / counts)).sum())
+
+
+def _residuals(rgb: np.ndarray, mode: int) -> np.ndarray:
+    """What the prediction by the left (1) or the upper (2) pixel leaves; edges have but one neighbour."""
+    out = rgb.copy()
+    if mode == 1:
+        out[:, 1:] -= rgb[:, :-1]
+        out[1:, 0] -= rgb[:-1, 0]
+    else:
+        out[1:] -= rgb[:-1]
+        out[0, 1:] -= rgb[0, :-1]
+    return out
+
+
 def encode(rgb: np.ndarray) -> bytes:
-    """Opaque pixels (height x width x 3) as a lossless WebP file."""
+    """Opaque pixels (height x width x 3, bytes) as a lossless WebP file."""
+    rgb = np.ascontiguousarray(rgb, dtype=np.uint8)
     height, width = rgb.shape[:2]
-    flat = rgb.reshape(-1, 3).astype(np.int64)
+    n, flat = height * width, rgb.reshape(-1, 3)
     out = Writer()
     out.put((0x2F, 8), (width - 1, 14), (height - 1, 14), (0, 1), (0, 3))
-    alpha = np.full(len(flat), 255)
-    colours, index = np.unique(flat[:, 0] << 16 | flat[:, 1] << 8 | flat[:, 2], return_inverse=True) if len(flat) <= 4096 else (alpha, None)
-    if index is not None and len(colours) <= min(256, max(1, len(flat) // 3)):
+    numbers = flat[:, 0].astype(np.int64) << 16 | flat[:, 1].astype(np.int64) << 8 | flat[:, 2]
+    colours, index = np.unique(numbers, return_inverse=True) if n <= 4096 else (numbers, None)
+    if index is not None and len(colours) <= min(256, max(1, n // 3)):
         packed = 3 if len(colours) <= 2 else 2 if len(colours) <= 4 else 1 if len(colours) <= 16 else 0
         out.put((1, 1), (PALETTE, 2), (len(colours) - 1, 8))
         table = _planes(colours | 255 << 24)
@@ -521,9 +655,24 @@ def encode(rgb: np.ndarray) -> bytes:
         rows[:, :width] = index.reshape(height, width)
         green = (rows.reshape(height, -1, per) << (each * np.arange(per))).sum(axis=2).ravel()
         put_pixels(out, np.stack([green, green * 0, green * 0, green * 0 + 255], axis=1), True)
+    elif found := repeats(numbers):
+        out.put((0, 1))
+        put_references(out, np.column_stack([flat[:, [1, 0, 2]], np.full(n, 255, np.uint8)]), found)
     else:
+        less = flat.copy()
+        less[:, [0, 2]] -= flat[:, [1]]
+        forms = {None: flat, "green": less, 1: _residuals(rgb, 1).reshape(-1, 3), 2: _residuals(rgb, 2).reshape(-1, 3)}
+        kind = min(forms, key=lambda k: _bits(forms[k]) + (k is not None) * 64)
+        alpha = 255
+        if kind == "green":
+            out.put((1, 1), (SUBTRACT_GREEN, 2))
+        elif kind is not None:
+            size_bits, alpha = 9, 0
+            tiles = -(-width >> size_bits) * -(-height >> size_bits)
+            out.put((1, 1), (PREDICTOR, 2), (size_bits - 2, 3))
+            put_pixels(out, np.tile(np.array([[kind, 0, 0, 255]], np.uint8), (tiles, 1)), False)
         out.put((0, 1))
-        put_pixels(out, np.stack([flat[:, 1], flat[:, 0], flat[:, 2], alpha], axis=1), True)
+        put_pixels(out, np.column_stack([forms[kind][:, [1, 0, 2]], np.full(n, alpha, np.uint8)]), True)
     data = out.bytes()
     chunk = b"VP8L" + len(data).to_bytes(4, "little") + data + b"\0" * (len(data) % 2)
     return b"RIFF" + (4 + len(chunk)).to_bytes(4, "little") + b"WEBP" + chunk

@@ -770,6 +770,57 @@ def test_webp_references_and_cache():
     assert webp.plane_distances()[:4] == [(0, 1), (1, 0), (1, 1), (-1, 1)] and len(webp.plane_distances()) == 120
 
 
+def coded(data: bytes) -> set[str]:
+    """What the main image of a file is coded with."""
+    bits, found = webp.Bits(webp._chunk(data)), set()
+    bits.skip(40)
+    while bits.read(1):
+        kind = bits.read(2)
+        found.add(("predictor", "cross", "green", "palette")[kind])
+        if kind == webp.PREDICTOR:
+            bits.read(3)
+            webp.read_pixels(bits, 1, 1, False)
+        elif kind == webp.PALETTE:
+            webp.read_pixels(bits, bits.read(8) + 1, 1, False)
+    bits.skip(2)
+    return found | ({"references"} if webp.read_codes(bits, (280, 256, 256, 256, 40))[0].last >= 256 else set())
+
+
+def test_webp_writer_chooses_what_saves_bytes():
+    g = np.random.default_rng(8)
+    noise = g.integers(0, 256, (20, 64, 3), dtype=np.uint8)
+    grey = np.repeat(g.integers(0, 256, (90, 64, 1), dtype=np.uint8), 3, axis=2) + g.integers(0, 3, (90, 64, 3), dtype=np.uint8)
+    right = np.cumsum(g.integers(0, 3, (90, 64, 3), dtype=np.uint8), axis=1, dtype=np.uint8)
+    down = np.cumsum(g.integers(0, 3, (90, 64, 3), dtype=np.uint8), axis=0, dtype=np.uint8)
+    copies = np.concatenate([noise, g.integers(0, 256, (3, 64, 3), dtype=np.uint8), noise, noise[5:], noise])
+    far = np.concatenate([noise, np.zeros((16384 - 60, 64, 3), np.uint8), noise, noise])
+    for pixels, want in ((noise, set()), (grey, {"green"}), (right, {"predictor"}), (down, {"predictor"}), (copies, {"references"}), (far, {"references"})):
+        data = webp.encode(pixels)
+        assert coded(data) == want
+        assert (webp.decode(data)[:, :, :3] == pixels).all()
+
+
+@pytest.mark.parametrize("portion", [16, 100, 1 << 15])
+def test_webp_in_portions(portion, monkeypatch):
+    monkeypatch.setattr(webp, "PORTION", portion)
+    g = np.random.default_rng(portion)
+    for text in ("word " * 700, "".join(chr(97 + int(k)) for k in g.integers(0, 26, 5000)), "é\n" * 999 + "z"):
+        data, _ = webp.payload(text)
+        assert webp.restore(webp.decode(webp.store(data)), len(data)) == data
+
+
+def test_media_memory_of_a_long_text():
+    """Some 40 bytes a byte of text."""
+    import tracemalloc
+
+    data = np.random.default_rng(0).integers(97, 123, 3_000_000, dtype=np.uint8).tobytes()
+    tracemalloc.start()
+    pixels = webp.decode(webp.store(data))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert webp.restore(pixels, len(data)) == data and peak < 45 * len(data)
+
+
 def test_webp_rejects_broken_streams():
     data = webp.encode(np.arange(64 * 30 * 3, dtype=np.uint8).reshape(30, 64, 3))
     for broken in (b"", b"RIFF", data[: len(data) // 2]):
