@@ -1,15 +1,19 @@
 """Exact top-k by inner product over integer vectors: norm-bucketed retrieval.
 
 Vectors are grouped into buckets by length (norm), cut at quantiles, longest first; a bucket is dealt into chunks
-of at most ``CHUNK`` vectors and the queries into blocks of at most ``BLOCK``. First every query meets the first
-chunk of the longest bucket, whose k-th product is a threshold. Then every block meets every other chunk. From the
-threshold, the query's norm and the chunk's longest vector follow the cosine that a vector there must reach: above
-1 the chunk is skipped; at ``STEEP`` or more, coordinate pruning keeps the vectors whose value at the query's
-strongest coordinates lies in the interval which that cosine allows; otherwise length pruning keeps those long
+of some ``CHUNK`` vectors. First every query meets the first chunk of the longest bucket, whose k-th product is a
+threshold; divided by the query's norm, it is the least length of a vector that may still count. The queries are then
+dealt into blocks of some ``BLOCK`` with like least lengths. Which blocks meet which buckets is decided before any
+vector moves: a bucket whose longest vector is too short for all queries of a block is never sent there.
+
+In a meeting, the threshold, the query's norm and the chunk's longest vector give the cosine that a vector there must
+reach: above 1 the chunk is skipped; at ``STEEP`` or more, coordinate pruning keeps the vectors whose value at the
+query's strongest coordinates lies in the interval which that cosine allows; otherwise length pruning keeps those long
 enough. All that is kept is verified by exact products, and each meeting returns at most k rows a query.
 
 Neither vectors nor pairs are collected: blocks and chunks meet in a cogroup, and at most k rows a query and chunk
-go on to the final ranking.
+go on to the final ranking. A row a block and a row a bucket come to the driver. Where all vectors have one length, all
+blocks meet all chunks, and a vector is sent once for every ``BLOCK`` queries.
 
 Defined cases: vectors that are null or hold a null or a non-finite component, and rows without an id, take no part;
 vectors of another dimension than the query's aren't its candidates; rows with the query's own id are left out, other repeated rows
@@ -27,7 +31,7 @@ from pyspark.sql import functions as F
 
 from sheafwork.llm.common import bounded_batches, durable
 
-BUCKETS, CHUNK, BLOCK = 8, 20_000, 2_000
+BUCKETS, CHUNK, BLOCK = 8, 20_000, 8_000
 #: Local cosine threshold from which coordinates prune better than lengths.
 STEEP = 0.6
 #: Coordinates that are looked at.
@@ -111,6 +115,20 @@ def meet(q_ids: np.ndarray, q: np.ndarray, least: np.ndarray, ids: np.ndarray, v
     return out
 
 
+def meetings(longest: dict[int, list[tuple[float, int, int]]], needs: list[tuple[int, int, float]]) -> dict[tuple[int, int], tuple[int, int]]:
+    """By (dimension, bucket), the first and last block that a bucket is sent to, if any.
+
+    longest: (a bucket's longest norm, its number, its chunks) by dimension; needs: (dimension, block, the least norm that
+    one of its queries needs), blocks in ascending order of need.
+    """
+    out: dict[tuple[int, int], tuple[int, int]] = {}
+    for size, block, need in needs:
+        for most, bucket, _ in longest[size]:
+            if most >= need:
+                out[size, bucket] = (out.get((size, bucket), (block,))[0], block)
+    return out
+
+
 def top_k(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: for every row whose id is divisible by ``every``, the k best other rows."""
     bounded_batches(vectors.sparkSession)
@@ -139,10 +157,10 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_i
         return F.create_map(*[x for key, n in values.items() for x in (F.lit(of(key)), F.lit(n))])
 
     name = F.concat_ws(":", F.col("size").cast("string"), F.col("bucket").cast("string"))
-    spread = F.pmod(F.xxhash64("vec_id", "v"), table(chunks, lambda p: f"{p[0]}:{p[1]}")[name]).cast("int")
-    rows = rows.where(F.col("size").isin(list(blocks))).withColumn("chunk", table(first, lambda p: f"{p[0]}:{p[1]}")[name] + spread)
-    queries = queries.withColumn("block", F.pmod(F.xxhash64("vec_id"), table(blocks, int)[F.col("size")]).cast("int"))
-    to_blocks = F.explode(F.sequence(F.lit(0), table(blocks, int)[F.col("size")] - 1)).alias("block")
+    of_bucket = lambda p: f"{p[0]}:{p[1]}"
+    # The row's number spreads rows that repeat; the cut of the lineage keeps it the same in every job.
+    spread = F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), table(chunks, of_bucket)[name]).cast("int")
+    rows = rows.where(F.col("size").isin(list(blocks))).withColumn("chunk", table(first, of_bucket)[name] + spread)
 
     def joined(asked: DataFrame, held: DataFrame) -> DataFrame:
         def run(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -159,13 +177,34 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_i
         return asked.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInArrow(run, "query_id bigint, vec_id bigint, score bigint")
 
     columns = ["size", "block", "chunk", "vec_id", "v"]
-    held = rows.select("size", "chunk", "vec_id", "v", "norm", to_blocks)
-    start = durable(joined(queries.withColumn("chunk", F.lit(0)).withColumn("least", F.lit(float("-inf"))).select(*columns, "least"), held.where("chunk = 0")))
+    own_blocks = table(blocks, int)[F.col("size")]
+    begun = queries.withColumn("block", F.pmod(F.xxhash64("vec_id"), own_blocks).cast("int")).withColumn("chunk", F.lit(0)).withColumn("least", F.lit(float("-inf")))
+    held = rows.select("size", "bucket", "chunk", "vec_id", "v", "norm")
+    start = durable(joined(begun.select(*columns, "least"), held.where("chunk = 0").withColumn("block", F.explode(F.sequence(F.lit(0), own_blocks - 1))).select(*columns, "norm")))
     least = start.groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("score").cast("double")).otherwise(float("-inf")).alias("least"))
     asked = queries.join(least.withColumnRenamed("query_id", "vec_id"), "vec_id", "left").withColumn("least", F.coalesce("least", F.lit(float("-inf"))))
-    others = F.explode(F.sequence(F.lit(1), table(total, int)[F.col("size")] - 1)).alias("chunk")
-    asked = asked.where(table(total, int)[F.col("size")] > 1).select("size", "block", "vec_id", "v", "least", others)
-    found = start.unionByName(joined(asked.select(*columns, "least"), held.where("chunk > 0")))
+    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
+    need = F.when((F.col("least") > 0) & (norm > 0), F.col("least") / norm * (1 - 1e-9)).otherwise(F.when(F.col("least") > 0, float("inf")).otherwise(0.0))
+    # Queries of like needs share a block, so that a bucket is sent to the blocks before the first that can do without it.
+    dealt = asked.withColumn("need", need).repartitionByRange(sum(blocks.values()), "size", "need", F.xxhash64("vec_id"))
+    asked = durable(dealt.withColumn("block", F.spark_partition_id()))
+    longest: dict[int, list[tuple[float, int, int]]] = {}  # of each dimension: a bucket's longest norm, its number, its chunks
+    for r in rows.groupBy("size", "bucket").agg(F.max("norm").alias("norm")).orderBy("size", "bucket").collect():
+        longest.setdefault(r["size"], []).append((r["norm"], r["bucket"], chunks[r["size"], r["bucket"]]))
+    needs = [tuple(r) for r in asked.groupBy("size", "block").agg(F.min("need")).orderBy("size", "block").collect()]
+    wanted = meetings(longest, needs)
+    if not wanted:
+        found = start
+    else:
+        to_blocks = F.explode(F.sequence(table({key: x[0] for key, x in wanted.items()}, of_bucket)[name], table({key: x[1] for key, x in wanted.items()}, of_bucket)[name]))  # no row for a bucket that none needs
+        reach = F.lit(0)  # chunks of the buckets that the block needs, which are the first ones
+        by_block = F.min("need").over(Window.partitionBy("size", "block"))
+        for size, own in longest.items():
+            for most, _, n in own:
+                reach = reach + F.when((F.col("size") == size) & (F.col("block_need") <= most), n).otherwise(0)
+        asked = asked.withColumn("block_need", by_block).withColumn("reach", reach).where("reach > 1")
+        asked = asked.withColumn("chunk", F.explode(F.sequence(F.lit(1), F.col("reach") - 1)))
+        found = start.unionByName(joined(asked.select(*columns, "least"), held.where("chunk > 0").withColumn("block", to_blocks).select(*columns, "norm")))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 

@@ -502,6 +502,29 @@ def test_top_k(spark, monkeypatch):
     assert topk.top_k(frame.where("false")).count() == 0
 
 
+def test_top_k_sends_a_bucket_only_where_it_may_count(spark, monkeypatch):
+    """Vectors of very different lengths: after the first chunk, short buckets meet no query."""
+    g = np.random.default_rng(2)
+    monkeypatch.setattr(topk, "CHUNK", 50)
+    monkeypatch.setattr(topk, "BLOCK", 4)
+    made = []
+    for k in range(800):
+        v = np.abs(g.normal(size=4))
+        made.append((k, [float(x) for x in v / np.linalg.norm(v) * 2.0 ** (4 - k % 8)]))
+    frame = spark.createDataFrame(made, "vec_id long, embedding array<double>")
+    whole = np.array([np.floor(64 * np.array(v)) for _, v in made])
+    want = {}
+    for q in range(0, 800, 20):
+        scores = sorted((-int(whole[q] @ whole[c]), c) for c in range(800) if c != q)[:5]
+        want |= {(q, n): (c, -s) for n, (s, c) in enumerate(scores, 1)}
+    assert {(r.query_id, r.rank): (r.vec_id, r.score) for r in topk.top_k(frame, k=5).collect()} == want
+
+
+def test_meetings_leave_out_buckets_that_are_too_short():
+    longest = {2: [(9.0, 0, 1), (3.0, 1, 2), (1.0, 2, 4)], 3: [(5.0, 0, 1)]}
+    assert topk.meetings(longest, [(2, 0, 0.5), (2, 1, 2.0), (2, 2, 8.0), (3, 2, 6.0), (3, 3, float("inf"))]) == {(2, 0): (0, 2), (2, 1): (0, 1), (2, 2): (0, 0)}
+
+
 def test_exact_products_of_large_numbers():
     q = np.array([[2.0**40, 1.0]])
     assert int(topk.products(q, np.array([[2.0**20 + 1, 3.0]]))[0, 0]) == 2**40 * (2**20 + 1) + 3
