@@ -9,7 +9,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from sheafwork.llm import html_extract, langid, licenses, mixing, packing, sharding, simhash, topk, toxicity, webp
+from sheafwork.llm import html_extract, langid, licenses, mixing, packing, sharding, simhash, topics, topk, toxicity, webp
 
 BYTES, PIECES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 #: Names that the operators use inside, as columns of the input.
@@ -565,6 +565,21 @@ def test_mixing_is_the_same_beyond_the_drivers_cells(spark, monkeypatch):
     assert all(abs(one[k].weight - two[k].weight) < 1e-6 * max(1, one[k].weight) and abs(one[k].probability - two[k].probability) < 1e-6 for k in one)
 
 
+def test_topics_are_those_of_the_words(spark):
+    g = random.Random(9)
+    fields = [[f"{stem}{chr(97 + k)}{chr(97 + j)}" for k in range(20) for j in range(5)] for stem in ("garden", "engine", "court")]
+    made = [(k, " ".join(g.choice(fields[k % 3]) for _ in range(g.randrange(20, 60)))) for k in range(300)] + [(300, None), (301, "12 ab!"), (302, "x" * 3)]
+    frame = spark.createDataFrame([(*r, "z") for r in made], "doc_id long, text string, own_topic string")
+    found = {r.doc_id: r.found for r in topics.with_topic(frame, "found", topics=3).collect()}
+    by_field = [{found[k] for k in range(f, 300, 3)} for f in range(3)]
+    assert all(len(x) == 1 for x in by_field) and len(set.union(*by_field)) == 3 and {found[k] for k in (300, 301, 302)} == {topics.NONE}
+    weight, centres = topics.learnt(frame, 3)
+    for k, text in made[:40]:  # the nearest centre, computed anew
+        own = topics.counts(text) * weight
+        assert found[k] == f"t{int(np.argmax([own @ c for c in centres])):02d}"
+    assert topics.assign(["gardenaa"], *topics.fit(np.zeros((0, topics.DIMS), np.float32))) == [topics.NONE]
+
+
 def test_raking_meets_all_targets():
     g = np.random.default_rng(0)
     mass, sides = g.integers(1, 100, 60).astype(float), [np.repeat(np.arange(5), 12), np.tile(np.repeat(np.arange(4), 3), 5), np.tile(np.arange(3), 20)]
