@@ -17,30 +17,57 @@ BATCH_ROWS = 2000
 BATCH_BYTES = "32m"
 
 
+def _local(spark: SparkSession) -> bool:
+    return spark.sparkContext.master.startswith("local")
+
+
 def bounded_batches(spark: SparkSession) -> None:
-    """Bounds the Arrow batches that Python workers get in this session, by rows and by bytes.
+    """Bounds the Arrow batches that Python workers get, by rows and by bytes, for the rest of the session.
 
-    Workers also learn where this package lies, for sessions started from another folder; on a cluster it is
-    installed or shipped with --py-files.
+    Spark reads these settings when a plan runs, so they can't be put back when an operator returns its plan. Smaller
+    ones that the session has already stay. On one machine, workers also learn where this package lies, for sessions
+    started from another folder; on a cluster it is installed or shipped with --py-files.
     """
-    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    if _local(spark):
+        spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+    if not 0 < int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in spark.checkpoint.dir; on one machine, where it is unset, a temporary one."""
+    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if not _local(spark):
+        raise RuntimeError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="checkpoints-")
+
+
 def durable(df: DataFrame) -> DataFrame:
-    """Cuts the lineage by a reliable checkpoint in the folder that the cluster names in spark.checkpoint.dir.
+    """Cuts the lineage by a reliable checkpoint in the shared folder.
 
-    All executors share that folder, so a lost executor costs no recomputation of what was cut. A folder of
-    our own is set only where the session names none, as in tests on one machine.
+    All executors share that folder, so a lost executor costs no recomputation of what was cut. How long the files
+    stay is the session's choice (spark.cleaner.referenceTracking.cleanCheckpoints).
     """
     context = df.sparkSession.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
-        folder = context.getConf().get("spark.checkpoint.dir") or df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
+_HELD: dict[str, tuple] = {}
+
+
+def held(name: str, owner, make):
+    """What a worker keeps from batch to batch and task to task: the last thing made, so that stages don't add up."""
+    if name not in _HELD or _HELD[name][0] is not owner:
+        _HELD.clear()
+        _HELD[name] = (owner, make())
+    return _HELD[name][1]
+
+
 def map_arrow(df: DataFrame, function, schema: str | StructType) -> DataFrame:
     """mapInArrow with bounded batches; function gets one RecordBatch and returns one or None."""
     bounded_batches(df.sparkSession)

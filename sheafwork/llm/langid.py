@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sheafwork.llm.common import held_out, map_arrow
+from sheafwork.llm.common import held, held_out, map_arrow
 
 PER_LANGUAGE, WORDS = 400, 150_000
 #: Letters of a word, with its mark, up to which probabilities can't underflow; beyond, logarithms are summed.
@@ -245,9 +245,6 @@ class Scorer:
         return out
 
 
-_SCORERS: dict[int, tuple] = {}
-
-
 class Judge:
     """Predicts batches of texts in a worker that keeps its scorer from task to task."""
 
@@ -258,10 +255,7 @@ class Judge:
 
     def __call__(self, texts: pa.Array) -> list[tuple[str, float]]:
         fitted = self.shared.value
-        if id(fitted) not in _SCORERS:  # what is fitted is held with its scorer, so the id stays its own
-            _SCORERS.clear()
-            _SCORERS[id(fitted)] = (fitted, Scorer(self.path, *fitted))
-        scorer = _SCORERS[id(fitted)][1]
+        scorer = held("languages", fitted, lambda: Scorer(self.path, *fitted))
         return [x for k in range(0, len(texts), 500) for x in scorer.score(texts[k : k + 500].to_pylist())]
 
 

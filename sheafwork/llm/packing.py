@@ -23,10 +23,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sheafwork.llm.common import durable, map_arrow
+from sheafwork.llm.common import bounded_batches, durable, held, map_arrow
 
 CAPACITY = 2048
-_CODERS: dict[tuple[str, bool], Coder] = {}
 
 
 class Coder:
@@ -71,9 +70,7 @@ def _byte_letters() -> list[str]:
 
 
 def coder(path: str, added: bool = False) -> Coder:
-    if (path, added) not in _CODERS:
-        _CODERS[path, added] = Coder(path, added)
-    return _CODERS[path, added]
+    return held(f"tokens of {path} {added}", None, lambda: Coder(path, added))
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, keep_ids: bool = False, added: bool = False) -> DataFrame:
@@ -107,8 +104,6 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, keep_ids: bool
                 columns = list(zip(*out, strict=True))
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=False)], names[: len(columns)])
 
-    from sheafwork.llm.common import bounded_batches
-
     bounded_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(run, fields)
 

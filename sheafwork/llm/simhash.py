@@ -1,12 +1,12 @@
 """SimHash near-duplicates by vantage-point trees over fingerprints.
 
-A scheme says how wide fingerprints are, how close linked ones lie, and how they are indexed. Equal fingerprints are
-one class first, so copies never multiply. The classes then go to the shards of several trees, one per block of
-bits. A block's tree takes 0 and the single bits as its vantage points; the Hamming distances to them name the
-leaf, which is the block's value. By the triangle bound, a query of radius 0 meets its own leaf alone, and a query
-of radius 1 meets the leaves one bit away: such a tree's fingerprints visit those boundary-overlapping shards.
+A scheme says how wide fingerprints are, how close linked ones lie, and how they are dealt to shards. Equal fingerprints
+are one class first, so copies never multiply. The first step is a plain index by blocks of bits, no tree: a
+fingerprint is at home in one shard a block, by the block's value, and where a block has the radius 1 it also visits the
+shards one bit away. Vantage points alone would not do for this step: distances of unlike fingerprints to any point
+lie so close together that nearly every fingerprint would have to visit nearly every shard within 4 bits of a boundary.
 
-``EXACT`` (64 bits, 4 bits apart, shingles of four words) has four trees of 16 bits with the radii 1, 0, 0, 0. A pair
+``EXACT`` (64 bits, 4 bits apart, shingles of four words) has four blocks of 16 bits with the radii 1, 0, 0, 0. A pair
 within 4 bits is within 1 bit in the first block or equal in one of the others (1+1+1+1+1 > 4), so no link is lost.
 
 ``WIDE`` (384 bits, shingles of five words) is for copies that share 0.8 of their shingles. A fingerprint only estimates
@@ -40,7 +40,7 @@ from sheafwork.llm.jaccard import grouped
 
 @dataclass(frozen=True)
 class Scheme:
-    """Words of 64 bits, bits within which fingerprints link, words of a shingle, bits of a block, radius of each block's tree.
+    """Words of 64 bits, bits within which fingerprints link, words of a shingle, bits of a block, radius of each block.
 
     similarity: the least Jaccard similarity of linked shingle sets, a fraction; links are by it alone if it is given.
     """
@@ -216,24 +216,24 @@ def shard_links(fp: np.ndarray, node: np.ndarray, side: np.ndarray, radius: int
     return node[moved], node[roots[moved]]
 
 
-def leaves(fp: np.ndarray, scheme: Scheme) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, shard, visits): every fingerprint at home in one leaf a tree, and its visits to leaves one bit away.
+def shards_of(fp: np.ndarray, scheme: Scheme) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, shard, visits): every fingerprint at home in one shard a block, and its visits to shards one bit away.
 
-    Of two leaves one bit apart, the one with the bit set visits the other, so that a pair meets once.
+    Of two shards one bit apart, the fingerprints of the one with the bit set visit the other, so that a pair meets once.
     """
     rows, shards, visits = [], [], []
     every = np.arange(len(fp))
     bits = np.unpackbits(fp.astype("<u8").view(np.uint8).reshape(len(fp), -1), axis=1, bitorder="little")
-    for tree, radius in enumerate(scheme.radii):
-        own = bits[:, tree * scheme.block : (tree + 1) * scheme.block].astype(np.int64)
+    for block, radius in enumerate(scheme.radii):
+        own = bits[:, block * scheme.block : (block + 1) * scheme.block].astype(np.int64)
         value = (own << np.arange(scheme.block)).sum(axis=1)
         rows.append(every)
-        shards.append(value + (tree << scheme.block))
+        shards.append(value + (block << scheme.block))
         visits.append(np.zeros(len(fp), bool))
         if radius:
             row, bit = np.nonzero(own)
             rows.append(row)
-            shards.append(value[row] - (1 << bit) + (tree << scheme.block))
+            shards.append(value[row] - (1 << bit) + (block << scheme.block))
             visits.append(np.ones(len(row), bool))
     return np.concatenate(rows), np.concatenate(shards), np.concatenate(visits)
 
@@ -246,18 +246,19 @@ def link(classes: DataFrame, scheme: Scheme = EXACT) -> DataFrame:
     """(fp, node) classes -> (a, b) links that connect all that is within the scheme's radius and meets in a shard."""
 
     def spread(batch: pa.RecordBatch) -> pa.RecordBatch:
-        row, shard, visits = leaves(_words(batch.column(0), scheme.words), scheme)
+        row, shard, visits = shards_of(_words(batch.column(0), scheme.words), scheme)
         return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), batch.column(1).take(pa.array(row)), pa.array(shard), pa.array(visits)], ["fp", "node", "shard", "visits"])
 
     rows = map_arrow(classes.select("fp", "node"), spread, "fp binary, node bigint, shard bigint, visits boolean")
-    # At most one row a leaf (trees times 2^block, some hundred thousand), so this table may be broadcast.
-    crowds = rows.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CROWD).select("shard", F.least(F.lit(4096), F.ceil(F.col("n") / CROWD)).cast("int").alias("chunks"))
+    # At most one row a shard (blocks times 2^16, some hundred thousand), so this table may be broadcast.
+    crowds = rows.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CROWD).select("shard", F.ceil(F.col("n") / CROWD).cast("int").alias("chunks"))
     rows = rows.join(F.broadcast(crowds), "shard", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
     chunk = F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int")
     rows = rows.withColumn("own", chunk).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     low, high = F.least("own", "other").cast("bigint"), F.greatest("own", "other").cast("bigint")
     keyed = rows.select(
-        ((F.col("shard") * 4096 + low) * 4096 + high).alias("key"), "fp", "node", (F.when(F.col("own") > F.col("other"), 1).otherwise(0) + F.when(F.col("visits"), 2).otherwise(0)).cast("tinyint").alias("side")
+        (F.shiftleft(F.shiftleft(F.col("shard"), 22) + low, 22) + high).alias("key"), "fp",  # shards take 18 bits
+        "node", (F.when(F.col("own") > F.col("other"), 1).otherwise(0) + F.when(F.col("visits"), 2).otherwise(0)).cast("tinyint").alias("side")
     )
 
     def run(batches):
@@ -325,13 +326,14 @@ def _kept(docs: DataFrame, scheme: Scheme) -> DataFrame:
 def representatives(docs: DataFrame, scheme: Scheme = WIDE) -> DataFrame:
     """One row of each component, all columns as they are: of the least doc_id (nulls last), then the least text hash.
 
-    Of rows that repeat both, any one stays. Fingerprints and links are made on narrow rows; the texts are joined once,
+    Of rows that repeat both, the one with the least hash of all its columns stays. Fingerprints and links are made on narrow rows; the texts are joined once,
     with one key for each row to keep.
     """
     key = F.xxhash64(F.col("text").cast("string"))
     o = free_prefix(docs)
     keep = _kept(docs, scheme).select(F.coalesce("p.doc_id", F.lit(-1)).alias(f"{o}keep_id"), F.col("p.key").alias(f"{o}keep_key"))
-    once = Window.partitionBy(f"{o}keep_id", f"{o}keep_key").orderBy(F.lit(1))
+    whole = F.xxhash64(*[c for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind])  # maps and variants have no hash
+    once = Window.partitionBy(f"{o}keep_id", f"{o}keep_key").orderBy(whole)
     own = docs.withColumn(f"{o}row_id", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-1))).withColumn(f"{o}row_key", key)
     joined = own.join(keep, (F.col(f"{o}row_id") == F.col(f"{o}keep_id")) & (F.col(f"{o}row_key") == F.col(f"{o}keep_key")))
     return joined.withColumn(f"{o}row", F.row_number().over(once)).where(F.col(f"{o}row") == 1).select(*docs.columns)

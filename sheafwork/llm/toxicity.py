@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sheafwork.llm.common import held_out, map_arrow
+from sheafwork.llm.common import held, held_out, map_arrow
 
 WINDOW, STRIDE = 24, 16
 #: Documents of either label to learn from at most, and the characters of their texts.
@@ -311,9 +311,6 @@ class Scorer:
         return np.round(sigmoid(self.net.scale * top.astype(np.float64) + self.net.shift), 6)
 
 
-_SCORERS: dict[int, Scorer] = {}
-
-
 def sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> tuple[list[str | None], list[int]]:
     """Texts and labels of at most ``size`` documents of either label outside the held-out fold."""
     own = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("toxic in (0, 1)").where(~held_out("doc_id", 5, 0))
@@ -336,10 +333,8 @@ class Judge:
 
     def __call__(self, texts: pa.Array) -> np.ndarray:
         net = self.shared.value
-        if id(net) not in _SCORERS:  # the scorer holds its network, so the id stays its own
-            _SCORERS.clear()
-            _SCORERS[id(net)] = Scorer(net)
-        parts = [_SCORERS[id(net)].score(texts[k : k + 300].to_pylist()) for k in range(0, len(texts), 300)]
+        scorer = held("toxicity", net, lambda: Scorer(net))
+        parts = [scorer.score(texts[k : k + 300].to_pylist()) for k in range(0, len(texts), 300)]
         return np.concatenate(parts) if parts else np.zeros(0)
 
 

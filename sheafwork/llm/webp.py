@@ -4,7 +4,7 @@ The reader decodes every part of a lossless stream: simple and normal prefix cod
 back-references with the plane-distance codes, the colour cache, and the four transforms (predictor, cross-colour,
 subtract-green, palette with pixel bundling). Streams of literals under one group of codes, as the writer makes
 them for most texts, take a path without a loop over pixels: the symbol and length that would begin at every bit of a
-portion are looked up at once, and the chain of pixel starts is followed by doubling jumps. All others take the plain
+portion are looked up at once, and the chain of pixel starts is followed by jumps over several pixels. All others take the plain
 path.
 
 The writer lays bytes out as opaque RGB pixels, ``UNIT`` bytes (64 pixels) to a row or a multiple of that, with
@@ -222,10 +222,18 @@ def _literals(bits: Bits, codes: list[Code], n: int) -> np.ndarray | None:
                     lengths[id(code)][:size] += code.lengths[window if code.depth == deepest else window & np.uint32((1 << code.depth) - 1)]
                 jump = lengths[id(code)] if jump is stay else lengths[id(code)][jump]
             afters.append(jump)
-        starts, leap, limit = np.array([bits.at & 7], dtype=np.int32), jump, size - longest
-        while len(starts) < n - done and starts[-1] <= limit:
-            starts = np.concatenate([starts, leap[starts]])
-            leap = leap[leap]
+        # Every 16th start is followed one by one, those between by the jumps over 8, 4, 2 and 1 pixels.
+        leaps, limit, at, marks = [jump], size - longest, bits.at & 7, []
+        for _ in range(4):
+            leaps.append(leaps[-1][leaps[-1]])
+        far = memoryview(leaps.pop())
+        while at <= limit and 16 * len(marks) < n - done:
+            marks.append(at)
+            at = far[at]
+        starts = np.array(marks, dtype=np.int32)
+        for leap in reversed(leaps):
+            starts = np.stack([starts, leap[starts]], axis=-1)
+        starts = starts.ravel()
         starts = starts[: min(n - done, int(np.searchsorted(starts, limit, "right")))]
         if not len(starts):
             raise ValueError("the stream ends too early")
