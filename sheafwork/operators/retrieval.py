@@ -1,9 +1,15 @@
-"""Literal retrieval over knowledge units: planner, candidates, weighted BM25, lexicographic ranking, top-k.
+"""Literal retrieval over knowledge units: planner, index, candidates, weighted BM25, lexicographic ranking, top-k.
 
 A query is normalised (NFKC, collapsed white space) and split into terms. Terms of three or more characters form the
 full-text path, shorter ones the substring path, both together the mixed one. A full-text term matches a field that
 contains it, whatever the case, as a trigram phrase would. Corpus statistics come from the whole index, filters only
-narrow the candidates. One aggregate (a row) is the only thing that reaches the driver before the ranked top.
+narrow the candidates.
+
+An ``Index`` holds the units in partitions by their number, and postings: each trigram with the rows that have it, in
+buckets. A query looks up how frequent its trigrams are, reads the postings of the rarest ones of each term alone, and
+verifies their rows; units of partitions without any are never read. Statistics of a term come from the same rows.
+Without postings, all units are scanned; results are the same. What reaches the driver is a row a trigram of the
+query, the numbers of partitions (at most ``PARTS``), and a row of statistics.
 """
 
 from __future__ import annotations
@@ -13,7 +19,7 @@ import unicodedata
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheafwork.plans.views import STATUSES, UNIT_TYPES
@@ -21,7 +27,9 @@ from sheafwork.plans.views import STATUSES, UNIT_TYPES
 FIELDS = ("statement", "entity", "topic", "excerpt")
 WEIGHTS = {"statement": 5.0, "entity": 2.0, "topic": 2.0, "excerpt": 1.0}
 K1, B, TOP_MOST = 1.2, 0.75, 100
-FILTERS = ("canonical_id", "unit_type", "verification_status", "topic", "entity")
+FILTERS = ("canonical_id", "unit_type", "verification_status", "topic", "entity", "topics", "entities")
+#: Partitions of an index's units at most, buckets of its postings, and trigrams looked up for a term.
+PARTS, BUCKETS, RAREST = 4096, 64, 3
 
 
 def normalise(text: str) -> str:
@@ -76,10 +84,12 @@ def _any_field(term: str) -> Column:
 
 
 def filtered(units: DataFrame, filters: dict[str, tuple[str, ...]]) -> DataFrame:
-    """Rows with one of the values in every filtered field; empty filters count as unset."""
+    """Rows with one of the values in every filtered field, which may be an array; empty filters count as unset."""
+    kinds = dict(units.dtypes)
     for name, values in filters.items():
         if values:
-            units = units.where(F.col(name).isin(list(values)))
+            own = F.col(name).isin(list(values)) if not kinds[name].startswith("array") else F.arrays_overlap(F.col(name), F.array(*[F.lit(v) for v in values]))
+            units = units.where(own)
     return units
 
 
@@ -93,11 +103,90 @@ def trigrams(names=FIELDS) -> Column:
     return reduce(Column.__add__, [F.greatest(F.lit(0), F.length(F.coalesce(F.col(f), F.lit(""))) - 2) for f in names])
 
 
-def corpus_statistics(units: DataFrame, terms: list[str]) -> dict:
-    """Rows, mean length, and rows with each term: one pass, one row."""
+def grams_of(text: Column) -> Column:
+    """Different trigrams of a text, in one pass over it."""
+    return F.array_distinct(F.regexp_extract_all(text, F.lit("(?s)(?=(...))"), F.lit(1)))
+
+
+def term_grams(term: str) -> list[str]:
+    return sorted({term[k : k + 3] for k in range(len(term) - 2)})
+
+
+@dataclass(frozen=True)
+class Index:
+    """Units and, if they were built, postings (bucket, gram, unit_rowid, part) and grams (bucket, gram, n) over all their fields."""
+
+    units: DataFrame
+    rows: int | None = None
+    mean: float | None = None
+    buckets: int = BUCKETS
+    postings: DataFrame | None = None
+    grams: DataFrame | None = None
+
+    def _bucket(self, gram: Column) -> Column:
+        return F.pmod(F.xxhash64(gram), F.lit(self.buckets)).cast("int")
+
+    def _only(self, table: DataFrame, grams: list[str]) -> DataFrame:
+        """Rows of some trigrams: their buckets are pruned, their row groups skipped."""
+        spark = table.sparkSession
+        buckets = [r[0] for r in spark.createDataFrame([(g,) for g in grams], "gram string").select(self._bucket(F.col("gram"))).distinct().collect()]
+        return table.where(F.col("bucket").isin(buckets) & F.col("gram").isin(grams))
+
+    def holding(self, terms: list[str], every: bool = False) -> DataFrame:
+        """Units that may hold one of the terms, or every one of them; the terms are still to be verified."""
+        per_term = min(RAREST, 62 // max(1, len(terms)))
+        if self.postings is None or not terms or not per_term:
+            return self.units
+        looked = sorted({g for t in terms for g in term_grams(t)})
+        counts = {r["gram"]: r["n"] for r in self._only(self.grams, looked).groupBy("gram").agg(F.sum("n").alias("n")).collect()}
+        chosen = {t: sorted(term_grams(t), key=lambda g: (counts.get(g, 0), g))[:per_term] for t in terms}
+        bits = {g: 1 << k for k, g in enumerate(sorted({g for own in chosen.values() for g in own}))}
+        bit = F.create_map(*[F.lit(x) for g, b in bits.items() for x in (g, b)])[F.col("gram")]
+        ids = self._only(self.postings, list(bits)).groupBy("part", "unit_rowid").agg(F.bit_or(bit).alias("has"))
+        full = [F.col("has").bitwiseAND(F.lit(sum(bits[g] for g in own))) == sum(bits[g] for g in own) for own in chosen.values()]
+        ids = ids.where(reduce(Column.__and__ if every else Column.__or__, full)).select("part", "unit_rowid")
+        parts = [r[0] for r in ids.select("part").distinct().collect()]
+        return self.units.where(F.col("part").isin(parts)).join(ids, ["part", "unit_rowid"], "left_semi")
+
+
+def build_index(units: DataFrame, folder: str, buckets: int = BUCKETS, parts: int = PARTS) -> Index:
+    """Writes units and postings below a folder that all executors share, and opens them."""
+    facts = units.agg(F.min("unit_rowid").alias("low"), F.max("unit_rowid").alias("high"), F.count(F.lit(1)).alias("rows"), F.avg(trigrams()).alias("mean")).first()
+    low = facts["low"] or 0
+    width = max(1, -(-((facts["high"] or 0) - low + 1) // parts))
+    own = units.withColumn("part", F.floor((F.col("unit_rowid") - low) / width).cast("int"))
+    own.repartitionByRange("unit_rowid").write.partitionBy("part").parquet(f"{folder}/units")
+    all_grams = F.array_distinct(F.flatten(F.array(*[grams_of(_lower(f)) for f in FIELDS])))
+    index = Index(units, buckets=buckets)
+    rows = own.select("part", "unit_rowid", F.explode(all_grams).alias("gram")).withColumn("bucket", index._bucket(F.col("gram")))
+    # A frequent trigram has a row a unit, so a bucket is dealt to several tasks.
+    rows = rows.repartition("bucket", F.pmod(F.xxhash64("unit_rowid"), F.lit(8))).sortWithinPartitions("bucket", "gram", "unit_rowid")
+    rows.write.partitionBy("bucket").parquet(f"{folder}/postings")
+    counted = units.sparkSession.read.schema("part int, unit_rowid bigint, gram string, bucket int").parquet(f"{folder}/postings").groupBy("bucket", "gram").agg(F.count(F.lit(1)).alias("n"))
+    counted.repartition("bucket").sortWithinPartitions("bucket", "gram").write.partitionBy("bucket").parquet(f"{folder}/grams")
+    meta = units.sparkSession.createDataFrame([(facts["rows"], facts["mean"] or 1.0, buckets)], "rows bigint, mean double, buckets int")
+    meta.coalesce(1).write.json(f"{folder}/meta")
+    return open_index(units.sparkSession, folder)
+
+
+def open_index(spark: SparkSession, folder: str) -> Index:
+    meta = spark.read.schema("rows bigint, mean double, buckets int").json(f"{folder}/meta").first()
+    postings = spark.read.schema("part int, unit_rowid bigint, gram string, bucket int").parquet(f"{folder}/postings")
+    grams = spark.read.schema("gram string, n bigint, bucket int").parquet(f"{folder}/grams")
+    return Index(spark.read.parquet(f"{folder}/units"), meta["rows"], meta["mean"], meta["buckets"], postings, grams)
+
+
+def as_index(units: DataFrame | Index) -> Index:
+    return units if isinstance(units, Index) else Index(units)
+
+
+def corpus_statistics(units: DataFrame | Index, terms: list[str]) -> dict:
+    """Rows, mean length, and rows with each term: one row, from the rows that may hold one of the terms."""
+    index = as_index(units)
     counts = [F.count_if(_any_field(t)).alias(f"n{k}") for k, t in enumerate(terms)]
-    row = units.agg(F.count(F.lit(1)).alias("rows"), F.avg(trigrams()).alias("mean"), *counts).first()
-    return {"rows": row["rows"], "mean": row["mean"] or 1.0, "hits": [row[f"n{k}"] for k in range(len(terms))]}
+    whole = [F.count(F.lit(1)).alias("rows"), F.avg(trigrams()).alias("mean")] if index.rows is None else []
+    row = index.holding(terms).agg(*whole, *counts).first() if whole or counts else {}
+    return {"rows": row["rows"] if whole else index.rows, "mean": (row["mean"] if whole else index.mean) or 1.0, "hits": {t: row[f"n{k}"] for k, t in enumerate(terms)}}
 
 
 def bm25(terms: list[str], stats: dict) -> Column:
@@ -105,7 +194,8 @@ def bm25(terms: list[str], stats: dict) -> Column:
     import math
 
     out, norm = F.lit(0.0), F.lit(K1) * (F.lit(1 - B) + F.lit(B) * trigrams() / F.lit(float(stats["mean"])))
-    for term, hits in zip(terms, stats["hits"], strict=True):
+    for term in terms:
+        hits = stats["hits"][term]
         idf = math.log((stats["rows"] - hits + 0.5) / (hits + 0.5))
         f = reduce(Column.__add__, [F.lit(WEIGHTS[name]) * occurrences(name, term) for name in FIELDS])
         out = out + F.lit(idf if idf > 0 else 1e-6) * f * F.lit(K1 + 1) / (f + norm)
@@ -130,12 +220,13 @@ def with_match_statistics(rows: DataFrame, query: Query) -> DataFrame:
     )
 
 
-def candidates(units: DataFrame, query: Query) -> DataFrame:
-    """All rows that match, with their score; the whole index gives the statistics."""
-    found = filtered(units, query.filters)
+def candidates(units: DataFrame | Index, query: Query, stats: dict | None = None) -> DataFrame:
+    """All rows that match, with their score; the whole index gives the statistics, if they aren't given."""
+    index = as_index(units)
+    found = filtered(index.holding(query.long, every=True) if query.long else index.units, query.filters)
     for term in query.terms:
         found = found.where(_any_field(term))
-    score = bm25(query.long, corpus_statistics(units, query.long)) if query.long else short_score(query.short)
+    score = bm25(query.long, stats or corpus_statistics(index, sorted(set(query.long)))) if query.long else short_score(query.short)
     return with_match_statistics(found.withColumn("score", F.round(score, 9)), query)
 
 
@@ -147,20 +238,84 @@ def ranking(query: Query) -> list[Column]:
     return [F.desc("score"), flag("exact_statement_phrase"), F.desc("term_coverage"), F.col("unit_rowid")]
 
 
-def retrieve(units: DataFrame, query: Query) -> DataFrame:
-    """The ranked top: rank, path and why each row was hit. Sorting and limit become one TakeOrderedAndProject."""
+def why(query: Query) -> Column:
+    return F.concat_ws(" and ", *[F.when(F.col(f"{f}_match"), f) for f in FIELDS])
+
+
+def _ranked(found: DataFrame, query: Query, order: list[Column]) -> DataFrame:
     from pyspark.sql import Window
 
-    top = candidates(units, query).orderBy(*ranking(query)).limit(query.top_k)
-    why = F.concat_ws(" and ", *[F.when(F.col(f"{f}_match"), f) for f in FIELDS])
-    ranked = top.withColumn("rank", F.row_number().over(Window.orderBy(*ranking(query))))  # at most top_k rows
-    return ranked.select("rank", "unit_rowid", "canonical_id", "unit_type", "score", "term_coverage", "evidence_only", why.alias("matched_on"), F.lit(query.path).alias("path"))
+    top = found.orderBy(*order).limit(query.top_k)
+    return top.withColumn("rank", F.row_number().over(Window.orderBy(*order)))  # at most top_k rows
+
+
+def retrieve(units: DataFrame | Index, query: Query, stats: dict | None = None) -> DataFrame:
+    """The ranked top: rank, path and why each row was hit. Sorting and limit become one TakeOrderedAndProject."""
+    ranked = _ranked(candidates(units, query, stats), query, ranking(query))
+    return ranked.select("rank", "unit_rowid", "canonical_id", "unit_type", "score", "term_coverage", "evidence_only", why(query).alias("matched_on"), F.lit(query.path).alias("path"))
+
+
+def retrieve_many(units: DataFrame | Index, queries: dict[str, Query]) -> tuple[DataFrame, DataFrame]:
+    """(hits, all candidates) of several queries, each with its query_id; statistics of all their terms come from one pass."""
+    stats = corpus_statistics(units, sorted({t for q in queries.values() for t in q.long}))
+    found = {name: candidates(units, q, stats) for name, q in queries.items()}
+    hits = [_ranked(found[name], q, ranking(q)).withColumn("query_id", F.lit(name)).withColumn("path", F.lit(q.path)) for name, q in queries.items()]
+    every = [frame.withColumn("query_id", F.lit(name)) for name, frame in found.items()]
+    return reduce(DataFrame.unionByName, hits), reduce(DataFrame.unionByName, every)
+
+
+def best_by_bm25(units: DataFrame | Index, query: Query) -> DataFrame:
+    """The low-level top: full-text terms alone, by BM25 and number."""
+    if not query.long:
+        raise ValueError("a full-text query needs a term of three characters")
+    return _ranked(candidates(units, query), query, [F.col("score"), F.col("unit_rowid")]).select("rank", "unit_rowid", "score")
+
+
+class InvariantError(Exception):
+    """A hit that lacks one of the terms."""
+
+
+def hydrated(units: DataFrame | Index, query: Query, assets: DataFrame) -> DataFrame:
+    """The ranked top with all of a unit's columns, its match facts, and its asset's path and fingerprint (null if unknown).
+
+    assets: canonical_id, path, fingerprint. One join of at most ``top_k`` rows; a hit without full coverage is an error.
+    """
+    ranked = _ranked(candidates(units, query), query, ranking(query))
+    sound = F.when(F.col("term_coverage") == 1, F.col("term_coverage")).otherwise(F.raise_error(F.lit("a hit lacks a term")).cast("double"))
+    own = assets.select(F.col("canonical_id").alias("a_id"), F.col("path").alias("source_path"), F.col("fingerprint").alias("source_fingerprint"))
+    text = F.concat(F.lit("matched query terms in "), F.concat_ws(" and ", F.when(F.col("statement_match"), "statement"), F.when(F.col("entity_match"), "entities"), F.when(F.col("topic_match"), "topics"), F.when(F.col("excerpt_match"), "evidence")))
+    return ranked.withColumn("term_coverage", sound).withColumn("why_this_hit", text).join(own, F.col("canonical_id") == F.col("a_id"), "left").drop("a_id")
+
+
+# What each path can't do.
+LIMITS = {
+    "fts_trigram": [],
+    "substring_short": ["trigram cannot match terms shorter than 3 characters; deterministic literal substring fallback used"],
+    "fts_trigram_with_short_filter": ["short terms constrained via deterministic literal substring (trigram <3-character limitation)"],
+}
+
+
+def diagnostics(units: DataFrame | Index, query: Query) -> dict:
+    """The plan of a query and how many candidates it had before the limit."""
+    n = candidates(units, query, None).count()
+    return {
+        "normalized_query": normalise(query.text), "terms": query.terms, "long_terms": query.long, "short_terms": query.short, "retrieval_path": query.path, "filters_applied": {k: list(v) for k, v in query.filters.items() if v},
+        "candidate_count_before_limit": n, "result_count": min(n, query.top_k), "top_k": query.top_k, "short_query_fallback": bool(query.short), "limitations": LIMITS[query.path],
+    }
+
+
+class Backend:
+    """What answers queries: another one needs this method alone."""
+
+    def __init__(self, index: DataFrame | Index):
+        self.index = as_index(index)
+
+    def retrieve(self, query: Query) -> DataFrame:
+        return retrieve(self.index, query)
 
 
 def postings(units: DataFrame) -> DataFrame:
-    """A derived index: each trigram of a field with its row, for stores where scanning all text costs too much."""
-    texts = F.array(*[F.struct(F.lit(f).alias("field"), _lower(f).alias("t")) for f in FIELDS])
-    grams = units.select("unit_rowid", F.explode(texts).alias("x")).select(
-        "unit_rowid", "x.field", F.explode(F.expr("transform(sequence(1, greatest(1, length(x.t) - 2)), i -> substring(x.t, i, 3))")).alias("trigram")
-    )
-    return grams.where(F.length("trigram") == 3).groupBy("trigram", "unit_rowid", "field").agg(F.count(F.lit(1)).alias("n"))
+    """Each trigram of a field with its row and how often it stands there."""
+    texts = F.array(*[F.struct(F.lit(f).alias("field"), F.regexp_extract_all(_lower(f), F.lit("(?s)(?=(...))"), F.lit(1)).alias("g")) for f in FIELDS])
+    grams = units.select("unit_rowid", F.explode(texts).alias("x")).select("unit_rowid", "x.field", F.explode("x.g").alias("trigram"))
+    return grams.groupBy("trigram", "unit_rowid", "field").agg(F.count(F.lit(1)).alias("n"))

@@ -57,4 +57,4 @@ def orphans(rows: DataFrame, parents: DataFrame, key: str) -> DataFrame:
 
 def text_projection(units: DataFrame) -> DataFrame:
     """The full-text row of a unit: statement, entities, topics and excerpts, joined in order."""
-    return units.select("unit_rowid", "statement", F.concat_ws(" ", "entity").alias("entities"), F.concat_ws(" ", "topic").alias("topics"), F.concat_ws(" ", "excerpt").alias("excerpts"))
+    return units.select("unit_rowid", "statement", F.array_join("entities", " ").alias("entities"), F.array_join("topics", " ").alias("topics"), F.array_join(F.transform("evidence_refs", lambda r: r.source_excerpt), " ").alias("excerpts"))

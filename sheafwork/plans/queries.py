@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from sheafwork.functions import scalars
 from sheafwork.operators import assets, collection, evaluation, evidence, knowledge, quality, queue, retrieval, store, sync
-from sheafwork.plans.views import JOBS, OBSERVATIONS, SEGMENTS, UNITS, jobs, observations, segments, table, units
+from sheafwork.plans.views import JOBS, OBSERVATIONS, RICH, SEGMENTS, UNITS, jobs, observations, rich_units, segments, table, unit_index, units
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -40,10 +40,11 @@ def _any(term: str) -> str:
     return "(" + " OR ".join(_has(f, term) for f in retrieval.FIELDS) + ")"
 
 
-def retrieval_sql(q: retrieval.Query) -> str:
+def retrieval_sql(q: retrieval.Query, select: str | None = None, cte: str = UNITS, source: str = "units", more: str = "") -> str:
     """The same ranking in SQL. Occurrences are counted by removal, so terms must not overlap themselves."""
     size = " + ".join(f"greatest(0, length(coalesce({f}, '')) - 2)" for f in retrieval.FIELDS)
-    where = [_any(t) for t in q.terms] + [f"{name} IN ({', '.join(repr(v) for v in values)})" for name, values in q.filters.items()]
+    own = lambda name, values: f"len(list_intersect({name}, {list(values)})) > 0" if name in ("topics", "entities") else f"{name} IN ({', '.join(repr(v) for v in values)})"
+    where = [_any(t) for t in q.terms] + [own(name, values) for name, values in q.filters.items()]
     if q.long:
         stats = ", ".join(f"count(*) FILTER (WHERE {_any(t)}) AS n{k}" for k, t in enumerate(q.long))
         parts = []
@@ -60,13 +61,14 @@ def retrieval_sql(q: retrieval.Query) -> str:
     flags = ", ".join(f"({' OR '.join(_has(f, t) for t in q.terms)}) AS {f}_match" for f in retrieval.FIELDS)
     matched = " + ".join(f"{_any(t)}::INT" for t in q.terms)
     why = "concat_ws(' and ', " + ", ".join(f"CASE WHEN {f}_match THEN '{f}' END" for f in retrieval.FIELDS) + ")"
+    shown = select or f"unit_rowid, canonical_id, unit_type, score, term_coverage, evidence_only, {why} AS matched_on, '{q.path}' AS path"
     return f"""
-WITH {UNITS},
-s AS (SELECT count(*) AS rows_, avg({size}) AS mean_, {stats} FROM units),
-c AS (SELECT unit_rowid, canonical_id, unit_type, {score} AS score, {flags}, {_has("statement", retrieval.normalise(q.text).lower())} AS exact, CAST({matched} AS DOUBLE) / {len(q.terms)} AS term_coverage
-  FROM units, s WHERE {" AND ".join(where)}),
-e AS (SELECT *, (excerpt_match AND NOT (statement_match OR entity_match OR topic_match)) AS evidence_only FROM c)
-SELECT CAST(row_number() OVER (ORDER BY {order}) AS INTEGER) AS rank, unit_rowid, canonical_id, unit_type, score, term_coverage, evidence_only, {why} AS matched_on, '{q.path}' AS path
+WITH {cte},
+s AS (SELECT count(*) AS rows_, avg({size}) AS mean_, {stats} FROM {source}),
+c AS (SELECT {source}.*, {score} AS score, {flags}, {_has("statement", retrieval.normalise(q.text).lower())} AS exact, CAST({matched} AS DOUBLE) / {len(q.terms)} AS term_coverage
+  FROM {source}, s WHERE {" AND ".join(where)}),
+e AS (SELECT *, (excerpt_match AND NOT (statement_match OR entity_match OR topic_match)) AS evidence_only FROM c){more}
+SELECT CAST(row_number() OVER (ORDER BY {order}) AS INTEGER) AS rank, {shown}
 FROM e QUALIFY row_number() OVER (ORDER BY {order}) <= {q.top_k}
 """
 
@@ -80,7 +82,7 @@ RETRIEVALS = {
     "retrieve_no_hits": retrieval.Query("zzzqqq", 5),
 }
 for _name, _query in RETRIEVALS.items():
-    QUERIES[_name] = lambda spark, sf_dir, q=_query: retrieval.retrieve(units(spark, sf_dir), q)
+    QUERIES[_name] = lambda spark, sf_dir, q=_query: retrieval.retrieve(unit_index(spark, sf_dir), q)
     ORACLE_SQL[_name] = retrieval_sql(_query)
 
 _STATS = retrieval.Query("the ering of")
@@ -96,9 +98,58 @@ def retrieve_field_stats(spark, sf_dir):
     return retrieval.with_match_statistics(units(spark, sf_dir), _STATS).select("unit_rowid", *[c for f in retrieval.FIELDS for c in (f"{f}_match", f"exact_{f}_phrase")], "matched_terms")
 
 
-@query(f"WITH {UNITS} SELECT unit_rowid, statement, entity AS entities, topic AS topics, excerpt AS excerpts FROM units")
+@query(f"WITH {RICH} SELECT unit_rowid, statement, entity AS entities, topic AS topics, excerpt AS excerpts FROM rich")
 def fts_projection(spark, sf_dir):
-    return store.text_projection(units(spark, sf_dir))
+    return store.text_projection(rich_units(spark, sf_dir))
+
+
+_ARRAYS = retrieval.Query("ering", 25, {"topics": ("t2", "de"), "entities": ("e1", "e3", "src4"), "unit_type": ("claim", "observation", "opinion")})
+
+
+@query(retrieval_sql(_ARRAYS, "unit_rowid, canonical_id, array_to_string(topics, ',') AS topics, array_to_string(entities, ',') AS entities, score", RICH, "rich"))
+def retrieve_array_filters(spark, sf_dir):
+    """Filters over several topics and entities a unit: any of the values, all of the fields."""
+    found = retrieval.candidates(rich_units(spark, sf_dir), _ARRAYS)
+    top = retrieval._ranked(found, _ARRAYS, retrieval.ranking(_ARRAYS))
+    return top.select("rank", "unit_rowid", "canonical_id", F.array_join("topics", ",").alias("topics"), F.array_join("entities", ",").alias("entities"), "score")
+
+
+_HYDRATED = retrieval.Query("thwhre tion", 12)
+
+
+def _assets(spark, sf_dir):
+    """Assets by source; src7 is unknown."""
+    return units(spark, sf_dir).where("canonical_id <> 'src7'").groupBy("canonical_id").agg(F.count(F.lit(1)).alias("unit_count")).select(
+        "canonical_id", F.concat(F.lit("assets/"), "canonical_id", F.lit("/units.json")).alias("path"), F.sha2("canonical_id", 256).alias("fingerprint"), "unit_count"
+    )
+
+
+@query(
+    retrieval_sql(
+        _HYDRATED,
+        "unit_rowid, canonical_id, knowledge_unit_id, statement, CAST(len(lines) AS INTEGER) AS evidence, array_to_string(entities, ',') AS entities, CASE WHEN canonical_id <> 'src7' THEN 'assets/' || canonical_id || '/units.json' END AS source_path, "
+        "CASE WHEN canonical_id <> 'src7' THEN sha256(canonical_id) END AS source_fingerprint, 'matched query terms in ' || concat_ws(' and ', CASE WHEN statement_match THEN 'statement' END, CASE WHEN entity_match THEN 'entities' END, "
+        "CASE WHEN topic_match THEN 'topics' END, CASE WHEN excerpt_match THEN 'evidence' END) AS why_this_hit, (SELECT count(*) FROM e) AS candidate_count",
+        RICH,
+        "rich",
+    )
+)
+def retrieve_hydrated(spark, sf_dir):
+    """Hits with their unit's evidence and entities, their asset, the reason, and the number of candidates before the limit."""
+    rich = rich_units(spark, sf_dir)
+    found = retrieval.hydrated(rich, _HYDRATED, _assets(spark, sf_dir))
+    n = retrieval.diagnostics(rich, _HYDRATED)["candidate_count_before_limit"]
+    return found.select(
+        "rank", "unit_rowid", "canonical_id", "knowledge_unit_id", "statement", F.size("evidence_refs").alias("evidence"), F.array_join("entities", ",").alias("entities"), "source_path", "source_fingerprint", "why_this_hit", F.lit(n).cast("bigint").alias("candidate_count")
+    )
+
+
+_LOW = retrieval.Query("nthat ering", 15)
+
+
+@query(f"SELECT CAST(row_number() OVER (ORDER BY score, unit_rowid) AS INTEGER) AS rank, unit_rowid, score FROM ({retrieval_sql(retrieval.Query('nthat ering', 100)).replace('<= 100', '<= 1000000000')}) x QUALIFY row_number() OVER (ORDER BY score, unit_rowid) <= 15")
+def fts_bm25_topk(spark, sf_dir):
+    return retrieval.best_by_bm25(unit_index(spark, sf_dir), _LOW)
 
 
 @query(f"""
@@ -115,17 +166,14 @@ def fts_postings_statement(spark, sf_dir):
 _GOLDEN = {"g1": (RETRIEVALS["retrieve_fts_topk"], "exhaustive"), "g2": (RETRIEVALS["retrieve_fts_multi_and"], "exhaustive"), "g3": (RETRIEVALS["retrieve_mixed_topk"], "partial"), "g4": (RETRIEVALS["retrieve_no_hits"], "exhaustive")}
 
 
+def _golden(spark):
+    return spark.createDataFrame([(name, q.top_k, judgment) for name, (q, judgment) in _GOLDEN.items()], "query_id string, top_k int, judgment string")
+
+
 def _evaluated(spark, sf_dir):
-    own = units(spark, sf_dir)
-    hits = None
-    golden = None
-    for name, (q, judgment) in _GOLDEN.items():
-        top = retrieval.retrieve(own, q).select(F.lit(name).alias("query_id"), "rank", "unit_rowid")
-        # The relevant units of a golden query: those that match it and have a confidence of 0.5 or more.
-        good = retrieval.candidates(own, q).agg(F.collect_list(F.when(F.col("confidence") >= 0.5, F.col("unit_rowid"))).alias("relevant"))
-        good = good.select(F.lit(name).alias("query_id"), F.lit(q.top_k).alias("top_k"), F.lit(judgment).alias("judgment"), "relevant")
-        hits, golden = (top, good) if hits is None else (hits.unionByName(top), golden.unionByName(good))
-    return evaluation.evaluate(golden, hits)
+    hits, every = retrieval.retrieve_many(unit_index(spark, sf_dir), {name: q for name, (q, _) in _GOLDEN.items()})
+    # The relevant units of a golden query: those that match it and have a confidence of 0.5 or more.
+    return evaluation.evaluate(_golden(spark), every.where("confidence >= 0.5"), hits)
 
 
 def _evaluated_sql() -> str:
@@ -670,7 +718,7 @@ def surface_forms(spark, sf_dir):
 @query(f"""WITH {UNITS} SELECT unit_rowid, 'missing' AS fault FROM units WHERE unit_rowid % 31 = 0 AND unit_rowid % 37 <> 0 UNION ALL SELECT unit_rowid, 'orphan' AS fault FROM units WHERE unit_rowid % 37 = 0 AND unit_rowid % 31 <> 0""")
 def projection_faults(spark, sf_dir):
     u = units(spark, sf_dir)
-    return quality.projection_faults(u.where("unit_rowid % 37 <> 0"), store.text_projection(u.where("unit_rowid % 31 <> 0")), "unit_rowid")
+    return quality.projection_faults(u.where("unit_rowid % 37 <> 0"), store.text_projection(rich_units(spark, sf_dir).where("unit_rowid % 31 <> 0")), "unit_rowid")
 
 
 @query(f"""

@@ -95,3 +95,47 @@ JOBS = """jobs AS (
   SELECT o_orderkey AS task_id, o_custkey AS scope_id, CASE o_orderstatus WHEN 'O' THEN 'READY' WHEN 'P' THEN 'RETRY_WAIT' ELSE 'COMPLETED' END AS state,
     10 - CAST(TRY_CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS INTEGER) AS priority, o_orderdate AS next_attempt_at FROM orders
 )"""
+
+
+_INDEXES: dict[tuple[str, str], object] = {}
+
+
+def unit_index(spark: SparkSession, sf_dir: str):
+    """The index over all units of these tables, built once a session, as a store keeps it from one ingestion to the next."""
+    from sheafwork.operators.retrieval import build_index
+    from sheafwork.sources.folders import shared_folder
+
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _INDEXES:
+        _INDEXES[key] = build_index(units(spark, sf_dir), shared_folder(spark, "index"), buckets=8, parts=8)
+    return _INDEXES[key]
+
+
+def rich_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Units with several entities, topics and pieces of evidence each: every line of the excerpt is one.
+
+    Every 13th unit's evidence has no place, every fourth has no entity, and every 29th no evidence.
+    """
+    n = F.col("unit_rowid")
+    base = units(spark, sf_dir).drop("entity", "topic")
+    lines = F.filter(F.split("excerpt", "\n"), lambda t: t != "")
+    entities = F.when(n % 4 == 0, F.array().cast("array<string>")).otherwise(F.array("canonical_id", F.concat(F.lit("e"), (n % 7).cast("string"))))
+    topics = F.array(F.col("lang"), F.concat(F.lit("t"), (n % 5).cast("string")), F.concat(F.lit("t"), (n % 3).cast("string")))
+    temporal = F.when(n % 13 != 0, F.struct(F.lit(0.0).alias("start"), F.lit(1.0).alias("end"), F.lit(1.0).alias("duration")))
+    refs = F.transform(
+        F.when(n % 29 == 0, F.array().cast("array<string>")).otherwise(lines),
+        lambda t, i: F.struct(F.concat(F.lit("ev_"), n.cast("string"), F.lit("_"), i.cast("string")).alias("evidence_id"), t.alias("source_excerpt"), temporal.alias("temporal_range"), F.lit(None).cast("struct<sequence_index: int>").alias("sequence_range")),
+    )
+    langs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("unit_rowid"), "lang")
+    own = base.join(langs, "unit_rowid").withColumns({"entities": entities, "topics": topics}).withColumn("evidence_refs", refs).drop("lang", "excerpt")
+    joined = lambda c: F.array_join(c, " ")
+    unit_id = F.concat(F.lit("ku_"), F.substring(F.sha2(F.concat_ws("|", "canonical_id", "unit_type", "statement"), 256), 1, 16))
+    return own.withColumns({"entity": joined("entities"), "topic": joined("topics"), "excerpt": joined(F.transform("evidence_refs", lambda r: r.source_excerpt)), "knowledge_unit_id": unit_id})
+
+
+RICH = f"""{UNITS}, lined AS (
+  SELECT units.* EXCLUDE (entity, topic, excerpt), d.lang, CASE WHEN unit_rowid % 29 = 0 THEN CAST([] AS VARCHAR[]) ELSE list_filter(string_split(units.excerpt, chr(10)), lambda t: t <> '') END AS lines,
+    CASE WHEN unit_rowid % 4 = 0 THEN CAST([] AS VARCHAR[]) ELSE [canonical_id, 'e' || unit_rowid % 7] END AS entities, [d.lang, 't' || unit_rowid % 5, 't' || unit_rowid % 3] AS topics
+  FROM units JOIN documents d ON d.doc_id = unit_rowid),
+rich AS (SELECT lined.* EXCLUDE (lang), array_to_string(entities, ' ') AS entity, array_to_string(topics, ' ') AS topic, array_to_string(lines, ' ') AS excerpt,
+  'ku_' || substr(sha256(canonical_id || '|' || unit_type || '|' || statement), 1, 16) AS knowledge_unit_id FROM lined)"""

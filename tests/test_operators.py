@@ -41,13 +41,14 @@ def test_bm25_counts_overlaps(spark):
 
 
 def test_evaluation_of_partial_and_exhaustive(spark):
-    golden = spark.createDataFrame([("a", 4, "exhaustive", [1, 2]), ("b", 4, "partial", [9]), ("c", 2, "exhaustive", [5])], "query_id string, top_k int, judgment string, relevant array<long>")
+    golden = spark.createDataFrame([("a", 4, "exhaustive"), ("b", 4, "partial"), ("c", 2, "exhaustive")], "query_id string, top_k int, judgment string")
+    relevant = spark.createDataFrame([("a", 1), ("a", 2), ("b", 9), ("c", 5)], "query_id string, unit_rowid long")
     hits = spark.createDataFrame([("a", 1, 7), ("a", 2, 1), ("b", 1, 9)], "query_id string, rank int, unit_rowid long")
-    got = {r.query_id: r for r in evaluation.evaluate(golden, hits).collect()}
+    got = {r.query_id: r for r in evaluation.evaluate(golden, relevant, hits).collect()}
     assert (got["a"].mrr, got["a"].precision_at_k, got["a"].recall_at_k) == (0.5, 0.25, 0.5)
     assert got["b"].precision_at_k is None and got["b"].hit_at_k == 1.0
     assert got["c"].hit_at_k == 0.0 and got["c"].f1_at_k == 0.0
-    assert evaluation.summarise(evaluation.evaluate(golden, hits)).first().mean_precision_at_k == 0.125
+    assert evaluation.summarise(evaluation.evaluate(golden, relevant, hits)).first().mean_precision_at_k == 0.125
 
 
 def test_scalars(spark):
