@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 from collections.abc import Iterator
 from pathlib import Path
@@ -14,7 +16,7 @@ from pyspark.sql.types import StructType
 #: Rows of one Arrow batch. Texts are long, so batches are kept far below Spark's default of 10,000 rows.
 BATCH_ROWS = 2000
 #: Bytes of one Arrow batch, for tables whose texts are very long.
-BATCH_BYTES = "32m"
+BATCH_BYTES = "16m"
 
 
 def _local(spark: SparkSession) -> bool:
@@ -61,9 +63,18 @@ _HELD: dict[str, tuple] = {}
 
 
 def held(name: str, owner, make):
-    """What a worker keeps from batch to batch and task to task: the last thing made, so that stages don't add up."""
+    """What a worker keeps from batch to batch and task to task: the last thing made, so that stages don't add up.
+
+    The memory of the one before goes back to the system, where its C library has a way for that.
+    """
     if name not in _HELD or _HELD[name][0] is not owner:
-        _HELD.clear()
+        if _HELD:
+            _HELD.clear()
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
         _HELD[name] = (owner, make())
     return _HELD[name][1]
 

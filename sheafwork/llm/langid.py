@@ -37,7 +37,7 @@ UNKNOWN = 1e-7
 PRIOR = 0.02
 ROUNDS = 3
 #: Words whose scores a worker remembers; beyond that, it starts afresh.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 LETTERS = re.compile(r"[^\W\d_]+")
 MARK = "▁"
 _BASE, _SPREAD = np.uint64(0x9E3779B97F4A7C15 | 1), np.uint64(0xD6E8FEB86659FD93)
@@ -223,7 +223,7 @@ class Scorer:
         scores = log_chances(self.pieces, [MARK + w for w in words], self.chances)
         n = len(self.known)
         if n + len(words) > len(self.rows):
-            self.rows = np.vstack([self.rows, np.zeros((n + 2 * len(words), len(self.languages)))])
+            self.rows = np.vstack([self.rows[:n], np.zeros((max(len(words), REMEMBERED // 4), len(self.languages)))])
         self.rows[n : n + len(words)] = scores
         self.known.update(zip(words, range(n, n + len(words)), strict=True))
 

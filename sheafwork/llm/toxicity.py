@@ -39,7 +39,7 @@ GRAM_SIZES, GRAMS = (3, 5, 7), 8192
 #: Words whose n-grams are looked up at once.
 PORTION = 20_000
 #: Words whose inputs a worker remembers; beyond that, it starts afresh.
-REMEMBERED = 300_000
+REMEMBERED = 120_000
 WORD = re.compile(r"[^\W_]+")
 
 
@@ -290,7 +290,7 @@ class Scorer:
     def learn(self, words: list[str]) -> None:
         n = len(self.known)
         if n + len(words) > len(self.rows):
-            self.rows = np.vstack([self.rows, np.zeros((n + 2 * len(words), 6 * HIDDEN), dtype=np.float32)])
+            self.rows = np.vstack([self.rows[:n], np.zeros((max(len(words), REMEMBERED // 4), 6 * HIDDEN), dtype=np.float32)])
         self.rows[n : n + len(words)] = self.net.gates(self.net.inputs(words))
         self.known.update(zip(words, range(n, n + len(words)), strict=True))
 
