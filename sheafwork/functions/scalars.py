@@ -18,6 +18,16 @@ SECRETS = (
     (r"(?i)(--cookie\s+[\"']?)[^\"'\s]+([\"']?)", "$1[REDACTED]$2"),
     (r"(?i)(['\"]--cookie['\"],\s*['\"])[^'\"]+(['\"])", "$1[REDACTED]$2"),
 )
+# Secrets as logs of the collector have them.
+REDACTIONS = (
+    (r"(?i)(sessionid(?:_ss)?=)[a-zA-Z0-9%_-]+", "$1[REDACTED]"),
+    (r"(?i)(sid_guard=)[a-zA-Z0-9%_-]+", "$1[REDACTED]"),
+    (r"(?i)(sid_tt=)[a-zA-Z0-9%_-]+", "$1[REDACTED]"),
+    (r"(?i)(msToken=)[a-zA-Z0-9%_\./+=-]+", "$1[REDACTED]"),
+    (r"(?i)(a_bogus=)[a-zA-Z0-9%_\./+=-]+", "$1[REDACTED]"),
+    (r"(?i)(passport_csrf_token(?:_default)?=)[a-zA-Z0-9%_-]+", "$1[REDACTED]"),
+    (r"(?i)(Bearer\s+)[a-zA-Z0-9_\-\.]+", "$1[REDACTED]"),
+)
 # Names that a file may not have, extensions of unfinished files.
 RESERVED = ("CON", "PRN", "AUX", "NUL", *(f"{d}{n}" for d in ("COM", "LPT") for n in range(1, 10)))
 UNFINISHED = (".part", ".tmp", ".crdownload", ".download", ".incomplete")
@@ -62,6 +72,13 @@ def without_secrets(text: Column) -> Column:
     return out
 
 
+def redacted(text: Column) -> Column:
+    """The text without what logs may not show; null stays null."""
+    for pattern, kept in REDACTIONS:
+        text = F.regexp_replace(text, pattern, kept)
+    return text
+
+
 def safe_name(name: Column, longest: int = 255) -> Column:
     """A file name that any system takes."""
     clean = F.regexp_replace(F.regexp_replace(name, r'[<>:"/\\|?*\x00-\x1f]', "_"), r"^[. ]+|[. ]+$", "")
@@ -109,9 +126,14 @@ def backoff(attempt: Column, base: float = 2.0, factor: float = 2.0, most: float
     return F.round(F.least(F.lit(most), F.lit(base) * F.pow(F.lit(factor), attempt - 1)), 3)
 
 
-def retry_after(text: Column) -> Column:
-    """Seconds between 1 and 300; 60 where the text is no number."""
-    return F.least(F.lit(300.0), F.greatest(F.lit(1.0), F.coalesce(text.try_cast("double"), F.lit(60.0))))
+def retry_after(text: Column, now: Column | None = None) -> Column:
+    """Seconds between 1 and 300, from a number or an HTTP date after ``now`` (a timestamp; the clock's by default); else 60."""
+    number = F.trim(text).try_cast("double")
+    date = F.try_to_timestamp(F.regexp_replace(F.regexp_replace(F.trim(text), r"^[A-Za-z]{3}, ", ""), " GMT$", " +0000"), F.lit("dd MMM yyyy HH:mm:ss xx"))
+    ahead = F.when(number.isNull(), (F.unix_timestamp(date) - F.unix_timestamp(now if now is not None else F.current_timestamp())).cast("double"))
+    seconds = F.coalesce(number, ahead)
+    sound = (seconds > 0) & (seconds < float("inf")) & ~F.isnan(seconds)
+    return F.when(sound, F.least(F.lit(300.0), F.greatest(F.lit(1.0), seconds))).otherwise(60.0)
 
 
 def escaped_excerpt(text: Column) -> Column:

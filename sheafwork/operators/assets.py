@@ -1,4 +1,4 @@
-"""Assets: pairing of separate streams, conformity of artifact sets."""
+"""Assets: pairing of separate streams, routes, roles, validation, promotion and checks of artifact sets, sandboxes."""
 
 from __future__ import annotations
 
@@ -16,17 +16,26 @@ def name_key(name: Column) -> Column:
     return F.regexp_replace(stem, r"(?U)[^\w]+", "")
 
 
+def _top_two(pairs: DataFrame, by: str) -> DataFrame:
+    """video_id, audio_id, score, second: the best pair of each video and the second best score. Limited in each task before the shuffle."""
+    two = pairs.withColumn("n", F.row_number().over(Window.partitionBy("video_id").orderBy(F.desc(by), "audio_id"))).where("n <= 2")
+    first, second = F.col("n") == 1, F.col("n") == 2
+    return two.groupBy("video_id").agg(F.max(F.when(first, F.col("audio_id"))).alias("audio_id"), F.max(F.when(first, F.col(by))).alias("score"), F.max(F.when(second, F.col(by))).alias("second"))
+
+
 def pair_streams(videos: DataFrame, audios: DataFrame, likeness=None, window: float = WINDOW, margin: float = MARGIN) -> DataFrame:
-    """Both sides id, name, duration, modified. A band join on the duration, made an equality by buckets of the widest
-    tolerance of its size class, then the best two by score.
+    """Both sides id, name, duration, modified. A band join on the duration, made an equality by buckets, then the best two.
+
+    A score is 0.5 by duration, 0.35 by modified time, which counts only within ``window`` seconds, and 0.15 by the names'
+    likeness. Pairs are scored without names first; the two best scores so far bound what a pair must reach, and only
+    pairs that still can, with 0.15 more, have their names compared. Each task keeps two pairs of a video before the shuffle.
 
-    Durations of like magnitude share a class of powers of two, whose bucket is as wide as that class's largest
-    tolerance (1 second, or 0.002 of the duration), so a video meets the audios of three buckets at most in its class
-    and of the neighbouring classes at the borders.
+    Durations of like magnitude share a class of powers of two, whose bucket is a quarter as wide as that class's largest
+    tolerance (1 second, or 0.002 of the duration).
     """
     likeness = likeness or similarity
     octave = lambda d: F.greatest(F.lit(0), F.floor(F.log2(F.greatest(d, F.lit(1.0))))).cast("int")
-    width = lambda o: F.greatest(F.lit(1.0), F.pow(F.lit(2.0), o + 1) * 0.002)
+    width = lambda o: F.greatest(F.lit(1.0), F.pow(F.lit(2.0), o + 1) * 0.002) / 4
     v = videos.select(F.col("id").alias("video_id"), F.col("name").alias("v_name"), F.col("duration").alias("v_duration"), F.col("modified").alias("v_modified"))
     tolerance = F.greatest(F.lit(1.0), F.col("v_duration") * 0.002)
     octaves = F.array_distinct(F.array(octave(F.col("v_duration") - tolerance), octave(F.col("v_duration")), octave(F.col("v_duration") + tolerance)))
@@ -36,10 +45,13 @@ def pair_streams(videos: DataFrame, audios: DataFrame, likeness=None, window: fl
     a = audios.select(F.col("id").alias("audio_id"), F.col("name").alias("a_name"), F.col("duration").alias("a_duration"), F.col("modified").alias("a_modified"), octave(F.col("duration")).alias("octave"))
     a = a.withColumn("bucket", F.floor(F.col("a_duration") / width(F.col("octave"))))
     met = v.join(a, ["octave", "bucket"]).withColumn("delta", F.abs(F.col("v_duration") - F.col("a_duration"))).where("delta <= tolerance")
-    score = 0.50 * (1 - F.col("delta") / F.col("tolerance")) + 0.35 * F.greatest(F.lit(0.0), 1 - F.abs(F.col("v_modified") - F.col("a_modified")) / window) + 0.15 * likeness(name_key(F.col("v_name")), name_key(F.col("a_name")))
-    order = Window.partitionBy("video_id").orderBy(F.desc("score"), "audio_id")
-    top = met.withColumn("score", F.round(score, 5)).withColumn("n", F.row_number().over(order)).where("n <= 2")
-    best = top.groupBy("video_id").agg(F.max(F.when(F.col("n") == 1, F.col("audio_id"))).alias("audio_id"), F.max(F.when(F.col("n") == 1, F.col("score"))).alias("score"), F.max(F.when(F.col("n") == 2, F.col("score"))).alias("second"))
+    base = 0.50 * (1 - F.col("delta") / F.col("tolerance")) + 0.35 * F.greatest(F.lit(0.0), 1 - F.abs(F.col("v_modified") - F.col("a_modified")) / window)
+    met = met.withColumn("base", base)
+    # The second best score without names is a bound that two pairs are sure to reach.
+    bound = _top_two(met, "base").select("video_id", F.coalesce("second", F.lit(float("-inf"))).alias("bound"))
+    able = met.join(bound, "video_id").where(F.col("base") + 0.15 >= F.col("bound") - 1e-9)
+    scored = able.withColumn("score", F.round(F.col("base") + 0.15 * likeness(name_key(F.col("v_name")), name_key(F.col("a_name"))), 5))
+    best = _top_two(scored, "score")
     decision = F.when(F.col("score").isNull(), "missing_audio").when(F.col("score") - F.col("second") <= margin, "pair_ambiguous").otherwise("pair_found")
     joined = videos.select(F.col("id").alias("video_id")).join(best, "video_id", "left").withColumn("decision", decision)
     return joined.select("video_id", "decision", F.when(F.col("decision") == "pair_found", F.col("audio_id")).alias("audio_id"), F.when(F.col("decision") == "pair_found", F.col("score")).alias("score"))
@@ -65,3 +77,164 @@ def conformity(artifacts: DataFrame) -> DataFrame:
         .when((F.col("mode") == "album") & (F.col("highest") != i), "sequence_gap")
     )
     return facts.select("task_id", "mode", "videos", "images", "audios", fault.alias("fault"))
+
+
+# Extensions by what a file holds, and those of files beside the media.
+VIDEO = (".mp4", ".mov", ".mkv", ".flv", ".webm", ".avi", ".ts")
+IMAGE = (".webp", ".jpg", ".jpeg", ".png", ".bmp", ".heic")
+AUDIO = (".mp3", ".m4a", ".aac", ".wav", ".flac", ".ogg")
+BESIDE = (".txt", ".json", ".log", ".desc")
+
+
+def extension_of(name: Column) -> Column:
+    """The last extension with its dot, lower case; empty where there is none."""
+    return F.regexp_extract(F.lower(name), r"[^/\\.]+(\.[^./\\]+)$", 1)
+
+
+def role_of(name: Column) -> Column:
+    """What a file is by its name: marks first, then its extension."""
+    lower, ext = F.lower(name), extension_of(name)
+    return (
+        F.when(lower.rlike(r"_img_\d+"), "album_image")
+        .when(lower.contains("_bgm"), "bgm_audio")
+        .when(lower.contains("_cover"), "cover_image")
+        .when(ext.isin(list(VIDEO)), "primary_video")
+        .when(ext.isin(list(IMAGE)), "album_image")
+        .when(ext.isin(list(AUDIO)), "bgm_audio")
+        .otherwise("other_diagnostic")
+    )
+
+
+def sequence_of(name: Column, given: Column) -> Column:
+    """An album image's number: the given one, or the one in its name; null for all other files."""
+    told = F.regexp_extract(F.lower(name), r"_img_(\d+)", 1).try_cast("int")
+    return F.when(role_of(name) == "album_image", F.coalesce(given, told))
+
+
+def media_files(files: DataFrame) -> DataFrame:
+    """Files (file_name, role) without diagnostics and what lies beside the media; unfinished ones get a fault."""
+    from sheafwork.functions.scalars import UNFINISHED
+
+    ext = extension_of(F.col("file_name"))
+    kept = files.where((F.col("role") != "other_diagnostic") & ~ext.isin(list(BESIDE)))
+    return kept.withColumn("fault", F.when(ext.isin(list(UNFINISHED)), "unfinished"))
+
+
+def routes(tasks: DataFrame) -> DataFrame:
+    """How a task (content_type, has_audio, image_count) is run and what it must yield; by its content type alone.
+
+    Anything but video and image_album is unsupported: its route is null and its fault says so.
+    """
+    kind = F.lower(F.trim(F.coalesce("content_type", F.lit(""))))
+    video, album = kind == "video", kind == "image_album"
+    audio = F.coalesce("has_audio", F.lit(False))
+    images = F.when(F.coalesce(F.col("image_count") > 0, F.lit(False)), F.col("image_count")).otherwise(1)
+    return tasks.withColumns({
+        "mode": F.when(video, "video").when(album, "image_album"), "profile": F.when(video, "VIDEO").when(album, "IMAGE_SET"), "primary_role": F.when(video, "primary_video").when(album, "album_image"),
+        "min_primary": F.when(video, 1).when(album, images), "max_primary": F.when(video, 1), "require_audio": F.when(video, audio).when(album, False), "strict_sequence": F.when(video, False).when(album, True),
+        "fault": F.when(~(video | album), "unsupported_content_type"),
+    })
+
+
+def media_verdicts(probes: DataFrame) -> DataFrame:
+    """First failed check of each probed file, its error code, and whether its length is odd.
+
+    probes: profile (VIDEO, AUDIO), has_video, has_audio, expect_audio, width, height, duration, expected_ms, decodes (null
+    where not tried). A length is odd if it is off by more than 3 seconds and a fifth of what was expected.
+    """
+    c, no = F.col, F.lit(False)
+    video, seconds = c("profile") == "VIDEO", F.coalesce("duration", F.lit(0.0))
+    check = (
+        F.when(video & ~F.coalesce("has_video", no), "MISSING_VIDEO_STREAM")
+        .when((c("profile") == "AUDIO") & ~F.coalesce("has_audio", no), "MISSING_AUDIO_STREAM")
+        .when(video & F.coalesce("expect_audio", no) & ~F.coalesce("has_audio", no), "MISSING_AUDIO_STREAM")
+        .when(video & (F.coalesce(c("width") <= 0, no) | F.coalesce(c("height") <= 0, no)), "INVALID_DIMENSIONS")
+        .when(video & (seconds <= 0), "INVALID_DURATION")
+        .when(~F.coalesce("decodes", F.lit(True)), "DECODE_SMOKE_FAILURE")
+    )
+    wanted = c("expected_ms") / 1000
+    odd = video & (wanted > 0) & (F.abs(seconds - wanted) > F.greatest(F.lit(3.0), wanted * 0.2))
+    code = F.when(F.col("failed_check").startswith("MISSING"), "MEDIA_INCOMPLETE").when(F.col("failed_check").isNotNull(), "VALIDATION_FAILED")
+    return probes.withColumn("failed_check", check).withColumns({"code": code, "passed": F.col("failed_check").isNull(), "odd_length": F.coalesce(odd, no) & F.col("failed_check").isNull()})
+
+
+def image_set_verdicts(files: DataFrame, expected: DataFrame) -> DataFrame:
+    """First failed check of each album. files: task_id, file_name, passed; expected: task_id, least, exactly (or null)."""
+    audio = extension_of(F.col("file_name")).isin(list(AUDIO))
+    counts = files.groupBy("task_id").agg(F.count_if(~audio).alias("images"), F.count_if(~audio & ~F.col("passed")).alias("bad_images"), F.count_if(audio & ~F.col("passed")).alias("bad_audios"))
+    row = expected.join(counts, "task_id", "left").na.fill(0, ["images", "bad_images", "bad_audios"])
+    check = (
+        F.when(F.col("images") < F.coalesce("least", F.lit(1)), "IMAGE_COUNT_BELOW_MINIMUM")
+        .when(F.col("images") != F.col("exactly"), "IMAGE_COUNT_MISMATCH")
+        .when(F.col("bad_images") > 0, "IMAGE_SET_CORRUPT_MEMBER")
+        .when(F.col("bad_audios") > 0, "IMAGE_SET_CORRUPT_AUDIO")
+    )
+    return row.select("task_id", "images", check.alias("failed_check"))
+
+
+def promotions(candidates: DataFrame, archived: DataFrame) -> DataFrame:
+    """Whether validated files may become an asset of the archive.
+
+    candidates: content_id, file_name, sha256, byte_size, validated_sha256, validated; archived: content_id, file_name, sha256.
+    Outcomes: rejected (reason: not_validated, unfinished, zero_bytes, changed_since), idempotent if the archive has the same
+    files with the same digests, conflict if it has others, promoted otherwise. Sets of files are compared by their sums
+    of digests of (name, digest) and their counts, so no set is gathered.
+    """
+    from sheafwork.functions.scalars import UNFINISHED
+
+    reason = (
+        F.when(~F.coalesce("validated", F.lit(False)), "not_validated")
+        .when(extension_of(F.col("file_name")).isin(list(UNFINISHED)), "unfinished")
+        .when(F.coalesce("byte_size", F.lit(0)) == 0, "zero_bytes")
+        .when(~F.col("sha256").eqNullSafe(F.col("validated_sha256")), "changed_since")
+    )
+    mark = F.sum(F.xxhash64("file_name", "sha256").cast("decimal(38,0)"))
+    new = candidates.withColumn("reason", reason).groupBy("content_id").agg(mark.alias("n_mark"), F.count(F.lit(1)).alias("n_files"), F.min("reason").alias("reason"))
+    old = archived.groupBy("content_id").agg(mark.alias("o_mark"), F.count(F.lit(1)).alias("o_files"))
+    same = (F.col("n_mark") == F.col("o_mark")) & (F.col("n_files") == F.col("o_files"))
+    outcome = F.when(F.col("reason").isNotNull(), "rejected").when(F.col("o_files").isNull(), "promoted").when(same, "idempotent").otherwise("conflict")
+    return new.join(old, "content_id", "left").select("content_id", outcome.alias("outcome"), "reason", F.col("n_files").alias("files"))
+
+
+def archive_faults(manifests: DataFrame, files: DataFrame) -> DataFrame:
+    """First fault of each archived asset: no_assets, no_file_name, missing_file, other_digest.
+
+    manifests: content_id, assets (array of struct(file_name, sha256)); files: content_id, file_name, sha256 as they are.
+    """
+    empty = manifests.where(F.coalesce(F.size("assets"), F.lit(0)) < 1).select("content_id", F.lit("no_assets").alias("fault"), F.lit(0).alias("at"))
+    told = manifests.select("content_id", F.posexplode("assets").alias("at", "a")).select("content_id", "at", F.col("a.file_name").alias("file_name"), F.col("a.sha256").alias("want"))
+    met = told.join(files.withColumnRenamed("sha256", "has"), ["content_id", "file_name"], "left")
+    fault = F.when(F.coalesce("file_name", F.lit("")) == "", "no_file_name").when(F.col("has").isNull(), "missing_file").when((F.coalesce("want", F.lit("")) != "") & (F.col("want") != F.col("has")), "other_digest")
+    bad = met.withColumn("fault", fault).where("fault is not null").select("content_id", "fault", "at")
+    return empty.unionByName(bad).groupBy("content_id").agg(F.min_by("fault", "at").alias("fault"))
+
+
+#: Seconds after which a sandbox whose owner is dead may go: a crashed one, a successful one, a failed one.
+GRACE, KEPT, KEPT_FAILED = 600.0, 300.0, 86400.0
+
+
+def sandboxes(boxes: DataFrame) -> DataFrame:
+    """Class of each working folder and whether it may be deleted. boxes: metadata ('good', 'missing', 'corrupt'), state, alive, age.
+
+    A living owner protects its folder whatever its age; folders without readable metadata are set aside, never deleted.
+    """
+    state, age = F.col("state"), F.greatest(F.lit(0.0), F.col("age"))
+    kind = (
+        F.when(F.col("metadata") != "good", "quarantine")
+        .when(F.col("alive"), "active")
+        .when(state.isin("ACTIVE", "INITIALIZING"), "orphaned")
+        .when(state == "SUCCESS", "success")
+        .when(state == "FAILED", "failed")
+        .otherwise("unknown_state")
+    )
+    least = F.create_map(*[F.lit(x) for pair in (("orphaned", GRACE), ("success", KEPT), ("failed", KEPT_FAILED)) for x in pair])[F.col("kind")]
+    return boxes.withColumn("kind", kind).withColumn("may_go", F.coalesce(age >= least, F.lit(False)))
+
+
+def sandbox_summary(classified: DataFrame) -> DataFrame:
+    """One row: scanned, living, set aside, kept failures, orphans, and folders to delete."""
+    kind, go = F.col("kind"), F.col("may_go")
+    return classified.agg(
+        F.count(F.lit(1)).alias("scanned"), F.count_if(kind == "active").alias("active"), F.count_if(kind == "quarantine").alias("quarantined"), F.count_if((kind == "failed") & ~go).alias("kept_failures"),
+        F.count_if(kind == "orphaned").alias("orphaned"), F.count_if(go).alias("deletable"),
+    )

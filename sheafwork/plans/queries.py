@@ -568,7 +568,7 @@ _CODES = ("NETWORK", "NOT_FOUND", "AUTH_REQUIRED", "RATE_LIMITED", "MEDIA_INCOMP
 
 @query(f"""
 WITH a AS (SELECT l_orderkey, l_linenumber, {list(_CODES)}[CAST(l_partkey % 8 AS INTEGER) + 1] AS code, CASE WHEN l_suppkey % 3 = 0 THEN 'CDN_EXPIRED' WHEN l_suppkey % 3 = 1 THEN 'NAME_CONFLICT' ELSE NULL END AS sub, l_linenumber AS n, CASE WHEN l_returnflag = 'A' THEN '500' WHEN l_returnflag = 'N' THEN 'soon' ELSE '7.5' END AS after FROM lineitem),
-b AS (SELECT *, code = 'NOT_FOUND' AND coalesce(sub, '') = 'CDN_EXPIRED' AS volatile, coalesce(sub, '') = 'NAME_CONFLICT' AND code IN ('VALIDATION_FAILED', 'TOOL_ERROR', 'UNKNOWN') AS conflict FROM a),
+b AS (SELECT *, code = 'NOT_FOUND' AND coalesce(sub, '') = 'CDN_EXPIRED' AS volatile, coalesce(sub, '') = 'NAME_CONFLICT' AND code IN ('VALIDATION_FAILED', 'TOOL_ERROR', 'ODD') AS conflict FROM a),
 c AS (SELECT *, CASE WHEN volatile THEN CASE WHEN n < 2 THEN 'RETRY_AFTER_RERESOLVE' ELSE 'TERMINAL' END WHEN code = 'AUTH_REQUIRED' THEN 'BLOCKED_AUTH' WHEN code = 'RATE_LIMITED' THEN 'WAIT_AND_RETRY' WHEN conflict THEN 'TERMINAL'
   WHEN code = 'NETWORK' AND n < 3 THEN 'RETRY' WHEN code IN ('MEDIA_INCOMPLETE', 'VALIDATION_FAILED') AND n < 2 THEN 'RETRY_AFTER_RERESOLVE' WHEN code = 'ODD' AND n < 2 THEN 'RETRY' ELSE 'TERMINAL' END AS action FROM b)
 SELECT l_orderkey, l_linenumber, action, CAST(CASE WHEN volatile THEN 2 WHEN code IN ('AUTH_REQUIRED', 'RATE_LIMITED') THEN NULL WHEN conflict THEN 1 ELSE CASE code WHEN 'NETWORK' THEN 3 WHEN 'MEDIA_INCOMPLETE' THEN 2 WHEN 'VALIDATION_FAILED' THEN 2 WHEN 'ODD' THEN 2 ELSE 1 END END AS INTEGER) AS budget,
