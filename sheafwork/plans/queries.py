@@ -740,3 +740,6 @@ def outbox_payload_faults(spark, sf_dir):
     good = F.format_string('{"id": %d, "props": %s%s}', F.when(n % 47 == 0, n + 1).otherwise(n), "props", F.when(n % 49 == 0, ', "x": {"Access_Token": 1}').otherwise(""))
     rows = e.select("event_id", F.when(n % 50 == 0, "{").otherwise(good).alias("payload"))
     return quality.payload_faults(rows, {"event_id": "$.id"}).select("event_id", "fault")
+
+
+from sheafwork.plans import lifecycle  # noqa: E402, F401 (registers the rest)
