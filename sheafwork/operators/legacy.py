@@ -50,18 +50,17 @@ def merged(local: DataFrame, proposals: DataFrame) -> Merged:
     other_type); one fault rejects the asset's merge. Points that no proposal cites stay, after the merged ones, in order.
     """
     text = lambda c: F.trim(F.coalesce(F.col(c), F.lit(""))) != ""
-    numbered = proposals.withColumn("p", F.struct("position", F.lit("")))
-    cited = numbered.select("asset", F.col("position").alias("at"), F.col("type").alias("want"), F.explode(F.array_distinct("source_ids")).alias("local_id"))
+    cited = proposals.select("asset", "position", F.col("type").alias("want"), F.explode(F.array_distinct("source_ids")).alias("local_id"))
     known = cited.join(local.select("asset", "local_id", F.col("type").alias("has")), ["asset", "local_id"], "left")
-    checks = known.groupBy("asset", "at").agg(F.count_if(F.col("has").isNull()).alias("unknown"), F.count_if(F.col("has") != F.col("want")).alias("other"))
-    told = numbered.join(checks, (numbered["asset"] == checks["asset"]) & (F.col("position") == F.col("at")), "left").select(numbered["asset"], "position", "type", "title", "content", "source_ids", "unknown", "other")
+    checks = known.groupBy("asset", "position").agg(F.count_if(F.col("has").isNull()).alias("unknown"), F.count_if(F.col("has") != F.col("want")).alias("other"))
+    told = proposals.join(checks, ["asset", "position"], "left")
     fault = F.when(~(text("title") & text("content")), "no_text").when(F.coalesce(F.size("source_ids"), F.lit(0)) < 1, "no_sources").when(F.col("unknown") > 0, "unknown_source").when(F.col("other") > 0, "other_type")
     faults = told.withColumn("fault", fault).where("fault is not null").select("asset", "position", "fault")
     sound = told.join(faults.select("asset").distinct(), "asset", "left_anti")
     used = cited.select("asset", "local_id").distinct()
     left = local.join(used, ["asset", "local_id"], "left_anti").join(faults.select("asset").distinct(), "asset", "left_anti")
-    spans = cited.join(local.select("asset", "local_id", "segment_ids"), ["asset", "local_id"]).groupBy("asset", "at").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("segment_ids")))).alias("segment_ids"))
-    merged_rows = sound.join(spans.withColumnRenamed("at", "position"), ["asset", "position"]).select(
+    spans = cited.join(local.select("asset", "local_id", "segment_ids"), ["asset", "local_id"]).groupBy("asset", "position").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("segment_ids")))).alias("segment_ids"))
+    merged_rows = sound.join(spans, ["asset", "position"]).select(
         "asset", F.lit(0).alias("late"), "position", "type", F.trim("title").alias("title"), F.trim("content").alias("content"), F.array_distinct("source_ids").alias("source_ids"), "segment_ids"
     )
     kept = left.select("asset", F.lit(1).alias("late"), "position", "type", "title", "content", F.array("local_id").alias("source_ids"), "segment_ids")

@@ -445,19 +445,6 @@ def speech_chunks(spark, sf_dir):
     return evidence.speech_chunks(segments(spark, sf_dir), "conv_id", seconds=60, tokens=400, most=4, overlap=1)
 
 
-@query()
-def transcript_chunks(spark, sf_dir):
-    return evidence.transcript_chunks(segments(spark, sf_dir), "conv_id", tokens=600, overlap=80)
-
-
-@query()
-def cue_requests(spark, sf_dir):
-    # The tables hold no Han text, so every third turn gets one of the phrases.
-    s = segments(spark, sf_dir)
-    phrase = F.get(F.array(F.lit("直接看这张图"), F.lit("这里显示显卡配置"), F.lit("打开这个目录")), (F.col("turn") % 9 / 3).cast("int"))
-    return evidence.cue_requests(s.withColumn("text", F.when(F.col("turn") % 3 == 0, F.concat(phrase, "text")).otherwise(F.col("text"))), "conv_id")
-
-
 @query(f"""
 WITH {SEGMENTS} SELECT conv_id, turn, lead(turn) OVER w AS next_turn, coalesce(lead(start) OVER w - "end" <= 1.0, false) AS adjacent FROM segments WINDOW w AS (PARTITION BY conv_id ORDER BY turn)
 """)
@@ -665,18 +652,6 @@ def published_at(spark, sf_dir):
     return table(spark, sf_dir, "events").select(n, scalars.published_at(epoch).alias("published"))
 
 
-_SAYS = "CASE l_partkey % 6 WHEN 0 THEN 'HTTP 404 at host' WHEN 1 THEN 'Connect Timeout' WHEN 2 THEN 'slider shown' WHEN 3 THEN 'rate limit, 503' WHEN 4 THEN 'odd' ELSE 'decode failed' END"
-
-
-@query(f"""
-SELECT l_orderkey, l_linenumber, CASE WHEN m LIKE '%slider%' THEN 'AUTH_CHALLENGE' WHEN m LIKE '%rate limit%' THEN 'RATE_LIMITED' WHEN m LIKE '%404%' THEN 'NOT_FOUND' WHEN m LIKE '%timeout%' THEN 'TIMEOUT' WHEN m LIKE '%decode failed%' THEN 'VALIDATION_FAILED' ELSE 'UNKNOWN' END AS code
-FROM (SELECT l_orderkey, l_linenumber, lower({_SAYS}) AS m FROM lineitem) x
-""")
-def error_codes(spark, sf_dir):
-    rows = table(spark, sf_dir, "lineitem").withColumn("m", F.expr(_SAYS))
-    return rows.select("l_orderkey", "l_linenumber", queue.code_from_text(F.col("m"), F.lit("")).alias("code"))
-
-
 @query("""
 WITH p AS (SELECT p_partkey, CAST(p_size % 3 AS INTEGER) AS k, CASE WHEN p_size % 10 = 0 THEN 0 ELSE p_retailprice END AS d, CASE WHEN p_size % 2 = 0 THEN p_brand END AS b FROM part)
 SELECT p_partkey, CASE WHEN NOT d > 0 THEN 'invalid' WHEN k = 0 THEN 'audio_video' WHEN k = 1 THEN 'video_only' ELSE 'audio_only' END AS media_type, CASE WHEN b IN ('Brand#1', 'Brand#2') THEN b ELSE 'other' END AS platform FROM p
@@ -742,4 +717,4 @@ def outbox_payload_faults(spark, sf_dir):
     return quality.payload_faults(rows, {"event_id": "$.id"}).select("event_id", "fault")
 
 
-from sheafwork.plans import lifecycle  # noqa: E402, F401 (registers the rest)
+from sheafwork.plans import lifecycle, media  # noqa: E402, F401 (they register the rest)
