@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sheafwork.operators import assets, collection, evidence, legacy, queue, visual
@@ -141,14 +142,16 @@ def legacy_adapted(spark, sf_dir):
     return told.select(F.substring(F.col("evidence_ids")[0], 2, 20).cast("bigint").alias("unit_rowid"), "unit_type", "statement", "knowledge_unit_id", "candidate_id", "attribution", "fault")
 
 
-_LOCAL = """local AS (SELECT l_orderkey AS asset, 'l' || l_linenumber AS local_id, l_linenumber AS position, CASE WHEN l_linenumber % 2 = 0 THEN 'claim' ELSE 'opinion' END AS type, 's' || l_linenumber AS seg FROM lineitem),
+_LOCAL = """lines AS (SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS k FROM lineitem),
+local AS (SELECT l_orderkey AS asset, 'l' || k AS local_id, k AS position, CASE WHEN k % 2 = 0 THEN 'claim' ELSE 'opinion' END AS type, 's' || k AS seg FROM lines),
 sizes AS (SELECT asset, count(*) AS n FROM local GROUP BY asset),
 bad AS (SELECT asset, CASE WHEN asset % 10 = 0 THEN 'no_text' WHEN n < 4 THEN 'unknown_source' WHEN asset % 7 = 0 THEN 'other_type' END AS fault FROM sizes)"""
 
 
 def _legacy(spark, sf_dir):
-    k, n = F.col("l_orderkey"), F.col("l_linenumber")
-    rows = table(spark, sf_dir, "lineitem")
+    k, n = F.col("l_orderkey"), F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"))
+    rows = table(spark, sf_dir, "lineitem").select(k, n.alias("n"))
+    n = F.col("n")
     local = rows.select(k.alias("asset"), F.concat(F.lit("l"), n.cast("string")).alias("local_id"), n.alias("position"), F.when(n % 2 == 0, "claim").otherwise("opinion").alias("type"), F.lit("t").alias("title"), F.lit("c").alias("content"), F.array(F.concat(F.lit("s"), n.cast("string"))).alias("segment_ids"))
     proposals = rows.select(k.alias("asset")).distinct().select("asset", F.lit(1).alias("position"), F.lit("claim").alias("type"), F.when(F.col("asset") % 10 == 0, " ").otherwise(" both ").alias("title"), F.lit("c").alias("content"), F.array(F.lit("l4"), F.when(F.col("asset") % 7 == 0, "l3").otherwise("l2"), F.lit("l4")).alias("source_ids"))
     return legacy.merged(local, proposals)
