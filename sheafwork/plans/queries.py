@@ -717,4 +717,4 @@ def outbox_payload_faults(spark, sf_dir):
     return quality.payload_faults(rows, {"event_id": "$.id"}).select("event_id", "fault")
 
 
-from sheafwork.plans import lifecycle, media  # noqa: E402, F401 (they register the rest)
+from sheafwork.plans import intake, lifecycle, media  # noqa: E402, F401 (they register the rest)
