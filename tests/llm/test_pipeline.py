@@ -25,6 +25,55 @@ def test_stages(spark, tmp_path):
     assert docs.select("doc_id").distinct().count() == previous.count()
 
 
+def test_pipeline_on_odd_rows(spark, tmp_path):
+    """Nulls, empty texts, a very long text, repeated rows, clashing columns, and an empty table."""
+    g = random.Random(2)
+    words = [f"word{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(400)]
+    text = lambda n: " ".join(g.choice(words) for _ in range(n))
+    rows = [(k, text(40), g.choice(["en", "de"]), g.choice(["a", "b"]), 1, "z", "z") for k in range(120)]
+    rows += [(200, None, "en", "a", 1, "z", "z"), (201, "", None, None, None, None, None), (202, " 12 !", "en", "a", 1, "z", "z"), (203, text(30_000), "en", "b", 1, "z", "z"), (None, text(40), "en", "a", 1, "z", "z"), rows[5], rows[5], (300, rows[7][1], "en", "b", 1, "z", "z")]
+    fields = "doc_id long, text string, lang string, source string, n_chars long, rank string, own_topic string"
+    labels = spark.createDataFrame([(k, 1, k % 2) for k in range(0, 40)], "doc_id long, quality int, toxic int")
+    for name, made in (("odd", rows), ("empty", [])):
+        folder = tmp_path / name
+        spark.createDataFrame(made, fields).repartition(3).write.parquet(str(folder / "documents.parquet"))
+        (labels if made else labels.where("false")).write.parquet(str(folder / "labels.parquet"))
+        docs = spark.read.parquet(str(folder / "documents.parquet"))
+        for number, (_, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+            stage(spark, docs, str(folder)).write.parquet(str(folder / str(number)))
+            docs = spark.read.parquet(str(folder / str(number)))
+            assert docs.columns == [f.split()[0] for f in fields.split(", ")]
+            if number == 0 and made:
+                assert sorted(r.doc_id for r in docs.collect() if r.doc_id is not None and r.doc_id >= 200) == [203, 300]
+            if number == 2:
+                assert docs.groupBy("text").count().where("count > 1").count() == 0
+        packed = corpus_pipeline.packed(spark, docs, str(folder))
+        assert {r.doc_id for r in packed.select("doc_id").collect()} == {r.doc_id for r in docs.select("doc_id").collect()}
+        assert corpus_pipeline.run(spark, str(folder)).count() == packed.count()
+
+
+def test_near_copies_are_caught(spark):
+    """Recall against exact shingle similarity of 0.8 or more, over copies of all lengths that differ at any place."""
+    g = random.Random(6)
+    texts, linked = {}, 0
+    for k in range(300):
+        words = [f"w{g.randrange(10**6)}" for _ in range(g.choice([12, 30, 60, 150, 400, 900]))]
+        copy = list(words)
+        for _ in range(g.choice([1, 1, 2, max(1, len(words) // 60)])):
+            at = g.randrange(len(copy))
+            copy[at : at + 1] = g.choice([[], ["new"], ["new", copy[at]]])
+        texts[2 * k], texts[2 * k + 1] = " ".join(words), " ".join(copy)
+    want = {}
+    for k in range(300):
+        a, b = ({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (texts[2 * k].split(), texts[2 * k + 1].split()))
+        want[k] = 5 * len(a & b) >= 4 * len(a | b)
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
+    kept = {r.doc_id for r in corpus_pipeline.unique(spark, frame, "").collect()}
+    caught = [2 * k + 1 not in kept for k in range(300) if want[k]]
+    assert len(caught) > 100 and sum(caught) / len(caught) >= 0.99
+    assert all(2 * k + 1 in kept for k in range(300) if not want[k]) and all(2 * k in kept for k in range(300))
+
+
 def test_registered(spark):
     from sheafwork.llm.registry import QUERIES
 
