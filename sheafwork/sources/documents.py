@@ -43,6 +43,15 @@ def document_faults(documents: DataFrame) -> DataFrame:
     return documents.select("file", fault.alias("fault")).where(F.col("fault").isNotNull())
 
 
+def sound_documents(documents: DataFrame) -> DataFrame:
+    """The documents, all of them sound: one that breaks an invariant fails the read with its file's name and what it breaks."""
+    faults = document_faults(documents)
+    told = documents.join(faults, "file", "left")
+    message = F.concat(F.col("file"), F.lit(" breaks "), F.col("fault"))
+    checked = F.when(F.col("fault").isNull(), F.col("file")).otherwise(F.raise_error(message).cast("string"))
+    return told.withColumn("file", checked).select(*documents.columns)
+
+
 def unit_rows(documents: DataFrame) -> DataFrame:
     """A row a unit, in document order, as the retrieval operators take them."""
     return documents.select(F.posexplode("units").alias("place", "u")).select(

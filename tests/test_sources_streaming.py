@@ -6,7 +6,7 @@ import pytest
 
 from sheafwork.operators import sync
 from sheafwork.sources import documents
-from sheafwork.streaming.observations import ItemStore
+from sheafwork.streaming.observations import DivergentReplay, ItemStore
 
 
 def unit(**changed):
@@ -28,6 +28,9 @@ def test_units_documents(spark, tmp_path):
     put(tmp_path, "e", [unit()], schema_version="v0")
     docs = documents.units_documents(spark, str(tmp_path))
     assert {r.file.split("/")[-3]: r.fault for r in documents.document_faults(docs).collect()} == {"b": "statement", "c": "unit_count", "d": "knowledge_unit_id", "e": "schema_version"}
+    with pytest.raises(Exception, match="breaks"):
+        documents.sound_documents(docs).collect()
+    assert documents.sound_documents(docs.where("file like '%/a/knowledge/%'")).count() == 1
     row = documents.unit_rows(docs).first()
     assert (row.excerpt, row.entity, row.topic) == ("x", "E", "t u")
     put(tmp_path, "f", [])
@@ -58,5 +61,12 @@ def test_stream_equals_batch_and_replays_do_nothing(spark, tmp_path):
     got = {tuple(r) for r in store.items().collect()}
     want = {tuple(r) for r in sync.current_items(spark.createDataFrame(rows, fields), ["scope_id", "content_id"], "position", 20).collect()}
     assert got == want
-    store.apply(spark.createDataFrame(rows[:5], fields), store.committed())
+    last = spark.createDataFrame(rows[150:], fields)
+    store.apply(last.repartition(3), store.committed())
     assert {tuple(r) for r in store.items().collect()} == got
+    with pytest.raises(DivergentReplay):
+        store.apply(last.limit(5), store.committed())
+    assert {tuple(r) for r in store.items().collect()} == got and len(list((tmp_path / "items").glob("batch=*"))) == 2
+    spark.createDataFrame([(99, "", "items-v9")], "batch long, digest string, version string").write.json(str(tmp_path / "other/pointer"))
+    with pytest.raises(ValueError, match="items-v9"):
+        ItemStore(spark, str(tmp_path / "other"))
