@@ -12,21 +12,34 @@ SEMANTIC = ("unit_type", "statement", "verification_status", "topic", "entity")
 MOST_TOPICS, TOPIC_LENGTHS = 5, (2, 32)
 
 
+def ordered_union(rows: DataFrame, key: str, position: str, value: str) -> DataFrame:
+    """key, lineage: the different values of each key in the order of their first appearance.
+
+    First positions of (key, value) are an aggregate with map-side minima, so a key that many rows share is spread over
+    its values, and only one row a value is gathered into the list that the result holds anyway.
+    """
+    first = rows.groupBy(key, value).agg(F.min(position).alias("p"))
+    ordered = F.array_sort(F.collect_list(F.struct("p", F.col(value).alias("v"))))
+    return first.groupBy(key).agg(F.transform(ordered, lambda x: x.v).alias("lineage"))
+
+
 def merge(units: DataFrame, key: str, position: str, lineage: str, compared: tuple[str, ...] = SEMANTIC) -> DataFrame:
     """One row a key: the first appearance's fields, the highest confidence, lineage in order of appearance.
 
-    Groups whose fields differ from their first row are in conflict; ``conflicts`` lists them. Aggregates only, with
-    map-side partials for all but the lineage.
+    Groups whose fields differ from their first row are in conflict; ``conflicts`` lists them. Rows are first combined by
+    key and lineage, with map-side partials, so that neither a hot key nor its list of origins grows with its rows.
     """
-    first = [F.min_by(c, position).alias(c) for c in compared]
     # min and max of each field, coalesced with a mark for null, tell whether all rows agree.
     marked = {c: F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in compared}
-    differ = F.filter(F.array(*[F.when(F.min(marked[c]) != F.max(marked[c]), F.lit(c)) for c in compared]), lambda c: c.isNotNull())
-    ordered = F.array_sort(F.collect_list(F.struct(F.col(position).alias("p"), F.col(lineage).alias("l"))))
-    return units.groupBy(key).agg(
-        F.min(position).alias("first_position"), *first, F.max("confidence").alias("confidence"), F.count(F.lit(1)).alias("merged"),
-        F.array_distinct(F.transform(ordered, lambda x: x.l)).alias("lineage"), differ.alias("conflicts"),
-    )
+    first = [F.min_by(F.struct(*compared), position).alias("fields")]
+    ends = [x for c in compared for x in (F.min(marked[c]).alias(f"low_{c}"), F.max(marked[c]).alias(f"high_{c}"))]
+    by_origin = units.groupBy(key, F.col(lineage).alias("origin")).agg(F.min(position).alias("p"), *first, F.max("confidence").alias("confidence"), F.count(F.lit(1)).alias("n"), *ends)
+    differ = F.filter(F.array(*[F.when(F.min(f"low_{c}") != F.max(f"high_{c}"), F.lit(c)) for c in compared]), lambda c: c.isNotNull())
+    ordered = F.array_sort(F.collect_list(F.struct("p", "origin")))
+    merged_rows = by_origin.groupBy(key).agg(
+        F.min("p").alias("first_position"), F.min_by("fields", "p").alias("fields"), F.max("confidence").alias("confidence"), F.sum("n").alias("merged"), F.transform(ordered, lambda x: x.origin).alias("lineage"), differ.alias("conflicts")
+    )
+    return merged_rows.select(key, "first_position", *[F.col(f"fields.{c}").alias(c) for c in compared], "confidence", "merged", "lineage", "conflicts")
 
 
 def merged(units: DataFrame, key: str, position: str, lineage: str, compared: tuple[str, ...] = SEMANTIC) -> DataFrame:

@@ -14,10 +14,20 @@ META = {"schema_version": SCHEMA_VERSION, "user_version": USER_VERSION, "fts_pol
 CLOSE = 1e-9
 
 
+#: Numbers of units that one digest covers, before the asset's digest covers these.
+SPAN = 4096
+
+
 def asset_fingerprints(units: DataFrame) -> DataFrame:
-    """canonical_id, unit_count, fingerprint: a digest of the units' digests in order."""
+    """canonical_id, unit_count, fingerprint: a digest of the digests of spans of units, each in order.
+
+    A span gathers at most ``SPAN`` short digests, an asset one for each of its spans, so an asset that holds a large part of
+    all units doesn't have to pass through one buffer.
+    """
     each = F.struct("unit_rowid", F.sha2(F.concat_ws("|", "unit_type", "statement", "excerpt", "verification_status"), 256).alias("d"))
-    return units.select("canonical_id", each.alias("e")).groupBy("canonical_id").agg(F.count(F.lit(1)).alias("unit_count"), F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list("e")), lambda e: e.d), ""), 256).alias("fingerprint"))
+    joined = lambda rows: F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(rows)), lambda e: e.d), ""), 256)
+    spans = units.select("canonical_id", F.floor(F.col("unit_rowid") / SPAN).alias("span"), each.alias("e")).groupBy("canonical_id", "span").agg(F.count(F.lit(1)).alias("n"), joined("e").alias("d"))
+    return spans.groupBy("canonical_id").agg(F.sum("n").alias("unit_count"), joined(F.struct("span", "d")).alias("fingerprint"))
 
 
 def ingest_status(stored: DataFrame, incoming: DataFrame) -> DataFrame:

@@ -315,13 +315,16 @@ WITH {UNITS}, x AS (SELECT lower(split_part(statement, ' ', 1)) AS first_word, l
 SELECT first_word, array_to_string(list_filter(l, lambda x, i: list_position(l, x) = i), ',') AS lineage FROM x
 """)
 def lineage_ordered_union(spark, sf_dir):
-    u = units(spark, sf_dir).select(F.lower(F.split_part("statement", F.lit(" "), F.lit(1))).alias("first_word"), F.struct("unit_rowid", "canonical_id").alias("x"))
-    return u.groupBy("first_word").agg(F.array_join(F.array_distinct(F.transform(F.array_sort(F.collect_list("x")), lambda x: x.canonical_id)), ",").alias("lineage"))
+    words = units(spark, sf_dir).select(F.lower(F.split_part("statement", F.lit(" "), F.lit(1))).alias("first_word"), "unit_rowid", "canonical_id")
+    return knowledge.ordered_union(words, "first_word", "unit_rowid", "canonical_id").withColumn("lineage", F.array_join("lineage", ","))
 
 
 # Store -------------------------------------------------------------------------------------------------------------
 
-_PRINTS = "SELECT canonical_id, count(*) AS unit_count, sha256(string_agg(sha256(unit_type || '|' || statement || '|' || excerpt || '|' || verification_status), '' ORDER BY unit_rowid)) AS fingerprint FROM {} GROUP BY canonical_id"
+_PRINTS = (
+    "SELECT canonical_id, CAST(sum(n) AS BIGINT) AS unit_count, sha256(string_agg(d, '' ORDER BY span)) AS fingerprint FROM (SELECT canonical_id, unit_rowid // 4096 AS span, count(*) AS n, "
+    "sha256(string_agg(sha256(unit_type || '|' || statement || '|' || excerpt || '|' || verification_status), '' ORDER BY unit_rowid)) AS d FROM {} GROUP BY canonical_id, unit_rowid // 4096) spans GROUP BY canonical_id"
+)
 
 
 @query(f"WITH {UNITS} " + _PRINTS.format("units"))
