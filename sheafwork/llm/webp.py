@@ -9,7 +9,7 @@ path.
 
 The writer lays bytes out as opaque RGB pixels, ``UNIT`` bytes (64 pixels) to a row or a multiple of that, with
 prefix codes made from the bytes' counts. Images with few colours go through the palette transform. Others have green
-subtracted, or are predicted by the pixel to the left or above, if that takes fewer bits by their entropy; and where at
+subtracted, or are predicted by the pixel to the left or above, if that takes fewer bits by the entropy of some rows; and where at
 least ``REPEATED`` of the pixels repeat earlier ones, these become back-references. The colour cache and cross-colour
 are read but never written, as reading a cache back is sequential and cross-colour saves nothing on text.
 
@@ -40,6 +40,8 @@ LIMIT = 11
 PORTION = 1 << 15
 #: Pixels of the shortest back-reference, of the longest, and the part that they must cover.
 SHORTEST, FARTHEST, REPEATED = 8, 4096, 0.5
+#: Rows by which the way of writing is chosen.
+JUDGED = 64
 #: Pixels that a back-reference reaches back at most.
 WITHIN = (1 << 20) - 120
 # Fixed values of the format.
@@ -551,15 +553,33 @@ def put_pixels(out: Writer, planes: np.ndarray, main: bool) -> None:
         out.parts.append((shared[0][told], shared[1][told]))
 
 
+_FACTOR = CACHE_FACTOR * 2 + 1
+_POWERS: list[np.ndarray] = [np.ones(0, np.uint64), np.ones(0, np.uint64)]
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of a factor and of its inverse, kept from call to call."""
+    if len(_POWERS[0]) < n:
+        size = max(n, 1 << 12)
+        _POWERS[:] = [np.cumprod(np.full(size, f, dtype=np.uint64)) for f in (np.uint64(_FACTOR), np.uint64(pow(_FACTOR, -1, 1 << 64)))]
+    return _POWERS[0][:n], _POWERS[1][:n]
+
+
 def repeats(pixels: np.ndarray) -> list[tuple[int, int, int]]:
-    """(start, length, distance) of runs of pixels that repeat earlier ones, in order; the last like window is the source."""
+    """(start, length, distance) of runs of pixels that repeat earlier ones, in order; the last like window is the source.
+
+    Windows are compared by their sums. One in eight, told by the sum itself, decides first whether the others are looked
+    at: like windows are told alike, so what repeats shows among them as it does among all.
+    """
     n = len(pixels)
     if n < 2 * SHORTEST:
         return []
-    factor = np.uint64(CACHE_FACTOR * 2 + 1)
-    powers, inverse = (np.cumprod(np.full(n, f, dtype=np.uint64)) for f in (factor, np.uint64(pow(int(factor), -1, 1 << 64))))
+    powers, inverse = _powers(n)
     summed = np.concatenate([np.zeros(1, np.uint64), np.cumsum((pixels.astype(np.uint64) + np.uint64(1)) * powers)])
     windows = (summed[SHORTEST:] - summed[:-SHORTEST]) * inverse[: n - SHORTEST + 1]
+    some = np.sort(windows[(windows >> np.uint64(40)) & np.uint64(7) == 0])
+    if len(some) > 64 and np.count_nonzero(some[1:] == some[:-1]) < 0.8 * REPEATED * len(some):
+        return []
     order = np.argsort(windows, kind="stable")
     same = windows[order[1:]] == windows[order[:-1]]
     source = np.full(len(windows), -1, dtype=np.int64)
@@ -630,10 +650,14 @@ def _bits(samples: np.ndarray) -> float:
     return float((counts * np.log2(counts.sum() / counts)).sum())
 
 
-def _residuals(rgb: np.ndarray, mode: int) -> np.ndarray:
-    """What the prediction by the left (1) or the upper (2) pixel leaves; edges have but one neighbour."""
+def _told(rgb: np.ndarray, kind) -> np.ndarray:
+    """Samples as they are written: as they are, with green subtracted, or less their left (1) or upper (2) pixel; edges have but one neighbour."""
+    if kind is None:
+        return rgb
     out = rgb.copy()
-    if mode == 1:
+    if kind == "green":
+        out[:, :, [0, 2]] -= rgb[:, :, [1]]
+    elif kind == 1:
         out[:, 1:] -= rgb[:, :-1]
         out[1:, 0] -= rgb[:-1, 0]
     else:
@@ -642,6 +666,18 @@ def _residuals(rgb: np.ndarray, mode: int) -> np.ndarray:
     return out
 
 
+def _form(rgb: np.ndarray):
+    """The way of writing that takes the fewest bits by its entropy, judged by up to ``JUDGED`` rows, evenly spread, and those above them."""
+    step = max(1, len(rgb) // JUDGED)
+    rows, above = rgb[1::step], rgb[: len(rgb) - 1 : step]
+    if not len(rows):
+        rows = above = rgb
+    above = above[: len(rows)]
+    green = rows - rows[:, :, [1]]
+    bits = {None: _bits(rows), "green": _bits(np.stack([green[:, :, 0], rows[:, :, 1], green[:, :, 2]])), 1: _bits(rows[:, 1:] - rows[:, :-1]), 2: _bits(rows - above)}
+    return min(bits, key=lambda k: bits[k] * (1 if k is None else 1.02) + (k is not None) * 64)
+
+
 def encode(rgb: np.ndarray) -> bytes:
     """Opaque pixels (height x width x 3, bytes) as a lossless WebP file."""
     rgb = np.ascontiguousarray(rgb, dtype=np.uint8)
@@ -667,11 +703,8 @@ def encode(rgb: np.ndarray) -> bytes:
         out.put((0, 1))
         put_references(out, np.column_stack([flat[:, [1, 0, 2]], np.full(n, 255, np.uint8)]), found)
     else:
-        less = flat.copy()
-        less[:, [0, 2]] -= flat[:, [1]]
-        forms = {None: flat, "green": less, 1: _residuals(rgb, 1).reshape(-1, 3), 2: _residuals(rgb, 2).reshape(-1, 3)}
-        kind = min(forms, key=lambda k: _bits(forms[k]) + (k is not None) * 64)
-        alpha = 255
+        kind, alpha = _form(rgb), 255
+        told = _told(rgb, kind).reshape(-1, 3)
         if kind == "green":
             out.put((1, 1), (SUBTRACT_GREEN, 2))
         elif kind is not None:
@@ -680,7 +713,7 @@ def encode(rgb: np.ndarray) -> bytes:
             out.put((1, 1), (PREDICTOR, 2), (size_bits - 2, 3))
             put_pixels(out, np.tile(np.array([[kind, 0, 0, 255]], np.uint8), (tiles, 1)), False)
         out.put((0, 1))
-        put_pixels(out, np.column_stack([forms[kind][:, [1, 0, 2]], np.full(n, alpha, np.uint8)]), True)
+        put_pixels(out, np.column_stack([told[:, [1, 0, 2]], np.full(n, alpha, np.uint8)]), True)
     data = out.bytes()
     chunk = b"VP8L" + len(data).to_bytes(4, "little") + data + b"\0" * (len(data) % 2)
     return b"RIFF" + (4 + len(chunk)).to_bytes(4, "little") + b"WEBP" + chunk
