@@ -2,9 +2,9 @@
 
 Rows are laid out in one global order (a digest of the text, then the id), so equal texts stand together. Each
 partition of that order sums its bytes, the sums of the partitions before it give every row its global start
-byte, and the bytes are cut at equal targets. A group of equal texts that a cut would split stays whole in the
-shard where it begins if it is at most ``whole`` of a shard (1 % by default); larger groups are split at a row,
-so no group, however large, unbalances a shard.
+byte, and the bytes are cut at equal targets. Part of the law is what happens where a cut meets a group of equal
+texts: a group of at most ``whole`` of a shard (1 % by default) stays whole in the shard where it begins, a larger one
+is split at a row. So a shard is off its target by at most that part and one row at either end, whatever the groups.
 
 Only narrow rows move (id, size, checksum, digest), never texts. Defined cases: null text has no bytes, size 1
 and checksum 0; an empty table gives no rows; equal rows get slots of their own; other columns are ignored.
@@ -42,11 +42,12 @@ def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, whole: float = WHOLE)
     )
     total = prefix.agg(F.sum("bytes")).first()[0] or 1
     inside = Window.partitionBy("part").orderBy("digest", "doc_id", "size", "text_crc32").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = (
+    placed = durable(
         laid.join(prefix, "part")
         .withColumn("start", F.col("bytes_before") + F.sum("size").over(inside) - F.col("size"))
         .withColumn("place", F.col("rows_before") + F.count(F.lit(1)).over(inside) - 1)
         .withColumn("shard", F.expr(f"cast(start div (({total} + {shards - 1}) div {shards}) as int)"))
+        .select("doc_id", "size", "text_crc32", "digest", "place", "shard")
     )
     # At most one row a shard comes to the driver: the digests at its ends.
     ends = {r["shard"]: r for r in placed.groupBy("shard").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).collect()}
