@@ -130,10 +130,13 @@ def retry_after(text: Column, now: Column | None = None) -> Column:
     """Seconds between 1 and 300, from a number or an HTTP date after ``now`` (a timestamp; the clock's by default); else 60."""
     number = F.trim(text).try_cast("double")
     date = F.try_to_timestamp(F.regexp_replace(F.regexp_replace(F.trim(text), r"^[A-Za-z]{3}, ", ""), " GMT$", " +0000"), F.lit("dd MMM yyyy HH:mm:ss xx"))
-    ahead = F.when(number.isNull(), (F.unix_timestamp(date) - F.unix_timestamp(now if now is not None else F.current_timestamp())).cast("double"))
-    seconds = F.coalesce(number, ahead)
-    sound = (seconds > 0) & (seconds < float("inf")) & ~F.isnan(seconds)
-    return F.when(sound, F.least(F.lit(300.0), F.greatest(F.lit(1.0), seconds))).otherwise(60.0)
+    ahead = F.when(number.isNull() & text.contains(":"), (F.unix_timestamp(date) - F.unix_timestamp(now if now is not None else F.current_timestamp())).cast("double"))
+
+    def bounded(seconds: Column) -> Column:
+        sound = (seconds > 0) & (seconds < float("inf")) & ~F.isnan(seconds)
+        return F.when(sound, F.least(F.lit(300.0), F.greatest(F.lit(1.0), seconds))).otherwise(60.0)
+
+    return F.get(F.transform(F.array(F.coalesce(number, ahead)), bounded), F.lit(0))  # one evaluation of the text
 
 
 def escaped_excerpt(text: Column) -> Column:

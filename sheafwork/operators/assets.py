@@ -44,7 +44,8 @@ def pair_streams(videos: DataFrame, audios: DataFrame, likeness=None, window: fl
     v = v.withColumn("bucket", F.explode(near))
     a = audios.select(F.col("id").alias("audio_id"), F.col("name").alias("a_name"), F.col("duration").alias("a_duration"), F.col("modified").alias("a_modified"), octave(F.col("duration")).alias("octave"))
     a = a.withColumn("bucket", F.floor(F.col("a_duration") / width(F.col("octave"))))
-    met = v.join(a, ["octave", "bucket"]).withColumn("delta", F.abs(F.col("v_duration") - F.col("a_duration"))).where("delta <= tolerance")
+    spread = int(videos.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # pairs are many more than rows, by whose bytes tasks would be merged
+    met = v.repartition(spread, "octave", "bucket").join(a, ["octave", "bucket"]).withColumn("delta", F.abs(F.col("v_duration") - F.col("a_duration"))).where("delta <= tolerance")
     base = 0.50 * (1 - F.col("delta") / F.col("tolerance")) + 0.35 * F.greatest(F.lit(0.0), 1 - F.abs(F.col("v_modified") - F.col("a_modified")) / window)
     met = met.withColumn("base", base)
     # The second best score without names is a bound that two pairs are sure to reach.

@@ -5,17 +5,19 @@ full-text path, shorter ones the substring path, both together the mixed one. A
 contains it, whatever the case, as a trigram phrase would. Corpus statistics come from the whole index, filters only
 narrow the candidates.
 
-An ``Index`` holds the units in partitions by their number, and postings: each trigram with the rows that have it, in
-buckets. A query looks up how frequent its trigrams are, reads the postings of the rarest ones of each term alone, and
-verifies their rows; units of partitions without any are never read. Statistics of a term come from the same rows.
-Without postings, all units are scanned; results are the same. What reaches the driver is a row a trigram of the
-query, the numbers of partitions (at most ``PARTS``), and a row of statistics.
+An ``Index`` holds the units in partitions by their number, and postings: each trigram with the blocks of ``BLOCK``
+neighbouring units that have it, in buckets. A query looks up how frequent its trigrams are, reads the postings of the
+rarest ones of each term alone, and verifies the units of the blocks that have them all; partitions without any are
+never read. Statistics of a term come from the same units. Without postings, all units are scanned; results are the
+same. What reaches the driver is a row a trigram of the query, the numbers of partitions (at most ``PARTS``), and a row
+of statistics.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
+import zlib
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -30,6 +32,8 @@ K1, B, TOP_MOST = 1.2, 0.75, 100
 FILTERS = ("canonical_id", "unit_type", "verification_status", "topic", "entity", "topics", "entities")
 #: Partitions of an index's units at most, buckets of its postings, and trigrams looked up for a term.
 PARTS, BUCKETS, RAREST = 4096, 64, 3
+#: Neighbouring units that share a posting.
+BLOCK = 32
 
 
 def normalise(text: str) -> str:
@@ -114,7 +118,7 @@ def term_grams(term: str) -> list[str]:
 
 @dataclass(frozen=True)
 class Index:
-    """Units and, if they were built, postings (bucket, gram, unit_rowid, part) and grams (bucket, gram, n) over all their fields."""
+    """Units and, if they were built, postings (bucket, gram, block, part) and grams (bucket, gram, n) over all their fields."""
 
     units: DataFrame
     rows: int | None = None
@@ -123,17 +127,12 @@ class Index:
     postings: DataFrame | None = None
     grams: DataFrame | None = None
 
-    def _bucket(self, gram: Column) -> Column:
-        return F.pmod(F.xxhash64(gram), F.lit(self.buckets)).cast("int")
-
     def _only(self, table: DataFrame, grams: list[str]) -> DataFrame:
         """Rows of some trigrams: their buckets are pruned, their row groups skipped."""
-        spark = table.sparkSession
-        buckets = [r[0] for r in spark.createDataFrame([(g,) for g in grams], "gram string").select(self._bucket(F.col("gram"))).distinct().collect()]
-        return table.where(F.col("bucket").isin(buckets) & F.col("gram").isin(grams))
+        return table.where(F.col("bucket").isin(sorted({zlib.crc32(g.encode()) % self.buckets for g in grams})) & F.col("gram").isin(grams))
 
-    def holding(self, terms: list[str], every: bool = False) -> DataFrame:
-        """Units that may hold one of the terms, or every one of them; the terms are still to be verified."""
+    def holding(self, terms: list[str]) -> DataFrame:
+        """Units that may hold one of the terms, which are still to be verified; all units without terms."""
         per_term = min(RAREST, 62 // max(1, len(terms)))
         if self.postings is None or not terms or not per_term:
             return self.units
@@ -142,27 +141,30 @@ class Index:
         chosen = {t: sorted(term_grams(t), key=lambda g: (counts.get(g, 0), g))[:per_term] for t in terms}
         bits = {g: 1 << k for k, g in enumerate(sorted({g for own in chosen.values() for g in own}))}
         bit = F.create_map(*[F.lit(x) for g, b in bits.items() for x in (g, b)])[F.col("gram")]
-        ids = self._only(self.postings, list(bits)).groupBy("part", "unit_rowid").agg(F.bit_or(bit).alias("has"))
+        ids = self._only(self.postings, list(bits)).groupBy("part", "block").agg(F.bit_or(bit).alias("has"))
         full = [F.col("has").bitwiseAND(F.lit(sum(bits[g] for g in own))) == sum(bits[g] for g in own) for own in chosen.values()]
-        ids = ids.where(reduce(Column.__and__ if every else Column.__or__, full)).select("part", "unit_rowid")
+        ids = ids.where(reduce(Column.__or__, full)).select("part", "block")
         parts = [r[0] for r in ids.select("part").distinct().collect()]
-        return self.units.where(F.col("part").isin(parts)).join(ids, ["part", "unit_rowid"], "left_semi")
+        return self.units.where(F.col("part").isin(parts)).join(ids, ["part", "block"], "left_semi")
 
 
 def build_index(units: DataFrame, folder: str, buckets: int = BUCKETS, parts: int = PARTS) -> Index:
     """Writes units and postings below a folder that all executors share, and opens them."""
     facts = units.agg(F.min("unit_rowid").alias("low"), F.max("unit_rowid").alias("high"), F.count(F.lit(1)).alias("rows"), F.avg(trigrams()).alias("mean")).first()
     low = facts["low"] or 0
-    width = max(1, -(-((facts["high"] or 0) - low + 1) // parts))
-    own = units.withColumn("part", F.floor((F.col("unit_rowid") - low) / width).cast("int"))
+    width = BLOCK * max(1, -(-((facts["high"] or 0) - low + 1) // (parts * BLOCK)))
+    place = F.col("unit_rowid") - low
+    own = units.withColumns({"part": F.floor(place / width).cast("int"), "block": F.floor(place / BLOCK).cast("bigint")})
     own.repartitionByRange("unit_rowid").write.partitionBy("part").parquet(f"{folder}/units")
+    spark, kept = units.sparkSession, "part int, block bigint, gram string, bucket int"
+    stored = spark.read.parquet(f"{folder}/units")
     all_grams = F.array_distinct(F.flatten(F.array(*[grams_of(_lower(f)) for f in FIELDS])))
-    index = Index(units, buckets=buckets)
-    rows = own.select("part", "unit_rowid", F.explode(all_grams).alias("gram")).withColumn("bucket", index._bucket(F.col("gram")))
-    # A frequent trigram has a row a unit, so a bucket is dealt to several tasks.
-    rows = rows.repartition("bucket", F.pmod(F.xxhash64("unit_rowid"), F.lit(8))).sortWithinPartitions("bucket", "gram", "unit_rowid")
-    rows.write.partitionBy("bucket").parquet(f"{folder}/postings")
-    counted = units.sparkSession.read.schema("part int, unit_rowid bigint, gram string, bucket int").parquet(f"{folder}/postings").groupBy("bucket", "gram").agg(F.count(F.lit(1)).alias("n"))
+    # Neighbours lie together, so a block's equal trigrams are one row before the shuffle. A frequent trigram still has a row
+    # a block, so a bucket is dealt to several tasks.
+    rows = stored.select("part", "block", F.explode(all_grams).alias("gram")).distinct().withColumn("bucket", (F.crc32(F.col("gram").cast("binary")) % buckets).cast("int"))
+    rows = rows.repartition("bucket", F.pmod(F.col("block"), F.lit(8))).sortWithinPartitions("bucket", "gram", "block")
+    rows.select("part", "block", "gram", "bucket").write.partitionBy("bucket").parquet(f"{folder}/postings")
+    counted = spark.read.schema(kept).parquet(f"{folder}/postings").groupBy("bucket", "gram").agg(F.count(F.lit(1)).alias("n"))
     counted.repartition("bucket").sortWithinPartitions("bucket", "gram").write.partitionBy("bucket").parquet(f"{folder}/grams")
     meta = units.sparkSession.createDataFrame([(facts["rows"], facts["mean"] or 1.0, buckets)], "rows bigint, mean double, buckets int")
     meta.coalesce(1).write.json(f"{folder}/meta")
@@ -171,7 +173,7 @@ def build_index(units: DataFrame, folder: str, buckets: int = BUCKETS, parts: in
 
 def open_index(spark: SparkSession, folder: str) -> Index:
     meta = spark.read.schema("rows bigint, mean double, buckets int").json(f"{folder}/meta").first()
-    postings = spark.read.schema("part int, unit_rowid bigint, gram string, bucket int").parquet(f"{folder}/postings")
+    postings = spark.read.schema("part int, block bigint, gram string, bucket int").parquet(f"{folder}/postings")
     grams = spark.read.schema("gram string, n bigint, bucket int").parquet(f"{folder}/grams")
     return Index(spark.read.parquet(f"{folder}/units"), meta["rows"], meta["mean"], meta["buckets"], postings, grams)
 
@@ -180,12 +182,12 @@ def as_index(units: DataFrame | Index) -> Index:
     return units if isinstance(units, Index) else Index(units)
 
 
-def corpus_statistics(units: DataFrame | Index, terms: list[str]) -> dict:
-    """Rows, mean length, and rows with each term: one row, from the rows that may hold one of the terms."""
+def corpus_statistics(units: DataFrame | Index, terms: list[str], held: DataFrame | None = None) -> dict:
+    """Rows, mean length, and rows with each term: one row, from the rows that may hold one of the terms (``held``, if they are at hand)."""
     index = as_index(units)
     counts = [F.count_if(_any_field(t)).alias(f"n{k}") for k, t in enumerate(terms)]
     whole = [F.count(F.lit(1)).alias("rows"), F.avg(trigrams()).alias("mean")] if index.rows is None else []
-    row = index.holding(terms).agg(*whole, *counts).first() if whole or counts else {}
+    row = (held if held is not None else index.holding(terms)).agg(*whole, *counts).first() if whole or counts else {}
     return {"rows": row["rows"] if whole else index.rows, "mean": (row["mean"] if whole else index.mean) or 1.0, "hits": {t: row[f"n{k}"] for k, t in enumerate(terms)}}
 
 
@@ -220,13 +222,15 @@ def with_match_statistics(rows: DataFrame, query: Query) -> DataFrame:
     )
 
 
-def candidates(units: DataFrame | Index, query: Query, stats: dict | None = None) -> DataFrame:
-    """All rows that match, with their score; the whole index gives the statistics, if they aren't given."""
-    index = as_index(units)
-    found = filtered(index.holding(query.long, every=True) if query.long else index.units, query.filters)
+def candidates(units: DataFrame | Index, query: Query, stats: dict | None = None, held: DataFrame | None = None) -> DataFrame:
+    """All rows that match, with their score; the whole index gives the statistics, if they aren't given with the rows to look at."""
+    index, terms = as_index(units), sorted(set(query.long))
+    if held is None:
+        held = index.holding(terms)
+    found = filtered(held, query.filters)
     for term in query.terms:
         found = found.where(_any_field(term))
-    score = bm25(query.long, stats or corpus_statistics(index, sorted(set(query.long)))) if query.long else short_score(query.short)
+    score = bm25(query.long, stats or corpus_statistics(index, terms, held)) if query.long else short_score(query.short)
     return with_match_statistics(found.withColumn("score", F.round(score, 9)), query)
 
 
@@ -257,8 +261,10 @@ def retrieve(units: DataFrame | Index, query: Query, stats: dict | None = None)
 
 def retrieve_many(units: DataFrame | Index, queries: dict[str, Query]) -> tuple[DataFrame, DataFrame]:
     """(hits, all candidates) of several queries, each with its query_id; statistics of all their terms come from one pass."""
-    stats = corpus_statistics(units, sorted({t for q in queries.values() for t in q.long}))
-    found = {name: candidates(units, q, stats) for name, q in queries.items()}
+    index, terms = as_index(units), sorted({t for q in queries.values() for t in q.long})
+    held = index.holding(terms)
+    stats = corpus_statistics(index, terms, held)
+    found = {name: candidates(index, q, stats, held if q.long else index.units) for name, q in queries.items()}
     hits = [_ranked(found[name], q, ranking(q)).withColumn("query_id", F.lit(name)).withColumn("path", F.lit(q.path)) for name, q in queries.items()]
     every = [frame.withColumn("query_id", F.lit(name)) for name, frame in found.items()]
     return reduce(DataFrame.unionByName, hits), reduce(DataFrame.unionByName, every)
