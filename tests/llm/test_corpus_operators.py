@@ -217,6 +217,22 @@ def test_wide_fingerprints_catch_near_copies(spark):
     assert sorted(r.doc_id for r in simhash.representatives(frame).collect()) == list(range(12))
 
 
+@pytest.mark.parametrize("part", [1000, 3])
+def test_components_of_stars(spark, part, monkeypatch):
+    """Large stars, some of them joined, by a broadcast of their centres and by joins alone."""
+    from sheafwork.llm import components as module
+
+    monkeypatch.setattr(module, "PART", part)
+    g = random.Random(part)
+    links = [(1000 * c + g.randrange(1, 400), 1000 * c) for c in range(3) for _ in range(300)] + [(2000, 1005), (9001, 9002)] + [(5000 + k, 5000 + g.randrange(k)) for k in range(1, 60)]
+    parent = {x: x for pair in links for x in pair}
+    for _ in range(70):
+        for a, b in links:
+            parent[a] = parent[b] = min(parent[a], parent[b])
+    got = {r.node: r.component for r in module.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == parent
+
+
 def test_components_of_a_long_chain(spark):
     from sheafwork.llm.components import components
 
