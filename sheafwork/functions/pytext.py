@@ -35,3 +35,13 @@ def canonical_json(text: pd.Series) -> pd.Series:
             return None
 
     return text.map(one)
+
+
+def rounded(value, places: int):
+    """Rounding as Python's: of the exact binary value, half to even."""
+
+    @F.pandas_udf(DoubleType())
+    def one(x: pd.Series) -> pd.Series:
+        return x.map(lambda v: None if v is None or v != v else round(v, places)).astype("float64")
+
+    return one(value)

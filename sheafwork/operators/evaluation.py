@@ -98,3 +98,23 @@ def rates(judged: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("queries"), F.count_if("passed").alias("passed"), part(F.when(F.col("filtered"), F.col("filter_correct"))).alias("filter_accuracy"),
         *[part(F.col(c)).alias(f"{c}_rate") for c in ("path_correct", "evidence_complete", "provenance_complete", "coverage_valid")],
     )
+
+
+def golden_faults(golden: DataFrame) -> DataFrame:
+    """First fault of each golden query: query_id (blank or repeated), query_text, top_k, path, judgment, zero_result (it has what a
+    query without results may not have), max_first_rank. golden: query_id, query_text, top_k, path, judgment, relevant, required
+    (arrays), zero_expected, max_first_rank."""
+    text = lambda c: F.trim(F.coalesce(F.col(c), F.lit(""))) != ""
+    some = lambda c: F.coalesce(F.size(c), F.lit(0)) > 0
+    repeated = golden.groupBy("query_id").agg((F.count(F.lit(1)) > 1).alias("repeated"))
+    fault = (
+        F.when(~text("query_id") | F.col("repeated"), "query_id")
+        .when(~text("query_text"), "query_text")
+        .when(~F.coalesce(F.col("top_k").between(1, 100), F.lit(False)), "top_k")
+        .when(~F.coalesce(F.col("path").isin("fts_trigram", "substring_short", "fts_trigram_with_short_filter"), F.lit(False)), "path")
+        .when(~F.coalesce(F.col("judgment").isin("exhaustive", "partial"), F.lit(False)), "judgment")
+        .when(F.col("zero_expected") & (some("relevant") | some("required") | F.col("max_first_rank").isNotNull()), "zero_result")
+        .when(F.coalesce(F.col("max_first_rank") < 1, F.lit(False)), "max_first_rank")
+    )
+    own = golden.join(repeated.withColumnRenamed("query_id", "r_id"), F.col("query_id").eqNullSafe(F.col("r_id")), "left")
+    return own.withColumn("fault", fault).where("fault is not null").select("query_id", "fault")

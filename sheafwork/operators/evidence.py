@@ -128,3 +128,35 @@ def cue_requests(segments: DataFrame, key: str, before: float = 3.0, behind: flo
 def image_batches(items: DataFrame, key: str, sequence: str, size: int = 5) -> DataFrame:
     """Batches of ``size`` distinct images; an image's items stay together."""
     return items.withColumn("batch", (F.floor((F.dense_rank().over(Window.partitionBy(key).orderBy(sequence)) - 1) / size)).cast("int"))
+
+
+def semantic_excerpt(modality, text, description, status):
+    """The text that may be cited of a piece of evidence; null where there is none. Nothing is inferred from anything else."""
+    some = lambda c: F.when(F.trim(F.coalesce(c, F.lit(""))) != "", c)
+    described = F.when(~status.eqNullSafe("unresolved_visual_reference"), F.coalesce(some(description), some(text)))
+    return F.when(modality.isin("speech", "visual_text"), some(text)).when(modality == "visual_description", described).otherwise(F.coalesce(some(text), some(description)))
+
+
+def numbered_chunks(chunks: DataFrame, key: str, order: str) -> DataFrame:
+    """Chunks with their ids chk_000001, chk_000002, ... in order within an asset."""
+    return chunks.withColumn("chunk_id", F.format_string("chk_%06d", F.row_number().over(Window.partitionBy(key).orderBy(order))))
+
+
+def spans_text(rows: DataFrame, key: str, gap: float = 6.0) -> DataFrame:
+    """Per key, runs of segments (start, end, segment_id) at most ``gap`` apart, as text: 00:00:01–00:00:09 (seg_1, seg_2); ..."""
+    from sheafwork.functions.scalars import clock
+
+    w = Window.partitionBy(key).orderBy("start", "end", "segment_id")
+    reach = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    runs = rows.withColumn("fresh", F.when(reach.isNull() | (F.col("start") - reach > gap), 1).otherwise(0)).withColumn("run", F.sum("fresh").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    ids = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("start", "end", "segment_id"))), lambda x: x.segment_id), ", ")
+    each = runs.groupBy(key, "run").agg(F.min("start").alias("b"), F.max("end").alias("e"), ids.alias("ids")).withColumn("t", F.concat(clock(F.col("b")), F.lit("–"), clock(F.col("e")), F.lit(" ("), "ids", F.lit(")")))
+    return each.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("run", "t"))), lambda x: x.t), "; ").alias("text"))
+
+
+def visual_line(source_type, start, end, evidence_id, text):
+    """A line of a list of visual evidence; null where it has no text."""
+    from sheafwork.functions.scalars import clock
+
+    label = F.when(source_type == "visual_ocr", "OCR").when(source_type == "visual_vlm", "VLM").otherwise("Visual")
+    return F.when(F.coalesce(text, F.lit("")) != "", F.concat(F.lit("- ["), label, F.lit("] "), clock(start), F.lit("–"), clock(end), F.lit(" ["), evidence_id, F.lit("]: "), text))

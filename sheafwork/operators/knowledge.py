@@ -5,9 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sheafwork.functions.pytext import surface
 from sheafwork.functions.scalars import normalised_statement
-from sheafwork.plans.views import UNIT_TYPES
-
+from sheafwork.plans.views import STATUSES, UNIT_TYPES
+
+# Fields that a model may not fill in, and kinds of entities.
+FORBIDDEN = (
+    "knowledge_unit_id", "canonical_id", "source_excerpt", "temporal_range", "sequence_range", "source_actor_name", "source_actor_id", "speaker_name", "speaker_id", "attribution_status", "verification_status", "lineage",
+    "extraction_lineage", "extraction_run_id", "input_chunk_ids", "candidate_id", "source_candidate_ids", "merge_strategy", "entities", "topics",
+)
+CATEGORIES = ("person", "organization", "product", "software", "hardware", "model", "platform", "technology", "standard", "location", "document", "inference_framework", "hardware_platform", "hardware_architecture", "model_family", "model_parameter", "brand_text", "text_mention", "other")
 SEMANTIC = ("unit_type", "statement", "verification_status", "topic", "entity")
 MOST_TOPICS, TOPIC_LENGTHS = 5, (2, 32)
 
@@ -50,6 +57,66 @@ def conflicts(units: DataFrame, key: str, position: str, lineage: str, compared:
     return merge(units, key, position, lineage, compared).where(F.size("conflicts") > 0)
 
 
+def parsed_candidates(raw: DataFrame) -> DataFrame:
+    """A model's proposals (candidate_id, chunk_id, text: one JSON value each) as candidates, with the faults that come before all others.
+
+    fault: malformed_candidate for anything but an object, forbidden_canonical_fields_present where the model filled in what
+    it may not. A missing confidence is 0.8; one that is no number becomes null, which ``validate_candidates`` rejects.
+    """
+    keys = F.json_object_keys("text")
+    told = F.from_json("text", "unit_type string, statement string, evidence_ids array<string>")
+    given = F.get_json_object("text", "$.extraction_confidence")
+    confidence = F.when(F.array_contains(keys, "extraction_confidence"), given.try_cast("double")).otherwise(0.8)
+    fault = F.when(keys.isNull(), "malformed_candidate").when(F.arrays_overlap(keys, F.array(*[F.lit(k) for k in FORBIDDEN])), "forbidden_canonical_fields_present")
+    return raw.select("candidate_id", "chunk_id", told.unit_type.alias("unit_type"), told.statement.alias("statement"), confidence.alias("confidence"), told.evidence_ids.alias("evidence_ids"), fault.alias("fault"))
+
+
+def hydrated_refs(candidates: DataFrame, evidence: DataFrame) -> DataFrame:
+    """candidate_id, refs: what each candidate cites, in its own order, with excerpt and times copied from the evidence.
+
+    candidates: candidate_id, evidence_ids; evidence: evidence_id, excerpt, start, end, sequence_index. A candidate that cites
+    what there is not, or what has no excerpt, gets no row.
+    """
+    cited = candidates.select("candidate_id", F.posexplode("evidence_ids").alias("at", "evidence_id"))
+    met = cited.join(evidence, "evidence_id", "left").withColumn("sound", F.trim(F.coalesce("excerpt", F.lit(""))) != "")
+    ref = F.struct("at", "evidence_id", "excerpt", "start", "end", "sequence_index")
+    rows = met.groupBy("candidate_id").agg(F.min("sound").alias("sound"), F.array_sort(F.collect_list(ref)).alias("r"))
+    return rows.where("sound").select("candidate_id", F.transform("r", lambda x: F.struct(x.evidence_id.alias("evidence_id"), x.excerpt.alias("source_excerpt"), x.start.alias("start"), x.end.alias("end"), x.sequence_index.alias("sequence_index"))).alias("refs"))
+
+
+def validate_entities(units: DataFrame, proposals: DataFrame) -> DataFrame:
+    """A row a proposed entity or topic: ref, kind, at, value, reason (null if accepted).
+
+    units: ref, statement, excerpts (an array); proposals: input_ref, entities (array of struct(entity_name, category)), topics.
+    Entities: malformed_proposal, invalid_entity_category, entity_not_grounded, duplicate_entity; names are compared by their
+    folded surface. Topics: invalid_topic, duplicate_topic, and beyond five accepted ones nothing is looked at any more.
+    """
+    haystack = surface(F.concat_ws("\n", "statement", F.array_join("excerpts", "\n")))
+    own = units.select("ref", F.col("statement"), "excerpts").withColumn("text", haystack)
+    named = proposals.select(F.col("input_ref").alias("ref"), F.posexplode("entities").alias("at", "e")).select("ref", "at", F.col("e.entity_name").alias("value"), F.col("e.category").alias("category")).withColumn("key", surface(F.col("value")))
+    met = named.join(own.select("ref", "text"), "ref")
+    bad = F.when(F.coalesce("key", F.lit("")) == "", "malformed_proposal").when(~F.coalesce(F.col("category").isin(list(CATEGORIES)), F.lit(False)), "invalid_entity_category").when(~F.contains("text", "key"), "entity_not_grounded")
+    met = met.withColumn("bad", bad)
+    first = F.row_number().over(Window.partitionBy("ref", "key", F.col("bad").isNull()).orderBy("at"))
+    entities = met.withColumn("n", first).select("ref", F.lit("entity").alias("kind"), "at", "value", F.coalesce("bad", F.when(F.col("n") > 1, "duplicate_entity")).alias("reason"))
+    topics = proposals.select(F.col("input_ref").alias("ref"), F.posexplode("topics").alias("at", "raw")).join(own.select("ref"), "ref", "left_semi")
+    clean = normalised_statement(F.col("raw"))
+    wrong = F.col("raw").isNull() | F.coalesce(F.col("raw").rlike("[\\n\\r]"), F.lit(True)) | ~F.coalesce(F.length("value").between(*TOPIC_LENGTHS), F.lit(False))
+    topics = topics.withColumn("value", clean).withColumn("bad", F.when(wrong, "invalid_topic"))
+    topics = topics.withColumn("n", F.row_number().over(Window.partitionBy("ref", "value", F.col("bad").isNull()).orderBy("at"))).withColumn("reason", F.coalesce("bad", F.when(F.col("n") > 1, "duplicate_topic")))
+    before = F.sum(F.when(F.col("reason").isNull(), 1).otherwise(0)).over(Window.partitionBy("ref").orderBy("at").rowsBetween(Window.unboundedPreceding, -1))
+    topics = topics.withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < MOST_TOPICS)
+    return entities.unionByName(topics.select("ref", F.lit("topic").alias("kind"), "at", "value", "reason"))
+
+
+def enriched(units: DataFrame, results: DataFrame) -> DataFrame:
+    """Units with the entities and topics of their results (knowledge_unit_id, status, entities, topics); only status ``enriched`` changes a unit."""
+    own = results.where("status = 'enriched'").select(F.col("knowledge_unit_id").alias("r_id"), F.col("entities").alias("r_entities"), F.col("topics").alias("r_topics"))
+    met = F.col("r_id").isNotNull()
+    changed = {c: F.when(met, F.col(f"r_{c}")).otherwise(F.col(c)) for c in ("entities", "topics")}
+    return units.join(own, F.col("knowledge_unit_id") == F.col("r_id"), "left").withColumns(changed).select(*units.columns)
+
+
 def validate_candidates(candidates: DataFrame, evidence: DataFrame) -> DataFrame:
     """candidate_id, chunk_id, unit_type, statement, confidence, evidence_ids; evidence: evidence_id, chunk_id, modality, excerpt, position.
 
@@ -93,8 +160,8 @@ def validate_enrichment(units: DataFrame, proposals: DataFrame) -> DataFrame:
     """
     counted = proposals.groupBy("input_ref").agg(F.count(F.lit(1)).alias("n"), F.min("entity_name").alias("entity_name"), F.min("topics").alias("topics"))
     row = units.join(counted, F.col("ref") == F.col("input_ref"), "left")
-    name = F.lower(normalised_statement(F.coalesce("entity_name", F.lit(""))))
-    inside = F.contains(F.lower(normalised_statement(F.col("statement"))), name) | F.contains(F.lower(normalised_statement(F.col("excerpt"))), name)
+    name = surface(F.coalesce("entity_name", F.lit("")))
+    inside = F.contains(surface(F.col("statement")), name) | F.contains(surface(F.col("excerpt")), name)
     entity = F.when((name != "") & inside & (F.col("n") == 1), F.col("entity_name"))
     topics = F.when(F.col("n") == 1, F.array_join(accepted_topics(F.col("topics")), ","))
     status = F.when(F.col("n").isNull(), "unchanged").when(F.col("n") > 1, "failed").when(F.col("entity_ok").isNull() & (F.coalesce("topics_ok", F.lit("")) == ""), "unchanged").otherwise("enriched")
@@ -110,6 +177,11 @@ def identity_audit(before: DataFrame, after: DataFrame, key: str, compared: tupl
     return both.select(F.coalesce(f"a.{key}", f"b.{key}").alias(key), kind.alias("kind"), F.when(kind == "changed", changed).alias("fields")).where(F.col("kind").isNotNull())
 
 
+def status_histogram(units: DataFrame) -> DataFrame:
+    """Units by verification status and asset, with zeros for the states that an asset lacks."""
+    return units.groupBy("canonical_id").pivot("verification_status", list(STATUSES)).agg(F.count(F.lit(1))).na.fill(0)
+
+
 def histogram(units: DataFrame) -> DataFrame:
     """Units by type and asset, with zeros for types that an asset lacks."""
     counts = units.groupBy("canonical_id").pivot("unit_type", list(UNIT_TYPES)).agg(F.count(F.lit(1)))

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from sheafwork.operators import assets, collection, evidence, legacy, queue, visual
+from sheafwork.operators import assets, collection, evaluation, evidence, knowledge, legacy, queue, visual
 from sheafwork.plans.queries import _WALK, query
 from sheafwork.plans.views import SEGMENTS, UNITS, segments, table, units
+from sheafwork.sources import documents
 
 # Evidence ----------------------------------------------------------------------------------------------------------
 
@@ -366,3 +367,97 @@ _MESSAGES = (
 def error_codes(spark, sf_dir):
     said = F.get(F.array(*[F.lit(m) for m, _ in _MESSAGES]), (F.col("l_partkey") % len(_MESSAGES)).cast("int"))
     return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", queue.code_from_text(said, F.lit("")).alias("code"))
+
+
+# Knowledge ---------------------------------------------------------------------------------------------------------
+
+_RAW = (
+    ('{"unit_type": "claim", "statement": "s", "evidence_ids": ["e"], "extraction_confidence": 0.25}', None, "claim", 0.25, 1),
+    ('{"statement": "s", "evidence_ids": []}', None, None, 0.8, 0),
+    ('{"statement": "s", "extraction_confidence": "much"}', None, None, None, None),
+    ('{"statement": "s", "speaker_name": "x"}', "forbidden_canonical_fields_present", None, 0.8, None),
+    ("[1]", "malformed_candidate", None, None, None),
+    ("broken", "malformed_candidate", None, None, None),
+)
+
+
+def _sql(v) -> str:
+    return "NULL" if v is None else f"'{v}'" if isinstance(v, str) else str(v)
+
+
+@query("WITH t(n, fault, unit_type, confidence, cited) AS (VALUES " + ", ".join(f"({k}, {', '.join(_sql(v) for v in r[1:])})" for k, r in enumerate(_RAW)) + f") SELECT event_id, fault, unit_type, CAST(CASE WHEN fault = 'malformed_candidate' THEN NULL ELSE confidence END AS DOUBLE) AS confidence, CAST(cited AS INTEGER) AS cited FROM events JOIN t ON t.n = event_id % {len(_RAW)}")
+def raw_candidates(spark, sf_dir):
+    text = F.get(F.array(*[F.lit(r[0]) for r in _RAW]), (F.col("event_id") % len(_RAW)).cast("int"))
+    told = knowledge.parsed_candidates(table(spark, sf_dir, "events").select(F.col("event_id").alias("candidate_id"), F.lit("c").alias("chunk_id"), text.alias("text")))
+    return told.select(F.col("candidate_id").alias("event_id"), "fault", "unit_type", F.when(F.col("fault").isNull() | (F.col("fault") != "malformed_candidate"), F.col("confidence")).alias("confidence"), F.when(F.col("evidence_ids").isNotNull(), F.size("evidence_ids")).alias("cited"))
+
+
+@query(f"""
+WITH {SEGMENTS}, u AS (SELECT conv_id, list(segment_id ORDER BY turn DESC) AS ids FROM segments GROUP BY conv_id HAVING conv_id % 5 <> 0)
+SELECT conv_id AS candidate_id, array_to_string(ids, ',') AS ids, len(ids) AS n, (SELECT CAST(sum(length(text)) AS BIGINT) FROM segments s WHERE s.conv_id = u.conv_id) AS chars FROM u
+""")
+def evidence_hydration(spark, sf_dir):
+    """Cited evidence in the candidate's own order; every fifth cites something that there is not."""
+    s = segments(spark, sf_dir).withColumn("evidence_id", F.concat_ws(":", F.col("conv_id").cast("string"), "segment_id"))
+    cited = s.groupBy("conv_id").agg(F.reverse(F.transform(F.array_sort(F.collect_list(F.struct("turn", "evidence_id"))), lambda x: x.evidence_id)).alias("ids"))
+    ids = F.when(F.col("conv_id") % 5 == 0, F.concat("ids", F.array(F.lit("gone")))).otherwise(F.col("ids"))
+    own = knowledge.hydrated_refs(cited.select(F.col("conv_id").alias("candidate_id"), ids.alias("evidence_ids")), s.select("evidence_id", F.col("text").alias("excerpt"), "start", "end", F.lit(None).cast("int").alias("sequence_index")))
+    shown = F.array_join(F.transform("refs", lambda r: F.split_part(r.evidence_id, F.lit(":"), F.lit(2))), ",")
+    return own.select("candidate_id", shown.alias("ids"), F.size("refs").cast("bigint").alias("n"), F.aggregate("refs", F.lit(0).cast("bigint"), lambda a, r: a + F.length(r.source_excerpt)).alias("chars"))
+
+
+@query(f"""
+WITH {UNITS}, w AS (SELECT unit_rowid AS ref, string_split(trim(regexp_replace(statement, '\\s+', ' ', 'g')), ' ')[1] AS word FROM units WHERE regexp_full_match(statement, '[ -~]*') AND statement <> ''),
+e AS (SELECT ref, 'entity' AS kind, 0 AS at_, upper(word) AS value, CASE WHEN ref % 3 = 0 THEN 'invalid_entity_category' END AS reason FROM w UNION ALL SELECT ref, 'entity', 1, lower(word), CASE WHEN ref % 3 <> 0 THEN 'duplicate_entity' END FROM w UNION ALL SELECT ref, 'entity', 2, 'zzqqzz', 'entity_not_grounded' FROM w UNION ALL SELECT ref, 'entity', 3, ' ', 'malformed_proposal' FROM w),
+t AS (SELECT ref, 'topic' AS kind, unnest([0, 1, 2, 3, 4, 5, 6, 7]) AS at_, unnest(['one', 'x', 'one', 'two words', 'three', 'four', 'five', NULL]) AS value, unnest([NULL, 'invalid_topic', 'duplicate_topic', NULL, NULL, NULL, NULL, 'drop']) AS reason FROM w)
+SELECT ref, kind, CAST(at_ AS INTEGER) AS "at", value, reason FROM e UNION ALL SELECT ref, kind, CAST(at_ AS INTEGER), value, reason FROM t WHERE reason IS NULL OR reason <> 'drop'
+""")
+def enrichment_rejections(spark, sf_dir):
+    """Over units in ASCII, whose folded surface SQL has too."""
+    u = units(spark, sf_dir).where("statement rlike '^[ -~]*$' and statement <> ''")
+    n, word = F.col("unit_rowid"), F.split_part(F.trim(F.regexp_replace("statement", r"\\s+", " ")), F.lit(" "), F.lit(1))
+    entity = lambda name, kind: F.struct(name.alias("entity_name"), kind.alias("category"))
+    good = F.lit("software")
+    entities = F.array(entity(F.upper(word), F.when(n % 3 == 0, "thing").otherwise("software")), entity(F.lower(word), good), entity(F.lit("zzqqzz"), good), entity(F.lit(" "), good))
+    topics = F.array(*[F.lit(t) for t in ("one", "x", " one ", "two  words", "three", "four", "five", "six")])
+    found = knowledge.validate_entities(u.select(n.alias("ref"), "statement", F.array("excerpt").alias("excerpts")), u.select(n.alias("input_ref"), entities.alias("entities"), topics.alias("topics")))
+    return found.select("ref", "kind", "at", "value", "reason")
+
+
+@query(f"WITH {UNITS} SELECT unit_rowid, CASE WHEN unit_rowid % 3 = 0 THEN 'new' ELSE entity END AS entities, CASE WHEN unit_rowid % 3 = 0 THEN 'a,b' ELSE topic END AS topics FROM units")
+def enrichment_applied(spark, sf_dir):
+    u = units(spark, sf_dir).select("unit_rowid", F.col("unit_rowid").alias("knowledge_unit_id"), F.array("entity").alias("entities"), F.array("topic").alias("topics"))
+    results = u.where("unit_rowid % 2 = 0 or unit_rowid % 3 = 0").select("knowledge_unit_id", F.when(F.col("unit_rowid") % 3 == 0, "enriched").otherwise("failed").alias("status"), F.array(F.lit("new")).alias("entities"), F.array(F.lit("a"), F.lit("b")).alias("topics"))
+    return knowledge.enriched(u, results).select("unit_rowid", F.array_join("entities", ",").alias("entities"), F.array_join("topics", ",").alias("topics"))
+
+
+@query(f"WITH {UNITS} SELECT canonical_id, count(*) FILTER (WHERE verification_status = 'not_checked') AS not_checked, 0 AS verified, count(*) FILTER (WHERE verification_status = 'contested') AS contested, 0 AS unsupported FROM units GROUP BY canonical_id")
+def status_histogram(spark, sf_dir):
+    found = knowledge.status_histogram(units(spark, sf_dir))
+    return found.withColumns({c: F.col(c).cast("int") for c in ("verified", "unsupported")})
+
+
+@query("SELECT event_id, CASE event_id % 6 WHEN 0 THEN 'said' WHEN 2 THEN 'seen' WHEN 3 THEN 'said' WHEN 5 THEN 'seen' END AS excerpt FROM events")
+def semantic_excerpts(spark, sf_dir):
+    n = (F.col("event_id") % 6).cast("int")
+    pick = lambda *values: F.get(F.array(*[F.lit(v) for v in values]), n)
+    found = evidence.semantic_excerpt(pick("speech", "visual_text", "visual_description", "visual_description", "visual_description", "other"), pick("said", " ", "said", "said", "said", ""), pick("seen", "seen", "seen", " ", "seen", "seen"), pick(None, None, "completed", None, "unresolved_visual_reference", None))
+    return table(spark, sf_dir, "events").select("event_id", found.alias("excerpt"))
+
+
+@query(f"""
+WITH {SEGMENTS}, p AS (SELECT *, CAST(round_even(start, 0) AS BIGINT) AS b, CAST(round_even("end", 0) AS BIGINT) AS e FROM segments)
+SELECT conv_id, turn, '[' || lpad('' || b // 3600, 2, '0') || ':' || lpad('' || b // 60 % 60, 2, '0') || ':' || lpad('' || b % 60, 2, '0') || ' - ' || lpad('' || e // 3600, 2, '0') || ':' || lpad('' || e // 60 % 60, 2, '0') || ':' || lpad('' || e % 60, 2, '0') || '] ' || segment_id || ' ' || text AS line FROM p
+""")
+def transcript_lines(spark, sf_dir):
+    return documents.transcript_lines(segments(spark, sf_dir)).select("conv_id", "turn", "line")
+
+
+@query("SELECT c_custkey, CASE c_custkey % 8 WHEN 1 THEN 'query_text' WHEN 2 THEN 'top_k' WHEN 3 THEN 'path' WHEN 4 THEN 'judgment' WHEN 5 THEN 'zero_result' WHEN 6 THEN 'max_first_rank' END AS fault FROM customer WHERE c_custkey % 8 BETWEEN 1 AND 6")
+def golden_suite_faults(spark, sf_dir):
+    k = F.col("c_custkey")
+    g = table(spark, sf_dir, "customer").select(
+        k.cast("string").alias("query_id"), F.when(k % 8 == 1, " ").otherwise("q").alias("query_text"), F.when(k % 8 == 2, 101).otherwise(5).alias("top_k"), F.when(k % 8 == 3, "x").otherwise("fts_trigram").alias("path"), F.when(k % 8 == 4, "x").otherwise("partial").alias("judgment"),
+        F.array(F.lit(1)).alias("relevant"), F.array().cast("array<int>").alias("required"), (k % 8 == 5).alias("zero_expected"), F.when(k % 8 == 6, 0).alias("max_first_rank"),
+    )
+    return evaluation.golden_faults(g).select(F.col("query_id").cast("bigint").alias("c_custkey"), "fault")

@@ -89,3 +89,30 @@ def markdown(units: DataFrame) -> DataFrame:
 
     line = F.concat(F.lit("## "), "statement", F.lit("\n\n"), escaped_excerpt(F.col("excerpt")), F.lit("\n"))
     return units.select("canonical_id", F.struct("unit_rowid", line.alias("t")).alias("x")).groupBy("canonical_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x.t), "\n").alias("text"))
+
+
+def transcript_lines(segments: DataFrame) -> DataFrame:
+    """A line of text a segment: [00:00:01 - 00:00:03] seg_000001 text; a writer sorts them within an asset."""
+    from sheafwork.functions.scalars import clock
+
+    return segments.withColumn("line", F.concat(F.lit("["), clock(F.col("start")), F.lit(" - "), clock(F.col("end")), F.lit("] "), "segment_id", F.lit(" "), "text"))
+
+
+def audit(documents: DataFrame) -> DataFrame:
+    """The head of an asset's audit: identity, then counts of all types and states, zeros too. documents: canonical_id, schema_version, generated_at, unit_type, verification_status, a row a unit."""
+    from sheafwork.plans.views import STATUSES, UNIT_TYPES
+
+    counts = documents.groupBy("canonical_id").agg(F.any_value("schema_version").alias("v"), F.any_value("generated_at").alias("at"), F.count(F.lit(1)).alias("n"), *[F.count_if(F.col("unit_type") == t).alias(t) for t in UNIT_TYPES], *[F.count_if(F.col("verification_status") == s).alias(s) for s in STATUSES])
+    show = lambda label, c: F.concat(F.lit(f"- {label}: "), F.col(c).cast("string"))
+    lines = [
+        F.lit("# Knowledge Audit"), F.lit(""), F.lit("## Asset"), F.lit(""), show("canonical_id", "canonical_id"), show("schema version", "v"), show("generated_at", "at"), show("unit count", "n"), F.lit(""), F.lit("## Summary"), F.lit(""),
+        *[show(f"{t} count", t) for t in UNIT_TYPES], F.lit(""), F.lit("Verification status:"), *[show(s, s) for s in STATUSES],
+    ]
+    return counts.select("canonical_id", F.concat_ws("\n", *lines).alias("text"))
+
+
+def album_text(images: DataFrame) -> DataFrame:
+    """An album's images as text: a heading an image by sequence, with what was recognised and described. images: canonical_id, sequence_index, file_name, ocr_text, description."""
+    some = lambda label, c: F.when(F.trim(F.coalesce(c, F.lit(""))) != "", F.concat(F.lit(f"{label}: "), F.trim(c)))
+    part = F.concat_ws("\n", F.concat(F.lit("## "), F.col("sequence_index").cast("string"), F.lit(" "), "file_name"), some("OCR", F.col("ocr_text")), some("VLM", F.col("description")))
+    return images.select("canonical_id", F.struct("sequence_index", part.alias("t")).alias("x")).groupBy("canonical_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x.t), "\n\n").alias("text"))
