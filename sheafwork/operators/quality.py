@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Words in a payload's keys that tell a secret.
-SECRET_KEYS = ("cookie", "token", "password", "secret", "session", "authorization")
+# What no outbox payload may hold.
+FORBIDDEN = r"(?i)sessionid|sid_guard|cookie\s*[:=]|authorization\s*[:=]"
 
 
 def projection_faults(units: DataFrame, projection: DataFrame, key: str) -> DataFrame:
@@ -27,15 +27,10 @@ def chunk_summary(chunks: DataFrame, asset: str) -> DataFrame:
     return totals.join(different, asset, "left").withColumn("unique_refs", F.coalesce("unique_refs", F.lit(0)))
 
 
-def secret_keys(payload: Column) -> Column:
-    """Whether a JSON text has a key, at any depth, that tells a secret."""
-    return payload.rlike('(?i)"[^"]*(?:' + "|".join(SECRET_KEYS) + ')[^"]*"\\s*:')
-
-
 def payload_faults(rows: DataFrame, identity: dict[str, str]) -> DataFrame:
-    """First fault of each outbox payload: no JSON, a secret, or an identity other than the row's. identity: {row column: JSON path}."""
-    parsed = F.try_parse_json("payload")
-    fault = F.when(parsed.isNull(), "malformed").when(secret_keys(F.col("payload")), "secret")
+    """First fault of each outbox payload: empty, a secret, no JSON object, or an identity other than the row's. identity: {row column: JSON path}."""
+    payload = F.trim(F.coalesce("payload", F.lit("")))
+    fault = F.when(payload == "", "empty").when(payload.rlike(FORBIDDEN), "secret").when(F.try_parse_json("payload").isNull() | ~payload.startswith("{"), "malformed")
     for column, path in identity.items():
         fault = fault.when(~F.get_json_object("payload", path).eqNullSafe(F.col(column).cast("string")), f"identity:{column}")
     return rows.withColumn("fault", fault).where(F.col("fault").isNotNull())

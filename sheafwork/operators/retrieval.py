@@ -246,7 +246,8 @@ def why(query: Query) -> Column:
     return F.concat_ws(" and ", *[F.when(F.col(f"{f}_match"), f) for f in FIELDS])
 
 
-def _ranked(found: DataFrame, query: Query, order: list[Column]) -> DataFrame:
+def top_ranked(found: DataFrame, query: Query, order: list[Column]) -> DataFrame:
+    """The first rows in an order, with their rank."""
     from pyspark.sql import Window
 
     top = found.orderBy(*order).limit(query.top_k)
@@ -255,7 +256,7 @@ def _ranked(found: DataFrame, query: Query, order: list[Column]) -> DataFrame:
 
 def retrieve(units: DataFrame | Index, query: Query, stats: dict | None = None) -> DataFrame:
     """The ranked top: rank, path and why each row was hit. Sorting and limit become one TakeOrderedAndProject."""
-    ranked = _ranked(candidates(units, query, stats), query, ranking(query))
+    ranked = top_ranked(candidates(units, query, stats), query, ranking(query))
     return ranked.select("rank", "unit_rowid", "canonical_id", "unit_type", "score", "term_coverage", "evidence_only", why(query).alias("matched_on"), F.lit(query.path).alias("path"))
 
 
@@ -265,7 +266,7 @@ def retrieve_many(units: DataFrame | Index, queries: dict[str, Query]) -> tuple[
     held = index.holding(terms)
     stats = corpus_statistics(index, terms, held)
     found = {name: candidates(index, q, stats, held if q.long else index.units) for name, q in queries.items()}
-    hits = [_ranked(found[name], q, ranking(q)).withColumn("query_id", F.lit(name)).withColumn("path", F.lit(q.path)) for name, q in queries.items()]
+    hits = [top_ranked(found[name], q, ranking(q)).withColumn("query_id", F.lit(name)).withColumn("path", F.lit(q.path)) for name, q in queries.items()]
     every = [frame.withColumn("query_id", F.lit(name)) for name, frame in found.items()]
     return reduce(DataFrame.unionByName, hits), reduce(DataFrame.unionByName, every)
 
@@ -274,11 +275,7 @@ def best_by_bm25(units: DataFrame | Index, query: Query) -> DataFrame:
     """The low-level top: full-text terms alone, by BM25 and number."""
     if not query.long:
         raise ValueError("a full-text query needs a term of three characters")
-    return _ranked(candidates(units, query), query, [F.col("score"), F.col("unit_rowid")]).select("rank", "unit_rowid", "score")
-
-
-class InvariantError(Exception):
-    """A hit that lacks one of the terms."""
+    return top_ranked(candidates(units, query), query, [F.col("score"), F.col("unit_rowid")]).select("rank", "unit_rowid", "score")
 
 
 def hydrated(units: DataFrame | Index, query: Query, assets: DataFrame) -> DataFrame:
@@ -286,7 +283,7 @@ def hydrated(units: DataFrame | Index, query: Query, assets: DataFrame) -> DataF
 
     assets: canonical_id, path, fingerprint. One join of at most ``top_k`` rows; a hit without full coverage is an error.
     """
-    ranked = _ranked(candidates(units, query), query, ranking(query))
+    ranked = top_ranked(candidates(units, query), query, ranking(query))
     sound = F.when(F.col("term_coverage") == 1, F.col("term_coverage")).otherwise(F.raise_error(F.lit("a hit lacks a term")).cast("double"))
     own = assets.select(F.col("canonical_id").alias("a_id"), F.col("path").alias("source_path"), F.col("fingerprint").alias("source_fingerprint"))
     text = F.concat(F.lit("matched query terms in "), F.concat_ws(" and ", F.when(F.col("statement_match"), "statement"), F.when(F.col("entity_match"), "entities"), F.when(F.col("topic_match"), "topics"), F.when(F.col("excerpt_match"), "evidence")))

@@ -110,7 +110,7 @@ _ARRAYS = retrieval.Query("ering", 25, {"topics": ("t2", "de"), "entities": ("e1
 def retrieve_array_filters(spark, sf_dir):
     """Filters over several topics and entities a unit: any of the values, all of the fields."""
     found = retrieval.candidates(rich_units(spark, sf_dir), _ARRAYS)
-    top = retrieval._ranked(found, _ARRAYS, retrieval.ranking(_ARRAYS))
+    top = retrieval.top_ranked(found, _ARRAYS, retrieval.ranking(_ARRAYS))
     return top.select("rank", "unit_rowid", "canonical_id", F.array_join("topics", ",").alias("topics"), F.array_join("entities", ",").alias("entities"), "score")
 
 
@@ -711,13 +711,14 @@ def chunk_summary(spark, sf_dir):
 
 
 @query("""
-SELECT event_id, CASE WHEN event_id % 50 = 0 THEN 'malformed' WHEN event_id % 49 = 0 THEN 'secret' WHEN event_id % 47 = 0 THEN 'identity:event_id' END AS fault FROM events WHERE event_id % 50 = 0 OR event_id % 49 = 0 OR event_id % 47 = 0
+SELECT event_id, CASE WHEN event_id % 50 = 0 THEN 'malformed' WHEN event_id % 43 = 0 THEN 'empty' WHEN event_id % 49 = 0 THEN 'secret' WHEN event_id % 53 = 0 THEN 'malformed' WHEN event_id % 47 = 0 THEN 'identity:event_id' END AS fault
+FROM events WHERE event_id % 50 = 0 OR event_id % 43 = 0 OR event_id % 49 = 0 OR event_id % 53 = 0 OR event_id % 47 = 0
 """)
 def outbox_payload_faults(spark, sf_dir):
     n, e = F.col("event_id"), table(spark, sf_dir, "events")
-    good = F.format_string('{"id": %d, "props": %s%s}', F.when(n % 47 == 0, n + 1).otherwise(n), "props", F.when(n % 49 == 0, ', "x": {"Access_Token": 1}').otherwise(""))
-    rows = e.select("event_id", F.when(n % 50 == 0, "{").otherwise(good).alias("payload"))
-    return quality.payload_faults(rows, {"event_id": "$.id"}).select("event_id", "fault")
+    good = F.format_string('{"id": %d, "props": %s%s}', F.when(n % 47 == 0, n + 1).otherwise(n), "props", F.when(n % 49 == 0, ', "x": {"note": "Cookie = 1"}').otherwise(""))
+    payload = F.when(n % 50 == 0, "{").when(n % 43 == 0, " ").when((n % 49 != 0) & (n % 53 == 0), "[1]").otherwise(good)
+    return quality.payload_faults(e.select("event_id", payload.alias("payload")), {"event_id": "$.id"}).select("event_id", "fault")
 
 
 from sheafwork.plans import intake, lifecycle, media  # noqa: E402, F401 (they register the rest)
