@@ -98,7 +98,7 @@ def safe_extension(extension: Column) -> Column:
 
 def extension_changed(extension: Column) -> Column:
     """Whether an extension had to be cleaned: it isn't letters and digits alone, or is longer than ten."""
-    body = F.regexp_replace(F.lower(F.trim(extension)), r"^\\.", "")
+    body = F.regexp_replace(F.lower(F.trim(extension)), r"^\.", "")
     return F.coalesce(safe_extension(extension).isNotNull() & (F.coalesce(extension, F.lit("")) != "") & ~body.rlike("^[a-z0-9]{1,10}$"), F.lit(False))
 
 

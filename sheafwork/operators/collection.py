@@ -98,3 +98,28 @@ def line_confidence(lines: Column) -> Column:
 def text_suffices(status: Column, confidence: Column, text: Column, reasons: Column, least: float = 0.65) -> Column:
     """Whether recognised text alone answers a request about configuration or paths."""
     return (status == "completed") & (confidence >= least) & (F.trim(text) != "") & F.arrays_overlap(reasons, F.array(F.lit("configuration"), F.lit("path_or_ui")))
+
+
+def album_confidence(texts: Column, scores: Column, least: float = 0.65) -> Column:
+    """An image's mean score, four places: of its kept lines, or of all scores where none is kept; null without any."""
+    kept = F.transform(kept_lines(texts, scores, least), lambda x: x.score)
+    told = F.when(F.size(kept) > 0, kept).otherwise(F.filter(scores, lambda x: x.isNotNull()))
+    return F.when(F.size(told) > 0, F.bround(F.aggregate(told, F.lit(0.0), lambda a, x: a + x) / F.size(told), 4))
+
+
+# What stands for a page that wasn't archived.
+INLINE_TYPE, INLINE_FILE = "douyin.listcollection.aweme_struct", "unarchived/inline.json"
+
+
+def raw_reference(archived: Column, position: Column) -> Column:
+    """Where an item's raw form lies: struct(platform_raw_type, archive_file, sha256, item_index), or a stand-in of zeros."""
+    inline = F.struct(F.lit(INLINE_TYPE).alias("platform_raw_type"), F.lit(INLINE_FILE).alias("archive_file"), F.lit("0" * 64).alias("sha256"), position.cast("int").alias("item_index"))
+    return F.coalesce(archived, inline)
+
+
+def older_projection(content_id: Column, title: Column, description: Column, first_seen: Column, author: Column) -> Column:
+    """An item as older readers know it. author: struct(display_name, sec_uid, platform_author_id, ...)."""
+    return F.struct(
+        first_seen.alias("collected_at"), author.display_name.alias("author_name"), F.coalesce(_some(author.sec_uid), author.platform_author_id).alias("author_id"), F.coalesce(_some(title), _some(F.substring(description, 1, 30))).alias("title"),
+        F.concat(content_id, F.lit(".mp4")).alias("original_filename"),
+    )

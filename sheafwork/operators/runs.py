@@ -190,3 +190,14 @@ def committed_progress(stops: DataFrame) -> DataFrame:
     from_middle = (F.col("mode") == "backfill") & (F.col("request_cursor") != "0")
     cursor = F.when(limit & ~F.col("history_complete"), F.col("response_cursor")).when(~ended, F.col("backfill_cursor"))
     return stops.withColumns({"candidate": F.when(~(limit | from_middle), F.col("candidate")), "backfill_cursor": cursor, "history_complete": F.col("history_complete") | ended})
+
+
+def staged_of(staging: DataFrame, run_id: str) -> DataFrame:
+    """A run's staged items in the order of their staging."""
+    return staging.where(F.col("run_id") == run_id).orderBy("staged_at", "content_id")
+
+
+def committed_of(items: DataFrame, observations: DataFrame, run_id: str) -> DataFrame:
+    """Items that a run saw, the last seen first. observations: run_id, content_id."""
+    seen = observations.where(F.col("run_id") == run_id).select("content_id").distinct()
+    return items.join(seen, "content_id", "left_semi").orderBy(F.desc("last_seen"), "content_id")

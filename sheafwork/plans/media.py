@@ -415,7 +415,7 @@ SELECT ref, kind, CAST(at_ AS INTEGER) AS "at", value, reason FROM e UNION ALL S
 def enrichment_rejections(spark, sf_dir):
     """Over units in ASCII, whose folded surface SQL has too."""
     u = units(spark, sf_dir).where("statement rlike '^[ -~]*$' and statement <> ''")
-    n, word = F.col("unit_rowid"), F.split_part(F.trim(F.regexp_replace("statement", r"\\s+", " ")), F.lit(" "), F.lit(1))
+    n, word = F.col("unit_rowid"), F.split_part(F.trim(F.regexp_replace("statement", r"\s+", " ")), F.lit(" "), F.lit(1))
     entity = lambda name, kind: F.struct(name.alias("entity_name"), kind.alias("category"))
     good = F.lit("software")
     entities = F.array(entity(F.upper(word), F.when(n % 3 == 0, "thing").otherwise("software")), entity(F.lower(word), good), entity(F.lit("zzqqzz"), good), entity(F.lit(" "), good))

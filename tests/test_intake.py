@@ -239,3 +239,48 @@ def test_surface_forms_by_literal_rows(spark):
 
     frame = spark.createDataFrame([("Straße  ＡＢ",), ("ﬁn　İ",), ("",), (None,)], "t string")
     assert [r[0] for r in frame.select(surface(F.col("t"))).collect()] == ["strasse ab", "fin i̇", "", None]
+
+
+def test_rounding_as_python_does(spark):
+    from sheafwork.functions.pytext import rounded
+
+    frame = spark.createDataFrame([(2.675, 0.0625), (None, 1.0005)], "a double, b double")
+    assert [(r[0], r[1]) for r in frame.select(rounded(F.col("a"), 2), rounded(F.col("b"), 3)).collect()] == [(round(2.675, 2), round(0.0625, 3)), (None, round(1.0005, 3))]
+
+
+def test_albums_raw_references_and_older_forms(spark):
+    from sheafwork.operators import collection
+
+    frame = spark.createDataFrame([(["a", "b"], [0.5, 0.25], 3, "7", "", "d" * 40, "2020"), (["a", "b"], [0.9, 0.25], 4, "8", "T", "", "2021"), ([], [], 5, "9", None, None, None)], "t array<string>, s array<double>, n int, id string, title string, text string, seen string")
+    assert [r[0] for r in frame.select(collection.album_confidence(F.col("t"), F.col("s"))).collect()] == [0.375, 0.9, None]
+    kept = F.when(F.col("n") == 4, F.struct(F.lit("x").alias("platform_raw_type"), F.lit("f").alias("archive_file"), F.lit("d").alias("sha256"), F.lit(1).alias("item_index")))
+    assert [(r[0].archive_file, r[0].item_index) for r in frame.select(collection.raw_reference(kept, F.col("n"))).collect()] == [("unarchived/inline.json", 3), ("f", 1), ("unarchived/inline.json", 5)]
+    author = F.struct(F.lit("N").alias("display_name"), F.when(F.col("n") == 3, "S").otherwise("").alias("sec_uid"), F.lit("P").alias("platform_author_id"))
+    got = [r[0] for r in frame.select(collection.older_projection(F.col("id"), F.col("title"), F.col("text"), F.col("seen"), author)).collect()]
+    assert [(r.title, r.author_id, r.original_filename) for r in got] == [("d" * 30, "S", "7.mp4"), ("T", "P", "8.mp4"), (None, "P", "9.mp4")]
+
+
+def test_orders_of_a_run(spark):
+    staging = spark.createDataFrame([("r", "b", 2), ("r", "a", 2), ("r", "c", 1), ("q", "x", 0)], "run_id string, content_id string, staged_at long")
+    assert [r.content_id for r in runs.staged_of(staging, "r").collect()] == ["c", "a", "b"]
+    items = spark.createDataFrame([("a", 5), ("b", 9), ("c", 9), ("x", 99)], "content_id string, last_seen long")
+    assert [r.content_id for r in runs.committed_of(items, staging.unionByName(staging), "r").collect()] == ["b", "c", "a"]
+
+
+def test_texts_of_evidence_and_audits(spark):
+    from sheafwork.operators import evidence
+    from sheafwork.sources import documents
+
+    rows = spark.createDataFrame([(1, 0.0, 2.0, "s1"), (1, 7.0, 9.0, "s2"), (1, 30.0, 3661.0, "s3")], "v long, start double, end double, segment_id string")
+    assert evidence.spans_text(rows, "v").first().text == "00:00:00–00:00:09 (s1, s2); 00:00:30–01:01:01 (s3)"
+    lines = rows.select(evidence.visual_line(F.when(F.col("start") == 0, "visual_ocr").otherwise("x"), F.col("start"), F.col("end"), F.col("segment_id"), F.when(F.col("start") < 10, "t")).alias("l"))
+    assert [r.l for r in lines.collect()] == ["- [OCR] 00:00:00–00:00:02 [s1]: t", "- [Visual] 00:00:07–00:00:09 [s2]: t", None]
+    units = spark.createDataFrame([("c", "v1", "now", "claim", "verified"), ("c", "v1", "now", "claim", "contested")], "canonical_id string, schema_version string, generated_at string, unit_type string, verification_status string")
+    text = documents.audit(units).first().text
+    assert text.startswith("# Knowledge Audit\n\n## Asset\n\n- canonical_id: c\n- schema version: v1\n- generated_at: now\n- unit count: 2\n\n## Summary\n\n- claim count: 2\n- opinion count: 0") and text.endswith("- verified: 1\n- contested: 1\n- unsupported: 0")
+    album = spark.createDataFrame([("c", 2, "b.jpg", " ", "D"), ("c", 1, "a.jpg", "O", None)], "canonical_id string, sequence_index int, file_name string, ocr_text string, description string")
+    assert documents.album_text(album).first().text == "## 1 a.jpg\nOCR: O\n\n## 2 b.jpg\nVLM: D"
+    chunks = evidence.numbered_chunks(rows, "v", "start").collect()
+    assert [r.chunk_id for r in chunks] == ["chk_000001", "chk_000002", "chk_000003"]
+    frame = spark.createDataFrame([("jp-g",), (".png",), ("",), ("a" * 12,)], "e string")
+    assert [r[0] for r in frame.select(scalars.extension_changed(F.col("e"))).collect()] == [True, False, False, True]
