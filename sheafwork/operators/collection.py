@@ -101,10 +101,10 @@ def text_suffices(status: Column, confidence: Column, text: Column, reasons: Col
 
 
 def album_confidence(texts: Column, scores: Column, least: float = 0.65) -> Column:
-    """An image's mean score, four places: of its kept lines, or of all scores where none is kept; null without any."""
+    """An image's mean score, four places: of its kept lines, or of all scores where none is kept; 0 without any."""
     kept = F.transform(kept_lines(texts, scores, least), lambda x: x.score)
     told = F.when(F.size(kept) > 0, kept).otherwise(F.filter(scores, lambda x: x.isNotNull()))
-    return F.when(F.size(told) > 0, F.bround(F.aggregate(told, F.lit(0.0), lambda a, x: a + x) / F.size(told), 4))
+    return F.when(F.size(told) > 0, F.bround(F.aggregate(told, F.lit(0.0), lambda a, x: a + x) / F.size(told), 4)).otherwise(0.0)
 
 
 # What stands for a page that wasn't archived.

@@ -23,7 +23,7 @@ def keyframes(frames: DataFrame, key: str, most: int = FRAMES, bits: int = HASH_
 def album_status(images: DataFrame, key: str, status: str) -> DataFrame:
     """Per album: images, completed, insufficient and failed ones, and the whole's state."""
     c = F.col(status)
-    counts = images.groupBy(key).agg(F.count(F.lit(1)).alias("images"), F.count_if(c == "completed").alias("completed"), F.count_if(c == "insufficient").alias("insufficient"), F.count_if(c == "failed").alias("failed"))
+    counts = images.groupBy(key).agg(F.count(F.lit(1)).alias("images"), F.count_if(c == "completed").alias("completed"), F.count_if(c.startswith("insufficient")).alias("insufficient"), F.count_if(c == "failed").alias("failed"))
     overall = F.when(F.col("failed") == 0, "completed").when((F.col("completed") == 0) & (F.col("insufficient") == 0), "failed").otherwise("partial")
     return counts.withColumn("overall", overall)
 

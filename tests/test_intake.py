@@ -252,7 +252,7 @@ def test_albums_raw_references_and_older_forms(spark):
     from sheafwork.operators import collection
 
     frame = spark.createDataFrame([(["a", "b"], [0.5, 0.25], 3, "7", "", "d" * 40, "2020"), (["a", "b"], [0.9, 0.25], 4, "8", "T", "", "2021"), ([], [], 5, "9", None, None, None)], "t array<string>, s array<double>, n int, id string, title string, text string, seen string")
-    assert [r[0] for r in frame.select(collection.album_confidence(F.col("t"), F.col("s"))).collect()] == [0.375, 0.9, None]
+    assert [r[0] for r in frame.select(collection.album_confidence(F.col("t"), F.col("s"))).collect()] == [0.375, 0.9, 0.0]
     kept = F.when(F.col("n") == 4, F.struct(F.lit("x").alias("platform_raw_type"), F.lit("f").alias("archive_file"), F.lit("d").alias("sha256"), F.lit(1).alias("item_index")))
     assert [(r[0].archive_file, r[0].item_index) for r in frame.select(collection.raw_reference(kept, F.col("n"))).collect()] == [("unarchived/inline.json", 3), ("f", 1), ("unarchived/inline.json", 5)]
     author = F.struct(F.lit("N").alias("display_name"), F.when(F.col("n") == 3, "S").otherwise("").alias("sec_uid"), F.lit("P").alias("platform_author_id"))
