@@ -50,7 +50,7 @@ def pair_streams(videos: DataFrame, audios: DataFrame, likeness=None, window: fl
     met = met.withColumn("base", base)
     # The second best score without names is a bound that two pairs are sure to reach.
     bound = _top_two(met, "base").select("video_id", F.coalesce("second", F.lit(float("-inf"))).alias("bound"))
-    able = met.join(bound, "video_id").where(F.col("base") + 0.15 >= F.col("bound") - 1e-9)
+    able = met.join(bound, "video_id").where(F.col("base") + 0.15 >= F.col("bound") - 1e-5)  # scores are rounded to five places
     scored = able.withColumn("score", F.round(F.col("base") + 0.15 * likeness(name_key(F.col("v_name")), name_key(F.col("a_name"))), 5))
     best = _top_two(scored, "score")
     decision = F.when(F.col("score").isNull(), "missing_audio").when(F.col("score") - F.col("second") <= margin, "pair_ambiguous").otherwise("pair_found")
