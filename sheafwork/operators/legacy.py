@@ -37,6 +37,39 @@ def adapted(points: DataFrame) -> DataFrame:
     return rows.withColumns({"candidate_id": F.coalesce("candidate_id", "knowledge_unit_id"), "attribution": F.when(F.col("unit_type") == "verification_question", "system_derived").otherwise("unverified_speaker")})
 
 
+class Checked(NamedTuple):
+    faults: DataFrame
+    points: DataFrame
+
+
+def checked_answer(points: DataFrame, segments: DataFrame, visual: DataFrame) -> Checked:
+    """A model's answer about one chunk of each asset against what it may cite.
+
+    points: asset, position, type, title, content, segment_ids, visual_ids (null: none); segments: asset, segment_id, start, end;
+    visual: asset, evidence_id, status. Faults: type, no_text, no_segments, unknown_segment, unfinished_visual; one rejects the
+    asset's answer. Sound points get their ids, different citations in order, and the span of their segments.
+    """
+    text = lambda c: F.trim(F.coalesce(F.col(c), F.lit(""))) != ""
+    cited = points.select("asset", "position", F.posexplode(F.array_distinct("segment_ids")).alias("at", "segment_id")).join(segments, ["asset", "segment_id"], "left")
+    spoken = cited.groupBy("asset", "position").agg(F.count_if(F.col("start").isNull()).alias("unknown"), F.min("start").alias("start"), F.max("end").alias("end"))
+    seen = points.select("asset", "position", F.explode("visual_ids").alias("evidence_id")).join(visual.where("status = 'completed'").select("asset", "evidence_id", F.lit(True).alias("good")), ["asset", "evidence_id"], "left")
+    shown = seen.groupBy("asset", "position").agg(F.count_if(F.col("good").isNull()).alias("unfinished"))
+    row = points.join(spoken, ["asset", "position"], "left").join(shown, ["asset", "position"], "left")
+    fault = (
+        F.when(~F.coalesce(F.col("type").isin(list(TYPES)), F.lit(False)), "type")
+        .when(~(text("title") & text("content")), "no_text")
+        .when(F.coalesce(F.size("segment_ids"), F.lit(0)) < 1, "no_segments")
+        .when(F.col("unknown") > 0, "unknown_segment")
+        .when(F.col("unfinished") > 0, "unfinished_visual")
+    )
+    row = row.withColumn("fault", fault)
+    faults = row.where("fault is not null").select("asset", "position", "fault")
+    sound = row.join(faults.select("asset").distinct(), "asset", "left_anti")
+    number = F.row_number().over(Window.partitionBy("asset").orderBy("position"))
+    distinct = lambda c: F.array_distinct(F.coalesce(c, F.array().cast("array<string>")))
+    return Checked(faults, sound.select("asset", F.format_string("k_%03d", number).alias("id"), "type", F.trim("title").alias("title"), F.trim("content").alias("content"), distinct("segment_ids").alias("segment_ids"), distinct("visual_ids").alias("visual_ids"), "start", "end"))
+
+
 class Merged(NamedTuple):
     faults: DataFrame
     points: DataFrame

@@ -170,6 +170,28 @@ def legacy_merge(spark, sf_dir):
     return _legacy(spark, sf_dir).points.select("asset", "id", "type", "title", F.array_join("source_ids", ",").alias("sources"), F.array_join("segment_ids", ",").alias("segs"), "preserved")
 
 
+_ANSWERS = f"""WITH {SEGMENTS}, f AS (SELECT conv_id AS asset, turn AS position, CASE WHEN conv_id % 7 = 0 AND turn = 1 THEN 'type' WHEN conv_id % 5 = 0 AND turn = 0 THEN 'no_text' WHEN conv_id % 11 = 0 THEN 'no_segments' WHEN conv_id % 3 = 0 AND turn = 1 THEN 'unknown_segment' WHEN conv_id % 13 = 0 AND turn % 2 = 0 THEN 'unfinished_visual' END AS fault FROM segments)"""
+
+
+def _answers(spark, sf_dir):
+    k, t = F.col("conv_id"), F.col("turn")
+    s = segments(spark, sf_dir)
+    ids = F.when(k % 11 == 0, F.array().cast("array<string>")).otherwise(F.array("segment_id", F.when((k % 3 == 0) & (t == 1), "gone").otherwise(F.col("segment_id"))))
+    points = s.select(k.alias("asset"), t.alias("position"), F.when((k % 7 == 0) & (t == 1), "guess").otherwise("author_claim").alias("type"), F.when((k % 5 == 0) & (t == 0), " ").otherwise(" T ").alias("title"), F.lit("c").alias("content"), ids.alias("segment_ids"), F.when(t % 2 == 0, F.array(F.lit("v"), F.lit("v"))).alias("visual_ids"))
+    seen = s.select(k.alias("asset")).distinct().select("asset", F.lit("v").alias("evidence_id"), F.when(F.col("asset") % 13 == 0, "failed").otherwise("completed").alias("status"))
+    return legacy.checked_answer(points, s.select(k.alias("asset"), "segment_id", "start", "end"), seen)
+
+
+@query(_ANSWERS + "SELECT asset, position, fault FROM f WHERE fault IS NOT NULL")
+def legacy_answer_faults(spark, sf_dir):
+    return _answers(spark, sf_dir).faults
+
+
+@query(_ANSWERS + """ SELECT conv_id AS asset, 'k_' || lpad(CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS VARCHAR), 3, '0') AS id, 'T' AS title, segment_id AS segments, CASE WHEN turn % 2 = 0 THEN 'v' ELSE '' END AS visuals, start, "end" FROM segments WHERE conv_id NOT IN (SELECT asset FROM f WHERE fault IS NOT NULL)""")
+def legacy_answers(spark, sf_dir):
+    return _answers(spark, sf_dir).points.select("asset", "id", "title", F.array_join("segment_ids", ",").alias("segments"), F.array_join("visual_ids", ",").alias("visuals"), "start", "end")
+
+
 @query(f"WITH {UNITS} SELECT unit_rowid AS unit_id FROM units WHERE unit_type = 'observation' AND unit_rowid % 2 = 0 AND unit_rowid % 3 = 0")
 def ungrounded_observations(spark, sf_dir):
     n = F.col("unit_rowid")
