@@ -18,10 +18,15 @@ def surface(text: pd.Series) -> pd.Series:
     return text.map(lambda t: None if t is None else re.sub(r"\s+", " ", unicodedata.normalize("NFKC", t).casefold()).strip())
 
 
+def ratio(a: str | None, b: str | None) -> float:
+    """Ratcliff-Obershelp ratio; null counts as empty."""
+    return difflib.SequenceMatcher(None, a or "", b or "").ratio()
+
+
 @F.pandas_udf(DoubleType())
 def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Ratcliff-Obershelp ratio; null counts as empty."""
-    return pd.Series([difflib.SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
+    """``ratio`` of two columns."""
+    return pd.Series([ratio(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
 @F.pandas_udf(StringType())

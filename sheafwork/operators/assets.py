@@ -2,12 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable, Iterator
+from decimal import ROUND_HALF_UP, Decimal
+from itertools import pairwise
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from sheafwork.functions.pytext import similarity
+from sheafwork.functions.pytext import ratio
 
 WINDOW, MARGIN = 900.0, 0.04
+#: Audios of a duration bucket that a task holds, and videos that it is given; larger buckets are cut into chunks that all meet.
+AUDIOS, VIDEOS = 50_000, 5_000
+#: Likenesses of names that a task remembers; beyond that, it starts afresh.
+REMEMBERED = 500_000
 
 
 def name_key(name: Column) -> Column:
@@ -16,43 +28,181 @@ def name_key(name: Column) -> Column:
     return F.regexp_replace(stem, r"(?U)[^\w]+", "")
 
 
-def _top_two(pairs: DataFrame, by: str) -> DataFrame:
-    """video_id, audio_id, score, second: the best pair of each video and the second best score. Limited in each task before the shuffle."""
-    two = pairs.withColumn("n", F.row_number().over(Window.partitionBy("video_id").orderBy(F.desc(by), "audio_id"))).where("n <= 2")
-    first, second = F.col("n") == 1, F.col("n") == 2
-    return two.groupBy("video_id").agg(F.max(F.when(first, F.col("audio_id"))).alias("audio_id"), F.max(F.when(first, F.col(by))).alias("score"), F.max(F.when(second, F.col(by))).alias("second"))
-
-
-def pair_streams(videos: DataFrame, audios: DataFrame, likeness=None, window: float = WINDOW, margin: float = MARGIN) -> DataFrame:
+def _rounded(x: np.ndarray) -> np.ndarray:
+    """Five places, half up by the shortest decimal form, as Spark rounds."""
+    scaled = x * 1e5
+    out = np.floor(scaled + 0.5) / 1e5
+    for k in np.flatnonzero(np.abs(scaled - np.floor(scaled) - 0.5) < 1e-6):
+        out[k] = float(Decimal(repr(float(x[k]))).quantize(Decimal("0.00001"), ROUND_HALF_UP))
+    return out
+
+
+class Audios:
+    """Audios of one chunk, sorted by modified time, searched for the best two of every video of a block."""
+
+    def __init__(self, ids: pa.Array, several: np.ndarray, duration: np.ndarray, modified: np.ndarray, names: list[str], likeness: Callable[[str, str], float], known: dict, window: float):
+        order = np.argsort(modified, kind="stable")
+        self.place, self.several, self.duration, self.modified = order, several[order], duration[order], modified[order]
+        self.ids, self.likeness, self.known, self.window = ids, likeness, known, window
+        self.rank = np.empty(len(order), dtype=np.int64)  # the order of ids
+        self.rank[pc.sort_indices(ids.take(pa.array(order))).to_numpy()] = np.arange(len(order))
+        number = {name: k for k, name in enumerate(dict.fromkeys(names))}
+        self.names, self.name = list(number), np.array([number[names[k]] for k in order], dtype=np.int64)
+
+    def base(self, low: int, high: int, duration: np.ndarray, modified: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Scores without names of a video a row and an audio a column, minus infinity beyond the tolerance; and a score that two pairs of each video are sure to reach, as a likeness is 0 at least."""
+        tolerance = np.maximum(1.0, duration * 0.002)[:, None]
+        delta = np.abs(duration[:, None] - self.duration[None, low:high])
+        with np.errstate(invalid="ignore"):
+            late = np.abs(modified[:, None] - self.modified[None, low:high])
+        base = 0.50 * (1 - delta / tolerance) + 0.35 * np.fmax(0.0, 1 - late / self.window)
+        base[delta > tolerance] = -np.inf
+        least = np.partition(base, -2, axis=1)[:, -2] if high - low > 1 else np.full(len(base), -np.inf)
+        if (several := self.several[low:high]).any():
+            least = np.maximum(least, base[:, several].max(axis=1))
+        return base, least
+
+    def likenesses(self, names: list[str], own: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The likeness of each pair of a video's name, numbered ``own``, and an audio; each pair of names is compared once."""
+        pairs, inverse = np.unique(own * len(self.names) + self.name[at], return_inverse=True)
+        out = np.empty(len(pairs))
+        for k, (one, other) in enumerate(zip((pairs // len(self.names)).tolist(), (pairs % len(self.names)).tolist(), strict=True)):
+            key = names[one], self.names[other]
+            if (found := self.known.get(key)) is None:
+                if len(self.known) > REMEMBERED:
+                    self.known.clear()
+                found = self.known[key] = self.likeness(*key)
+            out[k] = found
+        return out[inverse]
+
+    def best(self, duration: np.ndarray, modified: np.ndarray, name: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Videos with a pair, the best audio's place, its score and the second best score, NaN if there is none. Videos sorted by modified time."""
+        n, cells, start, found = len(self.modified), 1 << 19, 0, []
+        number = {x: k for k, x in enumerate(dict.fromkeys(name))}
+        names, code = list(number), np.array([number[x] for x in name], dtype=np.int64)
+        while start < len(duration):
+            end = min(len(duration), start + 128)
+            first, last = modified[start], modified[end - 1]
+            low, high = max(0, int(np.searchsorted(self.modified, first)) - 32), min(n, int(np.searchsorted(self.modified, last, "right")) + 32)
+            end = min(end, start + max(1, cells // max(1, high - low)))
+            least = self.base(low, high, duration[start:end], modified[start:end])[1].min()
+            # What lies further off in time than ``reach`` can't come up to that: a likeness is 1 at most.
+            reach = self.window * (1 - (least - 0.65 - 2e-5) / 0.35)
+            low, high = 0, n
+            if reach < self.window and np.isfinite(modified[start:end]).all():
+                low, high = int(np.searchsorted(self.modified, modified[start] - reach)), int(np.searchsorted(self.modified, modified[end - 1] + reach, "right"))
+            end = min(end, start + max(1, cells // max(1, high - low)))
+            found += self._of_block(low, high, start, duration[start:end], modified[start:end], names, code[start:end])
+            start = end
+        return tuple(np.concatenate(c) for c in zip(*found, strict=True)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0))
+
+    def _of_block(self, low: int, high: int, start: int, duration: np.ndarray, modified: np.ndarray, names: list[str], code: np.ndarray) -> list[tuple]:
+        base, least = self.base(low, high, duration, modified)
+        row, at = np.nonzero(base >= np.maximum(least - 0.15 - 2e-5, -1.0)[:, None])  # scores are rounded to five places
+        if not len(row):
+            return []
+        base, at = base[row, at], at + low
+        # The pairs ahead without names are compared first, the others only where they still can come second.
+        order = np.lexsort((-base, row))
+        row, at, base = row[order], at[order], base[order]
+        ahead = np.arange(len(row)) - np.searchsorted(row, row) < 8
+        score = np.full(len(row), -np.inf)
+        for phase in range(2):
+            now = ahead if phase == 0 else ~ahead
+            score[now] = _rounded(base[now] + 0.15 * self.likenesses(names, code[row[now]], at[now]))
+            order = np.lexsort((self.rank[at], -score, row))
+            row, at, base, score, ahead = row[order], at[order], base[order], score[order], ahead[order]
+            head = np.flatnonzero(np.diff(row, prepend=-1))
+            after = np.append(score[1:], np.nan)[head]
+            after[np.append(row[1:], -1)[head] != row[head]] = np.nan
+            second = np.where(self.several[at[head]], score[head], after)
+            if ahead.all():
+                break
+            kept = ahead | (base + 0.15 >= np.nan_to_num(second, nan=-np.inf)[np.searchsorted(row[head], row)] - 2e-5)
+            if phase == 0:
+                row, at, base, score, ahead = row[kept], at[kept], base[kept], score[kept], ahead[kept]
+        return [(row[head] + start, self.place[at[head]], score[head], np.where(np.isfinite(second), second, np.nan))]
+
+
+def _search(likeness: Callable[[str, str], float], window: float):
+    """Batches sorted by chunk, audios first -> video_id, audio_id, score, second of every video that meets an audio in its chunk."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict = {}
+        chunk, parts, audios = None, [], None
+        for batch in batches:
+            keys = np.stack([batch.column(k).to_numpy() for k in range(5)])
+            cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+            for start, end in pairwise(cuts):
+                if start == end:
+                    continue
+                own, part = tuple(keys[:4, start].tolist()), batch.slice(start, end - start)
+                if own != chunk:
+                    chunk, parts, audios = own, [], None
+                if not keys[4, start]:
+                    parts.append(part)
+                    continue
+                if parts and audios is None:
+                    table = pa.Table.from_batches(parts).combine_chunks()
+                    numbers = [table.column(name).to_numpy() for name in ("several", "duration", "modified")]
+                    audios = Audios(table.column("audio_id").combine_chunks(), *numbers, table.column("name").to_pylist(), likeness, known, window)
+                if audios is None:
+                    continue
+                duration, modified, name = part.column("duration").to_numpy(), part.column("modified").to_numpy(), part.column("name").to_pylist()
+                fresh = np.ones(len(name), bool)  # equal videos follow each other
+                fresh[1:] = (np.diff(duration) != 0) | (modified[1:] != modified[:-1]) | np.array([x != y for x, y in pairwise(name)], dtype=bool)
+                firsts, of = np.flatnonzero(fresh), np.cumsum(fresh) - 1
+                row, place, score, second = audios.best(duration[firsts], modified[firsts], [name[k] for k in firsts.tolist()])
+                if len(row):
+                    spot = np.full(len(firsts), -1)
+                    spot[row] = np.arange(len(row))
+                    spot = spot[of]
+                    rows, spot = np.flatnonzero(spot >= 0), spot[spot >= 0]
+                    columns = [part.column("video_id").take(pa.array(rows)), audios.ids.take(pa.array(place[spot])), pa.array(score[spot]), pa.array(second[spot], from_pandas=True)]
+                    yield pa.RecordBatch.from_arrays(columns, ["video_id", "audio_id", "score", "second"])
+
+    return run
+
+
+def pair_streams(videos: DataFrame, audios: DataFrame, likeness: Callable[[str, str], float] | None = None, window: float = WINDOW, margin: float = MARGIN) -> DataFrame:
     """Both sides id, name, duration, modified. A band join on the duration, made an equality by buckets, then the best two.
 
     A score is 0.5 by duration, 0.35 by modified time, which counts only within ``window`` seconds, and 0.15 by the names'
-    likeness. Pairs are scored without names first; the two best scores so far bound what a pair must reach, and only
-    pairs that still can, with 0.15 more, have their names compared. Each task keeps two pairs of a video before the shuffle.
+    likeness, from 0 to 1. Pairs never become rows: a task holds the audios of a bucket, sorted by time, and keeps two
+    scores of a video. Scores of audios near in time bound how far off in time an audio may lie, and scores without
+    names bound which pairs have their names compared. Audios that agree in all but the id are one, by their least id.
 
-    Durations of like magnitude share a class of powers of two, whose bucket is a quarter as wide as that class's largest
-    tolerance (1 second, or 0.002 of the duration).
+    Durations of like magnitude share a class of powers of two, whose bucket is as wide as that class's largest tolerance
+    (1 second, or 0.002 of the duration). Durations that are null or not finite pair with nothing, modified times that are
+    null or NaN lie outside of the window.
     """
-    likeness = likeness or similarity
+    finite = F.abs(F.col("duration")) < float("inf")
     octave = lambda d: F.greatest(F.lit(0), F.floor(F.log2(F.greatest(d, F.lit(1.0))))).cast("int")
-    width = lambda o: F.greatest(F.lit(1.0), F.pow(F.lit(2.0), o + 1) * 0.002) / 4
-    v = videos.select(F.col("id").alias("video_id"), F.col("name").alias("v_name"), F.col("duration").alias("v_duration"), F.col("modified").alias("v_modified"))
-    tolerance = F.greatest(F.lit(1.0), F.col("v_duration") * 0.002)
-    octaves = F.array_distinct(F.array(octave(F.col("v_duration") - tolerance), octave(F.col("v_duration")), octave(F.col("v_duration") + tolerance)))
-    v = v.withColumn("tolerance", tolerance).withColumn("octave", F.explode(octaves))
-    near = F.sequence(F.floor((F.col("v_duration") - F.col("tolerance")) / width(F.col("octave"))), F.floor((F.col("v_duration") + F.col("tolerance")) / width(F.col("octave"))))
-    v = v.withColumn("bucket", F.explode(near))
-    a = audios.select(F.col("id").alias("audio_id"), F.col("name").alias("a_name"), F.col("duration").alias("a_duration"), F.col("modified").alias("a_modified"), octave(F.col("duration")).alias("octave"))
-    a = a.withColumn("bucket", F.floor(F.col("a_duration") / width(F.col("octave"))))
-    spread = int(videos.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # pairs are many more than rows, by whose bytes tasks would be merged
-    met = v.repartition(spread, "octave", "bucket").join(a, ["octave", "bucket"]).withColumn("delta", F.abs(F.col("v_duration") - F.col("a_duration"))).where("delta <= tolerance")
-    base = 0.50 * (1 - F.col("delta") / F.col("tolerance")) + 0.35 * F.greatest(F.lit(0.0), 1 - F.abs(F.col("v_modified") - F.col("a_modified")) / window)
-    met = met.withColumn("base", base)
-    # The second best score without names is a bound that two pairs are sure to reach.
-    bound = _top_two(met, "base").select("video_id", F.coalesce("second", F.lit(float("-inf"))).alias("bound"))
-    able = met.join(bound, "video_id").where(F.col("base") + 0.15 >= F.col("bound") - 1e-5)  # scores are rounded to five places
-    scored = able.withColumn("score", F.round(F.col("base") + 0.15 * likeness(name_key(F.col("v_name")), name_key(F.col("a_name"))), 5))
-    best = _top_two(scored, "score")
+    width = lambda o: F.greatest(F.lit(1.0), F.pow(F.lit(2.0), o + 1) * 0.002)
+    own = [F.col("duration").cast("double").alias("duration"), F.nanvl(F.coalesce(F.col("modified").cast("double"), F.lit(float("inf"))), F.lit(float("inf"))).alias("modified"), F.coalesce(name_key(F.col("name")), F.lit("")).alias("name")]
+    a = audios.select(F.col("id").alias("audio_id"), *own).where(finite).groupBy("duration", "modified", "name").agg(F.min("audio_id").alias("audio_id"), (F.count(F.lit(1)) > 1).alias("several"))
+    a = a.withColumn("octave", octave(F.col("duration"))).withColumn("bucket", F.floor(F.col("duration") / width(F.col("octave"))))
+    v = videos.select(F.col("id").alias("video_id"), *own).where(finite)
+    reach = F.greatest(F.lit(1.0), F.col("duration") * 0.002) + F.abs(F.col("duration")) * 1e-12  # what rounding may add
+    v = v.withColumn("octave", F.explode(F.array_distinct(F.array(octave(F.col("duration") - reach), octave(F.col("duration")), octave(F.col("duration") + reach)))))
+    v = v.withColumn("bucket", F.explode(F.sequence(F.floor((F.col("duration") - reach) / width(F.col("octave"))), F.floor((F.col("duration") + reach) / width(F.col("octave"))))))
+    both = a.select("octave", "bucket", F.lit(1).alias("a"), F.lit(0).alias("v")).unionByName(v.select("octave", "bucket", F.lit(0).alias("a"), F.lit(1).alias("v")))
+    sizes = both.groupBy("octave", "bucket").agg(F.ceil(F.sum("a") / AUDIOS).cast("int").alias("a_chunks"), F.ceil(F.sum("v") / VIDEOS).cast("int").alias("v_chunks")).where("a_chunks > 0 and v_chunks > 0")
+    chunk = F.pmod(F.xxhash64("duration", "modified", "name"), F.lit(1 << 31))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    a = a.join(sizes, ["octave", "bucket"]).withColumn("a_chunk", (chunk % F.col("a_chunks")).cast("int")).withColumn("v_chunk", every("v_chunks"))
+    v = v.join(sizes, ["octave", "bucket"]).withColumn("v_chunk", (chunk % F.col("v_chunks")).cast("int")).withColumn("a_chunk", every("a_chunks"))
+    keys = ["octave", "bucket", "a_chunk", "v_chunk"]
+    video_id, audio_id = videos.schema["id"].dataType, audios.schema["id"].dataType
+    left = a.select(*keys, F.lit(0).alias("side"), F.lit(None).cast(video_id).alias("video_id"), "audio_id", "several", "duration", "modified", "name")
+    right = v.select(*keys, F.lit(1).alias("side"), "video_id", F.lit(None).cast(audio_id).alias("audio_id"), F.lit(False).alias("several"), "duration", "modified", "name")
+    spread = int(videos.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # work is by pairs, not by the bytes by which tasks would be merged
+    dealt = left.unionByName(right).repartition(spread, *keys).sortWithinPartitions(*keys, "side", "modified", "duration", "name")
+    schema = StructType([StructField("video_id", video_id), StructField("audio_id", audio_id), StructField("score", DoubleType()), StructField("second", DoubleType())])
+    found = dealt.mapInArrow(_search(likeness or ratio, window), schema)
+    scores = F.sort_array(F.flatten(F.collect_list(F.array("score", "second"))), asc=False)  # two a chunk that the video meets
+    best = found.groupBy("video_id").agg(F.min(F.struct((-F.col("score")).alias("minus"), "audio_id")).alias("first"), F.get(scores, F.lit(1)).alias("second"))
+    best = best.select("video_id", "first.audio_id", (-F.col("first.minus")).alias("score"), "second")
     decision = F.when(F.col("score").isNull(), "missing_audio").when(F.col("score") - F.col("second") <= margin, "pair_ambiguous").otherwise("pair_found")
     joined = videos.select(F.col("id").alias("video_id")).join(best, "video_id", "left").withColumn("decision", decision)
     return joined.select("video_id", "decision", F.when(F.col("decision") == "pair_found", F.col("audio_id")).alias("audio_id"), F.when(F.col("decision") == "pair_found", F.col("score")).alias("score"))

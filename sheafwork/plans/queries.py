@@ -600,7 +600,7 @@ SELECT video_id, decision, CASE WHEN decision = 'pair_found' THEN audio_id END A
 """)
 def stream_pairing(spark, sf_dir):
     """Names aside: the likeness is fixed, as SQL has none of that kind."""
-    return assets.pair_streams(_streams(spark, sf_dir, 0), _streams(spark, sf_dir, 1), likeness=lambda a, b: F.lit(1.0))
+    return assets.pair_streams(_streams(spark, sf_dir, 0), _streams(spark, sf_dir, 1), likeness=lambda a, b: 1.0)
 
 
 @query()

@@ -108,6 +108,43 @@ def test_pairing(spark):
     assert got == {1: ("pair_found", 11), 2: ("missing_audio", None), 3: ("pair_ambiguous", None)}
 
 
+@pytest.mark.parametrize("chunk", [3, 50_000])
+def test_pairing_by_brute_force(spark, chunk, monkeypatch):
+    """Copies, dense durations, chunks, odd values: the decisions of all pairs, which never become rows."""
+    import random
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from sheafwork.functions.pytext import ratio
+
+    monkeypatch.setattr(assets, "AUDIOS", chunk)
+    monkeypatch.setattr(assets, "VIDEOS", chunk)
+    g = random.Random(4)
+    made = lambda n, at: [(at + k, g.choice(["red", "reed", "blue", "b.lue", None]), g.choice([g.uniform(60, 63), 61.0, g.uniform(1000, 1030)]), float(g.choice([0, 450, g.randrange(4000)]))) for k in range(n)]
+    videos, audios = made(150, 0) + [(900, "x", None, 0.0), (901, "x", math.nan, 0.0), (902, "red", 61.0, None), (903, "red", 5000.0, 0.0)], made(150, 1000)
+    audios += [(2000 + k, *audios[k][1:]) for k in range(40)] + [(3000, "red", 61.0, None), (3001, "red", None, 0.0)]
+    fields = "id long, name string, duration double, modified double"
+
+    def want(v):
+        scores = []
+        for a in audios:
+            if v[2] is None or a[2] is None or math.isnan(v[2]) or abs(v[2] - a[2]) > (tolerance := max(1.0, v[2] * 0.002)):
+                continue
+            time = 0.0 if v[3] is None or a[3] is None else max(0.0, 1 - abs(v[3] - a[3]) / 900)
+            key = lambda n: (n or "").rsplit(".", 1)[0]
+            score = 0.5 * (1 - abs(v[2] - a[2]) / tolerance) + 0.35 * time + 0.15 * ratio(key(v[1]), key(a[1]))
+            scores.append((-float(Decimal(repr(score)).quantize(Decimal("0.00001"), ROUND_HALF_UP)), a[0]))
+        scores.sort()
+        if not scores:
+            return "missing_audio", None, None
+        return ("pair_ambiguous", None, None) if len(scores) > 1 and scores[1][0] - scores[0][0] <= 0.04 else ("pair_found", scores[0][1], -scores[0][0])
+
+    frame = assets.pair_streams(spark.createDataFrame(videos, fields).repartition(3), spark.createDataFrame(audios, fields).repartition(3))
+    got = {r.video_id: (r.decision, r.audio_id, r.score) for r in frame.collect()}
+    assert got == {v[0]: want(v) for v in videos} and {d for d, _, _ in got.values()} == {"missing_audio", "pair_ambiguous", "pair_found"}
+    plan = frame._jdf.queryExecution().toString()
+    assert "MapInArrow" in plan and "Window" not in plan
+
+
 def test_store_is_idempotent(spark):
     fields = "unit_rowid long, canonical_id string, unit_type string, statement string, excerpt string, verification_status string"
     a = spark.createDataFrame([(1, "x", "claim", "s", "e", "n"), (2, "y", "claim", "s", "e", "n")], fields)
