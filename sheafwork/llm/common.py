@@ -59,22 +59,27 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def release() -> None:
+    """Gives what Python no longer uses back to the system, where its C library has a way for that."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 _HELD: dict[str, tuple] = {}
 
 
 def held(name: str, owner, make):
     """What a worker keeps from batch to batch and task to task: the last thing made, so that stages don't add up.
 
-    The memory of the one before goes back to the system, where its C library has a way for that.
+    The memory of the one before goes back to the system.
     """
     if name not in _HELD or _HELD[name][0] is not owner:
         if _HELD:
             _HELD.clear()
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-            if trim:
-                trim(0)
+            release()
         _HELD[name] = (owner, make())
     return _HELD[name][1]
 

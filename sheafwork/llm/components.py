@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheafwork.llm.common import durable
+from sheafwork.llm.common import durable, release
 
 #: A node with more than this part of all links is joined by itself.
 PART = 1000
@@ -23,6 +23,12 @@ def _told(links: DataFrame, least: DataFrame, total: int) -> DataFrame:
     return cold.unionByName(marked.where("hot is not null").select("a", "b", F.col("hot").alias("m")))
 
 
+def tidy(df: DataFrame) -> None:
+    """Collects the garbage of the driver's Python and its JVM, whose heap is small between rounds."""
+    release()
+    df.sparkSession._jvm.System.gc()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(a, b) links of bigint nodes -> (node, component) for every node with a link; component is the least node.
 
@@ -43,3 +49,5 @@ def components(links: DataFrame) -> DataFrame:
         if now == state:
             return links.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(links.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
         state, total = now, now[0]
+        del both, least, large
+        tidy(links)  # shuffles and checkpoints of a round go with the driver's garbage
