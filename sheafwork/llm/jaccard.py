@@ -2,7 +2,8 @@
 
 Rows with equal sets are one class. Candidates come from MinHash: ``BANDS`` keys of ``ROWS`` least hashes each, so a
 pair at the floor of 0.8 shares no key with a chance of (1 - 0.8^5)^40 = 1.2e-7, whatever its length. The classes of
-a key are tied to the least of them, never in pairs, and the components of these ties are groups of candidates. Inside
+a key are tied to the least of them, never in pairs; a caller may add ties of its own (``near``), as the links of
+fingerprints. The components of all ties are groups of candidates. Inside
 a group, shingle sets made anew from the texts are compared exactly, and only pairs at the floor or above are links.
 
 A task holds a group, or two chunks of a large one, so that all its pairs meet (``CHUNK``, ``CHUNKS``, ``LOAD``). Texts are found over their
@@ -13,6 +14,7 @@ Shingles are compared by their XXH64 (two of a pair agree by chance in some 1e-1
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cache, partial
 from hashlib import blake2b
 
@@ -95,18 +97,19 @@ def similar(sets: list[np.ndarray], floor: tuple[int, int]) -> np.ndarray:
     return root
 
 
-def prints(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, key (a hash of the text), node (of the set), size (its shingles) and bands of every row."""
+def prints(docs: DataFrame, size: int, fingerprint: Callable[[str], bytes] | None = None) -> DataFrame:
+    """doc_id, key (a hash of the text), node (of the set), size (its shingles), bands and fp (if asked for) of every row."""
     key = F.xxhash64(F.col("text").cast("string"))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = [shingle_set(t.as_py() or "", size) for t in batch.column(1)]
         node = [int.from_bytes(blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True) for s in sets]
         bands = pa.array([band_keys(s).tobytes() for s in sets], pa.binary())
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(node, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), bands], ["doc_id", "key", "node", "size", "bands"])
+        fp = pa.array([fingerprint(t.as_py() or "") if fingerprint else None for t in batch.column(1)], pa.binary())
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(node, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), bands, fp], ["doc_id", "key", "node", "size", "bands", "fp"])
 
     columns = [F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), key.alias("key")]
-    return map_arrow(docs.select(*columns), run, "doc_id bigint, key bigint, node bigint, size bigint, bands binary")
+    return map_arrow(docs.select(*columns), run, "doc_id bigint, key bigint, node bigint, size bigint, bands binary, fp binary")
 
 
 def _ties(classes: DataFrame) -> DataFrame:
@@ -122,9 +125,9 @@ def _ties(classes: DataFrame) -> DataFrame:
     return rows.join(shared, "band").where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b"))
 
 
-def _group_links(docs: DataFrame, classes: DataFrame, size: int, floor: tuple[int, int]) -> DataFrame:
-    """(a, b) links that connect what is similar: groups of candidates, compared by their shingle sets."""
-    groups = durable(components(_ties(classes)).join(classes.select("node", "size", F.col("place.doc_id").alias("id"), F.col("place.key").alias("key")), "node"))
+def _group_links(docs: DataFrame, classes: DataFrame, ties: DataFrame, size: int, floor: tuple[int, int]) -> DataFrame:
+    """(a, b) links that connect what is similar: groups of candidates, the components of ties, compared by their shingle sets."""
+    groups = durable(components(ties).join(classes.select("node", "size", F.col("place.doc_id").alias("id"), F.col("place.key").alias("key")), "node"))
     crowds = groups.groupBy("component").agg(F.greatest(F.least(F.ceil(F.count(F.lit(1)) / CHUNK), F.lit(CHUNKS)), F.ceil(F.sum("size") / LOAD)).cast("int").alias("chunks")).where("chunks > 1")
     own = free_prefix(docs)
     texts = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-1)).alias(f"{own}id"), F.col("text").cast("string").alias("text")).withColumn(f"{own}key", F.xxhash64("text"))
@@ -157,10 +160,14 @@ def _group_links(docs: DataFrame, classes: DataFrame, size: int, floor: tuple[in
     return dealt.repartition("deal").sortWithinPartitions("deal").mapInArrow(run, "a bigint, b bigint")
 
 
-def grouped(docs: DataFrame, size: int, floor: tuple[int, int]) -> tuple[DataFrame, DataFrame]:
-    """(prints of all rows, classes with their component): node, place (no_id, doc_id, key of its first row), component."""
-    rows = durable(prints(docs, size))
+def grouped(docs: DataFrame, size: int, floor: tuple[int, int], fingerprint: Callable[[str], bytes] | None = None, near: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(prints of all rows, classes with their component): node, place (no_id, doc_id, key of its first row), component.
+
+    near: (fp, node) of all rows -> ties (a, b) of nodes, more candidates than those of MinHash.
+    """
+    rows = durable(prints(docs, size, fingerprint))
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")
     classes = durable(rows.groupBy("node").agg(F.min(place).alias("place"), F.min("size").alias("size"), F.min("bands").alias("bands")))
-    found = components(_group_links(docs, classes, size, floor))
+    ties = _ties(classes) if near is None else near(rows.select("fp", "node").distinct()).unionByName(_ties(classes))
+    found = components(_group_links(docs, classes, ties, size, floor))
     return rows, classes.join(found, "node", "left").select("node", "place", F.coalesce("component", "node").alias("component"))

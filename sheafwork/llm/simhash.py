@@ -10,7 +10,8 @@ lie so close together that nearly every fingerprint would have to visit nearly e
 within 4 bits is within 1 bit in the first block or equal in one of the others (1+1+1+1+1 > 4), so no link is lost.
 
 ``WIDE`` (384 bits, shingles of five words) is for copies that share 0.8 of their shingles. A fingerprint only estimates
-that similarity, so its links are those of ``sheafwork.llm.jaccard``: exact shingle sets of candidate groups.
+that similarity, so its links are exact: candidates are the links of ``EXACT`` fingerprints by the trees below, and what four
+bits miss by MinHash, and shingle sets decide (``sheafwork.llm.jaccard``).
 
 Inside a shard, a vantage-point join on all bits finds the pairs: a fingerprint is the vantage point, the median
 distance splits the others, and only the strips within the radius of the boundary meet across it. What lies within
@@ -306,8 +307,19 @@ def near_duplicates(docs: DataFrame, scheme: Scheme = EXACT) -> DataFrame:
     return prints.join(_components(prints, scheme), "fp").select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), F.when(F.col("component") < ABOVE, F.col("component")).alias("component_id"))
 
 
+def _near(rows: DataFrame) -> DataFrame:
+    """(fp, node) of all rows -> (a, b) ties of nodes: rows of one fingerprint, and fingerprints that ``EXACT`` links."""
+    classes = durable(rows.groupBy("fp").agg(F.min("node").alias("node")))
+    own = rows.join(classes.withColumnRenamed("node", "least"), "fp").where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b"))
+    return link(classes, EXACT).unionByName(own)
+
+
+def _grouped(docs: DataFrame, scheme: Scheme) -> tuple[DataFrame, DataFrame]:
+    return grouped(docs, scheme.shingle, scheme.similarity, fingerprint, _near)
+
+
 def _similar_duplicates(docs: DataFrame, scheme: Scheme) -> DataFrame:
-    rows, classes = grouped(docs, scheme.shingle, scheme.similarity)
+    rows, classes = _grouped(docs, scheme)
     least = classes.groupBy("component").agg(F.min("place.doc_id").alias("component_id"))
     own = rows.join(classes, "node").join(least, "component").select(F.col("doc_id").alias("id"), F.col("key").alias("text_key"), "component_id").distinct()
     prints = fingerprints(docs, scheme, F.xxhash64(F.col("text").cast("string")))
@@ -317,7 +329,7 @@ def _similar_duplicates(docs: DataFrame, scheme: Scheme) -> DataFrame:
 def _kept(docs: DataFrame, scheme: Scheme) -> DataFrame:
     """p (no_id, doc_id, key): the first row of each component."""
     if scheme.similarity:
-        return grouped(docs, scheme.shingle, scheme.similarity)[1].groupBy("component").agg(F.min("place").alias("p"))
+        return _grouped(docs, scheme)[1].groupBy("component").agg(F.min("place").alias("p"))
     prints = durable(fingerprints(docs, scheme, F.xxhash64(F.col("text").cast("string"))))
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")
     return prints.join(_components(prints, scheme), "fp").groupBy("component").agg(F.min(place).alias("p"))

@@ -74,6 +74,20 @@ def test_near_copies_are_caught(spark):
     assert all(2 * k + 1 in kept for k in range(300) if not want[k]) and all(2 * k in kept for k in range(300))
 
 
+def test_near_copies_come_by_fingerprints(spark, monkeypatch):
+    """Without a key of MinHash, the trees over fingerprints alone find the copies within four bits; shingles still decide."""
+    monkeypatch.setattr(jaccard, "_ties", lambda classes: classes.select(jaccard.F.col("node").alias("a"), jaccard.F.col("node").alias("b")).where("false"))
+    g = random.Random(8)
+    texts = {}
+    for k in range(60):
+        words = [f"w{g.randrange(10**6)}" for _ in range(900)]
+        texts[2 * k], texts[2 * k + 1] = " ".join(words), " ".join([*words, "new"])
+    prints = {k: int.from_bytes(simhash.fingerprint(t)) for k, t in texts.items()}
+    assert all((prints[2 * k] ^ prints[2 * k + 1]).bit_count() <= 4 for k in range(60))
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
+    assert sorted(r.doc_id for r in corpus_pipeline.unique(spark, frame, "").collect()) == list(range(0, 120, 2))
+
+
 def test_registered(spark):
     from sheafwork.llm.registry import QUERIES
 
