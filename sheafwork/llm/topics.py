@@ -1,13 +1,14 @@
-"""Topics by content: spherical k-means over hashed words of a bounded sample, the nearest centre for every document.
+"""Topics by content: spherical k-means over hashed words of all documents, the nearest centre for every document.
 
 A text's features are its words (runs of four letters or more, lower-case), hashed to ``DIMS`` numbers, by the logarithm
-of their counts. The sample, some ``SAMPLE`` documents drawn by a hash of their texts, gives each number its weight, by
-the share of documents that have it; numbers of more than ``COMMON`` of the sample tell nothing and weigh nothing. Only
-the sample's feature vectors come to the driver. Every whole text is then assigned to the nearest of ``TOPICS`` centres.
+of their counts. All documents give each number its weight, by the share of them that have it; numbers of more than
+``COMMON`` of the documents tell nothing and weigh nothing. Features are made once and kept in the shared folder. Centres
+are drawn one by one, by the distance to the nearest one so far, among all documents, and every round moves them by all
+documents. The driver holds ``DIMS`` numbers a centre. Sums are of whole numbers, so a run repeats exactly, whatever its partitions.
 
 Defined cases: null and empty texts, and those without a telling word, have the topic ``none``, as have all if there is
-nothing to learn from; equal texts have equal topics. Words of different languages differ, so that a topic mostly lies
-in one language.
+nothing to learn from; equal texts have equal topics, and each of them counts. Words of different languages differ, so
+that a topic mostly lies in one language.
 """
 
 from __future__ import annotations
@@ -21,9 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from sheafwork.llm.common import held, map_arrow
+from sheafwork.llm.common import bounded_batches, durable, held, map_arrow
 
-DIMS, TOPICS, SAMPLE, COMMON, ROUNDS = 1024, 8, 4000, 0.2, 15
+DIMS, TOPICS, COMMON, ROUNDS = 1024, 8, 0.2, 15
+#: Parts of a unit that sums count in.
+PARTS = 1 << 20
 WORD = re.compile(r"[^\W\d_]{4,}")
 NONE = "none"
 #: Words whose number a worker remembers; beyond that, it starts afresh.
@@ -56,7 +59,7 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 
 def fit(sample: np.ndarray, topics: int = TOPICS, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
-    """Weights of the numbers, and centres of unit length, at most ``topics``. sample: a row of counts a document."""
+    """Weights of the numbers, and centres of unit length, at most ``topics``, of rows that one machine holds; for tables see ``learnt``."""
     share = (sample > 0).mean(axis=0) if len(sample) else np.zeros(DIMS)
     weight = np.where((share > 0) & (share <= COMMON), np.log(1 / np.maximum(share, 1e-9)), 0).astype(np.float32)
     x = _unit(sample * weight)
@@ -78,6 +81,106 @@ def fit(sample: np.ndarray, topics: int = TOPICS, seed: int = 11) -> tuple[np.nd
     return weight, centres
 
 
+def _features(docs: DataFrame) -> DataFrame:
+    """draw, numbers and counts of every text with a word; draw, a hash of the text from 0 to 1, is the same for equal texts."""
+    texts = docs.select(F.col("text").cast("string").alias("text")).withColumn("draw", F.xxhash64("text", F.lit("topics")) / float(1 << 64) + 0.5)
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows, numbers, counts = [], [], []
+        for k, text in enumerate(batch.column(0).to_pylist()):
+            own = np.bincount(_numbers(text), minlength=DIMS)
+            if len(used := np.flatnonzero(own)):
+                rows.append(k)
+                numbers.append(used.astype(np.uint16).tobytes())
+                counts.append(own[used].astype(np.uint32).tobytes())
+        return pa.RecordBatch.from_arrays([batch.column(1).take(pa.array(rows, pa.int64())), pa.array(numbers, pa.binary()), pa.array(counts, pa.binary())], ["draw", "numbers", "counts"])
+
+    return map_arrow(texts, run, "draw double, numbers binary, counts binary")
+
+
+def _vectors(batch: pa.RecordBatch, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, number, value) of a batch's vectors of unit length, rows in order; numbers without weight are left out."""
+    parts = batch.column(1).to_pylist()
+    number = np.frombuffer(b"".join(parts), np.uint16).astype(np.int64)
+    row = np.repeat(np.arange(len(parts)), [len(x) // 2 for x in parts])
+    value = np.log1p(np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint32)) * weight[number]
+    told = value > 0
+    row, number, value = row[told], number[told], value[told]
+    return row, number, value / np.sqrt(np.bincount(row, value * value, len(parts)))[row]
+
+
+def _nearness(vectors: tuple[np.ndarray, np.ndarray, np.ndarray], centres: np.ndarray, rows: int) -> np.ndarray:
+    row, number, value = vectors
+    return np.stack([np.bincount(row, value * centre[number], rows) for centre in centres], axis=1)
+
+
+def _sums(features: DataFrame, function, size: int) -> np.ndarray:
+    """Adds up an array of ``size`` whole numbers a batch: in each task, then by place."""
+
+    def run(batches):
+        total = np.zeros(size, np.int64)
+        for batch in batches:
+            total += function(batch)
+        has = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(has), pa.array(total[has])], ["place", "part"])
+
+    out = np.zeros(size, np.int64)
+    for place, part in features.mapInArrow(run, "place bigint, part bigint").groupBy("place").agg(F.sum("part")).collect():
+        out[place] = part
+    return out
+
+
+def _drawn(features: DataFrame, weight: np.ndarray, centres: np.ndarray) -> np.ndarray | None:
+    """The vector of one document of all, drawn by its distance to the nearest centre; None if no distance is left."""
+    turn = len(centres)
+
+    def run(batches):
+        best = None
+        for batch in batches:
+            vectors = _vectors(batch, weight)
+            told = np.bincount(vectors[0], minlength=batch.num_rows) > 0
+            far = np.maximum(0, 1 - _nearness(vectors, centres, batch.num_rows).max(axis=1)) if turn else np.ones(batch.num_rows)
+            chance = np.clip((batch.column(0).to_numpy() + turn * 0.6180339887498949) % 1, 1e-12, 1 - 1e-12)
+            able = np.flatnonzero(told & (far > 1e-6))
+            if len(able):  # the least of exponential waits falls on each document in proportion to its distance
+                wait = -np.log(chance[able]) / far[able]
+                k = int(able[np.argmin(wait)])
+                if best is None or (wait.min(), batch.column(1)[k].as_py(), batch.column(2)[k].as_py()) < best:
+                    best = float(wait.min()), batch.column(1)[k].as_py(), batch.column(2)[k].as_py()
+        if best is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([x]) for x in best], ["wait", "numbers", "counts"])
+
+    first = features.mapInArrow(run, "wait double, numbers binary, counts binary").orderBy("wait", "numbers", "counts").limit(1).collect()
+    if not first:
+        return None
+    one = pa.RecordBatch.from_arrays([pa.array([0.0]), pa.array([bytes(first[0]["numbers"])]), pa.array([bytes(first[0]["counts"])])], ["draw", "numbers", "counts"])
+    _, number, value = _vectors(one, weight)
+    return np.bincount(number, value, DIMS)
+
+
+def learnt(docs: DataFrame, topics: int = TOPICS, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of the numbers, and centres of unit length, at most ``topics``, by all texts of a table."""
+    bounded_batches(docs.sparkSession)
+    n, features = docs.count(), durable(_features(docs))
+    share = _sums(features, lambda batch: np.bincount(np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16), minlength=DIMS), DIMS) / max(n, 1)
+    weight = np.where((share > 0) & (share <= COMMON), np.log(1 / np.maximum(share, 1e-12)), 0)
+    centres = np.zeros((0, DIMS))
+    while len(centres) < topics and (one := _drawn(features, weight, centres)) is not None:
+        centres = np.vstack([centres, one])
+    for _ in range(rounds if len(centres) > 1 else 0):
+
+        def moved(batch: pa.RecordBatch, centres: np.ndarray = centres) -> np.ndarray:
+            row, number, value = vectors = _vectors(batch, weight)
+            own = _nearness(vectors, centres, batch.num_rows).argmax(axis=1)
+            return np.bincount(own[row] * DIMS + number, np.round(value * PARTS), centres.size).astype(np.int64)
+
+        sums = _sums(features, moved, centres.size).reshape(centres.shape).astype(np.float64)
+        before, centres = centres, np.where(sums.any(axis=1)[:, None], _unit(sums), centres)
+        if np.abs(centres - before).max() < 1e-6:
+            break
+    return weight.astype(np.float32), centres.astype(np.float32)
+
+
 def assign(texts: list[str | None], weight: np.ndarray, centres: np.ndarray) -> list[str]:
     if not len(centres):
         return [NONE] * len(texts)
@@ -94,23 +197,9 @@ def assign(texts: list[str | None], weight: np.ndarray, centres: np.ndarray) ->
     return out
 
 
-def learnt(docs: DataFrame, topics: int = TOPICS, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
-    """``fit`` on a bounded sample of a table's texts."""
-    n = docs.count()
-    texts = docs.select(F.col("text").cast("string").alias("text")).withColumn("draw", F.xxhash64("text", F.lit("topics")) / float(1 << 64) + 0.5)
-    # A text that many rows repeat is drawn once.
-    drawn = texts.where(F.col("draw") < min(1.0, sample / max(n, 1))).dropDuplicates(["draw"])
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([batch.column(1), pa.array([counts(t.as_py()).tobytes() for t in batch.column(0)], pa.binary())], ["draw", "counts"])
-
-    rows = sorted((r["draw"], bytes(r["counts"])) for r in map_arrow(drawn, run, "draw double, counts binary").orderBy("draw").limit(2 * sample).collect())
-    return fit(np.stack([np.frombuffer(c, np.float32) for _, c in rows]) if rows else np.zeros((0, DIMS), np.float32), topics)
-
-
-def with_topic(docs: DataFrame, name: str, topics: int = TOPICS, sample: int = SAMPLE) -> DataFrame:
-    """The table with each row's topic in a column ``name``; one pass, no shuffle."""
-    shared = docs.sparkSession.sparkContext.broadcast(learnt(docs, topics, sample))  # centres: some thousand numbers
+def with_topic(docs: DataFrame, name: str, topics: int = TOPICS) -> DataFrame:
+    """The table with each row's topic in a column ``name``; texts are not moved."""
+    shared = docs.sparkSession.sparkContext.broadcast(learnt(docs, topics))  # centres: some thousand numbers
     place = docs.columns.index("text")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:

@@ -880,3 +880,23 @@ def test_webp_rejects_broken_streams():
     for broken in (b"", b"RIFF", data[: len(data) // 2]):
         with pytest.raises((ValueError, IndexError)):
             webp.decode(broken)
+
+
+def test_topics_learn_from_every_document(spark):
+    """Shares of words and centres are those of all documents, and the same whatever the partitions."""
+    g = random.Random(3)
+    fields = [[f"{name}{chr(97 + k)}" for k in range(20)] for name in ("garden", "engine", "violin", "harbor", "mirror", "saddle")]
+    rows = [(k, " ".join(g.choice(fields[k % 6]) for _ in range(6))) for k in range(9000)] + [(9000, "onlyhere onlyhere"), (9001, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    weight, centres = topics.learnt(frame.repartition(3), 6)
+    seen = sum((topics.counts(t) > 0).astype(np.int64) for _, t in rows)
+    share = seen / len(rows)
+    want = np.where((share > 0) & (share <= topics.COMMON), np.log(1 / np.maximum(share, 1e-12)), 0)
+    assert np.allclose(weight, want, atol=1e-5)
+    vectors = topics._unit(np.stack([topics.counts(t) for _, t in rows]) * weight)
+    own = (vectors @ centres.T).argmax(axis=1)
+    told = vectors.any(axis=1)
+    for k in range(len(centres)):  # a centre is the mean direction of all its documents
+        assert np.allclose(centres[k], topics._unit(vectors[told & (own == k)].sum(axis=0)), atol=1e-3)
+    again = topics.learnt(frame.repartition(7), 6)
+    assert np.array_equal(again[0], weight) and np.array_equal(again[1], centres)
