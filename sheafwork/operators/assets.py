@@ -11,15 +11,17 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
 from sheafwork.functions.pytext import ratio
 
 WINDOW, MARGIN = 900.0, 0.04
-#: Audios of a duration bucket that a task holds, and videos that it is given; larger buckets are cut into chunks that all meet.
-AUDIOS, VIDEOS = 50_000, 5_000
+#: Audios of a duration bucket that a chunk holds, and videos that it is given at least; larger buckets are cut into chunks that all meet.
+AUDIOS, VIDEOS = 200_000, 5_000
 #: Likenesses of names that a task remembers; beyond that, it starts afresh.
 REMEMBERED = 500_000
+#: Audios of a video's own name, before and after it in time, that give the first bound of its scores.
+NEAR = 16
 
 
 def name_key(name: Column) -> Column:
@@ -47,16 +49,46 @@ class Audios:
         self.rank = np.empty(len(order), dtype=np.int64)  # the order of ids
         self.rank[pc.sort_indices(ids.take(pa.array(order))).to_numpy()] = np.arange(len(order))
         number = {name: k for k, name in enumerate(dict.fromkeys(names))}
-        self.names, self.name = list(number), np.array([number[names[k]] for k in order], dtype=np.int64)
-
-    def base(self, low: int, high: int, duration: np.ndarray, modified: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Scores without names of a video a row and an audio a column, minus infinity beyond the tolerance; and a score that two pairs of each video are sure to reach, as a likeness is 0 at least."""
+        self.names, self.name, self.number = list(number), np.array([number[names[k]] for k in order], dtype=np.int64), number
+        self.alike = np.argsort(self.name, kind="stable")  # by name, then by modified time
+        self.first = np.searchsorted(self.name[self.alike], np.arange(len(number) + 1))
+        self.shortest, self.longest = duration.min(), duration.max()
+
+    def of_same_name(self, duration: np.ndarray, modified: np.ndarray, name: list[str]) -> np.ndarray:
+        """A score with names that two pairs of each video are sure to reach: the second best of the audios of its own name that are nearest in time."""
+        out = np.full(len(name), -np.inf)
+        spread = np.arange(-NEAR, NEAR)
+        groups: dict[str, list[int]] = {}
+        for k, x in enumerate(name):
+            if x in self.number:
+                groups.setdefault(x, []).append(k)
+        for x, rows in groups.items():
+            own = self.alike[self.first[self.number[x]] : self.first[self.number[x] + 1]]
+            at = np.searchsorted(self.modified[own], modified[rows])[:, None] + spread
+            there = (at >= 0) & (at < len(own))
+            found = own[np.clip(at, 0, len(own) - 1)]
+            base = self._base(duration[rows], modified[rows], self.duration[found], self.modified[found])
+            base[~there] = -np.inf
+            second = np.partition(base, -2, axis=1)[:, -2]
+            several = np.where(self.several[found], base, -np.inf).max(axis=1)
+            key = x, x
+            if key not in self.known:
+                self.known[key] = self.likeness(x, x)
+            out[rows] = np.maximum(second, several) + 0.15 * self.known[key]
+        return out
+
+    def _base(self, duration: np.ndarray, modified: np.ndarray, of: np.ndarray, when: np.ndarray) -> np.ndarray:
         tolerance = np.maximum(1.0, duration * 0.002)[:, None]
-        delta = np.abs(duration[:, None] - self.duration[None, low:high])
+        delta = np.abs(duration[:, None] - of)
         with np.errstate(invalid="ignore"):
-            late = np.abs(modified[:, None] - self.modified[None, low:high])
+            late = np.abs(modified[:, None] - when)
         base = 0.50 * (1 - delta / tolerance) + 0.35 * np.fmax(0.0, 1 - late / self.window)
         base[delta > tolerance] = -np.inf
+        return base
+
+    def base(self, low: int, high: int, duration: np.ndarray, modified: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Scores without names of a video a row and an audio a column, minus infinity beyond the tolerance; and a score that two pairs of each video are sure to reach, as a likeness is 0 at least."""
+        base = self._base(duration, modified, self.duration[None, low:high], self.modified[None, low:high])
         least = np.partition(base, -2, axis=1)[:, -2] if high - low > 1 else np.full(len(base), -np.inf)
         if (several := self.several[low:high]).any():
             least = np.maximum(least, base[:, several].max(axis=1))
@@ -75,30 +107,33 @@ class Audios:
             out[k] = found
         return out[inverse]
 
-    def best(self, duration: np.ndarray, modified: np.ndarray, name: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Videos with a pair, the best audio's place, its score and the second best score, NaN if there is none. Videos sorted by modified time."""
+    def best(self, duration: np.ndarray, modified: np.ndarray, name: list[str], bound: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Videos with a pair, the best audio's place, its score and the second best score, NaN if there is none. Videos sorted by modified time. bound: what two pairs of each video reach elsewhere; pairs below may be left out."""
         n, cells, start, found = len(self.modified), 1 << 19, 0, []
         number = {x: k for k, x in enumerate(dict.fromkeys(name))}
         names, code = list(number), np.array([number[x] for x in name], dtype=np.int64)
+        sure = np.maximum(self.of_same_name(duration, modified, name), bound)
+        # By duration alone, no audio of the chunk reaches more than this.
+        most = 0.50 * (1 - np.maximum(0.0, np.maximum(self.shortest - duration, duration - self.longest)) / np.maximum(1.0, duration * 0.002))
         while start < len(duration):
             end = min(len(duration), start + 128)
             first, last = modified[start], modified[end - 1]
             low, high = max(0, int(np.searchsorted(self.modified, first)) - 32), min(n, int(np.searchsorted(self.modified, last, "right")) + 32)
             end = min(end, start + max(1, cells // max(1, high - low)))
-            least = self.base(low, high, duration[start:end], modified[start:end])[1].min()
+            least = np.maximum(self.base(low, high, duration[start:end], modified[start:end])[1], sure[start:end])
             # What lies further off in time than ``reach`` can't come up to that: a likeness is 1 at most.
-            reach = self.window * (1 - (least - 0.65 - 2e-5) / 0.35)
+            reach = (self.window * (1 - (least - 0.15 - 2e-5 - most[start:end]) / 0.35)).max()
             low, high = 0, n
             if reach < self.window and np.isfinite(modified[start:end]).all():
-                low, high = int(np.searchsorted(self.modified, modified[start] - reach)), int(np.searchsorted(self.modified, modified[end - 1] + reach, "right"))
+                low, high = (int(np.searchsorted(self.modified, modified[start] - reach)), int(np.searchsorted(self.modified, modified[end - 1] + reach, "right"))) if reach > -1e-6 * self.window else (0, 0)
             end = min(end, start + max(1, cells // max(1, high - low)))
-            found += self._of_block(low, high, start, duration[start:end], modified[start:end], names, code[start:end])
+            found += [] if low >= high else self._of_block(low, high, start, duration[start:end], modified[start:end], names, code[start:end], sure[start:end])
             start = end
         return tuple(np.concatenate(c) for c in zip(*found, strict=True)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0))
 
-    def _of_block(self, low: int, high: int, start: int, duration: np.ndarray, modified: np.ndarray, names: list[str], code: np.ndarray) -> list[tuple]:
+    def _of_block(self, low: int, high: int, start: int, duration: np.ndarray, modified: np.ndarray, names: list[str], code: np.ndarray, sure: np.ndarray) -> list[tuple]:
         base, least = self.base(low, high, duration, modified)
-        row, at = np.nonzero(base >= np.maximum(least - 0.15 - 2e-5, -1.0)[:, None])  # scores are rounded to five places
+        row, at = np.nonzero(base >= np.maximum(np.maximum(least, sure) - 0.15 - 2e-5, -1.0)[:, None])  # scores are rounded to five places
         if not len(row):
             return []
         base, at = base[row, at], at + low
@@ -125,7 +160,8 @@ class Audios:
 
 
 def _search(likeness: Callable[[str, str], float], window: float):
-    """Batches sorted by chunk, audios first -> video_id, audio_id, score, second of every video that meets an audio in its chunk."""
+    """Batches sorted by chunk, in it audios (side 0), videos (1) and videos' pairs found before (2). Every video comes back with the
+    best audio of its chunk, the score and the second best score, null where there is none; pairs found before come back as they are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict = {}
@@ -139,38 +175,49 @@ def _search(likeness: Callable[[str, str], float], window: float):
                 own, part = tuple(keys[:4, start].tolist()), batch.slice(start, end - start)
                 if own != chunk:
                     chunk, parts, audios = own, [], None
-                if not keys[4, start]:
+                side = keys[4, start]
+                if side == 0:
                     parts.append(part)
                     continue
-                if parts and audios is None:
+                if side == 1 and parts and audios is None:
                     table = pa.Table.from_batches(parts).combine_chunks()
                     numbers = [table.column(name).to_numpy() for name in ("several", "duration", "modified")]
                     audios = Audios(table.column("audio_id").combine_chunks(), *numbers, table.column("name").to_pylist(), likeness, known, window)
-                if audios is None:
-                    continue
-                duration, modified, name = part.column("duration").to_numpy(), part.column("modified").to_numpy(), part.column("name").to_pylist()
-                fresh = np.ones(len(name), bool)  # equal videos follow each other
-                fresh[1:] = (np.diff(duration) != 0) | (modified[1:] != modified[:-1]) | np.array([x != y for x, y in pairwise(name)], dtype=bool)
-                firsts, of = np.flatnonzero(fresh), np.cumsum(fresh) - 1
-                row, place, score, second = audios.best(duration[firsts], modified[firsts], [name[k] for k in firsts.tolist()])
-                if len(row):
-                    spot = np.full(len(firsts), -1)
-                    spot[row] = np.arange(len(row))
-                    spot = spot[of]
-                    rows, spot = np.flatnonzero(spot >= 0), spot[spot >= 0]
-                    columns = [part.column("video_id").take(pa.array(rows)), audios.ids.take(pa.array(place[spot])), pa.array(score[spot]), pa.array(second[spot], from_pandas=True)]
-                    yield pa.RecordBatch.from_arrays(columns, ["video_id", "audio_id", "score", "second"])
+                columns = {name: part.column(name) for name in ("a_chunk", "video_id", "audio_id", "score", "second", "duration", "modified", "name")}
+                if side == 1:
+                    columns |= dict(zip(("audio_id", "score", "second"), _found(part, audios), strict=True))
+                yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     return run
 
 
+def _found(part: pa.RecordBatch, audios: Audios | None) -> tuple[pa.Array, pa.Array, pa.Array]:
+    kind = part.schema.field("audio_id").type
+    if audios is None:
+        return pa.nulls(len(part), kind), pa.nulls(len(part), pa.float64()), pa.nulls(len(part), pa.float64())
+    duration, modified, name = part.column("duration").to_numpy(), part.column("modified").to_numpy(), part.column("name").to_pylist()
+    bound = part.column("second").fill_null(-np.inf).to_numpy()
+    fresh = np.ones(len(name), bool)  # equal videos follow each other
+    fresh[1:] = (np.diff(duration) != 0) | (modified[1:] != modified[:-1]) | (bound[1:] != bound[:-1]) | np.array([x != y for x, y in pairwise(name)], dtype=bool)
+    firsts, of = np.flatnonzero(fresh), np.cumsum(fresh) - 1
+    row, place, score, second = audios.best(duration[firsts], modified[firsts], [name[k] for k in firsts.tolist()], bound[firsts])
+    spot = np.full(len(firsts), -1)
+    spot[row] = np.arange(len(row))
+    spot = spot[of]
+    at = pa.array(spot, mask=spot < 0)
+    return audios.ids.take(pa.array(place)).take(at), pa.array(score).take(at), pa.array(second, from_pandas=True).take(at)
+
+
 def pair_streams(videos: DataFrame, audios: DataFrame, likeness: Callable[[str, str], float] | None = None, window: float = WINDOW, margin: float = MARGIN) -> DataFrame:
     """Both sides id, name, duration, modified. A band join on the duration, made an equality by buckets, then the best two.
 
     A score is 0.5 by duration, 0.35 by modified time, which counts only within ``window`` seconds, and 0.15 by the names'
     likeness, from 0 to 1. Pairs never become rows: a task holds the audios of a bucket, sorted by time, and keeps two
     scores of a video. Scores of audios near in time bound how far off in time an audio may lie, and scores without
-    names bound which pairs have their names compared. Audios that agree in all but the id are one, by their least id.
+    names, and those of audios of a video's own name, bound which pairs have their names compared. Audios that agree in
+    all but the id are one, by their least id. A bucket's videos are cut into chunks of as many rows as it has audios, so
+    that audios sent to every chunk are no more rows than the two sides together; only beyond ``AUDIOS`` in one bucket is a
+    video sent to more than one chunk of these.
 
     Durations of like magnitude share a class of powers of two, whose bucket is as wide as that class's largest tolerance
     (1 second, or 0.002 of the duration). Durations that are null or not finite pair with nothing, modified times that are
@@ -181,25 +228,44 @@ def pair_streams(videos: DataFrame, audios: DataFrame, likeness: Callable[[str,
     width = lambda o: F.greatest(F.lit(1.0), F.pow(F.lit(2.0), o + 1) * 0.002)
     own = [F.col("duration").cast("double").alias("duration"), F.nanvl(F.coalesce(F.col("modified").cast("double"), F.lit(float("inf"))), F.lit(float("inf"))).alias("modified"), F.coalesce(name_key(F.col("name")), F.lit("")).alias("name")]
     a = audios.select(F.col("id").alias("audio_id"), *own).where(finite).groupBy("duration", "modified", "name").agg(F.min("audio_id").alias("audio_id"), (F.count(F.lit(1)) > 1).alias("several"))
-    a = a.withColumn("octave", octave(F.col("duration"))).withColumn("bucket", F.floor(F.col("duration") / width(F.col("octave"))))
+    bucket = lambda d, o: F.floor(d / width(o))
+    a = a.withColumn("octave", octave(F.col("duration"))).withColumn("bucket", bucket(F.col("duration"), F.col("octave")))
     v = videos.select(F.col("id").alias("video_id"), *own).where(finite)
-    reach = F.greatest(F.lit(1.0), F.col("duration") * 0.002) + F.abs(F.col("duration")) * 1e-12  # what rounding may add
-    v = v.withColumn("octave", F.explode(F.array_distinct(F.array(octave(F.col("duration") - reach), octave(F.col("duration")), octave(F.col("duration") + reach)))))
-    v = v.withColumn("bucket", F.explode(F.sequence(F.floor((F.col("duration") - reach) / width(F.col("octave"))), F.floor((F.col("duration") + reach) / width(F.col("octave"))))))
-    both = a.select("octave", "bucket", F.lit(1).alias("a"), F.lit(0).alias("v")).unionByName(v.select("octave", "bucket", F.lit(0).alias("a"), F.lit(1).alias("v")))
-    sizes = both.groupBy("octave", "bucket").agg(F.ceil(F.sum("a") / AUDIOS).cast("int").alias("a_chunks"), F.ceil(F.sum("v") / VIDEOS).cast("int").alias("v_chunks")).where("a_chunks > 0 and v_chunks > 0")
+    home = v.withColumn("octave", octave(F.col("duration"))).withColumn("bucket", bucket(F.col("duration"), F.col("octave")))
+    tolerance = F.greatest(F.lit(1.0), F.col("duration") * 0.002)
+    reach = tolerance + F.abs(F.col("duration")) * 1e-12  # what rounding may add
+    octaves = F.array_distinct(F.array(octave(F.col("duration") - reach), octave(F.col("duration")), octave(F.col("duration") + reach)))
+    inside = lambda o: F.transform(F.sequence(bucket(F.col("duration") - reach, o), bucket(F.col("duration") + reach, o)), lambda b: F.struct(o.alias("octave"), b.alias("bucket")))
+    here = lambda x: (x["octave"] == octave(F.col("duration"))) & (x["bucket"] == bucket(F.col("duration"), octave(F.col("duration"))))
+    near = F.filter(F.flatten(F.transform(octaves, inside)), lambda x: ~here(x))
+    visits = v.select(F.explode(near).alias("x")).select("x.*")
     chunk = F.pmod(F.xxhash64("duration", "modified", "name"), F.lit(1 << 31))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    a = a.join(sizes, ["octave", "bucket"]).withColumn("a_chunk", (chunk % F.col("a_chunks")).cast("int")).withColumn("v_chunk", every("v_chunks"))
-    v = v.join(sizes, ["octave", "bucket"]).withColumn("v_chunk", (chunk % F.col("v_chunks")).cast("int")).withColumn("a_chunk", every("a_chunks"))
     keys = ["octave", "bucket", "a_chunk", "v_chunk"]
     video_id, audio_id = videos.schema["id"].dataType, audios.schema["id"].dataType
-    left = a.select(*keys, F.lit(0).alias("side"), F.lit(None).cast(video_id).alias("video_id"), "audio_id", "several", "duration", "modified", "name")
-    right = v.select(*keys, F.lit(1).alias("side"), "video_id", F.lit(None).cast(audio_id).alias("audio_id"), F.lit(False).alias("several"), "duration", "modified", "name")
     spread = int(videos.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # work is by pairs, not by the bytes by which tasks would be merged
-    dealt = left.unionByName(right).repartition(spread, *keys).sortWithinPartitions(*keys, "side", "modified", "duration", "name")
-    schema = StructType([StructField("video_id", video_id), StructField("audio_id", audio_id), StructField("score", DoubleType()), StructField("second", DoubleType())])
-    found = dealt.mapInArrow(_search(likeness or ratio, window), schema)
+    fields = [StructField("a_chunk", IntegerType()), StructField("video_id", video_id), StructField("audio_id", audio_id), StructField("score", DoubleType()), StructField("second", DoubleType()), StructField("duration", DoubleType()), StructField("modified", DoubleType()), StructField("name", StringType())]
+
+    def met(rows: DataFrame, visitors: DataFrame) -> DataFrame:
+        """The search of rows, of side 1 or 2, among the audios of their buckets; visitors: at least those of side 1."""
+        both = a.select("octave", "bucket", F.lit(1).alias("a"), F.lit(0).alias("v")).unionByName(visitors.select("octave", "bucket", F.lit(0).alias("a"), F.lit(1).alias("v")))
+        videos_each = F.greatest(F.lit(VIDEOS), F.least(F.lit(AUDIOS), F.sum("a")))
+        sizes = both.groupBy("octave", "bucket").agg(F.ceil(F.sum("a") / AUDIOS).cast("int").alias("a_chunks"), F.ceil(F.sum("v") / videos_each).cast("int").alias("v_chunks")).where("a_chunks > 0 and v_chunks > 0")
+        left = a.join(sizes, ["octave", "bucket"]).withColumn("a_chunk", (chunk % F.col("a_chunks")).cast("int")).withColumn("v_chunk", every("v_chunks"))
+        left = left.select(*keys, F.lit(0).alias("side"), F.lit(None).cast(video_id).alias("video_id"), "audio_id", "several", "duration", "modified", "name", F.lit(None).cast("double").alias("score"), F.lit(None).cast("double").alias("second"))
+        right = rows.join(sizes, ["octave", "bucket"], "left").withColumn("v_chunk", F.coalesce((chunk % F.col("v_chunks")).cast("int"), F.lit(0)))
+        right = right.withColumn("a_chunk", F.explode(F.when(F.col("side") == 1, F.sequence(F.lit(0), F.coalesce("a_chunks", F.lit(1)) - 1)).otherwise(F.array(F.lit(0)))))
+        right = right.select(*keys, "side", "video_id", "audio_id", F.lit(False).alias("several"), "duration", "modified", "name", "score", "second")
+        dealt = left.unionByName(right).repartition(spread, *keys).sortWithinPartitions(*keys, "side", "modified", "duration", "name")
+        return dealt.mapInArrow(_search(likeness or ratio, window), StructType(fields))
+
+    first = met(home.withColumns({"side": F.lit(1), "audio_id": F.lit(None).cast(audio_id), "score": F.lit(None).cast("double"), "second": F.lit(None).cast("double")}), home)
+    off = lambda x: F.greatest(F.lit(0.0), x["bucket"] * width(x["octave"]) - F.col("duration"), F.col("duration") - (x["bucket"] + 1) * width(x["octave"]))
+    open_ = F.filter(near, lambda x: F.col("second").isNull() | (1 - 0.50 * off(x) / tolerance >= F.col("second") - 2e-5))
+    found_before = F.struct(octave(F.col("duration")).alias("octave"), bucket(F.col("duration"), octave(F.col("duration"))).alias("bucket"), F.lit(2).alias("side"))
+    to = F.concat(F.when(F.col("score").isNotNull(), F.array(found_before)).otherwise(F.array().cast("array<struct<octave:int,bucket:bigint,side:int>>")), F.when(F.col("a_chunk") == 0, F.transform(open_, lambda x: F.struct(x["octave"], x["bucket"], F.lit(1).alias("side")))).otherwise(F.array().cast("array<struct<octave:int,bucket:bigint,side:int>>")))
+    onward = first.withColumn("to", F.explode(to)).select("*", "to.*").withColumns({"name": F.when(F.col("side") == 1, F.col("name")), "audio_id": F.when(F.col("side") == 2, F.col("audio_id")), "score": F.when(F.col("side") == 2, F.col("score"))}).drop("a_chunk", "to")
+    found = met(onward, visits).where("score is not null")
     scores = F.sort_array(F.flatten(F.collect_list(F.array("score", "second"))), asc=False)  # two a chunk that the video meets
     best = found.groupBy("video_id").agg(F.min(F.struct((-F.col("score")).alias("minus"), "audio_id")).alias("first"), F.get(scores, F.lit(1)).alias("second"))
     best = best.select("video_id", "first.audio_id", (-F.col("first.minus")).alias("score"), "second")

@@ -145,6 +145,18 @@ def test_pairing_by_brute_force(spark, chunk, monkeypatch):
     assert "MapInArrow" in plan and "Window" not in plan
 
 
+def test_pairing_sends_rows_in_proportion(spark, monkeypatch):
+    """A crowded bucket: its audios aren't sent once for every few videos, and videos go on only to buckets that can still count."""
+    monkeypatch.setattr(assets, "VIDEOS", 5)
+    fields = "id long, name string, duration double, modified double"
+    made = lambda n, at: spark.createDataFrame([(at + k, "red", 60 + k * 37 % 100 / 100, float(k)) for k in range(n)], fields)
+    videos, audios = made(300, 0), made(300, 1000)
+    dealt, kind = [], type(videos)
+    monkeypatch.setattr(kind, "repartition", lambda self, *a, f=kind.repartition: (dealt.append(self), f(self, *a))[1])
+    assert assets.pair_streams(videos, audios).count() == 300
+    assert sum(rows.count() for rows in dealt) <= 4 * (300 + 300)
+
+
 def test_store_is_idempotent(spark):
     fields = "unit_rowid long, canonical_id string, unit_type string, statement string, excerpt string, verification_status string"
     a = spark.createDataFrame([(1, "x", "claim", "s", "e", "n"), (2, "y", "claim", "s", "e", "n")], fields)
