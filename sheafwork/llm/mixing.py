@@ -25,9 +25,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from sheafwork.llm.common import bounded_batches, durable, free_prefix, map_arrow
-from sheafwork.llm.topics import with_topic
+from sheafwork.llm.topics import features, with_topic, with_topic_of
 
 FLATTEN, SHARE, ROUNDS, CLOSE = 0.7, 0.8, 200, 1e-9
 CELLS, SEED = 100_000, 17
@@ -39,6 +40,15 @@ def tokens() -> Column:
     return F.when(text == "", 0).otherwise(F.size(F.split(text, r"\s+"))).cast("bigint")
 
 
+_BLANK = bytes(32 if k in b" \t\n\x0b\f\r" else 120 for k in range(256))
+
+
+def _token_counts(texts: list[bytes | None]) -> list[int]:
+    """``tokens`` of UTF-8 texts."""
+    marks = [t.strip(b" ").translate(_BLANK) if t else b"" for t in texts]
+    return [m.count(b" x") + m.startswith(b"x") + m.startswith(b" ") + m.endswith(b" ") for m in marks]
+
+
 def flattened(sums: dict, power: float) -> dict:
     """Target shares: each value's share to a power, scaled to 1."""
     raised = {k: float(v) ** power if v > 0 else 0.0 for k, v in sums.items()}
@@ -123,13 +133,23 @@ def _rake_table(cells: DataFrame, targets: list[dict], rounds: int, close: float
     return durable(map_arrow(own, weigh, ", ".join(f"{side} string" for side in SIDES) + ", mass bigint, weight double"))
 
 
+def _draw(seed: int) -> Column:
+    text_key = F.when(F.col("doc_id").isNull(), F.xxhash64(F.col("text").cast("string")))
+    return F.xxhash64(F.col("doc_id").cast("bigint"), text_key, F.lit(seed)) / float(1 << 64) + 0.5
+
+
+def _read_once(docs: DataFrame, own: str, seed: int) -> DataFrame:
+    """doc_id and what the mixing needs, topics by content: texts are read once, the rest is made of their features."""
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", *[F.col(c).cast("string").alias(f"{own}{c}") for c in ("source", "lang")], _draw(seed).alias(f"{own}draw"))
+    told = durable(features(rows, ["doc_id", f"{own}source", f"{own}lang", f"{own}draw"], ((f"{own}tokens", LongType(), _token_counts),)))
+    return with_topic_of(told, f"{own}topic")
+
+
 def _drawn(docs: DataFrame, own: str, topic_col: Column | None, seed: int) -> DataFrame:
     """The table with what the mixing needs, in columns that begin with ``own``."""
     base = docs.withColumn(f"{own}topic", topic_col.cast("string")) if topic_col is not None else with_topic(docs, f"{own}topic")
     base = base.withColumn(f"{own}tokens", tokens())
-    text_key = F.when(F.col("doc_id").isNull(), F.xxhash64(F.col("text").cast("string")))
-    draw = F.xxhash64(F.col("doc_id").cast("bigint"), text_key, F.lit(seed)) / float(1 << 64) + 0.5
-    return base.withColumn(f"{own}source", F.col("source").cast("string")).withColumn(f"{own}lang", F.col("lang").cast("string")).withColumn(f"{own}draw", draw)
+    return base.withColumn(f"{own}source", F.col("source").cast("string")).withColumn(f"{own}lang", F.col("lang").cast("string")).withColumn(f"{own}draw", _draw(seed))
 
 
 def _weighted(drawn: DataFrame, own: str, cells: DataFrame, bounded: bool) -> DataFrame:
@@ -149,7 +169,7 @@ def mix(docs: DataFrame, targets: dict[str, dict] | None = None, topic_col: Colu
     """
     own = free_prefix(docs)
     narrow = docs.select("doc_id", "text", "source", "lang") if topic_col is None else docs
-    drawn = durable(_drawn(narrow, own, topic_col, seed).select(F.col("doc_id").cast("bigint").alias("doc_id"), *[f"{own}{c}" for c in (*SIDES, "tokens", "draw")]))
+    drawn = durable((_drawn(narrow, own, topic_col, seed) if topic_col is not None else _read_once(narrow, own, seed)).select(F.col("doc_id").cast("bigint").alias("doc_id"), *[f"{own}{c}" for c in (*SIDES, "tokens", "draw")]))
     weighted = _weighted(drawn, own, *_weights(_narrow(drawn, own), targets, share, flatten))
     shown = [F.col(f"{own}{c}").alias(c) for c in (*SIDES, "tokens", "weight", "probability", "draw")]
     return weighted.select("doc_id", *shown, (F.col(f"{own}draw") < F.col(f"{own}probability")).alias("kept"))

@@ -596,6 +596,24 @@ def test_topics_are_those_of_the_words(spark):
     assert topics.assign(["gardenaa"], *topics.fit(np.zeros((0, topics.DIMS), np.float32))) == [topics.NONE]
 
 
+def test_mixing_reads_texts_once(spark, monkeypatch):
+    """Rounds read packed vectors and the topics come from the features made before; their words and tokens are those of the texts."""
+    odd = [None, "", " ", "\t", " a\tb \n", "\nfoo bar", "x\u00a0y z", "na\u00efve\u2014caf\u00e9s \u00c9COLE\u2026done plain_word ab1cdef", "\u4e2d\u6587\u4e2d\u6587 words", "many words Many", "a  b "]
+    frame = spark.createDataFrame([(k, t, "en", "s") for k, t in enumerate(odd)], "doc_id long, text string, lang string, source string")
+    assert mixing._token_counts([t and t.encode() for t in odd]) == [r[0] for r in frame.orderBy("doc_id").select(mixing.tokens()).collect()]
+    for text in odd:
+        words = topics.WORD.findall((text or "").lower())
+        want = np.bincount([zlib.crc32(w.encode()) % topics.DIMS for w in words], minlength=topics.DIMS) if words else np.zeros(topics.DIMS)
+        assert np.allclose(topics.counts(text), np.log1p(want))
+    before = {(r.doc_id, r.topic, r.tokens, r.draw) for r in mixing.mix(mixing._drawn(frame, "own_", None, mixing.SEED).select("doc_id", "text", "lang", "source", "own_topic"), topic_col=F.col("own_topic")).collect()}
+
+    def again(*_):
+        raise AssertionError("texts are read a second time")
+
+    monkeypatch.setattr(mixing, "with_topic", again)
+    assert {(r.doc_id, r.topic, r.tokens, r.draw) for r in mixing.mix(frame).collect()} == before
+
+
 def test_raking_meets_all_targets():
     g = np.random.default_rng(0)
     mass, sides = g.integers(1, 100, 60).astype(float), [np.repeat(np.arange(5), 12), np.tile(np.repeat(np.arange(4), 3), 5), np.tile(np.arange(3), 20)]
